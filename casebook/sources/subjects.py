@@ -45,3 +45,48 @@ def ret_members(spark: SparkSession, d: str) -> DataFrame:
              .select(F.col("c_custkey").alias("customer_id"),
                      F.date_add(F.lit(MEMBER_EPOCH).cast("date"),
                                 (F.col("c_custkey") % 365).cast("int")).alias("join_date")))
+
+
+# ---- bank (BNK) -------------------------------------------------------------
+def bnk_regions(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "region", "r_regionkey", "r_name").select(
+        F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
+
+
+def customer_region(spark: SparkSession, d: str) -> DataFrame:
+    """customer -> region id; nation (25 rows by definition) is broadcast."""
+    c = table(spark, d, "customer", "c_custkey", "c_nationkey")
+    n = table(spark, d, "nation", "n_nationkey", "n_regionkey")
+    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+             .select(F.col("c_custkey").alias("customer_id"),
+                     F.col("n_regionkey").alias("region_id")))
+
+
+def bnk_transactions(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    t = F.col("o_orderstatus")
+    ttype = F.when(t == "F", "deposit").when(t == "O", "purchase").when(t == "P", "withdrawal")
+    return o.select(F.col("o_custkey").alias("customer_id"),
+                    _d("o_orderdate").alias("txn_date"),
+                    ttype.alias("txn_type"),
+                    F.col("o_totalprice").cast("decimal(18,2)").alias("txn_amount"))
+
+
+def bnk_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """One node row per (customer, order day); it ends at the next order day.
+
+    The window runs over distinct (customer, day) keys, whose count per
+    customer is bounded by the calendar.
+    """
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    days = (o.groupBy(F.col("o_custkey").alias("customer_id"),
+                      _d("o_orderdate").alias("start_date"))
+             .agg(F.min("o_orderkey").alias("_k")))
+    w = W.partitionBy("customer_id").orderBy("start_date")
+    nodes = days.select(
+        "customer_id",
+        ((F.col("_k") % 5) + 1).cast("int").alias("node_id"),
+        "start_date",
+        F.coalesce(F.lead("start_date").over(w), F.lit(OPEN_END).cast("date")).alias("end_date"))
+    return (nodes.join(customer_region(spark, d), "customer_id")
+                 .select("customer_id", "region_id", "node_id", "start_date", "end_date"))

@@ -30,3 +30,22 @@ def with_views(body: str, names) -> str:
     if b[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{b[5:]}"
     return f"WITH {ctes}\n{b}"
+
+# ---- bank -------------------------------------------------------------------
+VIEWS["regions"] = "SELECT r_regionkey AS region_id, r_name AS region_name FROM region"
+VIEWS["customer_transactions"] = """
+SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS txn_date,
+       CASE o_orderstatus WHEN 'F' THEN 'deposit' WHEN 'O' THEN 'purchase'
+                          WHEN 'P' THEN 'withdrawal' END AS txn_type,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS txn_amount
+FROM orders"""
+VIEWS["customer_nodes"] = """
+SELECT d.customer_id, n.n_regionkey AS region_id, CAST(d.k % 5 + 1 AS INTEGER) AS node_id,
+       d.start_date,
+       COALESCE(LEAD(d.start_date) OVER (PARTITION BY d.customer_id ORDER BY d.start_date),
+                DATE '9999-12-31') AS end_date
+FROM (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date,
+             MIN(o_orderkey) AS k
+      FROM orders GROUP BY 1, 2) d
+JOIN customer c ON c.c_custkey = d.customer_id
+JOIN nation n ON n.n_nationkey = c.c_nationkey"""
