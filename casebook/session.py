@@ -25,6 +25,7 @@ def build_session(master: str | None = None, app: str = "casebook",
     if master:
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false")
+        b = b.config("spark.ui.showConsoleProgress", "false")
         b = b.config("spark.driver.memory", os.environ.get("CASEBOOK_DRIVER_MEM", "16g"))
     for k, v in JOB_CONF.items():
         b = b.config(k, v)

@@ -90,3 +90,47 @@ def bnk_nodes(spark: SparkSession, d: str) -> DataFrame:
         F.coalesce(F.lead("start_date").over(w), F.lit(OPEN_END).cast("date")).alias("end_date"))
     return (nodes.join(customer_region(spark, d), "customer_id")
                  .select("customer_id", "region_id", "node_id", "start_date", "end_date"))
+
+
+# ---- clothing sales (CLO) ---------------------------------------------------
+def clo_sales(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_discount")
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    p = table(spark, d, "part", "p_partkey", "p_retailprice")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+              .join(p, li.l_partkey == p.p_partkey)
+              .select(F.col("l_partkey").alias("prod_id"),
+                      F.col("l_quantity").cast("int").alias("qty"),
+                      F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
+                      F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+                      (F.col("o_custkey") % 2 == 0).alias("member"),
+                      F.col("l_orderkey").alias("txn_id"),
+                      _d("o_orderdate").alias("txn_date")))
+
+
+def clo_products(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    return p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+                    F.col("p_brand").alias("category_name"), F.col("p_type").alias("segment_name"),
+                    F.col("p_retailprice").cast("decimal(18,2)").alias("price"))
+
+
+def clo_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    """Three levels: region (category) > nation (segment) > customer (style)."""
+    r = table(spark, d, "region", "r_regionkey", "r_name")
+    n = table(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey")
+    c = table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey")
+    big = lambda x, k: (F.col(x).cast("bigint") * 3 + k)
+    return (r.select(big("r_regionkey", 0).alias("id"), F.lit(None).cast("bigint").alias("parent_id"),
+                     F.col("r_name").alias("level_text"), F.lit("Category").alias("level_name"))
+             .unionByName(n.select(big("n_nationkey", 1).alias("id"), big("n_regionkey", 0).alias("parent_id"),
+                                   F.col("n_name").alias("level_text"), F.lit("Segment").alias("level_name")))
+             .unionByName(c.select(big("c_custkey", 2).alias("id"), big("c_nationkey", 1).alias("parent_id"),
+                                   F.col("c_name").alias("level_text"), F.lit("Style").alias("level_name"))))
+
+
+def clo_prices(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer", "c_custkey", "c_acctbal")
+    return c.select((F.col("c_custkey") * 3 + 2).alias("id"),
+                    F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("product_id"),
+                    F.col("c_acctbal").cast("decimal(18,2)").alias("price"))

@@ -49,3 +49,30 @@ FROM (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date,
       FROM orders GROUP BY 1, 2) d
 JOIN customer c ON c.c_custkey = d.customer_id
 JOIN nation n ON n.n_nationkey = c.c_nationkey"""
+
+# ---- clothing sales -----------------------------------------------------------
+VIEWS["clo_sales"] = """
+SELECT l.l_partkey AS prod_id, CAST(l.l_quantity AS INTEGER) AS qty,
+       CAST(p.p_retailprice AS DECIMAL(18,2)) AS price,
+       CAST(ROUND(l.l_discount * 100) AS INTEGER) AS discount,
+       (o.o_custkey % 2 = 0) AS member, l.l_orderkey AS txn_id,
+       CAST(o.o_orderdate AS DATE) AS txn_date
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN part p ON l.l_partkey = p.p_partkey"""
+VIEWS["product_details"] = """
+SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS category_name,
+       p_type AS segment_name, CAST(p_retailprice AS DECIMAL(18,2)) AS price
+FROM part"""
+VIEWS["product_hierarchy"] = """
+SELECT CAST(r_regionkey AS BIGINT) * 3 AS id, CAST(NULL AS BIGINT) AS parent_id,
+       r_name AS level_text, 'Category' AS level_name FROM region
+UNION ALL
+SELECT CAST(n_nationkey AS BIGINT) * 3 + 1, CAST(n_regionkey AS BIGINT) * 3, n_name, 'Segment'
+FROM nation
+UNION ALL
+SELECT CAST(c_custkey AS BIGINT) * 3 + 2, CAST(c_nationkey AS BIGINT) * 3 + 1, c_name, 'Style'
+FROM customer"""
+VIEWS["product_prices"] = """
+SELECT c_custkey * 3 + 2 AS id, 'P' || CAST(c_custkey AS VARCHAR) AS product_id,
+       CAST(c_acctbal AS DECIMAL(18,2)) AS price
+FROM customer"""
