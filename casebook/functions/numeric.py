@@ -39,3 +39,19 @@ def pct(num, den, scale: int = 2) -> Column:
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
     return F.round(F.lit(100.0) * num / den, scale)
+
+
+def ratio_expr(num: str, den: str, scale: int = 2, engine: str = "spark") -> str:
+    """SQL text: ``num / den`` rounded half away from zero to ``scale``.
+
+    ``num`` is an exact number with at most ``scale`` decimals and ``den`` a
+    positive integer; integer division keeps the result engine-independent.
+    """
+    idiv = "div" if engine == "spark" else "//"
+    m = 10 ** scale
+    s = f"CAST(({num}) * {m} AS BIGINT)"
+    n = f"CAST(({den}) AS BIGINT)"
+    q = (f"CASE WHEN {n} = 0 THEN NULL WHEN {s} < 0 "
+         f"THEN -((-{s} * 2 + {n}) {idiv} ({n} * 2)) "
+         f"ELSE ({s} * 2 + {n}) {idiv} ({n} * 2) END")
+    return f"CAST(CAST({q} AS DECIMAL(38,0)) / {m} AS DECIMAL(38,{scale}))"

@@ -134,3 +134,39 @@ def clo_prices(spark: SparkSession, d: str) -> DataFrame:
     return c.select((F.col("c_custkey") * 3 + 2).alias("id"),
                     F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("product_id"),
                     F.col("c_acctbal").cast("decimal(18,2)").alias("price"))
+
+
+# ---- weekly sales (WKS) -----------------------------------------------------
+# Fixed values of the mapping: order priority digit -> segment code,
+# market segment -> customer type, order status -> platform.
+SEGMENT_OF_PRIORITY = {"1": "C1", "2": "F2", "3": "C3", "4": "F4", "5": "null"}
+CUSTOMER_TYPE = {"AUTOMOBILE": "New", "BUILDING": "New", "HOUSEHOLD": "Existing",
+                 "MACHINERY": "Existing", "FURNITURE": "Guest"}
+
+
+def _mapped(col, mapping):
+    out = F.lit(None).cast("string")
+    for k, v in reversed(list(mapping.items())):
+        out = F.when(col == k, v).otherwise(out)
+    return out
+
+
+def wks_weekly_sales(spark: SparkSession, d: str) -> DataFrame:
+    """Raw weekly sales: week_date as 'd/M/yyyy' text, segment with 'null' text."""
+    o = table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority")
+    c = table(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    n = table(spark, d, "nation", "n_nationkey", "n_regionkey")
+    r = table(spark, d, "region", "r_regionkey", "r_name")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey)            # 25 rows by definition
+    j = (o.join(c, o.o_custkey == c.c_custkey)
+          .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+    week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
+    g = j.groupBy(
+        F.date_format(week, "d/M/yyyy").alias("week_date"),
+        F.col("r_name").alias("region"),
+        F.when(F.col("o_orderstatus") == "P", "Shopify").otherwise("Retail").alias("platform"),
+        _mapped(F.substring("o_orderpriority", 1, 1), SEGMENT_OF_PRIORITY).alias("segment"),
+        _mapped(F.col("c_mktsegment"), CUSTOMER_TYPE).alias("customer_type"))
+    return g.agg(F.count(F.lit(1)).alias("transactions"),
+                 F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("sales"))

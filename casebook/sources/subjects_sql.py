@@ -76,3 +76,19 @@ VIEWS["product_prices"] = """
 SELECT c_custkey * 3 + 2 AS id, 'P' || CAST(c_custkey AS VARCHAR) AS product_id,
        CAST(c_acctbal AS DECIMAL(18,2)) AS price
 FROM customer"""
+
+# ---- weekly sales -------------------------------------------------------------
+VIEWS["weekly_sales"] = """
+SELECT strftime(CAST(date_trunc('week', o.o_orderdate) AS DATE), '%-d/%-m/%Y') AS week_date,
+       r.r_name AS region,
+       CASE WHEN o.o_orderstatus = 'P' THEN 'Shopify' ELSE 'Retail' END AS platform,
+       CASE substring(o.o_orderpriority, 1, 1) WHEN '1' THEN 'C1' WHEN '2' THEN 'F2'
+            WHEN '3' THEN 'C3' WHEN '4' THEN 'F4' WHEN '5' THEN 'null' END AS segment,
+       CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'New' WHEN 'BUILDING' THEN 'New'
+            WHEN 'HOUSEHOLD' THEN 'Existing' WHEN 'MACHINERY' THEN 'Existing'
+            WHEN 'FURNITURE' THEN 'Guest' END AS customer_type,
+       COUNT(*) AS transactions,
+       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sales
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1, 2, 3, 4, 5"""
