@@ -170,3 +170,53 @@ def wks_weekly_sales(spark: SparkSession, d: str) -> DataFrame:
         _mapped(F.col("c_mktsegment"), CUSTOMER_TYPE).alias("customer_type"))
     return g.agg(F.count(F.lit(1)).alias("transactions"),
                  F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("sales"))
+
+
+# ---- clickstream (CLK) ------------------------------------------------------
+# Event codes and names of the clickstream, stored event type
+# -> event code, and three campaign periods inside the January of the data.
+EVENT_NAMES = [(1, "Page View"), (2, "Add to Cart"), (3, "Purchase"), (4, "Ad Impression"),
+               (5, "Ad Click")]
+EVENT_CODE = {"view": 1, "click": 2, "purchase": 3, "signup": 4, "error": 5}
+CAMPAIGNS = [("Campaign A", "2024-01-01 00:00:00", "2024-01-09 23:59:59"),
+             ("Campaign B", "2024-01-10 00:00:00", "2024-01-19 23:59:59"),
+             ("Campaign C", "2024-01-20 00:00:00", "2024-01-27 23:59:59")]
+N_PAGES = 13          # 1 home, 2 all products, 3..11 products, 12 checkout, 13 confirmation
+
+
+def clk_events(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
+    code = _mapped(F.col("event_type"), {k: str(v) for k, v in EVENT_CODE.items()}).cast("int")
+    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    cookie = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.weekofyear("ts").cast("string"))
+    ev = e.select(visit.alias("visit_id"), cookie.alias("cookie_id"), F.col("user_id"),
+                  (F.col("event_id") % N_PAGES + 1).cast("int").alias("page_id"),
+                  code.alias("event_type"), F.col("ts").alias("event_time"), "event_id")
+    # sequence within a visit; pruned away by Catalyst when a query does not read it
+    w = W.partitionBy("visit_id").orderBy("event_time", "event_id")
+    return ev.withColumn("sequence_number", F.row_number().over(w))
+
+
+def clk_users(spark: SparkSession, d: str) -> DataFrame:
+    return clk_events(spark, d).select("user_id", "cookie_id").distinct()
+
+
+def clk_event_identifier(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(EVENT_NAMES, "event_type int, event_name string")
+
+
+def clk_page_hierarchy(spark: SparkSession) -> DataFrame:
+    p = F.col("page_id")
+    name = (F.when(p == 1, "Home Page").when(p == 2, "All Products").when(p == 12, "Checkout")
+             .when(p == 13, "Confirmation").otherwise(F.concat(F.lit("Product "), (p - 2).cast("string"))))
+    is_product = p.between(3, 11)
+    cat = F.when(is_product, F.concat(F.lit("Category "), (F.floor((p - 3) / 3) + 1).cast("string")))
+    return (spark.range(1, N_PAGES + 1).select(F.col("id").cast("int").alias("page_id"))
+                 .select("page_id", name.alias("page_name"), cat.alias("product_category"),
+                         F.when(is_product, p - 2).alias("product_id")))
+
+
+def clk_campaigns(spark: SparkSession) -> DataFrame:
+    return (spark.createDataFrame(CAMPAIGNS, "campaign_name string, s string, e string")
+                 .select("campaign_name", F.to_timestamp_ntz("s").alias("start_date"),
+                         F.to_timestamp_ntz("e").alias("end_date")))

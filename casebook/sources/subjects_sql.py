@@ -92,3 +92,34 @@ SELECT strftime(CAST(date_trunc('week', o.o_orderdate) AS DATE), '%-d/%-m/%Y') A
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY 1, 2, 3, 4, 5"""
+
+# ---- clickstream --------------------------------------------------------------
+VIEWS["clk_events"] = """
+SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id,
+       CAST(user_id AS VARCHAR) || '-' || CAST(weekofyear(ts) AS VARCHAR) AS cookie_id,
+       user_id, CAST(event_id % 13 + 1 AS INTEGER) AS page_id,
+       CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3
+                       WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END AS event_type,
+       ts AS event_time, event_id,
+       ROW_NUMBER() OVER (PARTITION BY CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d')
+                          ORDER BY ts, event_id) AS sequence_number
+FROM events"""
+VIEWS["clk_users"] = "SELECT DISTINCT user_id, cookie_id FROM clk_events"
+VIEWS["event_identifier"] = """
+SELECT * FROM (VALUES (1, 'Page View'), (2, 'Add to Cart'), (3, 'Purchase'),
+                      (4, 'Ad Impression'), (5, 'Ad Click')) t(event_type, event_name)"""
+VIEWS["page_hierarchy"] = """
+SELECT CAST(range AS INTEGER) AS page_id,
+       CASE range WHEN 1 THEN 'Home Page' WHEN 2 THEN 'All Products' WHEN 12 THEN 'Checkout'
+                  WHEN 13 THEN 'Confirmation' ELSE 'Product ' || CAST(range - 2 AS VARCHAR) END AS page_name,
+       CASE WHEN range BETWEEN 3 AND 11
+            THEN 'Category ' || CAST(CAST(floor((range - 3) / 3) + 1 AS BIGINT) AS VARCHAR) END
+         AS product_category,
+       CASE WHEN range BETWEEN 3 AND 11 THEN CAST(range - 2 AS INTEGER) END AS product_id
+FROM range(1, 14)"""
+VIEWS["campaign_identifier"] = """
+SELECT * FROM (VALUES
+  ('Campaign A', TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-09 23:59:59'),
+  ('Campaign B', TIMESTAMP '2024-01-10 00:00:00', TIMESTAMP '2024-01-19 23:59:59'),
+  ('Campaign C', TIMESTAMP '2024-01-20 00:00:00', TIMESTAMP '2024-01-27 23:59:59'))
+  t(campaign_name, start_date, end_date)"""
