@@ -220,3 +220,45 @@ def clk_campaigns(spark: SparkSession) -> DataFrame:
     return (spark.createDataFrame(CAMPAIGNS, "campaign_name string, s string, e string")
                  .select("campaign_name", F.to_timestamp_ntz("s").alias("start_date"),
                          F.to_timestamp_ntz("e").alias("end_date")))
+
+
+# ---- interest segments (SEG) ------------------------------------------------
+INTEREST_EPOCH = "1996-01-01"    # created_at = epoch + (id % 1500) days
+
+
+def seg_interest_map(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part", "p_partkey", "p_name")
+    m = p.groupBy(F.col("p_name").alias("interest_name")).agg(F.min("p_partkey").cast("int").alias("id"))
+    created = F.date_add(F.lit(INTEREST_EPOCH).cast("date"), (F.col("id") % 1500)).cast("timestamp_ntz")
+    return m.select("id", "interest_name",
+                    F.concat(F.lit("Parts named "), F.col("interest_name")).alias("interest_summary"),
+                    created.alias("created_at"),
+                    F.date_add(created.cast("date"), 30).cast("timestamp_ntz").alias("last_modified"))
+
+
+def seg_interest_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Raw monthly metrics per interest (part name), text-typed like a CSV load.
+
+    composition = share of the month's shipped quantity (%); index_value =
+    composition over the month's mean composition; ranking by index_value.
+    Windows run over (month, interest) aggregates: interests per month are
+    bounded by the catalogue, months by the calendar.
+    """
+    li = table(spark, d, "lineitem", "l_partkey", "l_quantity", "l_shipdate")
+    p = table(spark, d, "part", "p_partkey", "p_name")
+    a = (li.join(p, li.l_partkey == p.p_partkey)
+           .groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("m"), "p_name")
+           .agg(F.sum("l_quantity").alias("qty")))
+    wm = W.partitionBy("m")
+    b = a.withColumn("composition", F.round(F.lit(100.0) * F.col("qty") / F.sum("qty").over(wm), 2))
+    cd = F.col("composition").cast("decimal(10,2)")
+    c = b.withColumn("index_value", F.round(
+        (cd * F.count(F.lit(1)).over(wm)).cast("double") / F.sum(cd).over(wm).cast("double"), 2))
+    c = c.withColumn("ranking", F.rank().over(wm.orderBy(F.desc("index_value"))))
+    c = c.withColumn("percentile_ranking", F.round(
+        F.lit(100.0) * (F.count(F.lit(1)).over(wm) - F.col("ranking") + 1) / F.count(F.lit(1)).over(wm), 2))
+    ids = seg_interest_map(spark, d).select(F.col("interest_name").alias("p_name"), "id")
+    return c.join(ids, "p_name").select(
+        F.month("m").cast("string").alias("_month"), F.year("m").cast("string").alias("_year"),
+        F.date_format("m", "MM-yyyy").alias("month_year"), F.col("id").cast("string").alias("interest_id"),
+        "composition", "index_value", "ranking", "percentile_ranking")

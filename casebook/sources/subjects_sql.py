@@ -123,3 +123,29 @@ SELECT * FROM (VALUES
   ('Campaign B', TIMESTAMP '2024-01-10 00:00:00', TIMESTAMP '2024-01-19 23:59:59'),
   ('Campaign C', TIMESTAMP '2024-01-20 00:00:00', TIMESTAMP '2024-01-27 23:59:59'))
   t(campaign_name, start_date, end_date)"""
+
+# ---- interest segments ------------------------------------------------------------
+VIEWS["interest_map"] = """
+SELECT CAST(MIN(p_partkey) AS INTEGER) AS id, p_name AS interest_name,
+       'Parts named ' || p_name AS interest_summary,
+       CAST(DATE '1996-01-01' + CAST(MIN(p_partkey) % 1500 AS INTEGER) AS TIMESTAMP) AS created_at,
+       CAST(DATE '1996-01-01' + CAST(MIN(p_partkey) % 1500 AS INTEGER) + 30 AS TIMESTAMP) AS last_modified
+FROM part GROUP BY p_name"""
+VIEWS["interest_metrics"] = """
+SELECT CAST(month(m) AS VARCHAR) AS _month, CAST(year(m) AS VARCHAR) AS _year,
+       strftime(m, '%m-%Y') AS month_year, CAST(im.id AS VARCHAR) AS interest_id,
+       composition, index_value, ranking, percentile_ranking
+FROM (SELECT *, CAST(ROUND(100.0 * (n - ranking + 1) / n, 2) AS DOUBLE) AS percentile_ranking
+      FROM (SELECT *, CAST(RANK() OVER (PARTITION BY m ORDER BY index_value DESC) AS INTEGER) AS ranking
+            FROM (SELECT m, p_name, composition, COUNT(*) OVER (PARTITION BY m) AS n,
+                         ROUND(CAST(CAST(composition AS DECIMAL(10,2)) * COUNT(*) OVER (PARTITION BY m)
+                                    AS DOUBLE)
+                               / CAST(SUM(CAST(composition AS DECIMAL(10,2))) OVER (PARTITION BY m)
+                                      AS DOUBLE), 2) AS index_value
+                  FROM (SELECT m, p_name,
+                               ROUND(100.0 * qty / SUM(qty) OVER (PARTITION BY m), 2) AS composition
+                        FROM (SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS m, p.p_name,
+                                     SUM(l.l_quantity) AS qty
+                              FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+                              GROUP BY 1, 2) a) b) c) d) e
+JOIN interest_map im ON im.interest_name = e.p_name"""
