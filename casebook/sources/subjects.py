@@ -262,3 +262,24 @@ def seg_interest_metrics(spark: SparkSession, d: str) -> DataFrame:
         F.month("m").cast("string").alias("_month"), F.year("m").cast("string").alias("_year"),
         F.date_format("m", "MM-yyyy").alias("month_year"), F.col("id").cast("string").alias("interest_id"),
         "composition", "index_value", "ranking", "percentile_ranking")
+
+
+# ---- subscriptions (SUB) ----------------------------------------------------
+# The plan catalogue (price NULL for churn) and the stored event
+# type that marks each plan's start.
+PLANS = [(0, "trial", "0.00"), (1, "basic monthly", "9.90"), (2, "pro monthly", "19.90"),
+         (3, "pro annual", "199.00"), (4, "churn", None)]
+PLAN_OF_EVENT = {"view": 0, "click": 1, "signup": 2, "purchase": 3, "error": 4}
+
+
+def sub_plans(spark: SparkSession) -> DataFrame:
+    return (spark.createDataFrame(PLANS, "plan_id int, plan_name string, p string")
+                 .select("plan_id", "plan_name", F.col("p").cast("decimal(5,2)").alias("price")))
+
+
+def sub_subscriptions(spark: SparkSession, d: str) -> DataFrame:
+    """One row per (customer, plan): the plan starts on the first day its event occurs."""
+    e = table(spark, d, "events", "user_id", "event_type", "ts")
+    plan = _mapped(F.col("event_type"), {k: str(v) for k, v in PLAN_OF_EVENT.items()}).cast("int")
+    return (e.groupBy(F.col("user_id").alias("customer_id"), plan.alias("plan_id"))
+             .agg(F.to_date(F.min("ts")).alias("start_date")))

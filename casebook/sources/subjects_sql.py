@@ -149,3 +149,15 @@ FROM (SELECT *, CAST(ROUND(100.0 * (n - ranking + 1) / n, 2) AS DOUBLE) AS perce
                               FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
                               GROUP BY 1, 2) a) b) c) d) e
 JOIN interest_map im ON im.interest_name = e.p_name"""
+
+# ---- subscriptions ------------------------------------------------------------
+VIEWS["plans"] = """
+SELECT * FROM (VALUES (0, 'trial', CAST(0.00 AS DECIMAL(5,2))), (1, 'basic monthly', 9.90),
+                      (2, 'pro monthly', 19.90), (3, 'pro annual', 199.00),
+                      (4, 'churn', NULL)) t(plan_id, plan_name, price)"""
+VIEWS["subscriptions"] = """
+SELECT user_id AS customer_id,
+       CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'signup' THEN 2
+                       WHEN 'purchase' THEN 3 WHEN 'error' THEN 4 END AS plan_id,
+       CAST(MIN(ts) AS DATE) AS start_date
+FROM events GROUP BY 1, 2"""
