@@ -283,3 +283,83 @@ def sub_subscriptions(spark: SparkSession, d: str) -> DataFrame:
     plan = _mapped(F.col("event_type"), {k: str(v) for k, v in PLAN_OF_EVENT.items()}).cast("int")
     return (e.groupBy(F.col("user_id").alias("customer_id"), plan.alias("plan_id"))
              .agg(F.to_date(F.min("ts")).alias("start_date")))
+
+
+# ---- food delivery (DLV) ----------------------------------------------------
+REG_EPOCH = "1995-01-01"         # runner registration = epoch + (suppkey % 28) days
+
+
+def dlv_runners(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "supplier", "s_suppkey")
+    return s.select(F.col("s_suppkey").alias("runner_id"),
+                    F.date_add(F.lit(REG_EPOCH).cast("date"), (F.col("s_suppkey") % 28).cast("int"))
+                     .alias("registration_date"))
+
+
+def dlv_toppings(spark: SparkSession, d: str) -> DataFrame:
+    """Toppings = words of part names; ids by alphabetical order. The window
+    runs over the distinct words (a bounded vocabulary)."""
+    p = table(spark, d, "part", "p_name")
+    words = p.select(F.explode(F.split("p_name", " ")).alias("topping_name")).distinct()
+    return words.select(F.row_number().over(W.orderBy("topping_name")).cast("int").alias("topping_id"),
+                        "topping_name")
+
+
+def dlv_pizza_names(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part", "p_partkey", "p_name")
+    return p.select(F.col("p_partkey").alias("pizza_id"), F.col("p_name").alias("pizza_name"))
+
+
+def dlv_recipes(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part", "p_partkey", "p_name")
+    w = p.select("p_partkey", F.explode(F.split("p_name", " ")).alias("topping_name"))
+    j = w.join(F.broadcast(dlv_toppings(spark, d)), "topping_name")   # bounded vocabulary
+    return (j.groupBy(F.col("p_partkey").alias("pizza_id"))
+             .agg(F.array_join(F.array_sort(F.collect_list("topping_id")).cast("array<string>"), ", ")
+                  .alias("toppings")))
+
+
+def _order_time():
+    return F.expr("timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate)")
+
+
+def dlv_customer_orders_raw(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    ln, s = F.col("l_linenumber"), F.col("l_suppkey")
+    t1 = ((s % 16) + 1).cast("string")
+    t2 = (((s + 5) % 16) + 1).cast("string")
+    excl = (F.when(ln % 4 == 0, F.lit("")).when(ln % 4 == 1, F.lit("null"))
+             .when(ln % 4 == 2, ((F.col("l_partkey") % 16) + 1).cast("string")))
+    extras = (F.when(ln % 3 == 0, F.concat(t1, F.lit(", "), t2)).when(ln % 3 == 1, t1)
+               .when(F.col("l_orderkey") % 2 == 0, F.lit("")))
+    return j.select(F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                    F.col("l_partkey").alias("pizza_id"), excl.alias("exclusions"), extras.alias("extras"),
+                    _order_time().alias("order_time"))
+
+
+def dlv_runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_orderdate")
+    li = table(spark, d, "lineitem", "l_orderkey", "l_suppkey")
+    runner = li.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("runner_id"))
+    j = o.join(runner, o.o_orderkey == runner.l_orderkey)
+    k = F.col("o_orderkey")
+    cancelled = F.col("o_orderstatus") == "P"
+    dist = ((k % 25) + 1).cast("string")
+    mins = ((k % 30) + 10).cast("string")
+    pickup = F.date_format(F.expr("timestampadd(MINUTE, 10 + o_orderkey % 20, "
+                                  "timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate))"),
+                           "yyyy-MM-dd HH:mm:ss")
+    return j.select(
+        F.col("o_orderkey").alias("order_id"), "runner_id",
+        F.when(cancelled, F.lit("null")).otherwise(pickup).alias("pickup_time"),
+        F.when(cancelled, F.lit("null")).when(k % 4 == 0, F.concat(dist, F.lit("km")))
+         .when(k % 4 == 1, F.concat(dist, F.lit(".4 km"))).when(k % 4 == 2, dist)
+         .otherwise(F.concat(dist, F.lit(" km"))).alias("distance"),
+        F.when(cancelled, F.lit("null")).when(k % 3 == 0, F.concat(mins, F.lit("mins")))
+         .when(k % 3 == 1, F.concat(mins, F.lit(" minute"))).otherwise(F.concat(mins, F.lit(" minutes")))
+         .alias("duration"),
+        F.when(cancelled, F.when(k % 2 == 0, F.lit("Restaurant Cancellation"))
+                           .otherwise(F.lit("Customer Cancellation")))
+         .when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit("null")).alias("cancellation"))

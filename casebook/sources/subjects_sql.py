@@ -161,3 +161,60 @@ SELECT user_id AS customer_id,
                        WHEN 'purchase' THEN 3 WHEN 'error' THEN 4 END AS plan_id,
        CAST(MIN(ts) AS DATE) AS start_date
 FROM events GROUP BY 1, 2"""
+
+# ---- food delivery ----------------------------------------------------------------
+VIEWS["runners"] = """
+SELECT s_suppkey AS runner_id,
+       CAST(DATE '1995-01-01' + CAST(s_suppkey % 28 AS INTEGER) AS DATE) AS registration_date
+FROM supplier"""
+VIEWS["pizza_toppings"] = """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY topping_name) AS INTEGER) AS topping_id, topping_name
+FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS topping_name FROM part) w"""
+VIEWS["pizza_names"] = "SELECT p_partkey AS pizza_id, p_name AS pizza_name FROM part"
+VIEWS["pizza_recipes"] = """
+SELECT pizza_id, string_agg(CAST(topping_id AS VARCHAR), ', ' ORDER BY topping_id) AS toppings
+FROM (SELECT p_partkey AS pizza_id, unnest(string_split(p_name, ' ')) AS topping_name FROM part) w
+JOIN pizza_toppings USING (topping_name) GROUP BY pizza_id"""
+VIEWS["customer_orders_raw"] = """
+SELECT l.l_orderkey AS order_id, o.o_custkey AS customer_id, l.l_partkey AS pizza_id,
+       CASE l.l_linenumber % 4 WHEN 0 THEN '' WHEN 1 THEN 'null'
+            WHEN 2 THEN CAST(l.l_partkey % 16 + 1 AS VARCHAR) END AS exclusions,
+       CASE WHEN l.l_linenumber % 3 = 0
+              THEN CAST(l.l_suppkey % 16 + 1 AS VARCHAR) || ', ' || CAST((l.l_suppkey + 5) % 16 + 1 AS VARCHAR)
+            WHEN l.l_linenumber % 3 = 1 THEN CAST(l.l_suppkey % 16 + 1 AS VARCHAR)
+            WHEN l.l_orderkey % 2 = 0 THEN '' END AS extras,
+       o.o_orderdate + to_minutes(CAST((o.o_orderkey % 24) * 60 + o.o_orderkey % 60 AS BIGINT)) AS order_time
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+VIEWS["runner_orders_raw"] = """
+SELECT o.o_orderkey AS order_id, r.runner_id,
+       CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+            ELSE strftime(o.o_orderdate + to_minutes(CAST((o.o_orderkey % 24) * 60 + o.o_orderkey % 60
+                                                           + 10 + o.o_orderkey % 20 AS BIGINT)),
+                          '%Y-%m-%d %H:%M:%S') END AS pickup_time,
+       CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+            WHEN o.o_orderkey % 4 = 0 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || 'km'
+            WHEN o.o_orderkey % 4 = 1 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || '.4 km'
+            WHEN o.o_orderkey % 4 = 2 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR)
+            ELSE CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || ' km' END AS distance,
+       CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+            WHEN o.o_orderkey % 3 = 0 THEN CAST(o.o_orderkey % 30 + 10 AS VARCHAR) || 'mins'
+            WHEN o.o_orderkey % 3 = 1 THEN CAST(o.o_orderkey % 30 + 10 AS VARCHAR) || ' minute'
+            ELSE CAST(o.o_orderkey % 30 + 10 AS VARCHAR) || ' minutes' END AS duration,
+       CASE WHEN o.o_orderstatus = 'P' THEN
+              CASE WHEN o.o_orderkey % 2 = 0 THEN 'Restaurant Cancellation' ELSE 'Customer Cancellation' END
+            WHEN o.o_orderkey % 3 = 0 THEN '' WHEN o.o_orderkey % 3 = 1 THEN 'null' END AS cancellation
+FROM orders o JOIN (SELECT l_orderkey, MIN(l_suppkey) AS runner_id FROM lineitem GROUP BY 1) r
+  ON o.o_orderkey = r.l_orderkey"""
+VIEWS["customer_orders"] = """
+SELECT order_id, customer_id, pizza_id,
+       CAST(string_split(NULLIF(NULLIF(trim(exclusions), ''), 'null'), ',') AS INTEGER[]) AS exclusions,
+       CAST(string_split(NULLIF(NULLIF(trim(extras), ''), 'null'), ',') AS INTEGER[]) AS extras,
+       order_time
+FROM customer_orders_raw"""
+VIEWS["runner_orders"] = """
+SELECT order_id, runner_id,
+       TRY_CAST(NULLIF(NULLIF(pickup_time, ''), 'null') AS TIMESTAMP) AS pickup_time,
+       TRY_CAST(NULLIF(regexp_extract(distance, '[0-9]+(\\.[0-9]+)?', 0), '') AS DECIMAL(6,2)) AS distance,
+       TRY_CAST(NULLIF(regexp_extract(duration, '[0-9]+', 0), '') AS INTEGER) AS duration,
+       NULLIF(NULLIF(cancellation, ''), 'null') AS cancellation
+FROM runner_orders_raw"""
