@@ -27,6 +27,8 @@ def with_views(body: str, names) -> str:
     names = names.split() if isinstance(names, str) else list(names)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]}\n)" for n in names)
     b = body.strip()
+    if b[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{b[15:]}"
     if b[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{b[5:]}"
     return f"WITH {ctes}\n{b}"
