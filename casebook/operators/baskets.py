@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from casebook.operators.ranking import first_rows
+from casebook.sources.io import materialize
 
 
 def _triples(bi: DataFrame, basket: str) -> DataFrame:
@@ -25,8 +26,13 @@ def _triples(bi: DataFrame, basket: str) -> DataFrame:
 
 
 def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12,
-                names=("product_1", "product_2", "product_3"), count_name="buying_freq") -> DataFrame:
+                names=("product_1", "product_2", "product_3"), count_name="buying_freq",
+                stage: str | None = None) -> DataFrame:
+    """``stage`` names a table in the shared folder for the (basket, item)
+    pairs, which every pruning step reads again."""
     bi = df.select(F.col(basket), F.col(item).alias("item")).distinct()
+    if stage:
+        bi = materialize(bi, stage)
     support = bi.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
     # lower bound: best triple among the most frequent items
     seed = support.orderBy(F.desc("s"), "item").limit(seed_items).select("item")

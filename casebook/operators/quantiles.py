@@ -4,7 +4,8 @@
 share reaches p, i.e. the value at sorted position ceil(p * n). Spark's
 built-in aggregate keeps every distinct value of the whole column in one
 final buffer. Here the values are split into about ``buckets`` value ranges
-by approximate quantiles (one small array, broadcast); bucket counts give
+by approximate quantiles (at most ``buckets`` numbers reach the driver, and
+the bucket of a value is found by binary search in the JVM); bucket counts give
 each bucket's starting position (a window over <= buckets rows); inside
 each bucket the distinct values with their counts are accumulated by a
 window partitioned by bucket. Every step is an aggregate or a bounded
@@ -15,18 +16,26 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.sources.io import materialize
+
 
 def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
-                    buckets: int = 1024) -> DataFrame:
-    qs = [i / buckets for i in range(1, buckets)]
+                    buckets: int = 256, stage: str | None = None) -> DataFrame:
+    """``stage`` names a table in the shared folder for the value column, so
+    the (possibly expensive) input plan runs once for the three passes."""
     vals = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    stats = vals.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx("v", qs, 10000).alias("bounds"))
-    # bucket = number of boundaries strictly below the value
-    tagged = (vals.crossJoin(F.broadcast(stats.select("bounds")))
-                  .select("v", F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("b")))
+    if stage:
+        vals = materialize(vals, stage)
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = vals.select(F.col("v").cast("double").alias("d")).approxQuantile("d", qs, 1.0 / (4 * buckets))
+    splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
+    stats = vals.agg(F.count(F.lit(1)).alias("n"))
+    # any monotone bucketing is exact here; the double cast only picks the bucket
+    tagged = Bucketizer(splits=splits, inputCol="d", outputCol="b").transform(
+        vals.withColumn("d", F.col("v").cast("double")))
     per_value = tagged.groupBy("b", "v").agg(F.count(F.lit(1)).alias("c"))
     per_bucket = per_value.groupBy("b").agg(F.sum("c").alias("bc"))
     start = per_bucket.withColumn(

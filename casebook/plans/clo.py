@@ -58,7 +58,7 @@ def transaction_stats(sales) -> DataFrame:
 
 def revenue_percentiles(sales) -> DataFrame:
     return percentile_disc(per_txn(sales), "revenue", [0.25, 0.5, 0.75],
-                           ["p25_revenue", "p50_revenue", "p75_revenue"])
+                           ["p25_revenue", "p50_revenue", "p75_revenue"], stage="txn_revenue")
 
 
 def mean_discount_per_txn(sales) -> DataFrame:
@@ -121,7 +121,7 @@ def penetration(sales, products) -> DataFrame:
 
 def top_combination(sales, products) -> DataFrame:
     s = sales.join(products.select(F.col("product_id").alias("prod_id"), "product_name"), "prod_id")
-    return top_triples(s, "txn_id", "product_name")
+    return top_triples(s, "txn_id", "product_name", stage="basket_items")
 
 
 def product_details_from_hierarchy(hierarchy: DataFrame, prices: DataFrame) -> DataFrame:
