@@ -28,7 +28,7 @@ def first_rows(df: DataFrame, by, order_col: str, desc: bool = False) -> DataFra
     by = _cols(by)
     agg = F.max(order_col) if desc else F.min(order_col)
     edge = df.groupBy(*by).agg(agg.alias(order_col))
-    return df.join(edge, on=by + [order_col], how="left_semi")
+    return df.join(edge, on=by + [order_col], how="left_semi").select(*df.columns)
 
 
 def dense_rank_by(df: DataFrame, by, order_col: str, out: str = "dense_rank",

@@ -15,9 +15,13 @@ from casebook.sources.subjects_sql import with_views
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-GROSS = F.col("qty") * F.col("price")
-DISC = F.col("price") * F.col("qty") * F.col("discount") * F.lit(0.01).cast("decimal(3,2)")
-NET = GROSS - DISC
+
+
+def amounts() -> dict:
+    """Gross revenue, discount amount and net revenue of a sales line (exact decimals)."""
+    gross = F.col("qty") * F.col("price")
+    disc = F.col("price") * F.col("qty") * F.col("discount") * F.lit(0.01).cast("decimal(3,2)")
+    return {"gross": gross, "disc": disc, "net": gross - disc}
 
 
 def _d2(c):
@@ -29,7 +33,7 @@ def _d4(c):
 
 
 def with_amounts(sales: DataFrame) -> DataFrame:
-    return sales.withColumns({"gross": GROSS, "disc": DISC, "net": NET})
+    return sales.withColumns(amounts())
 
 
 def qty_per_product(sales, products) -> DataFrame:

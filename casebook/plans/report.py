@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casebook.functions.numeric import avg_expr, exact_avg
 from casebook.operators import top_per_group
-from casebook.plans.clo import DISC, GROSS, NET
+from casebook.plans.clo import amounts
 from casebook.sources import subjects as S
 from casebook.sources.subjects_sql import with_views
 
@@ -25,7 +25,7 @@ def _scope(sales: DataFrame, month: str | None) -> DataFrame:
     if month:
         start = F.lit(f"{month}-01").cast("date")
         s = s.filter((F.col("txn_date") >= start) & (F.col("txn_date") < F.add_months(start, 1)))
-    return s.withColumns({"gross": GROSS, "disc": DISC, "net": NET})
+    return s.withColumns(amounts())
 
 
 def monthly_report(sales: DataFrame, products: DataFrame, month: str | None = None) -> dict:

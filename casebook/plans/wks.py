@@ -171,7 +171,6 @@ for _w, _key in ((4, "M9_before_after_4_weeks"), (12, "M9b_before_after_12_weeks
     _reg(_key, (lambda w: lambda sp, d: before_after(_cws(sp, d), "week_date", PIVOT, w, "sales"))(_w),
          before_after_sql("clean_weekly_sales", "week_date", _P, _w, "sales"))
 
-_YP = F.make_date(F.col("calendar_year"), F.lit(6), F.lit(15))
 for _w, _key in ((4, "M10_before_after_by_year_4_weeks"), (12, "M10b_before_after_by_year_12_weeks")):
     _reg(_key, (lambda w: lambda sp, d: before_after(
         _cws(sp, d), "week_date", None, w, "sales", by="calendar_year",
