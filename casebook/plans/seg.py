@@ -16,6 +16,11 @@ CHECK_INTEREST = "blue bolt"     # the single interest inspected by G4b
 QUERIES: dict = {}
 ORACLE: dict = {}
 
+# composition / index_value, both 2-decimal measures, rounded half up exactly
+_CENTS = "CAST(ROUND({c} * 100) AS BIGINT)"
+AVG_COMP_SPARK = ratio_expr(_CENTS.format(c="composition"), _CENTS.format(c="index_value"), 2, "spark")
+AVG_COMP_DUCK = ratio_expr(_CENTS.format(c="composition"), _CENTS.format(c="index_value"), 2, "duck")
+
 
 def clean_metrics(raw: DataFrame) -> DataFrame:
     """Retype text columns (S10/F17) and drop rows without a month."""
@@ -133,8 +138,7 @@ def avg_comp_table(m: DataFrame, imap: DataFrame) -> DataFrame:
     return (f.join(imap, f.interest_id == imap.id)
              .select("_month", "_year", "month_year", "interest_id", "interest_name", "composition",
                      "index_value", "ranking", "percentile_ranking",
-                     F.round(F.col("composition") / F.col("index_value"), 2).cast("decimal(10,2)")
-                      .alias("avg_comp")))
+                     F.expr(AVG_COMP_SPARK).cast("decimal(10,2)").alias("avg_comp")))
 
 
 def top10_per_month(m, imap):
@@ -193,9 +197,9 @@ WHERE month_year IS NOT NULL GROUP BY interest_id"""
 VIEWS["filtered_metrics"] = f"""
 SELECT * FROM clean_metrics WHERE month_year IS NOT NULL AND interest_id NOT IN
   (SELECT interest_id FROM month_counts WHERE mon_cnt < {MIN_MONTHS})"""
-VIEWS["avg_comp_table"] = """
+VIEWS["avg_comp_table"] = f"""
 SELECT _month, _year, month_year, interest_id, interest_name, composition, index_value, ranking,
-       percentile_ranking, CAST(ROUND(composition / index_value, 2) AS DECIMAL(10,2)) AS avg_comp
+       percentile_ranking, CAST({AVG_COMP_DUCK} AS DECIMAL(10,2)) AS avg_comp
 FROM filtered_metrics f JOIN interest_map im ON f.interest_id = im.id"""
 VIEWS["top10"] = """
 SELECT month_year, interest_id, interest_name, avg_comp, rnk FROM (
