@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analyses this package rebuilds have no stream, watermark, trigger or
+state (see README, "Not built"): every job here is a batch DataFrame plan.
+The package exists so incremental variants can be added without moving
+modules; none is registered.
+"""
