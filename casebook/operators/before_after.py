@@ -8,10 +8,12 @@ from casebook.functions.labels import change_label
 
 
 def before_after(df: DataFrame, date_col: str, pivot, weeks: int, measure: str,
-                 by=(), pivot_per_row: Column | None = None) -> DataFrame:
+                 by=(), pivot_per_row: Column | None = None, inclusive_after: bool = False) -> DataFrame:
     """Sum ``measure`` over [pivot - weeks, pivot) and [pivot, pivot + weeks).
 
-    Windows are half-open (the "after" window has ``weeks`` weekly points).
+    Windows are half-open (the "after" window has ``weeks`` weekly points);
+    ``inclusive_after`` closes the after window (BETWEEN pivot AND pivot +
+    weeks: one more weekly point), the form some reports use.
     ``pivot`` is a date literal, or ``pivot_per_row`` gives each row its own
     pivot (e.g. June 15 of the row's year) so several years run in one pass.
     Output: before_sales, after_sales, difference, pct_change (vs before),
@@ -21,7 +23,8 @@ def before_after(df: DataFrame, date_col: str, pivot, weeks: int, measure: str,
     d = F.col(date_col)
     p = pivot_per_row if pivot_per_row is not None else F.lit(pivot).cast("date")
     lo, hi = F.date_sub(p, 7 * weeks), F.date_add(p, 7 * weeks)
-    window = df.filter((d >= lo) & (d < hi))           # range predicate, pushed when p is a literal
+    upper = (d <= hi) if inclusive_after else (d < hi)
+    window = df.filter((d >= lo) & upper)               # range predicate, pushed when p is a literal
     m = F.col(measure)
     agg = window.groupBy(*by).agg(
         F.sum(F.when(d < p, m)).cast("decimal(38,2)").alias("before_sales"),
@@ -38,7 +41,7 @@ def before_after(df: DataFrame, date_col: str, pivot, weeks: int, measure: str,
 
 
 def before_after_sql(table: str, date_col: str, pivot_sql: str, weeks: int, measure: str,
-                     by=()) -> str:
+                     by=(), inclusive_after: bool = False) -> str:
     """SQL twin of ``before_after`` (pivot given as SQL expression)."""
     by = [by] if isinstance(by, str) else list(by)
     sel = "".join(f"{b}, " for b in by)
@@ -56,5 +59,6 @@ FROM (SELECT {sel}
              CAST(SUM(CASE WHEN {date_col} < {p} THEN {measure} END) AS DECIMAL(38,2)) AS before_sales,
              CAST(SUM(CASE WHEN {date_col} >= {p} THEN {measure} END) AS DECIMAL(38,2)) AS after_sales
       FROM {table}
-      WHERE {date_col} >= {p} - INTERVAL {7 * weeks} DAY AND {date_col} < {p} + INTERVAL {7 * weeks} DAY
+      WHERE {date_col} >= {p} - INTERVAL {7 * weeks} DAY
+        AND {date_col} {'<=' if inclusive_after else '<'} {p} + INTERVAL {7 * weeks} DAY
       {grp}) t"""

@@ -171,6 +171,10 @@ for _w, _key in ((4, "M9_before_after_4_weeks"), (12, "M9b_before_after_12_weeks
     _reg(_key, (lambda w: lambda sp, d: before_after(_cws(sp, d), "week_date", PIVOT, w, "sales"))(_w),
          before_after_sql("clean_weekly_sales", "week_date", _P, _w, "sales"))
 
+_reg("M9c_before_after_4_weeks_inclusive",
+     lambda sp, d: before_after(_cws(sp, d), "week_date", PIVOT, 4, "sales", inclusive_after=True),
+     before_after_sql("clean_weekly_sales", "week_date", _P, 4, "sales", inclusive_after=True))
+
 for _w, _key in ((4, "M10_before_after_by_year_4_weeks"), (12, "M10b_before_after_by_year_12_weeks")):
     _reg(_key, (lambda w: lambda sp, d: before_after(
         _cws(sp, d), "week_date", None, w, "sales", by="calendar_year",
