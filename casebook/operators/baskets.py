@@ -38,14 +38,14 @@ def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12,
     seed = support.orderBy(F.desc("s"), "item").limit(seed_items).select("item")
     seed_counts = (_triples(bi.join(F.broadcast(seed), "item", "left_semi"), basket)
                    .groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("f")))
-    floor = seed_counts.agg(F.coalesce(F.max("f"), F.lit(1)).alias("floor"))
-    keep_items = support.crossJoin(F.broadcast(floor)).filter(F.col("s") >= F.col("floor")).select("item")
+    floor = seed_counts.agg(F.coalesce(F.max("f"), F.lit(1))).scalar()
+    keep_items = support.filter(F.col("s") >= floor).select("item")
     bi2 = bi.join(keep_items, "item", "left_semi")
     x = bi2.select(F.col(basket), F.col("item").alias("x"))
     y = bi2.select(F.col(basket), F.col("item").alias("y"))
     pairs = (x.join(y, basket).filter(F.col("x") < F.col("y"))
               .groupBy("x", "y").agg(F.count(F.lit(1)).alias("ps"))
-              .crossJoin(F.broadcast(floor)).filter(F.col("ps") >= F.col("floor")).select("x", "y"))
+              .filter(F.col("ps") >= floor).select("x", "y"))
     t = _triples(bi2, basket)
     t = (t.join(pairs.select(F.col("x").alias("i1"), F.col("y").alias("i2")), ["i1", "i2"], "left_semi")
           .join(pairs.select(F.col("x").alias("i2"), F.col("y").alias("i3")), ["i2", "i3"], "left_semi")

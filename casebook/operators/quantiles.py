@@ -32,7 +32,7 @@ def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequenc
     qs = [i / buckets for i in range(1, buckets)]
     bounds = vals.select(F.col("v").cast("double").alias("d")).approxQuantile("d", qs, 1.0 / (4 * buckets))
     splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
-    stats = vals.agg(F.count(F.lit(1)).alias("n"))
+    n = vals.agg(F.count(F.lit(1))).scalar()
     # any monotone bucketing is exact here; the double cast only picks the bucket
     tagged = Bucketizer(splits=splits, inputCol="d", outputCol="b").transform(
         vals.withColumn("d", F.col("v").cast("double")))
@@ -45,9 +45,6 @@ def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequenc
                     .withColumn("cum", F.col("start") + F.sum("c").over(
                         W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, 0))))
     # target position per p: ceil(p * n); first value whose cumulative count reaches it
-    targets = stats.select(*[F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)).alias(f"k{i}")
-                             for i, p in enumerate(ps)])
-    j = cum.crossJoin(F.broadcast(targets))
-    aggs = [F.min(F.when(F.col("cum") >= F.col(f"k{i}"), F.col("v"))).alias(name)
-            for i, name in enumerate(names)]
-    return j.agg(*aggs)
+    aggs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * n), F.lit(1)), F.col("v"))).alias(name)
+            for p, name in zip(ps, names)]
+    return cum.agg(*aggs)

@@ -14,5 +14,4 @@ def reconcile_summary(left: DataFrame, right: DataFrame, key: str,
                       left_only: str = "left_only", right_only: str = "right_only") -> DataFrame:
     """Counts of distinct keys present on one side only (full-join summary)."""
     a = keys_missing(left, right, key).agg(F.count(F.lit(1)).alias(left_only))
-    b = keys_missing(right, left, key).agg(F.count(F.lit(1)).alias(right_only))
-    return a.crossJoin(b)
+    return a.withColumn(right_only, keys_missing(right, left, key).agg(F.count(F.lit(1))).scalar())

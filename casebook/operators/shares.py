@@ -1,9 +1,9 @@
 """Percent-of-total and percent-of-group without a single-task window.
 
 A window with no PARTITION BY moves every row to one task. The total is
-instead an aggregate (one row, so its size is bounded) joined to every row
-by a broadcast cross join; group totals are an aggregate joined back on the
-group key, which AQE can split when one key is hot.
+instead a scalar subquery (an aggregate evaluated once, its value used in
+the projection); group totals are an aggregate joined back on the group
+key, which AQE can split when one key is hot.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 def with_grand_total(df: DataFrame, value_col: str, out: str = "total") -> DataFrame:
     """Attach the grand total of ``value_col`` to every row."""
-    total = df.agg(F.sum(value_col).alias(out))
-    return df.crossJoin(F.broadcast(total))
+    return df.withColumn(out, df.agg(F.sum(value_col)).scalar())
 
 
 def with_total_share(df: DataFrame, value_col: str, out: str, scale: int = 2,

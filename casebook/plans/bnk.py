@@ -44,11 +44,9 @@ def nodes_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
 
 def closed_node_days(nodes: DataFrame) -> DataFrame:
     """Node rows that ended (end < the open-row sentinel = max end), with days."""
-    last = nodes.agg(F.max("end_date").alias("_max_end"))          # one row
-    return (nodes.crossJoin(F.broadcast(last))
-                 .filter(F.col("end_date") < F.col("_max_end"))
-                 .withColumn("days", F.datediff("end_date", "start_date"))
-                 .drop("_max_end"))
+    last = nodes.agg(F.max("end_date")).scalar()                   # scalar subquery
+    return (nodes.filter(F.col("end_date") < last)
+                 .withColumn("days", F.datediff("end_date", "start_date")))
 
 
 def mean_reallocation_days(nodes: DataFrame) -> DataFrame:
@@ -108,10 +106,10 @@ def balance_growth_share(tx: DataFrame) -> DataFrame:
     g = c.withColumn("prev", prev)
     grew = g.filter((F.col("prev") > 0)
                     & (F.col("closing_balance") > F.col("prev") * F.lit(GROWTH).cast("decimal(3,2)")))
-    n_grew = grew.agg(F.count_distinct("customer_id").alias("customers_with_growth"))
-    n_all = tx.agg(F.count_distinct("customer_id").alias("total_customers"))
-    return (n_grew.crossJoin(n_all)
-                  .withColumn("pct_customers",
+    n_all = tx.agg(F.count_distinct("customer_id")).scalar()
+    return (grew.agg(F.count_distinct("customer_id").alias("customers_with_growth"))
+                .withColumn("total_customers", n_all)
+                .withColumn("pct_customers",
                               F.round(F.lit(100.0) * F.col("customers_with_growth")
                                       / F.col("total_customers"), 2)))
 

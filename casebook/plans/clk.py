@@ -41,8 +41,8 @@ def checkout_without_purchase(ev: DataFrame) -> DataFrame:
     checkout = ev.filter((F.col("event_type") == VIEW) & (F.col("page_id") == 12)).select("visit_id").distinct()
     buyers = ev.filter(F.col("event_type") == PURCHASE).select("visit_id")
     c = checkout.join(buyers, "visit_id", "left_anti").agg(F.count(F.lit(1)).alias("visits"))
-    total = ev.agg(F.count_distinct("visit_id").alias("total_visits"))
-    return c.crossJoin(total).withColumn(
+    total = ev.agg(F.count_distinct("visit_id")).scalar()
+    return c.withColumn("total_visits", total).withColumn(
         "pct_of_visits", F.round(F.lit(100.0) * F.col("visits") / F.col("total_visits"), 2))
 
 

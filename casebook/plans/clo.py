@@ -115,11 +115,9 @@ def revenue_share(sales, products, parent, child) -> DataFrame:
 
 
 def penetration(sales, products) -> DataFrame:
-    total = sales.agg(F.count_distinct("txn_id").alias("_t"))
+    total = sales.agg(F.count_distinct("txn_id")).scalar()
     per = sales.groupBy("prod_id").agg(F.count_distinct("txn_id").alias("txns"))
-    return (per.crossJoin(F.broadcast(total))
-               .withColumn("penetration", F.round(F.lit(100.0) * F.col("txns") / F.col("_t"), 2))
-               .drop("_t")
+    return (per.withColumn("penetration", F.round(F.lit(100.0) * F.col("txns") / total, 2))
                .join(products.select(F.col("product_id").alias("prod_id"), "product_name"), "prod_id"))
 
 

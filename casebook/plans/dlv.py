@@ -216,76 +216,78 @@ def profit_total(co, ro):
 def menu_extension(names, recipes, toppings):
     """Append a pizza with every topping; its id follows the largest id."""
     new_id = names.agg((F.max("pizza_id") + 1).alias("pizza_id"))
-    all_tops = toppings.agg(F.array_join(F.array_sort(F.collect_list("topping_id")).cast("array<string>"), ", ")
-                            .alias("toppings"))
+    all_tops = toppings.agg(F.array_join(F.array_sort(F.collect_list("topping_id")).cast("array<string>"),
+                                         ", ")).scalar()          # the vocabulary is bounded
     names2 = names.unionByName(new_id.select("pizza_id", F.lit(NEW_PIZZA).alias("pizza_name")))
-    recipes2 = recipes.unionByName(new_id.crossJoin(all_tops))
+    recipes2 = recipes.unionByName(new_id.select("pizza_id", all_tops.alias("toppings")))
     return names2.join(recipes2, "pizza_id")
 
 
 # ---- ingredient work per order line (D17-D19) ----------------------------------
-def _lines(co, names):
-    """Distinct order lines (all columns) with their multiplicity: identical
-    lines have identical labels, so work per distinct line and keep ``n``."""
-    return (co.groupBy("order_id", "customer_id", "pizza_id", "exclusions", "extras", "order_time")
-              .agg(F.count(F.lit(1)).alias("n")).join(names, "pizza_id"))
+# A line's label depends only on its variant (pizza, exclusions, extras), so
+# labels are computed once per distinct variant, a table bounded by the menu
+# and the topping combinations, and joined back to the detail rows (AQE may
+# broadcast it; a hot variant only makes the probe side large, which is split).
+# Totals use the per-variant line count without expanding rows.
+VARIANT = ["pizza_id", "exclusions", "extras"]
 
 
-LINE_KEY = ["order_id", "customer_id", "pizza_id", "exclusions", "extras", "order_time"]
+def _join_variant(left, right, how="inner"):
+    # variant keys hold NULL arrays: match them null-safely
+    r = right.select(*[F.col(k).alias(f"_v_{k}") for k in VARIANT],
+                     *[c for c in right.columns if c not in VARIANT])
+    cond = [left[k].eqNullSafe(r[f"_v_{k}"]) for k in VARIANT]
+    return left.join(r, cond, how).drop(*[f"_v_{k}" for k in VARIANT])
 
 
-def _names_of(lines, col, toppings, out):
-    e = lines.select(*LINE_KEY, F.explode(col).alias("topping_id")).join(F.broadcast(toppings), "topping_id")
-    g = e.groupBy(*LINE_KEY).agg(F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias(out))
-    return g.select(*[F.col(k).alias(f"{out}_{k}") for k in LINE_KEY], out)
+def _variants(co, names):
+    return co.select(*VARIANT).distinct().join(names, "pizza_id")
 
 
-def _join_line(lines, named, out):
-    # line keys hold NULL arrays: match them null-safely
-    cond = [lines[k].eqNullSafe(named[f"{out}_{k}"]) for k in LINE_KEY]
-    return lines.join(named, cond, "left").drop(*[f"{out}_{k}" for k in LINE_KEY])
+def _names_of(variants, col, toppings, out):
+    e = variants.select(*VARIANT, F.explode(col).alias("topping_id")).join(F.broadcast(toppings), "topping_id")
+    return e.groupBy(*VARIANT).agg(F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias(out))
 
 
 def line_labels(co, names, toppings):
-    lines = _lines(co, names)
-    ex = _names_of(lines, "exclusions", toppings, "_ex")
-    xt = _names_of(lines, "extras", toppings, "_xt")
-    j = _join_line(_join_line(lines, ex, "_ex"), xt, "_xt")
+    v = _variants(co, names)
+    j = _join_variant(_join_variant(v, _names_of(v, "exclusions", toppings, "_ex"), "left"),
+                      _names_of(v, "extras", toppings, "_xt"), "left")
     label = F.concat(F.col("pizza_name"),
                      F.coalesce(F.concat(F.lit(" - Exclude "), F.col("_ex")), F.lit("")),
                      F.coalesce(F.concat(F.lit(" - Extra "), F.col("_xt")), F.lit("")))
-    out = j.select("order_id", "customer_id", "pizza_id", label.alias("order_item"), "n")
-    return out.withColumn("_r", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).drop("_r", "n")
-
-
-def _line_ingredients(co, names, recipes, toppings):
-    """(line, topping, count): recipe minus exclusions once, plus each extra."""
-    lines = _lines(co, names)
-    base = (lines.join(recipe_bridge(recipes, toppings).select("pizza_id", "topping_id"), "pizza_id")
-                 .filter(~F.coalesce(F.array_contains(F.col("exclusions"), F.col("topping_id")), F.lit(False)))
-                 .select(*LINE_KEY, "n", "topping_id"))
-    extra = lines.select(*LINE_KEY, "n", F.explode("extras").alias("topping_id"))
+    labels = j.select(*VARIANT, label.alias("order_item"))
+    return _join_variant(co.select("order_id", "customer_id", *VARIANT), labels).select(
+        "order_id", "customer_id", "pizza_id", "order_item")
+
+
+def _variant_ingredients(variants, recipes, toppings):
+    """(variant, topping, count): recipe minus exclusions once, plus each extra."""
+    extra_cols = [c for c in variants.columns if c not in VARIANT]
+    base = (variants.join(recipe_bridge(recipes, toppings).select("pizza_id", "topping_id"), "pizza_id")
+                    .filter(~F.coalesce(F.array_contains(F.col("exclusions"), F.col("topping_id")), F.lit(False)))
+                    .select(*VARIANT, *extra_cols, "topping_id"))
+    extra = variants.select(*VARIANT, *extra_cols, F.explode("extras").alias("topping_id"))
     u = base.unionByName(extra)
-    return (u.groupBy(*LINE_KEY, "n", "topping_id").agg(F.count(F.lit(1)).alias("k"))
+    return (u.groupBy(*VARIANT, *extra_cols, "topping_id").agg(F.count(F.lit(1)).alias("k"))
              .join(F.broadcast(toppings), "topping_id"))
 
 
 def ingredient_labels(co, names, recipes, toppings):
-    ing = _line_ingredients(co, names, recipes, toppings)
+    ing = _variant_ingredients(_variants(co, names), recipes, toppings)
     item = F.when(F.col("k") > 1, F.concat(F.col("k").cast("string"), F.lit("x"), F.col("topping_name"))) \
             .otherwise(F.col("topping_name"))
-    per = ing.groupBy(*LINE_KEY, "n").agg(
+    per = ing.groupBy(*VARIANT, "pizza_name").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("topping_name", item.alias("s")))),
                                  lambda x: x["s"]), ", ").alias("_ing"))
-    j = per.join(names, "pizza_id")
-    out = j.select("order_id", "customer_id", "pizza_id",
-                   F.concat(F.col("pizza_name"), F.lit(": "), F.col("_ing")).alias("ingredients"), "n")
-    return out.withColumn("_r", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).drop("_r", "n")
+    labels = per.select(*VARIANT, F.concat(F.col("pizza_name"), F.lit(": "), F.col("_ing")).alias("ingredients"))
+    return _join_variant(co.select("order_id", "customer_id", *VARIANT), labels).select(
+        "order_id", "customer_id", "pizza_id", "ingredients")
 
 
 def ingredient_totals(co, ro, names, recipes, toppings):
-    dl = _delivered_lines(co, ro)
-    ing = _line_ingredients(dl, names, recipes, toppings)
+    counted = _delivered_lines(co, ro).groupBy(*VARIANT).agg(F.count(F.lit(1)).alias("n"))
+    ing = _variant_ingredients(counted, recipes, toppings)
     return ing.groupBy("topping_name").agg(F.sum(F.col("k") * F.col("n")).cast("bigint").alias("times_used"))
 
 

@@ -69,12 +69,11 @@ _reg("op_P8_in_list",
 
 
 def status_share(sp, d):
-    """A scalar total in the projection (one-row aggregate, broadcast)."""
+    """A scalar subquery in the projection."""
     o = table(sp, d, "orders", "o_orderstatus")
     g = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
-    total = o.agg(F.count(F.lit(1)).alias("_t"))
-    return g.crossJoin(F.broadcast(total)).select(
-        "o_orderstatus", "orders", F.round(F.lit(100.0) * F.col("orders") / F.col("_t"), 2).alias("pct"))
+    total = o.agg(F.count(F.lit(1))).scalar()
+    return g.select("o_orderstatus", "orders", F.round(F.lit(100.0) * F.col("orders") / total, 2).alias("pct"))
 
 
 _reg("op_P16_scalar_subquery_share", status_share,

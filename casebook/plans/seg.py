@@ -66,8 +66,8 @@ def month_counts(m: DataFrame) -> DataFrame:
 def present_all_months(m: DataFrame, imap: DataFrame) -> DataFrame:
     """Relational division: interests whose month count equals all months."""
     mm = without_null_months(m)
-    total = mm.agg(F.count_distinct("month_year").alias("_all"))
-    c = month_counts(m).crossJoin(F.broadcast(total)).filter(F.col("mon_cnt") == F.col("_all"))
+    total = mm.agg(F.count_distinct("month_year")).scalar()
+    c = month_counts(m).filter(F.col("mon_cnt") == total)
     return c.join(imap, c.interest_id == imap.id).select("interest_id", "interest_name")
 
 
@@ -83,8 +83,8 @@ def cumulative_month_share(m: DataFrame, threshold: float = 90.0) -> DataFrame:
 def removal_volume(m: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
     few = month_counts(m).filter(F.col("mon_cnt") < min_months).select("interest_id")
     rows = without_null_months(m).join(few, "interest_id", "left_semi")
-    return few.agg(F.count(F.lit(1)).alias("interests_below")).crossJoin(
-        rows.agg(F.count(F.lit(1)).alias("rows_removed")))
+    return few.agg(F.count(F.lit(1)).alias("interests_below")).withColumn(
+        "rows_removed", rows.agg(F.count(F.lit(1))).scalar())
 
 
 def filtered_metrics(m: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:

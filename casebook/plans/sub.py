@@ -65,14 +65,14 @@ def plans_after(subs, plans, after: str = AFTER_DATE):
 
 
 def _total(subs):
-    return subs.agg(F.count_distinct("customer_id").alias("_total"))
+    """All customers, as a scalar subquery."""
+    return subs.agg(F.count_distinct("customer_id")).scalar()
 
 
 def churn_rate(subs):
     c = subs.filter(F.col("plan_id") == CHURN).agg(F.count_distinct("customer_id").alias("churned_customers"))
-    return c.crossJoin(_total(subs)).select(
-        "churned_customers", F.round(F.lit(100.0) * F.col("churned_customers") / F.col("_total"), 1)
-        .alias("churn_pct"))
+    return c.select("churned_customers",
+                    F.round(F.lit(100.0) * F.col("churned_customers") / _total(subs), 1).alias("churn_pct"))
 
 
 def _nth(subs):
@@ -84,8 +84,7 @@ def churn_after_trial(subs):
     first = n.filter((F.col("rn") == 1) & (F.col("plan_id") == TRIAL)).select("customer_id")
     second = n.filter((F.col("rn") == 2) & (F.col("plan_id") == CHURN)).select("customer_id")
     c = first.join(second, "customer_id").agg(F.count(F.lit(1)).alias("customers"))
-    return c.crossJoin(_total(subs)).select(
-        "customers", F.round(F.lit(100.0) * F.col("customers") / F.col("_total"), 0).alias("pct"))
+    return c.select("customers", F.round(F.lit(100.0) * F.col("customers") / _total(subs), 0).alias("pct"))
 
 
 def next_plan_after_trial(subs, plans):
@@ -94,9 +93,9 @@ def next_plan_after_trial(subs, plans):
     t = (n.filter(F.col("plan_id") == TRIAL).join(firsts, "customer_id", "left_semi")
           .filter(F.col("next_plan").isNotNull())
           .groupBy(F.col("next_plan").alias("plan_id")).agg(F.count(F.lit(1)).alias("customers")))
-    tot = t.agg(F.sum("customers").alias("_t"))
-    return (t.crossJoin(tot).withColumn("pct", F.round(F.lit(100.0) * F.col("customers") / F.col("_t"), 1))
-             .drop("_t").join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
+    tot = t.agg(F.sum("customers")).scalar()
+    return (t.withColumn("pct", F.round(F.lit(100.0) * F.col("customers") / tot, 1))
+             .join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
 
 
 def plan_mix_at(subs, plans, at: str = SNAPSHOT_DATE):
@@ -105,9 +104,9 @@ def plan_mix_at(subs, plans, at: str = SNAPSHOT_DATE):
     n = with_next(subs)
     cur = n.filter((F.col("start_date") <= d) & (F.col("next_date").isNull() | (F.col("next_date") > d)))
     g = cur.groupBy("plan_id").agg(F.count(F.lit(1)).alias("customers"))
-    tot = g.agg(F.sum("customers").alias("_t"))
-    return (g.crossJoin(tot).withColumn("pct", F.round(F.lit(100.0) * F.col("customers") / F.col("_t"), 1))
-             .drop("_t").join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
+    tot = g.agg(F.sum("customers")).scalar()
+    return (g.withColumn("pct", F.round(F.lit(100.0) * F.col("customers") / tot, 1))
+             .join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
 
 
 def plan_end_dates(subs):
