@@ -22,15 +22,28 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from casebook.sources.io import materialize
 
 
+TARGET_PER_BUCKET = 2_000_000    # values per bucket window (one task each)
+MAX_BUCKETS = 100_000
+
+
+def bucket_count(n_rows: int, minimum: int = 256) -> int:
+    """Buckets grow with the data so each bucket's window stays task-sized."""
+    return int(min(MAX_BUCKETS, max(minimum, -(-n_rows // TARGET_PER_BUCKET))))
+
+
 def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
-                    buckets: int = 256, stage: str | None = None) -> DataFrame:
+                    buckets: int | None = None, stage: str | None = None) -> DataFrame:
     """``stage`` names a table in the shared folder for the value column, so
-    the (possibly expensive) input plan runs once for the three passes."""
+    the (possibly expensive) input plan runs once for all passes. ``buckets``
+    defaults to one per ~2M values (at least 256)."""
     vals = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
     if stage:
         vals = materialize(vals, stage)
+    if buckets is None:
+        buckets = bucket_count(vals.count())
     qs = [i / buckets for i in range(1, buckets)]
-    bounds = vals.select(F.col("v").cast("double").alias("d")).approxQuantile("d", qs, 1.0 / (4 * buckets))
+    # boundaries only balance the buckets; their accuracy does not affect the result
+    bounds = vals.select(F.col("v").cast("double").alias("d")).approxQuantile("d", qs, 1.0 / buckets)
     splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
     n = vals.agg(F.count(F.lit(1))).scalar()
     # any monotone bucketing is exact here; the double cast only picks the bucket

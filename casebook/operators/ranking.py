@@ -27,6 +27,8 @@ def first_rows(df: DataFrame, by, order_col: str, desc: bool = False) -> DataFra
     """
     by = _cols(by)
     agg = F.max(order_col) if desc else F.min(order_col)
+    if not by:                                   # global: compare with a scalar subquery
+        return df.filter(F.col(order_col) == df.agg(agg).scalar())
     edge = df.groupBy(*by).agg(agg.alias(order_col))
     return df.join(edge, on=by + [order_col], how="left_semi").select(*df.columns)
 
