@@ -128,6 +128,14 @@ def running_balance_stats(tx: DataFrame) -> DataFrame:
         F.max("running_balance").alias("max_running_bal"))
 
 
+def running_balance_stats_global(tx: DataFrame) -> DataFrame:
+    """The same three statistics over all transactions (the written form)."""
+    return running_balance(tx).agg(
+        F.min("running_balance").alias("min_running_bal"),
+        exact_avg("running_balance").alias("avg_running_bal"),
+        F.max("running_balance").alias("max_running_bal"))
+
+
 def yearly_interest(tx: DataFrame, rate: str = INTEREST_RATE) -> DataFrame:
     y = (signed(tx).groupBy("customer_id", F.year("txn_date").alias("year"))
                    .agg(_money(F.sum("signed_amount")).alias("total_amt")))
@@ -234,3 +242,9 @@ _reg("K12_transaction_sequence", lambda sp, d: transaction_sequence(S.bnk_transa
      f"""SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
                                       ORDER BY txn_date, txn_type, txn_amount) AS seq
         FROM {TX}""", TX)
+_reg("K10b_running_balance_stats_global",
+     lambda sp, d: running_balance_stats_global(S.bnk_transactions(sp, d)),
+     f"""SELECT MIN(rb) AS min_running_bal, {avg_expr("rb", 2, "duck")} AS avg_running_bal,
+               MAX(rb) AS max_running_bal
+        FROM (SELECT CAST(SUM({SIGNED}) OVER (PARTITION BY customer_id ORDER BY txn_date)
+                          AS DECIMAL(38,2)) AS rb FROM {TX}) t""", TX)

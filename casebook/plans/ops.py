@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from casebook.operators.hierarchy import ancestors
+from casebook.operators.rowid import global_row_number
 from casebook.sources import subjects as S
 from casebook.sources.io import materialize
 from casebook.sources.tables import table
@@ -130,3 +131,6 @@ _reg("op_F20_floor_buckets",
      .agg(F.count(F.lit(1)).alias("lines")),
      "SELECT CAST(floor(l_extendedprice / 10000) * 10000 AS BIGINT) AS price_bucket, COUNT(*) AS lines "
      "FROM lineitem GROUP BY 1")
+_reg("op_W3_global_row_id",
+     lambda sp, d: global_row_number(table(sp, d, "orders", "o_orderkey", "o_custkey"), "o_orderkey"),
+     "SELECT o_orderkey, o_custkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS row_id FROM orders")
