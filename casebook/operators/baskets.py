@@ -4,25 +4,48 @@ Baskets are first reduced to distinct (basket, item) rows. A triple can be
 the most frequent one only if each of its items and pairs is in at least
 as many baskets as the best triple, so a lower bound ``floor`` on the best
 support (the best triple among the most frequent items) prunes items and
-pairs before any triple is formed. The search is exact: every triple whose
+pairs before triples are counted. The search is exact: every triple whose
 support reaches the floor is counted, and the best one reaches it.
-Joins are equi-joins on the basket id with an ordering residual (a < b < c).
+
+Combinations are generated inside each basket from its sorted item array
+(one grouping shuffle per level instead of self-joins). A basket's array
+holds distinct items only, so its size is bounded by the catalogue.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from casebook.operators.ranking import first_rows
 from casebook.sources.io import materialize
 
 
-def _triples(bi: DataFrame, basket: str) -> DataFrame:
-    a = bi.select(F.col(basket), F.col("item").alias("i1"))
-    b = bi.select(F.col(basket), F.col("item").alias("i2"))
-    c = bi.select(F.col(basket), F.col("item").alias("i3"))
-    return (a.join(b, basket).filter(F.col("i1") < F.col("i2"))
-             .join(c, basket).filter(F.col("i2") < F.col("i3")))
+def _upto(lo: Column, n: Column) -> Column:
+    """sequence(lo, n), or an empty array when lo > n (sequence would count down)."""
+    return F.when(lo <= n, F.sequence(lo, n)).otherwise(F.array().cast("array<int>"))
+
+
+def _pairs_of(items: Column) -> Column:
+    n = F.size(items)
+    return F.flatten(F.transform(_upto(F.lit(1), n), lambda i: F.transform(
+        _upto(i + 1, n), lambda j: F.struct(items[i - 1].alias("x"), items[j - 1].alias("y")))))
+
+
+def _triples_of(items: Column) -> Column:
+    n = F.size(items)
+    return F.flatten(F.transform(_upto(F.lit(1), n), lambda i: F.flatten(F.transform(
+        _upto(i + 1, n), lambda j: F.transform(
+            _upto(j + 1, n), lambda k: F.struct(items[i - 1].alias("i1"), items[j - 1].alias("i2"),
+                                                items[k - 1].alias("i3")))))))
+
+
+def _baskets(bi: DataFrame, basket: str) -> DataFrame:
+    return bi.groupBy(basket).agg(F.array_sort(F.collect_list("item")).alias("items"))
+
+
+def _count_triples(bi: DataFrame, basket: str) -> DataFrame:
+    t = _baskets(bi, basket).select(F.explode(_triples_of(F.col("items"))).alias("t")).select("t.*")
+    return t.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("f"))
 
 
 def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12,
@@ -36,17 +59,14 @@ def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12,
     support = bi.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
     # lower bound: best triple among the most frequent items
     seed = support.orderBy(F.desc("s"), "item").limit(seed_items).select("item")
-    seed_counts = (_triples(bi.join(F.broadcast(seed), "item", "left_semi"), basket)
-                   .groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("f")))
-    floor = seed_counts.agg(F.coalesce(F.max("f"), F.lit(1))).scalar()
-    keep_items = support.filter(F.col("s") >= floor).select("item")
-    bi2 = bi.join(keep_items, "item", "left_semi")
-    x = bi2.select(F.col(basket), F.col("item").alias("x"))
-    y = bi2.select(F.col(basket), F.col("item").alias("y"))
-    pairs = (x.join(y, basket).filter(F.col("x") < F.col("y"))
-              .groupBy("x", "y").agg(F.count(F.lit(1)).alias("ps"))
-              .filter(F.col("ps") >= floor).select("x", "y"))
-    t = _triples(bi2, basket)
+    floor = _count_triples(bi.join(F.broadcast(seed), "item", "left_semi"), basket) \
+        .agg(F.coalesce(F.max("f"), F.lit(1))).scalar()
+    kept = bi.join(support.filter(F.col("s") >= floor).select("item"), "item", "left_semi")
+    baskets = _baskets(kept, basket)
+    pairs = (baskets.select(F.explode(_pairs_of(F.col("items"))).alias("p")).select("p.*")
+                    .groupBy("x", "y").agg(F.count(F.lit(1)).alias("ps"))
+                    .filter(F.col("ps") >= floor).select("x", "y"))
+    t = baskets.select(F.explode(_triples_of(F.col("items"))).alias("t")).select("t.*")
     t = (t.join(pairs.select(F.col("x").alias("i1"), F.col("y").alias("i2")), ["i1", "i2"], "left_semi")
           .join(pairs.select(F.col("x").alias("i2"), F.col("y").alias("i3")), ["i2", "i3"], "left_semi")
           .join(pairs.select(F.col("x").alias("i1"), F.col("y").alias("i3")), ["i1", "i3"], "left_semi"))
