@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from casebook.functions import exact_avg
 from casebook.functions.numeric import avg_expr
 from casebook.operators import running_sum
-from casebook.operators.sequence import sequence_number
+from casebook.operators.rowid import row_number_by
 from casebook.sources import subjects as S
 from casebook.sources.subjects_sql import with_views
 
@@ -144,7 +144,10 @@ def yearly_interest(tx: DataFrame, rate: str = INTEREST_RATE) -> DataFrame:
 
 
 def transaction_sequence(tx: DataFrame) -> DataFrame:
-    return sequence_number(tx, "customer_id", "txn_date", ["txn_type", "txn_amount"], out="seq")
+    """Per-customer transaction order; a customer with a third of all rows is
+    spread over several sorted partitions (see ``row_number_by``)."""
+    return row_number_by(tx, "customer_id", ["txn_date", "txn_type", "txn_amount"], out="seq",
+                         stage="transaction_sequence")
 
 
 # ---- registry -----------------------------------------------------------------

@@ -52,3 +52,11 @@ def test_global_row_number_is_consecutive_in_order(skewed):
     got = global_row_number(skewed, ["d", "id"], stage="test_row_ids")
     want = skewed.withColumn("row_id", F.row_number().over(W.orderBy("d", "id")))
     assert rows(got, "id", "row_id") == rows(want, "id", "row_id")
+
+
+def test_row_number_by_equals_row_number(skewed):
+    from casebook.operators.rowid import row_number_by
+    w = W.partitionBy("c").orderBy("d", "t", "id")
+    want = skewed.withColumn("seq", F.row_number().over(w))
+    got = row_number_by(skewed.repartition(7), "c", ["d", "t", "id"], out="seq", stage="test_rn_by")
+    assert rows(got, "id", "seq") == rows(want, "id", "seq")
