@@ -12,7 +12,7 @@ from casebook.sources import subjects as S
 from casebook.sources.subjects_sql import VIEWS, with_views
 
 COST_PER_KM = "0.30"
-PRICE_EVEN, PRICE_ODD, EXTRA_CHARGE = 12, 10, 1     # two price tiers; $1 per extra
+PRICE_ODD, PRICE_EVEN, EXTRA_CHARGE = 12, 10, 1     # two price tiers by id parity; $1 per extra
 NEW_PIZZA = "Supreme"                                # the added menu item (all toppings)
 
 QUERIES: dict = {}
