@@ -11,7 +11,9 @@ def ancestors(edges: DataFrame, max_depth: int = 64, checkpoint_every: int = 8)
     """All (id, ancestor_id, depth) pairs of an ``(id, parent_id)`` table.
 
     The recursive-CTE pattern as a bounded loop: each step joins the newest
-    frontier to the edges; it stops when a step adds no row. The frontier's
+    frontier to the edges and keeps only (id, ancestor) pairs not found
+    before (UNION semantics), so it stops when a step adds nothing, also on
+    a cyclic hierarchy; each pair keeps its shortest depth. The frontier's
     lineage is cut with a reliable checkpoint (in the session's shared
     checkpoint folder) every ``checkpoint_every`` steps.
     """
@@ -20,8 +22,9 @@ def ancestors(edges: DataFrame, max_depth: int = 64, checkpoint_every: int = 8)
     out = frontier
     for step in range(2, max_depth + 1):
         nxt = (frontier.join(e.select(F.col("id").alias("ancestor_id"), "parent_id"), "ancestor_id")
-                       .select("id", F.col("parent_id").alias("ancestor_id"),
-                               F.lit(step).alias("depth")))
+                       .select("id", F.col("parent_id").alias("ancestor_id"), F.lit(step).alias("depth"))
+                       .dropDuplicates(["id", "ancestor_id"])
+                       .join(out.select("id", "ancestor_id"), ["id", "ancestor_id"], "left_anti"))
         if step % checkpoint_every == 0:
             checkpoint_dir(nxt.sparkSession)
             nxt = nxt.checkpoint()

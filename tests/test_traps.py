@@ -78,3 +78,14 @@ def test_payment_series_guard_and_month_step(spark):  # T4, T5
     assert c3 == [(D(2020, 5, 10), 2), (D(2020, 6, 10), 2), (D(2020, 7, 10), 3)]  # annual at period end
     # churn on Dec 5 stops payments after the Dec 1 one
     assert rows(p.filter("customer_id = 4"), "payment_date") == [(D(2020, 11, 1),), (D(2020, 12, 1),)]
+
+
+def test_ancestors_union_semantics_stop_on_cycle(spark):  # T21, U5
+    from casebook.operators.hierarchy import ancestors
+    edges = spark.createDataFrame([(1, None), (2, 1), (3, 2), (10, 12), (11, 10), (12, 11)],
+                                  "id int, parent_id int")
+    got = rows(ancestors(edges, max_depth=20), "id", "ancestor_id", "depth")
+    assert (3, 1, 2) in got and (3, 2, 1) in got and (2, 1, 1) in got
+    cyc = [g for g in got if g[0] >= 10]
+    assert sorted((a, b) for a, b, _ in cyc) == [(a, b) for a in (10, 11, 12) for b in (10, 11, 12)]
+    assert max(d for _, _, d in cyc) == 3
