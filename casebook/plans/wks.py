@@ -23,7 +23,8 @@ def clean_weekly_sales(raw: DataFrame) -> DataFrame:
     seg = F.when(F.col("segment") == "null", F.lit(UNKNOWN)).otherwise(F.col("segment"))
     return raw.select(
         wd.alias("week_date"),
-        F.ceil(F.dayofyear(wd) / 7).cast("int").alias("week_number"),
+        F.ceil(F.dayofyear(wd) / 7).cast("int").alias("week_number"),      # 7-day block from Jan 1
+        F.weekofyear(wd).alias("iso_week_number"),                           # ISO week (T17)
         F.month(wd).alias("month_number"),
         F.year(wd).alias("calendar_year"),
         "region", "platform", seg.alias("segment"),
@@ -102,6 +103,7 @@ def _cws(sp: SparkSession, d: str) -> DataFrame:
 VIEWS["clean_weekly_sales"] = f"""
 SELECT strptime(week_date, '%d/%m/%Y')::DATE AS week_date,
        CAST(ceil(dayofyear(strptime(week_date, '%d/%m/%Y')::DATE) / 7.0) AS INTEGER) AS week_number,
+       CAST(weekofyear(strptime(week_date, '%d/%m/%Y')::DATE) AS INTEGER) AS iso_week_number,
        CAST(month(strptime(week_date, '%d/%m/%Y')::DATE) AS INTEGER) AS month_number,
        CAST(year(strptime(week_date, '%d/%m/%Y')::DATE) AS INTEGER) AS calendar_year,
        region, platform, CASE WHEN segment = 'null' THEN '{UNKNOWN}' ELSE segment END AS segment,

@@ -25,3 +25,12 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose stored tables to ``spark.sql`` under their own names."""
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
+    """Read CSV / JSON / parquet files with a declared schema (S1 at scale).
+
+    A declared schema skips the inference pass over the files and fixes the
+    types the analyses expect; with CSV, pass e.g. ``header="true"``.
+    """
+    return spark.read.schema(schema).format(fmt).options(**options).load(path)

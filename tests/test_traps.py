@@ -89,3 +89,15 @@ def test_ancestors_union_semantics_stop_on_cycle(spark):  # T21, U5
     cyc = [g for g in got if g[0] >= 10]
     assert sorted((a, b) for a, b, _ in cyc) == [(a, b) for a in (10, 11, 12) for b in (10, 11, 12)]
     assert max(d for _, _, d in cyc) == 3
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_read_files_with_declared_schema(spark, tmp_path, fmt):  # S1
+    from casebook.sources.tables import read_files
+    schema = "customer_id string, order_date date, product_id int"
+    df = spark.createDataFrame([("A", D(2021, 1, 1), 1), ("B", D(2021, 1, 2), 2)], schema)
+    path = str(tmp_path / fmt)
+    opts = {"header": "true"} if fmt == "csv" else {}
+    df.write.format(fmt).options(**opts).save(path)
+    back = read_files(spark, path, schema, fmt, **opts)
+    assert back.schema == df.schema and rows(back) == rows(df)

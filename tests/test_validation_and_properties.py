@@ -46,3 +46,16 @@ def test_before_after_within_total(spark):
     ba = q["M9b_before_after_12_weeks"](spark, SMALL).first()
     total = q["M1_clean_weekly_sales"](spark, SMALL).agg(F.sum("sales")).first()[0]
     assert (ba["before_sales"] or Decimal(0)) + (ba["after_sales"] or Decimal(0)) <= total
+
+
+def test_report_for_one_month_equals_its_slice(spark):
+    from casebook.plans.report import monthly_report
+    from casebook.sources import subjects as S
+    sales, products = S.clo_sales(spark, SMALL), S.clo_products(spark, SMALL)
+    month = sales.agg(F.date_format(F.min("txn_date"), "yyyy-MM")).first()[0]
+    one = monthly_report(sales, products, month)
+    every = monthly_report(sales, products)
+    for section in ("high_level", "transactions", "top_products"):
+        a = one[section]
+        b = every[section].filter(F.date_format("month", "yyyy-MM") == month)
+        assert rows(a) == rows(b.select(*a.columns)) and a.count() > 0
