@@ -17,11 +17,28 @@ JOB_CONF = {
 }
 
 
+# Suggested settings for ~100 TB inputs on a large cluster (profile="cluster"):
+# scan splits and shuffle partitions sized so a task holds a few hundred MB,
+# AQE coalescing small partitions and splitting skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def build_session(master: str | None = None, app: str = "casebook",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session. ``master`` is only set for local runs."""
+                  extra: dict | None = None, profile: str | None = None) -> SparkSession:
+    """Create (or reuse) a session. ``master`` is only set for local runs;
+    ``profile="cluster"`` applies ``CLUSTER_CONF``."""
     b = SparkSession.builder.appName(app)
+    if profile == "cluster":
+        for k, v in CLUSTER_CONF.items():
+            b = b.config(k, v)
     if master:
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false")
