@@ -162,11 +162,11 @@ JOINED = """clo_sales s JOIN (SELECT product_id, product_name, category_name, se
 MEMB = "CASE WHEN member THEN 'member' ELSE 'non_member' END"
 
 _reg("L1_qty_per_product", lambda sp, d: qty_per_product(*_sp(sp, d)),
-     """SELECT prod_id, product_name, SUM(qty) AS total_qty
+     """SELECT prod_id, product_name, CAST(SUM(qty) AS BIGINT) AS total_qty
         FROM clo_sales s JOIN product_details p ON s.prod_id = p.product_id
         GROUP BY prod_id, product_name""")
 _reg("L1b_sales_totals", lambda sp, d: sales_totals(S.clo_sales(sp, d)),
-     f"""SELECT SUM(qty) AS total_qty, CAST(SUM({G}) AS DECIMAL(38,2)) AS total_revenue,
+     f"""SELECT CAST(SUM(qty) AS BIGINT) AS total_qty, CAST(SUM({G}) AS DECIMAL(38,2)) AS total_revenue,
                CAST(SUM({D}) AS DECIMAL(38,4)) AS total_discount FROM clo_sales""", "clo_sales")
 _reg("L2_transaction_stats", lambda sp, d: transaction_stats(S.clo_sales(sp, d)),
      f"""SELECT COUNT(*) AS unique_txn, {avg_expr('products', 2, 'duck')} AS avg_unique_products
@@ -192,7 +192,7 @@ _reg("L6_top_products_by_revenue", lambda sp, d: top_products_by_revenue(*_sp(sp
         GROUP BY prod_id, product_name ORDER BY revenue DESC, prod_id LIMIT 3""")
 for _by, _key in (("segment_name", "L7_sales_by_segment"), ("category_name", "L7b_sales_by_category")):
     _reg(_key, (lambda b: lambda sp, d: sales_by(*_sp(sp, d), b))(_by),
-         f"""SELECT {_by}, SUM(qty) AS total_quantity,
+         f"""SELECT {_by}, CAST(SUM(qty) AS BIGINT) AS total_quantity,
                    CAST(SUM({N}) AS DECIMAL(38,4)) AS total_revenue,
                    CAST(SUM({D}) AS DECIMAL(38,4)) AS total_discount
             FROM {JOINED} GROUP BY {_by}""")
@@ -200,7 +200,7 @@ for _by, _key in (("segment_name", "L8_best_product_by_segment"),
                   ("category_name", "L8b_best_product_by_category")):
     _reg(_key, (lambda b: lambda sp, d: best_product_by(*_sp(sp, d), b))(_by),
          f"""SELECT {_by}, product_name AS top_selling, sold_quant FROM (
-              SELECT {_by}, product_name, SUM(qty) AS sold_quant,
+              SELECT {_by}, product_name, CAST(SUM(qty) AS BIGINT) AS sold_quant,
                      ROW_NUMBER() OVER (PARTITION BY {_by}
                                         ORDER BY SUM(qty) DESC, product_name) AS rn
               FROM {JOINED} GROUP BY {_by}, product_name) t WHERE rn = 1""")

@@ -55,7 +55,7 @@ M = "CAST(date_trunc('month', txn_date) AS DATE)"
 V = "clo_sales product_details"
 QUERIES["L13_U1_report_high_level"] = lambda sp, d: _r(sp, d, "high_level")
 ORACLE["L13_U1_report_high_level"] = with_views(
-    f"""SELECT {M} AS month, SUM(qty) AS total_qty, CAST(SUM({G}) AS DECIMAL(38,2)) AS gross_revenue,
+    f"""SELECT {M} AS month, CAST(SUM(qty) AS BIGINT) AS total_qty, CAST(SUM({G}) AS DECIMAL(38,2)) AS gross_revenue,
                CAST(SUM({D}) AS DECIMAL(38,4)) AS total_discount FROM clo_sales GROUP BY 1""", V)
 QUERIES["L13b_U1_report_transactions"] = lambda sp, d: _r(sp, d, "transactions")
 ORACLE["L13b_U1_report_transactions"] = with_views(
