@@ -8,6 +8,7 @@ from casebook.functions.cleaning import null_text, number_in, to_int_array, to_t
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows
 from casebook.operators.validate import validate
+from casebook.sources.io import materialize
 from casebook.sources import subjects as S
 from casebook.sources.subjects_sql import VIEWS, with_views
 
@@ -170,9 +171,12 @@ def revenue(co, ro):
 
 
 def rating_candidates(co, ro) -> DataFrame:
+    return rating_candidates_from(runner_order(co, ro))
+
+
+def rating_candidates_from(ref: DataFrame) -> DataFrame:
     """Ratings to load: one per delivered order, plus two kinds of wrong rows
     (unknown customer; rating out of range) that repeat an order id."""
-    ref = runner_order(co, ro)
     good = ref.withColumn("rating", (F.col("order_id") % 5 + 1).cast("int"))
     bad_ref = (ref.filter(F.col("order_id") % 50 == 0)
                   .withColumn("customer_id", F.col("customer_id") + 1).withColumn("rating", F.lit(5)))
@@ -185,10 +189,15 @@ def runner_order(co, ro) -> DataFrame:
             .select("order_id", "runner_id", "customer_id").distinct())
 
 
-def validated_ratings(co, ro):
-    cands = rating_candidates(co, ro)
+def validated_ratings(co, ro, stage: str | None = "runner_order"):
+    """The reference table (one row per delivered order) is read by every
+    candidate branch and by the check; it is staged once in the shared folder."""
+    ref = runner_order(co, ro)
+    if stage:
+        ref = materialize(ref, stage)
+    cands = rating_candidates_from(ref)
     return validate(cands, {"rating_out_of_range": F.col("rating").between(1, 5)}, key="order_id",
-                    reference=runner_order(co, ro), ref_cols=["order_id", "runner_id", "customer_id"])
+                    reference=ref, ref_cols=["order_id", "runner_id", "customer_id"])
 
 
 def fact_sheet(co, ro):

@@ -8,6 +8,7 @@ from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows, top_n, top_per_group
 from casebook.operators.reconcile import keys_missing, reconcile_summary
 from casebook.sources import subjects as S
+from casebook.sources.io import materialize
 from casebook.sources.subjects_sql import VIEWS, with_views
 
 MIN_MONTHS = 6                   # interests seen in fewer months are removed
@@ -178,11 +179,13 @@ def rolling_leader(m, imap):
 
 # ---- registry -----------------------------------------------------------------
 def _m(sp, d):
-    return clean_metrics(S.seg_interest_metrics(sp, d))
+    """Cleaned monthly metrics (months x interests rows), staged once per run:
+    every analysis reads it several times, and rebuilding it rescans lineitem."""
+    return materialize(clean_metrics(S.seg_interest_metrics(sp, d)), "interest_metrics_clean")
 
 
 def _mi(sp, d):
-    return _m(sp, d), S.seg_interest_map(sp, d)
+    return _m(sp, d), materialize(S.seg_interest_map(sp, d), "interest_map")
 
 
 VIEWS["clean_metrics"] = """
