@@ -105,7 +105,7 @@ def signups_per_week(runners):
 
 
 def _orders(co):
-    return co.groupBy("order_id").agg(F.first("customer_id").alias("customer_id"),
+    return co.groupBy("order_id").agg(F.min("customer_id").alias("customer_id"),
                                       F.min("order_time").alias("order_time"),
                                       F.count(F.lit(1)).alias("items"))
 
