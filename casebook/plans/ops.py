@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from casebook.operators.hierarchy import ancestors
 from casebook.operators.rowid import global_row_number
 from casebook.sources import subjects as S
-from casebook.sources.io import materialize
+from casebook.sources.io import replace_table
 from casebook.sources.tables import table
 from casebook.sources.subjects_sql import with_views
 
@@ -31,10 +31,10 @@ def namespaced_scan(sp, d):
     return sp.table("global_temp.casebook_nation")
 
 
-def replace_table(sp, d):
+def replaced_weekly_sales(sp, d):
     """Create-or-replace a derived table in the shared folder; rerunnable."""
     ws = S.wks_weekly_sales(sp, d)
-    return materialize(ws, "weekly_sales")
+    return replace_table(ws, "weekly_sales")
 
 
 def hierarchy_paths(sp, d):
@@ -50,7 +50,7 @@ def _reg(name, fn, sql, views=()):
 _reg("op_S1_typed_scan", typed_scan, "SELECT * FROM orders")
 _reg("op_S2_full_scan", lambda sp, d: table(sp, d, "customer"), "SELECT * FROM customer")
 _reg("op_S3_namespaced_scan", namespaced_scan, "SELECT * FROM nation")
-_reg("op_S6_replace_table", replace_table, "SELECT * FROM weekly_sales", "weekly_sales")
+_reg("op_S6_replace_table", replaced_weekly_sales, "SELECT * FROM weekly_sales", "weekly_sales")
 _reg("op_P1_projection", lambda sp, d: table(sp, d, "customer", "c_custkey", "c_name"),
      "SELECT c_custkey, c_name FROM customer")
 _reg("op_P2_computed_alias",

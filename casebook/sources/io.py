@@ -1,14 +1,19 @@
-"""Materialised tables: overwrite-safe writes into the shared checkpoint folder.
-
-``materialize`` is CREATE TABLE AS / CREATE TEMP TABLE / DROP-and-create in
-one step: the DataFrame is written as parquet under the folder the cluster
-names in ``spark.checkpoint.dir`` (mode overwrite, so reruns replace it)
-and read back, which also cuts the lineage of long plans. ``append`` is
-INSERT INTO.
+"""Materialised tables in the shared checkpoint folder.
+
+``materialize`` is CREATE TABLE AS / CREATE TEMP TABLE in one step: the
+DataFrame is written as parquet under the folder the cluster names in
+``spark.checkpoint.dir`` and read back, which also cuts the lineage of long
+plans and lets several branches read one computed result. Every call writes
+its own folder (``<name>/<run id>``), so a DataFrame built earlier keeps
+reading its own files even if the same stage is built again; a failed write
+is simply retried into a new folder. ``replace_table`` is the
+DROP-and-create (overwrite) form for named tables, ``append`` is INSERT INTO.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from casebook.session import checkpoint_dir
@@ -23,11 +28,19 @@ def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    path = table_path(spark, name)
+    path = f"{table_path(spark, name)}/{uuid.uuid4().hex[:16]}"
     w.parquet(path)
     return spark.read.parquet(path)
 
 
+def replace_table(df: DataFrame, name: str) -> DataFrame:
+    """Idempotent DROP + CREATE of a named table (mode overwrite)."""
+    spark = df.sparkSession
+    path = table_path(spark, name) + "/current"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def append(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = table_path(spark, name)
