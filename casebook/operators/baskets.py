@@ -1,22 +1,25 @@
-"""Most frequent k-item combinations (k = 3) with support pruning.
-
-Baskets are first reduced to distinct (basket, item) rows. A triple can be
-the most frequent one only if each of its items and pairs is in at least
-as many baskets as the best triple, so a lower bound ``floor`` on the best
-support (the best triple among the most frequent items) prunes items and
-pairs before triples are counted. The search is exact: every triple whose
-support reaches the floor is counted, and the best one reaches it.
-
-Combinations are generated inside each basket from its sorted item array
-(one grouping shuffle per level instead of self-joins). A basket's array
-holds distinct items only, so its size is bounded by the catalogue.
+"""Most frequent 3-item combinations, exact, without enumerating inside huge baskets.
+
+1. Baskets are reduced to distinct (basket, item) rows (a hot basket's
+   repeated lines collapse).
+2. A lower bound ``floor`` on the best support comes from the triples among
+   the most frequent items (at most C(seed, 3) per basket). Items below the
+   floor cannot be in the best triple and are dropped.
+3. Baskets keeping at most ``max_items`` items are "small": their triples are
+   generated from the sorted item array (bounded per basket). Baskets above
+   that are "large": their triples are never listed. Instead each candidate
+   triple gets +1 for every large basket holding all three items, found by
+   membership joins on (basket, item).
+4. A triple that occurs only in large baskets has support <= k, the number of
+   large baskets. If the best candidate exceeds k, the result is exact as is.
+   Otherwise large baskets could decide the answer, and their triples are
+   generated too (the only case that lists a large basket's combinations).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casebook.operators.ranking import first_rows
 from casebook.sources.io import materialize
 
 
@@ -25,12 +28,6 @@ def _upto(lo: Column, n: Column) -> Column:
     return F.when(lo <= n, F.sequence(lo, n)).otherwise(F.array().cast("array<int>"))
 
 
-def _pairs_of(items: Column) -> Column:
-    n = F.size(items)
-    return F.flatten(F.transform(_upto(F.lit(1), n), lambda i: F.transform(
-        _upto(i + 1, n), lambda j: F.struct(items[i - 1].alias("x"), items[j - 1].alias("y")))))
-
-
 def _triples_of(items: Column) -> Column:
     n = F.size(items)
     return F.flatten(F.transform(_upto(F.lit(1), n), lambda i: F.flatten(F.transform(
@@ -39,38 +36,48 @@ def _triples_of(items: Column) -> Column:
                                                 items[k - 1].alias("i3")))))))
 
 
-def _baskets(bi: DataFrame, basket: str) -> DataFrame:
-    return bi.groupBy(basket).agg(F.array_sort(F.collect_list("item")).alias("items"))
+def _triple_counts(bi: DataFrame, basket: str, out: str = "f") -> DataFrame:
+    baskets = bi.groupBy(basket).agg(F.array_sort(F.collect_list("item")).alias("items"))
+    t = baskets.select(F.explode(_triples_of(F.col("items"))).alias("t")).select("t.*")
+    return t.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias(out))
 
 
-def _count_triples(bi: DataFrame, basket: str) -> DataFrame:
-    t = _baskets(bi, basket).select(F.explode(_triples_of(F.col("items"))).alias("t")).select("t.*")
-    return t.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("f"))
+def _containing(cands: DataFrame, members: DataFrame, basket: str) -> DataFrame:
+    """Per candidate triple, the number of (large) baskets holding all three items."""
+    m1 = members.select(basket, F.col("item").alias("i1"))
+    m2 = members.select(basket, F.col("item").alias("i2"))
+    m3 = members.select(basket, F.col("item").alias("i3"))
+    hits = (cands.join(m1, "i1").join(m2, [basket, "i2"], "left_semi").join(m3, [basket, "i3"], "left_semi"))
+    return hits.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("g"))
 
 
-def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12,
+def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12, max_items: int = 200,
                 names=("product_1", "product_2", "product_3"), count_name="buying_freq",
                 stage: str | None = None) -> DataFrame:
     """``stage`` names a table in the shared folder for the (basket, item)
-    pairs, which every pruning step reads again."""
+    pairs, which every step reads again."""
     bi = df.select(F.col(basket), F.col(item).alias("item")).distinct()
     if stage:
         bi = materialize(bi, stage)
+    spark = bi.sparkSession
     support = bi.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
-    # lower bound: best triple among the most frequent items
     seed = support.orderBy(F.desc("s"), "item").limit(seed_items).select("item")
-    floor = _count_triples(bi.join(F.broadcast(seed), "item", "left_semi"), basket) \
+    floor = _triple_counts(bi.join(F.broadcast(seed), "item", "left_semi"), basket) \
         .agg(F.coalesce(F.max("f"), F.lit(1))).scalar()
     kept = bi.join(support.filter(F.col("s") >= floor).select("item"), "item", "left_semi")
-    baskets = _baskets(kept, basket)
-    pairs = (baskets.select(F.explode(_pairs_of(F.col("items"))).alias("p")).select("p.*")
-                    .groupBy("x", "y").agg(F.count(F.lit(1)).alias("ps"))
-                    .filter(F.col("ps") >= floor).select("x", "y"))
-    t = baskets.select(F.explode(_triples_of(F.col("items"))).alias("t")).select("t.*")
-    t = (t.join(pairs.select(F.col("x").alias("i1"), F.col("y").alias("i2")), ["i1", "i2"], "left_semi")
-          .join(pairs.select(F.col("x").alias("i2"), F.col("y").alias("i3")), ["i2", "i3"], "left_semi")
-          .join(pairs.select(F.col("x").alias("i1"), F.col("y").alias("i3")), ["i1", "i3"], "left_semi"))
-    counts = t.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias(count_name))
-    best = first_rows(counts, [], count_name, desc=True)
-    return best.select(F.col("i1").alias(names[0]), F.col("i2").alias(names[1]),
-                       F.col("i3").alias(names[2]), count_name)
+    sizes = kept.groupBy(basket).agg(F.count(F.lit(1)).alias("m"))
+    large = sizes.filter(F.col("m") > max_items).select(basket)
+    small_bi = kept.join(large, basket, "left_anti")
+    large_bi = kept.join(large, basket, "left_semi")
+
+    small = _triple_counts(small_bi, basket)
+    cand = small.join(_containing(small.select("i1", "i2", "i3"), large_bi, basket), ["i1", "i2", "i3"], "left")
+    counts = cand.select("i1", "i2", "i3", (F.col("f") + F.coalesce(F.col("g"), F.lit(0))).alias(count_name))
+    # two numbers to the driver decide whether large baskets could hold a better or tied triple
+    k, best = spark.range(1).select(large.agg(F.count(F.lit(1))).scalar().alias("k"),
+                                    counts.agg(F.max(count_name)).scalar().alias("b")).first()
+    if best is None or best <= k:
+        counts = _triple_counts(kept, basket, count_name)                 # exact fallback
+    top = counts.filter(F.col(count_name) == counts.agg(F.max(count_name)).scalar())
+    return top.select(F.col("i1").alias(names[0]), F.col("i2").alias(names[1]),
+                      F.col("i3").alias(names[2]), count_name)

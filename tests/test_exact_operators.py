@@ -45,3 +45,22 @@ def test_top_triples_matches_brute_force(spark):
     want = sorted((a, b, d, n) for (a, b, d), n in c.items() if n == best)
     got = sorted(tuple(r) for r in top_triples(df, "txn", "item", seed_items=4).collect())
     assert got == want
+
+
+@pytest.mark.parametrize("max_items", [4, 8, 200])
+def test_top_triples_with_large_baskets(spark, max_items):
+    rnd = random.Random(11)
+    items = [f"i{k:02d}" for k in range(14)]
+    rows = []
+    for t in range(300):
+        size = rnd.choice([10, 12, 14]) if t < 3 else rnd.randint(1, 6)   # three very large baskets
+        rows += [(t, it) for it in rnd.sample(items, size)]
+    df = spark.createDataFrame(rows, "txn int, item string")
+    baskets = {}
+    for t, it in rows:
+        baskets.setdefault(t, set()).add(it)
+    c = Counter(tri for b in baskets.values() for tri in itertools.combinations(sorted(b), 3))
+    best = max(c.values())
+    want = sorted((a, b, d, n) for (a, b, d), n in c.items() if n == best)
+    got = sorted(tuple(r) for r in top_triples(df, "txn", "item", seed_items=4, max_items=max_items).collect())
+    assert got == want
