@@ -73,11 +73,13 @@ def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12, max
     small = _triple_counts(small_bi, basket)
     cand = small.join(_containing(small.select("i1", "i2", "i3"), large_bi, basket), ["i1", "i2", "i3"], "left")
     counts = cand.select("i1", "i2", "i3", (F.col("f") + F.coalesce(F.col("g"), F.lit(0))).alias(count_name))
+    counts = materialize(counts, "basket_triple_counts")                  # read twice below
     # two numbers to the driver decide whether large baskets could hold a better or tied triple
     k, best = spark.range(1).select(large.agg(F.count(F.lit(1))).scalar().alias("k"),
                                     counts.agg(F.max(count_name)).scalar().alias("b")).first()
-    if best is None or best <= k:
-        counts = _triple_counts(kept, basket, count_name)                 # exact fallback
-    top = counts.filter(F.col(count_name) == counts.agg(F.max(count_name)).scalar())
+    if best is None or best <= k:                                         # exact fallback
+        counts = materialize(_triple_counts(kept, basket, count_name), "basket_triple_counts")
+        best = counts.agg(F.max(count_name)).first()[0]
+    top = counts.filter(F.col(count_name) == F.lit(best))
     return top.select(F.col("i1").alias(names[0]), F.col("i2").alias(names[1]),
                       F.col("i3").alias(names[2]), count_name)
