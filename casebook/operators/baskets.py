@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.sources.io import materialize
 
 
@@ -62,7 +64,7 @@ def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12, max
     spark = bi.sparkSession
     support = bi.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
     seed = support.orderBy(F.desc("s"), "item").limit(seed_items).select("item")
-    floor = _triple_counts(bi.join(F.broadcast(seed), "item", "left_semi"), basket) \
+    floor = _triple_counts(bi.join(broadcast_if_small(seed), "item", "left_semi"), basket) \
         .agg(F.coalesce(F.max("f"), F.lit(1))).scalar()
     kept = bi.join(support.filter(F.col("s") >= floor).select("item"), "item", "left_semi")
     sizes = kept.groupBy(basket).agg(F.count(F.lit(1)).alias("m"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 VIEW, CART, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
 
 
@@ -22,7 +24,7 @@ def funnel(events: DataFrame, pages: DataFrame, by) -> DataFrame:
     """
     by = [by] if isinstance(by, str) else list(by)
     e = (events.join(last_event(events), "visit_id")
-               .join(F.broadcast(pages), "page_id")
+               .join(broadcast_if_small(pages), "page_id")
                .filter(F.col("product_category").isNotNull()))
     t, last = F.col("event_type"), F.col("last_event")
     one = F.lit(1).cast("bigint")

@@ -19,6 +19,8 @@ from typing import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.sources.io import materialize
 
 
@@ -54,7 +56,7 @@ def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequenc
     start = per_bucket.withColumn(
         "start", F.coalesce(F.sum("bc").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)),
                             F.lit(0))).drop("bc")
-    cum = (per_value.join(F.broadcast(start), "b")
+    cum = (per_value.join(broadcast_if_small(start), "b")
                     .withColumn("cum", F.col("start") + F.sum("c").over(
                         W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, 0))))
     # target position per p: ceil(p * n); first value whose cumulative count reaches it

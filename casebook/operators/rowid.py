@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.sources.io import materialize
 
 
@@ -28,7 +30,7 @@ def global_row_number(df: DataFrame, order_cols, out: str = "row_id",
     sizes = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.withColumn("_start", F.coalesce(
         F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return (s.join(F.broadcast(starts), "_part")             # one row per partition
+    return (s.join(broadcast_if_small(starts), "_part")             # one row per partition
              .withColumn(out, (F.col("_start") + F.col("_pos") + 1).cast("bigint"))
              .drop("_mid", "_part", "_pos", "_start"))
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 BASIC, PRO_MONTHLY, PRO_ANNUAL = 1, 2, 3
 
 
@@ -29,7 +31,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, cap: str) -> DataFrame:
                                          period_end).otherwise(F.col("start_date")))
     s = s.withColumn("end_date", F.lead("eff_start").over(w))
     paid = (s.filter(F.col("plan_id").isin(BASIC, PRO_MONTHLY, PRO_ANNUAL))
-             .join(F.broadcast(plans), "plan_id"))          # plan catalogue: a handful of rows
+             .join(broadcast_if_small(plans), "plan_id"))          # plan catalogue: a handful of rows
     capd = F.lit(cap).cast("date")
     step = F.when(F.col("plan_id") == PRO_ANNUAL, 12).otherwise(1)
     n = F.floor(((F.year(capd) - F.year("eff_start")) * 12 + F.month(capd) - F.month("eff_start")) / step)

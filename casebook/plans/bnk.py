@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.functions import exact_avg
 from casebook.functions.numeric import avg_expr
 from casebook.operators import running_sum
@@ -36,7 +38,7 @@ def unique_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def nodes_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
-    return (nodes.join(F.broadcast(regions), "region_id")   # 5 regions, fixed domain
+    return (nodes.join(broadcast_if_small(regions), "region_id")   # 5 regions, fixed domain
                  .groupBy("region_id", "region_name")
                  .agg(F.count("node_id").alias("node_rows"),
                       F.count_distinct("customer_id").alias("customers")))
@@ -59,7 +61,7 @@ def reallocation_percentiles(nodes: DataFrame, regions: DataFrame) -> DataFrame:
     p = F.percentile("days", F.array(F.lit(0.5), F.lit(0.8), F.lit(0.95)))
     r = (closed_node_days(nodes).groupBy("region_id")
          .agg(exact_avg("days").alias("avg_days"), p.alias("_p")))
-    return (r.join(F.broadcast(regions), "region_id")
+    return (r.join(broadcast_if_small(regions), "region_id")
              .select("region_id", "region_name",
                      "avg_days",
                      F.round(F.col("_p")[0], 2).alias("median_days"),

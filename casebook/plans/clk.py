@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows, top_n
 from casebook.operators.funnel import CART, CLICK, IMPRESSION, PURCHASE, VIEW, funnel, funnel_sql
@@ -26,7 +28,7 @@ def visits_per_month(ev: DataFrame) -> DataFrame:
 
 def events_per_type(ev: DataFrame, ident: DataFrame) -> DataFrame:
     return (ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
-              .join(F.broadcast(ident), "event_type").select("event_name", "events"))
+              .join(broadcast_if_small(ident), "event_type").select("event_name", "events"))
 
 
 def purchase_visit_share(ev: DataFrame) -> DataFrame:
@@ -48,12 +50,12 @@ def checkout_without_purchase(ev: DataFrame) -> DataFrame:
 
 def top_pages_by_views(ev: DataFrame, pages: DataFrame, n: int = 3) -> DataFrame:
     v = (ev.filter(F.col("event_type") == VIEW).groupBy("page_id").agg(F.count(F.lit(1)).alias("views"))
-           .join(F.broadcast(pages.select("page_id", "page_name")), "page_id"))
+           .join(broadcast_if_small(pages.select("page_id", "page_name")), "page_id"))
     return top_n(v, [F.desc("views"), F.asc("page_id")], n)
 
 
 def category_views_and_adds(ev: DataFrame, pages: DataFrame) -> DataFrame:
-    e = ev.join(F.broadcast(pages), "page_id").filter(F.col("product_category").isNotNull())
+    e = ev.join(broadcast_if_small(pages), "page_id").filter(F.col("product_category").isNotNull())
     t = F.col("event_type")
     return e.groupBy("product_category").agg(F.count_if(t == VIEW).alias("views"),
                                              F.count_if(t == CART).alias("cart_adds"))
@@ -62,7 +64,7 @@ def category_views_and_adds(ev: DataFrame, pages: DataFrame) -> DataFrame:
 def top_products_in_purchase_visits(ev: DataFrame, pages: DataFrame, n: int = 3) -> DataFrame:
     buyers = ev.filter(F.col("event_type") == PURCHASE).select("visit_id")
     adds = (ev.filter(F.col("event_type") == CART).join(buyers, "visit_id", "left_semi")
-              .join(F.broadcast(pages.select("page_id", "page_name")), "page_id")
+              .join(broadcast_if_small(pages.select("page_id", "page_name")), "page_id")
               .groupBy("page_name").agg(F.count(F.lit(1)).alias("cart_adds")))
     return top_n(adds, [F.desc("cart_adds"), F.asc("page_name")], n)
 
@@ -96,7 +98,7 @@ def conversion_rates(ev, pages) -> DataFrame:
 def visit_summary(ev: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row per visit; campaign by the visit start (broadcast range join on
     the few campaign periods); cart products in event order."""
-    e = ev.join(F.broadcast(pages.select("page_id", "page_name")), "page_id")
+    e = ev.join(broadcast_if_small(pages.select("page_id", "page_name")), "page_id")
     t = F.col("event_type")
     cnt = lambda code: F.sum(F.when(t == code, 1).otherwise(0)).cast("bigint")
     carts = F.array_sort(F.collect_list(F.when(t == CART, F.struct("event_time", "event_id", "page_name"))))
@@ -109,7 +111,7 @@ def visit_summary(ev: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Data
     v = v.withColumn("cart_products", F.when(F.size("_carts") > 0, F.array_join(
         F.transform("_carts", lambda x: x["page_name"]), ", "))).drop("_carts")
     c = campaigns
-    return (v.join(F.broadcast(c), (v.visit_start_time >= c.start_date) & (v.visit_start_time <= c.end_date),
+    return (v.join(broadcast_if_small(c), (v.visit_start_time >= c.start_date) & (v.visit_start_time <= c.end_date),
                    "left")
              .select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase",
                      "campaign_name", "impression", "click", "cart_products"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.functions.cleaning import null_text, number_in, to_int_array, to_timestamp_or_null
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows
@@ -44,7 +46,7 @@ def price_of(pizza_id) -> F.Column:
 # ---- metrics ------------------------------------------------------------------
 def recipe_bridge(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     b = recipes.select("pizza_id", F.explode(F.split("toppings", r",\s*").cast("array<int>")).alias("topping_id"))
-    return b.join(F.broadcast(toppings), "topping_id").select("pizza_id", "topping_id", "topping_name")
+    return b.join(broadcast_if_small(toppings), "topping_id").select("pizza_id", "topping_id", "topping_name")
 
 
 def order_counts(co: DataFrame) -> DataFrame:
@@ -159,7 +161,7 @@ def ingredient_lists(recipes, toppings, names):
 def _top_topping(co, col, toppings, name):
     e = co.select(F.explode(col).alias("topping_id"))
     c = e.groupBy("topping_id").agg(F.count(F.lit(1)).alias("times"))
-    return first_rows(c, [], "times", desc=True).join(F.broadcast(toppings), "topping_id") \
+    return first_rows(c, [], "times", desc=True).join(broadcast_if_small(toppings), "topping_id") \
         .select(F.col("topping_name").alias(name), "times")
 
 
@@ -254,7 +256,7 @@ def _variants(co, names):
 
 
 def _names_of(variants, col, toppings, out):
-    e = variants.select(*VARIANT, F.explode(col).alias("topping_id")).join(F.broadcast(toppings), "topping_id")
+    e = variants.select(*VARIANT, F.explode(col).alias("topping_id")).join(broadcast_if_small(toppings), "topping_id")
     return e.groupBy(*VARIANT).agg(F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias(out))
 
 
@@ -279,7 +281,7 @@ def _variant_ingredients(variants, recipes, toppings):
     extra = variants.select(*VARIANT, *extra_cols, F.explode("extras").alias("topping_id"))
     u = base.unionByName(extra)
     return (u.groupBy(*VARIANT, *extra_cols, "topping_id").agg(F.count(F.lit(1)).alias("k"))
-             .join(F.broadcast(toppings), "topping_id"))
+             .join(broadcast_if_small(toppings), "topping_id"))
 
 
 def ingredient_labels(co, names, recipes, toppings):

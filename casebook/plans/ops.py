@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.operators.hierarchy import ancestors
 from casebook.operators.rowid import global_row_number
 from casebook.sources import subjects as S
@@ -91,7 +93,7 @@ def nation_spend(sp, d):
     cust = spend.join(c, spend.o_custkey == c.c_custkey)
     return (cust.groupBy("c_nationkey").agg(F.sum("spend").cast("decimal(38,2)").alias("spend"),
                                             F.count(F.lit(1)).alias("customers"))
-                .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+                .join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"))
                 .select("n_name", "customers", "spend"))
 
 

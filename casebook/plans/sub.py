@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.operators.broadcast import broadcast_if_small
+
 from casebook.functions.numeric import avg_expr, exact_avg
 from casebook.operators import top_per_group
 from casebook.operators.schedule import payment_schedule, payment_schedule_sql
@@ -40,7 +42,7 @@ def with_next(subs: DataFrame) -> DataFrame:
 
 
 def journey(subs, plans):
-    return subs.join(F.broadcast(plans), "plan_id").select("customer_id", "plan_id", "plan_name", "price",
+    return subs.join(broadcast_if_small(plans), "plan_id").select("customer_id", "plan_id", "plan_name", "price",
                                                            "start_date")
 
 
@@ -61,7 +63,7 @@ def events_per_year(subs):
 def plans_after(subs, plans, after: str = AFTER_DATE):
     s = subs.filter(F.col("start_date") > F.lit(after).cast("date"))
     return (s.groupBy("plan_id").agg(F.count(F.lit(1)).alias("events"))
-             .join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
+             .join(broadcast_if_small(plans.select("plan_id", "plan_name")), "plan_id"))
 
 
 def _total(subs):
@@ -95,7 +97,7 @@ def next_plan_after_trial(subs, plans):
           .groupBy(F.col("next_plan").alias("plan_id")).agg(F.count(F.lit(1)).alias("customers")))
     tot = t.agg(F.sum("customers")).scalar()
     return (t.withColumn("pct", F.round(F.lit(100.0) * F.col("customers") / tot, 1))
-             .join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
+             .join(broadcast_if_small(plans.select("plan_id", "plan_name")), "plan_id"))
 
 
 def plan_mix_at(subs, plans, at: str = SNAPSHOT_DATE):
@@ -106,7 +108,7 @@ def plan_mix_at(subs, plans, at: str = SNAPSHOT_DATE):
     g = cur.groupBy("plan_id").agg(F.count(F.lit(1)).alias("customers"))
     tot = g.agg(F.sum("customers")).scalar()
     return (g.withColumn("pct", F.round(F.lit(100.0) * F.col("customers") / tot, 1))
-             .join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id"))
+             .join(broadcast_if_small(plans.select("plan_id", "plan_name")), "plan_id"))
 
 
 def plan_end_dates(subs):
@@ -182,7 +184,7 @@ def churn_by_previous_plan(subs):
 
 def paid_journey(subs, plans):
     n = with_next(subs.filter(F.col("plan_id") > TRIAL))
-    return n.join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id").select(
+    return n.join(broadcast_if_small(plans.select("plan_id", "plan_name")), "plan_id").select(
         "customer_id", "plan_id", "plan_name", "start_date", "next_plan")
 
 

@@ -8,7 +8,9 @@ columns and types the analyses use. The mapping from stored tables is fixed
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+
+from casebook.operators.broadcast import broadcast_if_small
 
 from casebook.sources.tables import table
 
@@ -22,6 +24,18 @@ def _d(c: str):
     return F.to_date(F.col(c))
 
 
+def literal_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """A small fixed table (code list) as an inline plan.
+
+    Unlike ``createDataFrame`` rows, an inline table carries a size estimate,
+    so the optimizer (and ``broadcast_if_small``) knows it is tiny.
+    """
+    schema = T._parse_datatype_string(ddl)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 # ---- retail loyalty (RET) ---------------------------------------------------
 def ret_sales(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem", "l_orderkey", "l_partkey")
@@ -57,7 +71,7 @@ def customer_region(spark: SparkSession, d: str) -> DataFrame:
     """customer -> region id; nation (25 rows by definition) is broadcast."""
     c = table(spark, d, "customer", "c_custkey", "c_nationkey")
     n = table(spark, d, "nation", "n_nationkey", "n_regionkey")
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey)
              .select(F.col("c_custkey").alias("customer_id"),
                      F.col("n_regionkey").alias("region_id")))
 
@@ -160,7 +174,7 @@ def wks_weekly_sales(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "region", "r_regionkey", "r_name")
     geo = n.join(r, n.n_regionkey == r.r_regionkey)            # 25 rows by definition
     j = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+          .join(broadcast_if_small(geo), F.col("c_nationkey") == F.col("n_nationkey")))
     week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
     g = j.groupBy(
         F.date_format(week, "d/M/yyyy").alias("week_date"),
@@ -202,7 +216,7 @@ def clk_users(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clk_event_identifier(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_NAMES, "event_type int, event_name string")
+    return literal_table(spark, EVENT_NAMES, "event_type int, event_name string")
 
 
 def clk_page_hierarchy(spark: SparkSession) -> DataFrame:
@@ -217,7 +231,7 @@ def clk_page_hierarchy(spark: SparkSession) -> DataFrame:
 
 
 def clk_campaigns(spark: SparkSession) -> DataFrame:
-    return (spark.createDataFrame(CAMPAIGNS, "campaign_name string, s string, e string")
+    return (literal_table(spark, CAMPAIGNS, "campaign_name string, s string, e string")
                  .select("campaign_name", F.to_timestamp_ntz("s").alias("start_date"),
                          F.to_timestamp_ntz("e").alias("end_date")))
 
@@ -273,7 +287,7 @@ PLAN_OF_EVENT = {"view": 0, "click": 1, "signup": 2, "purchase": 3, "error": 4}
 
 
 def sub_plans(spark: SparkSession) -> DataFrame:
-    return (spark.createDataFrame(PLANS, "plan_id int, plan_name string, p string")
+    return (literal_table(spark, PLANS, "plan_id int, plan_name string, p string")
                  .select("plan_id", "plan_name", F.col("p").cast("decimal(5,2)").alias("price")))
 
 
@@ -313,7 +327,7 @@ def dlv_pizza_names(spark: SparkSession, d: str) -> DataFrame:
 def dlv_recipes(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part", "p_partkey", "p_name")
     w = p.select("p_partkey", F.explode(F.split("p_name", " ")).alias("topping_name"))
-    j = w.join(F.broadcast(dlv_toppings(spark, d)), "topping_name")   # bounded vocabulary
+    j = w.join(broadcast_if_small(dlv_toppings(spark, d)), "topping_name")   # bounded vocabulary
     return (j.groupBy(F.col("p_partkey").alias("pizza_id"))
              .agg(F.array_join(F.array_sort(F.collect_list("topping_id")).cast("array<string>"), ", ")
                   .alias("toppings")))

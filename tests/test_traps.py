@@ -101,3 +101,16 @@ def test_read_files_with_declared_schema(spark, tmp_path, fmt):  # S1
     df.write.format(fmt).options(**opts).save(path)
     back = read_files(spark, path, schema, fmt, **opts)
     assert back.schema == df.schema and rows(back) == rows(df)
+
+
+def test_broadcast_only_when_estimate_is_small(spark):
+    from casebook.operators.broadcast import broadcast_if_small
+    from casebook.sources.subjects import literal_table
+    small = literal_table(spark, [(1, "a")], "k int, v string")
+    big = spark.range(0, 10_000_000).withColumnRenamed("id", "k")
+    j1 = big.join(broadcast_if_small(small), "k")
+    j2 = small.join(broadcast_if_small(big, max_bytes=1024), "k")
+    # rows from createDataFrame have no size estimate: never hinted
+    assert broadcast_if_small(spark.createDataFrame([(1,)], "k int")) is not None
+    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
