@@ -95,21 +95,34 @@ def conversion_rates(ev, pages) -> DataFrame:
     return f.agg(exact_avg("v2c").alias("avg_view_to_cart"), exact_avg("c2p").alias("avg_cart_to_purchase"))
 
 
+def cart_products(ev: DataFrame, pages: DataFrame) -> DataFrame:
+    """Cart-added product names per visit, comma separated in event order.
+
+    Two levels, so a visit with a huge number of cart adds is not gathered in
+    one task: names are joined per (visit, minute) in parallel, then each
+    visit joins its minute pieces (at most 1,440 per day) in order.
+    """
+    c = (ev.filter(F.col("event_type") == CART)
+           .join(broadcast_if_small(pages.select("page_id", "page_name")), "page_id"))
+    per_minute = c.groupBy("visit_id", F.date_trunc("minute", "event_time").alias("_m")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name"))),
+                                 lambda x: x["page_name"]), ", ").alias("_s"))
+    return per_minute.groupBy("visit_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_m", "_s"))), lambda x: x["_s"]), ", ")
+        .alias("cart_products"))
+
+
 def visit_summary(ev: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row per visit; campaign by the visit start (broadcast range join on
     the few campaign periods); cart products in event order."""
-    e = ev.join(broadcast_if_small(pages.select("page_id", "page_name")), "page_id")
     t = F.col("event_type")
     cnt = lambda code: F.sum(F.when(t == code, 1).otherwise(0)).cast("bigint")
-    carts = F.array_sort(F.collect_list(F.when(t == CART, F.struct("event_time", "event_id", "page_name"))))
-    v = e.groupBy("user_id", "visit_id").agg(
+    v = ev.groupBy("user_id", "visit_id").agg(
         F.min("event_time").alias("visit_start_time"),
         cnt(VIEW).alias("page_views"), cnt(CART).alias("cart_adds"),
         F.max(F.when(t == PURCHASE, 1).otherwise(0)).alias("purchase"),
-        cnt(IMPRESSION).alias("impression"), cnt(CLICK).alias("click"),
-        carts.alias("_carts"))
-    v = v.withColumn("cart_products", F.when(F.size("_carts") > 0, F.array_join(
-        F.transform("_carts", lambda x: x["page_name"]), ", "))).drop("_carts")
+        cnt(IMPRESSION).alias("impression"), cnt(CLICK).alias("click"))
+    v = v.join(cart_products(ev, pages), "visit_id", "left")
     c = campaigns
     return (v.join(broadcast_if_small(c), (v.visit_start_time >= c.start_date) & (v.visit_start_time <= c.end_date),
                    "left")
