@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.sources.io import materialize
 
 

@@ -20,7 +20,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.sources.io import materialize
 
 

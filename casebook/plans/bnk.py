@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.functions import exact_avg
 from casebook.functions.numeric import avg_expr
 from casebook.operators import running_sum

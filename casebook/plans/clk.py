@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows, top_n
 from casebook.operators.funnel import CART, CLICK, IMPRESSION, PURCHASE, VIEW, funnel, funnel_sql

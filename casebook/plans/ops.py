@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.operators.hierarchy import ancestors
 from casebook.operators.rowid import global_row_number
 from casebook.sources import subjects as S

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.functions.numeric import avg_expr, exact_avg
 from casebook.operators.schedule import payment_schedule, payment_schedule_sql
 from casebook.sources import subjects as S

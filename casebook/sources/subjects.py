@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from casebook.operators.broadcast import broadcast_if_small
-
 from casebook.sources.tables import table
 
 # ---- fixed values of the mapping -------------------------------------------
@@ -78,8 +77,7 @@ def customer_region(spark: SparkSession, d: str) -> DataFrame:
 
 def bnk_transactions(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    t = F.col("o_orderstatus")
-    ttype = F.when(t == "F", "deposit").when(t == "O", "purchase").when(t == "P", "withdrawal")
+    ttype = _mapped(F.col("o_orderstatus"), TXN_TYPES)
     return o.select(F.col("o_custkey").alias("customer_id"),
                     _d("o_orderdate").alias("txn_date"),
                     ttype.alias("txn_type"),
