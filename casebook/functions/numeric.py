@@ -35,10 +35,10 @@ def exact_avg(col: str, scale: int = 2) -> Column:
 
 
 def pct(num, den, scale: int = 2) -> Column:
-    """``round(100.0 * num / den, scale)`` as DOUBLE."""
+    """``round(100.0 * num / den, scale)`` as DOUBLE; NULL when ``den`` is 0."""
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
-    return F.round(F.lit(100.0) * num / den, scale)
+    return F.round(F.try_divide(F.lit(100.0) * num, den), scale)
 
 
 def ratio_expr(num: str, den: str, scale: int = 2, engine: str = "spark") -> str:

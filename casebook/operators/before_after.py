@@ -32,10 +32,10 @@ def before_after(df: DataFrame, date_col: str, pivot, weeks: int, measure: str,
     diff = F.col("after_sales") - F.col("before_sales")
     return agg.select(
         *by, "before_sales", "after_sales", diff.cast("decimal(38,2)").alias("difference"),
-        F.round(F.lit(100.0) * diff.cast("double") / F.col("before_sales").cast("double"), 2)
+        F.round(F.try_divide(F.lit(100.0) * diff.cast("double"), F.col("before_sales").cast("double")), 2)
          .alias("pct_change"),
-        F.round(F.lit(100.0) * diff.cast("double")
-                / (F.col("after_sales") + F.col("before_sales")).cast("double"), 2)
+        F.round(F.try_divide(F.lit(100.0) * diff.cast("double"),
+                             (F.col("after_sales") + F.col("before_sales")).cast("double")), 2)
          .alias("symmetric_rate"),
         change_label(diff).alias("change"))
 

@@ -68,8 +68,8 @@ def platform_transactions(cws: DataFrame) -> DataFrame:
 def _shares(cws, by, col, values, names):
     aggs = [F.sum(F.when(F.col(col) == v, F.col("sales"))).alias(n) for v, n in zip(values, names)]
     t = cws.groupBy(*by).agg(*aggs, F.sum("sales").alias("_total"))
-    return t.select(*by, *[F.round(F.lit(100.0) * F.col(n).cast("double")
-                                   / F.col("_total").cast("double"), 2).alias(n) for n in names])
+    return t.select(*by, *[F.round(F.try_divide(F.lit(100.0) * F.col(n).cast("double"),
+                                                F.col("_total").cast("double")), 2).alias(n) for n in names])
 
 
 def platform_share(cws):

@@ -77,3 +77,10 @@ def test_t25_size_of_null_guarded(spark):
 
 def test_t28_least_ignores_null(spark):
     assert one(spark, "least(DATE'2020-12-31', CAST(NULL AS DATE))") == D(2020, 12, 31)
+
+
+def test_zero_total_share_is_null_not_an_error(spark):
+    from casebook.operators import percent_of_group, with_total_share
+    df = spark.createDataFrame([("a", Decimal("0.00")), ("b", Decimal("0.00"))], "k string, v decimal(18,2)")
+    assert [r["s"] for r in with_total_share(df, "v", "s").collect()] == [None, None]
+    assert [r["s"] for r in percent_of_group(df, "k", "v", "s").collect()] == [None, None]
