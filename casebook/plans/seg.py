@@ -27,7 +27,7 @@ def clean_metrics(raw: DataFrame) -> DataFrame:
     """Retype text columns (S10/F17) and drop rows without a month."""
     return (raw.select(
         F.col("_month").try_cast("int").alias("_month"), F.col("_year").try_cast("int").alias("_year"),
-        F.to_date(F.concat(F.lit("01-"), F.col("month_year")), "dd-MM-yyyy").alias("month_year"),
+        F.try_to_date(F.concat(F.lit("01-"), F.col("month_year")), "dd-MM-yyyy").alias("month_year"),
         F.col("interest_id").try_cast("int").alias("interest_id"),
         "composition", "index_value", "ranking", "percentile_ranking"))
 

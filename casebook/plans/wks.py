@@ -19,7 +19,7 @@ ORACLE: dict = {}
 
 
 def clean_weekly_sales(raw: DataFrame) -> DataFrame:
-    wd = F.to_date("week_date", "d/M/yyyy")
+    wd = F.try_to_date(F.col("week_date"), "d/M/yyyy")          # malformed text -> NULL
     seg = F.when(F.col("segment") == "null", F.lit(UNKNOWN)).otherwise(F.col("segment"))
     return raw.select(
         wd.alias("week_date"),

@@ -84,3 +84,22 @@ def test_zero_total_share_is_null_not_an_error(spark):
     df = spark.createDataFrame([("a", Decimal("0.00")), ("b", Decimal("0.00"))], "k string, v decimal(18,2)")
     assert [r["s"] for r in with_total_share(df, "v", "s").collect()] == [None, None]
     assert [r["s"] for r in percent_of_group(df, "k", "v", "s").collect()] == [None, None]
+
+
+def test_cleaning_turns_bad_dates_into_null(spark):  # T18: no job failure on dirty text
+    from casebook.plans.seg import clean_metrics
+    from casebook.plans.wks import clean_weekly_sales
+    raw = spark.createDataFrame([("15/6/1998", "EUROPE", "Retail", "C1", "New", 3, Decimal("30.00")),
+                                 ("31/2/1998", "ASIA", "Shopify", "null", "Guest", 1, Decimal("5.00"))],
+                                "week_date string, region string, platform string, segment string, "
+                                "customer_type string, transactions long, sales decimal(38,2)")
+    got = {r.region: (r.week_date, r.segment, r.age_band, r.demographic) for r in clean_weekly_sales(raw).collect()}
+    assert got["EUROPE"] == (D(1998, 6, 15), "C1", "Young Adults", "Couples")
+    assert got["ASIA"] == (None, "unknown", "unknown", "unknown")
+    m = spark.createDataFrame([("7", "2018", "07-2018", "1", 1.0, 1.0, 1, 1.0),
+                               (None, None, None, "x", 1.0, 1.0, 1, 1.0),
+                               ("13", "2018", "13-2018", "2", 1.0, 1.0, 1, 1.0)],
+                              "_month string, _year string, month_year string, interest_id string, "
+                              "composition double, index_value double, ranking int, percentile_ranking double")
+    got = sorted((r.month_year is None, r.interest_id) for r in clean_metrics(m).collect())
+    assert got == [(False, 1), (True, 2), (True, None)]
