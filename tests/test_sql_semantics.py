@@ -101,5 +101,5 @@ def test_cleaning_turns_bad_dates_into_null(spark):  # T18: no job failure on di
                                ("13", "2018", "13-2018", "2", 1.0, 1.0, 1, 1.0)],
                               "_month string, _year string, month_year string, interest_id string, "
                               "composition double, index_value double, ranking int, percentile_ranking double")
-    got = sorted((r.month_year is None, r.interest_id) for r in clean_metrics(m).collect())
-    assert got == [(False, 1), (True, 2), (True, None)]
+    got = sorted(((r.month_year is None, r.interest_id) for r in clean_metrics(m).collect()), key=repr)
+    assert got == sorted([(False, 1), (True, 2), (True, None)], key=repr)
