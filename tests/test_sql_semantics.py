@@ -103,3 +103,16 @@ def test_cleaning_turns_bad_dates_into_null(spark):  # T18: no job failure on di
                               "composition double, index_value double, ranking int, percentile_ranking double")
     got = sorted(((r.month_year is None, r.interest_id) for r in clean_metrics(m).collect()), key=repr)
     assert got == sorted([(False, 1), (True, 2), (True, None)], key=repr)
+
+
+def test_exact_average_never_overflows_or_wraps(spark):
+    from decimal import ROUND_HALF_UP
+    from casebook.functions.numeric import avg_expr, ratio_expr
+    vals = ["1.01", "-3.3", "0.01", "99999999999999999.99", "12345678901234567.89"]
+    rows = ", ".join(f"(CAST({v} AS DECIMAL(38,2)))" for v in vals)
+    r = spark.sql(f"SELECT {avg_expr('x', 2)} AS a, {avg_expr('x', 4)} AS a4, {ratio_expr('SUM(x)', '7', 2)} AS r "
+                  f"FROM (VALUES {rows}) t(x)").first()
+    s = sum(Decimal(v) for v in vals)
+    assert r["a"] == (s / 5).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    assert r["a4"] == (s / 5).quantize(Decimal("0.0001"), ROUND_HALF_UP)
+    assert r["r"] == (s / 7).quantize(Decimal("0.01"), ROUND_HALF_UP)
