@@ -15,7 +15,7 @@ def null_text(c) -> Column:
 
 def to_int_array(c) -> Column:
     """'3, 12' -> [3, 12]; NULL/'' /'null' -> NULL (STRING_TO_ARRAY + ::INT[])."""
-    return F.split(null_text(c), r",\s*").cast("array<int>")
+    return F.split(null_text(c), r",\s*").try_cast("array<int>")
 
 
 def number_in(c, to: str = "decimal(6,2)") -> Column:

@@ -44,7 +44,7 @@ def price_of(pizza_id) -> F.Column:
 
 # ---- metrics ------------------------------------------------------------------
 def recipe_bridge(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    b = recipes.select("pizza_id", F.explode(F.split("toppings", r",\s*").cast("array<int>")).alias("topping_id"))
+    b = recipes.select("pizza_id", F.explode(F.split("toppings", r",\s*").try_cast("array<int>")).alias("topping_id"))
     return b.join(broadcast_if_small(toppings), "topping_id").select("pizza_id", "topping_id", "topping_name")
 
 
