@@ -34,6 +34,16 @@ def clean_runner_orders(raw: DataFrame) -> DataFrame:
                       null_text("cancellation").alias("cancellation"))
 
 
+def cleaning_rejects(ro_raw: DataFrame) -> DataFrame:
+    """Values that carried text but did not parse (T18): counted, not fatal."""
+    def bad(col, parsed):
+        return F.count_if(null_text(col).isNotNull() & parsed.isNull()).alias(f"{col}_rejects")
+    return ro_raw.agg(bad("pickup_time", to_timestamp_or_null("pickup_time")),
+                      bad("distance", number_in("distance", "decimal(6,2)")),
+                      bad("duration", number_in("duration", "int")),
+                      F.count(F.lit(1)).alias("rows"))
+
+
 def delivered(ro: DataFrame) -> DataFrame:
     return ro.filter(F.col("cancellation").isNull())
 
@@ -354,6 +364,17 @@ def _reg(name, fn, sql, views):
 
 _reg("D1_clean_customer_orders", _co, "SELECT * FROM customer_orders", CO)
 _reg("D1b_clean_runner_orders", _ro, "SELECT * FROM runner_orders", RO)
+_reg("D1c_cleaning_rejects", lambda sp, d: cleaning_rejects(S.dlv_runner_orders_raw(sp, d)),
+     """SELECT COUNT(*) FILTER (WHERE NULLIF(NULLIF(trim(pickup_time), ''), 'null') IS NOT NULL
+                                 AND TRY_CAST(pickup_time AS TIMESTAMP) IS NULL) AS pickup_time_rejects,
+               COUNT(*) FILTER (WHERE NULLIF(NULLIF(trim(distance), ''), 'null') IS NOT NULL AND
+                                 TRY_CAST(NULLIF(regexp_extract(distance, '[0-9]+(\\.[0-9]+)?', 0), '')
+                                          AS DECIMAL(6,2)) IS NULL) AS distance_rejects,
+               COUNT(*) FILTER (WHERE NULLIF(NULLIF(trim(duration), ''), 'null') IS NOT NULL AND
+                                 TRY_CAST(NULLIF(regexp_extract(duration, '[0-9]+', 0), '') AS INTEGER) IS NULL)
+                 AS duration_rejects,
+               COUNT(*) AS rows
+        FROM runner_orders_raw""", "runner_orders_raw")
 _reg("D2_recipe_bridge", lambda sp, d: recipe_bridge(S.dlv_recipes(sp, d), S.dlv_toppings(sp, d)),
      "SELECT pizza_id, topping_id, topping_name FROM bridge JOIN pizza_toppings USING (topping_id)", ING)
 _reg("D3_order_counts", lambda sp, d: order_counts(_co(sp, d)),

@@ -94,3 +94,15 @@ def test_labels(t):
     ing = rows(dlv.ingredient_labels(t["co"], t["names"], t["recipes"], t["toppings"]), "order_id", "ingredients")
     assert (10, "Meatlovers: 2xBacon, Beef, 2xCheese, Chicken, Pepperoni, Salami") in ing
     assert (3, "Vegetarian: Cheese, Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes") in ing and len(ing) == 14
+
+
+def test_cleaning_rejects_counted_not_fatal(spark):
+    raw = spark.createDataFrame([
+        (1, 1, "2020-01-01 18:15:34", "20km", "32 minutes", ""),
+        (6, 3, None, None, None, "Restaurant Cancellation"),
+        (9, 2, "null", "null", "null", "Customer Cancellation"),
+        (11, 2, "yesterday", "far", "soon", None)],
+        "order_id long, runner_id long, pickup_time string, distance string, duration string, cancellation string")
+    r = dlv.cleaning_rejects(raw).first()
+    assert (r.pickup_time_rejects, r.distance_rejects, r.duration_rejects, r.rows) == (1, 1, 1, 4)
+    assert dlv.clean_runner_orders(raw).filter("order_id = 11").first().distance is None
