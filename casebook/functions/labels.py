@@ -14,6 +14,15 @@ AGE_BANDS = {"1": "Young Adults", "2": "Middle Aged", "3": "Retirees", "4": "Ret
 DEMOGRAPHICS = {"C": "Couples", "F": "Families"}
 UNKNOWN = "unknown"
 
+# Weekday names in dayofweek order (1 = Sunday).
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
+def day_name(c) -> Column:
+    """Full weekday name of a date or timestamp, without a time-zone step."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.dayofweek(F.to_date(c)))
+
 
 def change_label(diff) -> Column:
     diff = F.col(diff) if isinstance(diff, str) else diff

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
 from casebook.functions.cleaning import null_text, number_in, to_int_array, to_timestamp_or_null
+from casebook.functions.dates import seconds_between
+from casebook.functions.labels import day_name
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows
 from casebook.operators.validate import validate
@@ -106,7 +108,7 @@ def volume_by_hour(co):
 
 
 def volume_by_weekday(co):
-    return co.groupBy(F.date_format("order_time", "EEEE").alias("weekday")).agg(F.count(F.lit(1)).alias("pizzas"))
+    return co.groupBy(day_name("order_time").alias("weekday")).agg(F.count(F.lit(1)).alias("pizzas"))
 
 
 def signups_per_week(runners):
@@ -122,7 +124,7 @@ def _orders(co):
 
 
 def _pickup_minutes():
-    return (F.timestamp_diff("SECOND", F.col("order_time"), F.col("pickup_time")) / 60).cast("bigint")
+    return (seconds_between("order_time", "pickup_time") / 60).cast("bigint")
 
 
 def pickup_delay_per_runner(co, ro):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casebook.functions.labels import (UNKNOWN, age_band, age_band_sql, demographic,
+from casebook.functions.labels import (UNKNOWN, age_band, age_band_sql, day_name, demographic,
                                        demographic_sql)
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import with_total_share
@@ -42,7 +42,7 @@ def profile(ws: DataFrame) -> DataFrame:
 
 
 def week_days(cws: DataFrame) -> DataFrame:
-    return cws.select("week_date", F.date_format("week_date", "EEEE").alias("day_of_week")).distinct()
+    return cws.select("week_date", day_name("week_date").alias("day_of_week")).distinct()
 
 
 def missing_weeks(cws: DataFrame) -> DataFrame:

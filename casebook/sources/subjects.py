@@ -175,7 +175,8 @@ def wks_weekly_sales(spark: SparkSession, d: str) -> DataFrame:
           .join(broadcast_if_small(geo), F.col("c_nationkey") == F.col("n_nationkey")))
     week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
     g = j.groupBy(
-        F.date_format(week, "d/M/yyyy").alias("week_date"),
+        F.concat_ws("/", F.dayofmonth(week).cast("string"), F.month(week).cast("string"),
+                    F.year(week).cast("string")).alias("week_date"),                  # d/M/yyyy
         F.col("r_name").alias("region"),
         F.when(F.col("o_orderstatus") == "P", "Shopify").otherwise("Retail").alias("platform"),
         _mapped(F.substring("o_orderpriority", 1, 1), SEGMENT_OF_PRIORITY).alias("segment"),
@@ -199,7 +200,8 @@ N_PAGES = 13          # 1 home, 2 all products, 3..11 products, 12 checkout, 13
 def clk_events(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
     code = _mapped(F.col("event_type"), {k: str(v) for k, v in EVENT_CODE.items()}).cast("int")
-    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    day = F.regexp_replace(F.to_date("ts").cast("string"), "-", "")      # yyyyMMdd, no time-zone step
+    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"), day)
     cookie = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.weekofyear("ts").cast("string"))
     ev = e.select(visit.alias("visit_id"), cookie.alias("cookie_id"), F.col("user_id"),
                   (F.col("event_id") % N_PAGES + 1).cast("int").alias("page_id"),
@@ -272,7 +274,8 @@ def seg_interest_metrics(spark: SparkSession, d: str) -> DataFrame:
     ids = seg_interest_map(spark, d).select(F.col("interest_name").alias("p_name"), "id")
     return c.join(ids, "p_name").select(
         F.month("m").cast("string").alias("_month"), F.year("m").cast("string").alias("_year"),
-        F.date_format("m", "MM-yyyy").alias("month_year"), F.col("id").cast("string").alias("interest_id"),
+        F.concat(F.lpad(F.month("m").cast("string"), 2, "0"), F.lit("-"), F.year("m").cast("string"))
+         .alias("month_year"), F.col("id").cast("string").alias("interest_id"),
         "composition", "index_value", "ranking", "percentile_ranking")
 
 
@@ -360,9 +363,9 @@ def dlv_runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
     cancelled = F.col("o_orderstatus") == "P"
     dist = ((k % 25) + 1).cast("string")
     mins = ((k % 30) + 10).cast("string")
-    pickup = F.date_format(F.expr("timestampadd(MINUTE, 10 + o_orderkey % 20, "
-                                  "timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate))"),
-                           "yyyy-MM-dd HH:mm:ss")
+    # TIMESTAMP_NTZ -> text without a time-zone step ('yyyy-MM-dd HH:mm:ss'; whole minutes)
+    pickup = F.expr("timestampadd(MINUTE, 10 + o_orderkey % 20, "
+                    "timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate))").cast("string")
     return j.select(
         F.col("o_orderkey").alias("order_id"), "runner_id",
         F.when(cancelled, F.lit("null")).otherwise(pickup).alias("pickup_time"),

@@ -56,3 +56,20 @@ def test_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, res.fetchall())
+
+
+@pytest.mark.parametrize("tz", ["America/Los_Angeles", "America/Sao_Paulo"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, tz):
+    names = ["D1b_clean_runner_orders", "D10_pickup_delay_per_runner", "D22_delivery_fact_sheet",
+             "C11_visit_summary", "M1_clean_weekly_sales", "M3_week_days", "D8b_volume_by_weekday",
+             "G1_clean_metrics", "B13_payment_schedule"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        for name in names:
+            df = E.queries()[name](spark, SMALL)
+            res = con.execute(E.oracle_sql()[name])
+            dcols = [d[0] for d in res.description]
+            assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, res.fetchall()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
