@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from casebook.plans import all_oracles, all_queries
 from casebook.sources.tables import TABLES
 from tests.conftest import SMALL
 
@@ -41,7 +42,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(all_queries()) - set(all_oracles()) == NO_ORACLE
+    assert set(all_queries()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -49,7 +51,7 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SMALL)
     res = con.execute(E.oracle_sql()[name])
