@@ -2,13 +2,53 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from casebook.llm.common import read_table
+from casebook.llm.line_dedup import dedup_lines
 from casebook.llm.near_dedup import near_duplicates
+from casebook.llm.quality import judged
 
 
 def op4_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), width=3, pct=85)
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dedup,)}
+def op5_quality_rules(spark, sf_dir):
+    return judged(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                  read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op8_line_dedup(spark, sf_dir):
+    out = dedup_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_quality_rules, op8_line_dedup)}
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op8_line_dedup"] = r"""
+WITH cut AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i FROM cut),
+keyed AS (
+  SELECT doc_id, i, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+shared AS (
+  SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (
+  SELECT k.doc_id, k.i, k.line, (s.key IS NULL OR s.owner = k.doc_id) AS stays
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS body FROM judged WHERE stays GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN stays THEN 0 ELSE 1 END) AS BIGINT) AS n_dropped
+  FROM judged GROUP BY doc_id)
+SELECT c.doc_id, c.n_lines, c.n_dropped, sha256(coalesce(k.body, '')) AS kept_sha256
+FROM counts c LEFT JOIN kept k ON c.doc_id = k.doc_id
+"""
