@@ -1,0 +1,11 @@
+"""Operators for large-scale training-data pipelines.
+
+Functions that run in tasks are shipped by value, so executors need no copy
+of this package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casebook.llm.common import read_table
+from casebook.llm.decontaminate import leaks
 from casebook.llm.line_dedup import dedup_lines
+from casebook.llm.mixing import mix_sources
 from casebook.llm.near_dedup import near_duplicates
 from casebook.llm.quality import judged
 
 
+def op2_decontaminate(spark, sf_dir):
+    return leaks(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), width=3, pct=85)
 
@@ -19,12 +25,17 @@ def op5_quality_rules(spark, sf_dir):
                   read_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op6_mix_sources(spark, sf_dir):
+    return mix_sources(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
 def op8_line_dedup(spark, sf_dir):
     out = dedup_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_quality_rules, op8_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op2_decontaminate, op4_near_dedup, op5_quality_rules, op6_mix_sources, op8_line_dedup)}
 
 ORACLE: dict[str, str] = {}
 

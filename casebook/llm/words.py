@@ -85,12 +85,12 @@ def prefix_hash(data: np.ndarray, fold: bool) -> np.ndarray:
     return p
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray):
-    """Start and end byte of every word, and the first word of each row (one more at the end)."""
+def spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray):
+    """Start and end of every run of bytes that are no breaks, and the first run of each row (one more at the end)."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+    word = ~breaks[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     starts = word.copy()
@@ -101,6 +101,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray):
+    return spans(data, offsets, _SPACE)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True):
     """Hash of every word and the first word of each row (one more at the end)."""
     starts, ends, rows = word_spans(data, offsets)
