@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casebook.llm.common import read_table
 from casebook.llm.decontaminate import leaks
+from casebook.llm.html_text import main_text
+from casebook.llm.licences import scan
 from casebook.llm.line_dedup import dedup_lines
 from casebook.llm.mixing import mix_sources
 from casebook.llm.near_dedup import near_duplicates
 from casebook.llm.quality import judged
+from casebook.llm.token_counts import token_counts
+from casebook.llm.warc import read_archives, write_archives
+from casebook.session import checkpoint_dir
+
+
+def op1_warc(spark, sf_dir):
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/llm/warc/{uuid.uuid4().hex}"
+    manifest = write_archives(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_decontaminate(spark, sf_dir):
     return leaks(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_token_counts(spark, sf_dir):
+    return token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), width=3, pct=85)
 
@@ -29,16 +46,36 @@ def op6_mix_sources(spark, sf_dir):
     return mix_sources(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op7_html_text(spark, sf_dir):
+    return main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op8_line_dedup(spark, sf_dir):
     out = dedup_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_licences(spark, sf_dir):
+    return scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_near_dedup, op5_quality_rules, op6_mix_sources, op8_line_dedup)}
+    op1_warc, op2_decontaminate, op3_token_counts, op4_near_dedup, op5_quality_rules, op6_mix_sources,
+    op7_html_text, op8_line_dedup, op10_licences)}
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op1_warc"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest AS d, max(page_id) AS target FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id < g.target THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id < g.target THEN g.target END AS refers_to
+FROM p LEFT JOIN g ON p.payload_bytes >= 1000 AND p.payload_digest = g.d
+"""
+
 ORACLE["op8_line_dedup"] = r"""
 WITH cut AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
