@@ -14,6 +14,7 @@ from casebook.llm.line_dedup import dedup_lines
 from casebook.llm.mixing import mix_sources
 from casebook.llm.near_dedup import near_duplicates
 from casebook.llm.quality import judged
+from casebook.llm.repeats import remove_repeats
 from casebook.llm.token_counts import token_counts
 from casebook.llm.warc import read_archives, write_archives
 from casebook.session import checkpoint_dir
@@ -55,13 +56,20 @@ def op8_line_dedup(spark, sf_dir):
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_repeated_bytes(spark, sf_dir):
+    out = remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_licences(spark, sf_dir):
     return scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_decontaminate, op3_token_counts, op4_near_dedup, op5_quality_rules, op6_mix_sources,
-    op7_html_text, op8_line_dedup, op10_licences)}
+    op7_html_text, op8_line_dedup, op9_repeated_bytes, op10_licences)}
 
 ORACLE: dict[str, str] = {}
 
