@@ -72,12 +72,13 @@ def record_bytes(page_id, url, payload: bytes, sha1_hex: str, refers) -> bytes:
 
 
 def sort_key(url) -> str:
-    """Index key: host parts reversed, then the path."""
+    """Index key without blanks: host parts reversed, then the path."""
     try:
         u = urlsplit(url or "")
-        return ",".join(reversed((u.hostname or "").split("."))) + ")" + (u.path or "/") + ("?" + u.query if u.query else "")
+        key = ",".join(reversed((u.hostname or "").split("."))) + ")" + (u.path or "/") + ("?" + u.query if u.query else "")
     except ValueError:
-        return url
+        key = url
+    return quote(key, safe="!#$%&'()*+,/:;=?@[]~")
 
 
 class _Package:
