@@ -20,3 +20,10 @@ def wall_seconds(c) -> Column:
 
 def seconds_between(start, end) -> Column:
     return wall_seconds(end) - wall_seconds(start)
+
+
+def time_of_day(c) -> Column:
+    """Clock part of a wall-clock timestamp as ``HH:mm:ss`` (``ts::TIME``)."""
+    c = F.col(c) if isinstance(c, str) else c
+    two = [F.lpad(x.cast("string"), 2, "0") for x in (F.hour(c), F.minute(c), F.floor(F.second(c)).cast("int"))]
+    return F.concat(two[0], F.lit(":"), two[1], F.lit(":"), two[2])

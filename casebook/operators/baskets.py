@@ -1,86 +1,46 @@
-"""Most frequent 3-item combinations, exact, without enumerating inside huge baskets.
-
-1. Baskets are reduced to distinct (basket, item) rows (a hot basket's
-   repeated lines collapse).
-2. A lower bound ``floor`` on the best support comes from the triples among
-   the most frequent items (at most C(seed, 3) per basket). Items below the
-   floor cannot be in the best triple and are dropped.
-3. Baskets keeping at most ``max_items`` items are "small": their triples are
-   generated from the sorted item array (bounded per basket). Baskets above
-   that are "large": their triples are never listed. Instead each candidate
-   triple gets +1 for every large basket holding all three items, found by
-   membership joins on (basket, item).
-4. A triple that occurs only in large baskets has support <= k, the number of
-   large baskets. If the best candidate exceeds k, the result is exact as is.
-   Otherwise large baskets could decide the answer, and their triples are
-   generated too (the only case that lists a large basket's combinations).
+"""Most frequent 3-item combinations, exact, for baskets of any size.
+
+1. Baskets are reduced to distinct (basket, item) rows.
+2. A lower bound ``floor`` on the best support: the best triple among the
+   ``seed_items`` most frequent items (at most C(seed_items, 3) per basket).
+3. Items, then pairs, below the floor cannot be in the best triple and go.
+   Pairs are rows (basket, i1, i2) of a join on the basket; a triple is two
+   frequent pairs that share basket and first item, if the third pair is
+   frequent too. No basket is ever expanded inside one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
 from casebook.sources.io import materialize
 
 
-def _upto(lo: Column, n: Column) -> Column:
-    """sequence(lo, n), or an empty array when lo > n (sequence would count down)."""
-    return F.when(lo <= n, F.sequence(lo, n)).otherwise(F.array().cast("array<int>"))
-
-
-def _triples_of(items: Column) -> Column:
-    n = F.size(items)
-    return F.flatten(F.transform(_upto(F.lit(1), n), lambda i: F.flatten(F.transform(
-        _upto(i + 1, n), lambda j: F.transform(
-            _upto(j + 1, n), lambda k: F.struct(items[i - 1].alias("i1"), items[j - 1].alias("i2"),
-                                                items[k - 1].alias("i3")))))))
+def _pairs(bi: DataFrame, basket: str) -> DataFrame:
+    a = bi.select(basket, F.col("item").alias("i1"))
+    b = bi.select(basket, F.col("item").alias("i2"))
+    return a.join(b, basket).where("i1 < i2")
 
 
-def _triple_counts(bi: DataFrame, basket: str, out: str = "f") -> DataFrame:
-    baskets = bi.groupBy(basket).agg(F.array_sort(F.collect_list("item")).alias("items"))
-    t = baskets.select(F.explode(_triples_of(F.col("items"))).alias("t")).select("t.*")
+def _triple_counts(pairs: DataFrame, basket: str, out: str) -> DataFrame:
+    second = pairs.select(basket, "i1", F.col("i2").alias("i3"))
+    third = pairs.select(basket, F.col("i1").alias("i2"), F.col("i2").alias("i3"))
+    t = pairs.join(second, [basket, "i1"]).where("i2 < i3").join(third, [basket, "i2", "i3"], "left_semi")
     return t.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias(out))
 
 
-def _containing(cands: DataFrame, members: DataFrame, basket: str) -> DataFrame:
-    """Per candidate triple, the number of (large) baskets holding all three items."""
-    m1 = members.select(basket, F.col("item").alias("i1"))
-    m2 = members.select(basket, F.col("item").alias("i2"))
-    m3 = members.select(basket, F.col("item").alias("i3"))
-    hits = (cands.join(m1, "i1").join(m2, [basket, "i2"], "left_semi").join(m3, [basket, "i3"], "left_semi"))
-    return hits.groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("g"))
-
-
-def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12, max_items: int = 200,
-                names=("product_1", "product_2", "product_3"), count_name="buying_freq",
-                stage: str | None = None) -> DataFrame:
-    """``stage`` names a table in the shared folder for the (basket, item)
-    pairs, which every step reads again."""
-    bi = df.select(F.col(basket), F.col(item).alias("item")).distinct()
-    if stage:
-        bi = materialize(bi, stage)
-    spark = bi.sparkSession
+def top_triples(df: DataFrame, basket: str, item: str, seed_items: int = 12,
+                names=("product_1", "product_2", "product_3"), count_name="buying_freq") -> DataFrame:
+    bi = materialize(df.select(F.col(basket), F.col(item).alias("item")).where(F.col(item).isNotNull()).distinct(), "basket_items")
     support = bi.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
     seed = support.orderBy(F.desc("s"), "item").limit(seed_items).select("item")
-    floor = _triple_counts(bi.join(broadcast_if_small(seed), "item", "left_semi"), basket) \
-        .agg(F.coalesce(F.max("f"), F.lit(1))).scalar()
-    kept = bi.join(support.filter(F.col("s") >= floor).select("item"), "item", "left_semi")
-    sizes = kept.groupBy(basket).agg(F.count(F.lit(1)).alias("m"))
-    large = sizes.filter(F.col("m") > max_items).select(basket)
-    small_bi = kept.join(large, basket, "left_anti")
-    large_bi = kept.join(large, basket, "left_semi")
-
-    small = _triple_counts(small_bi, basket)
-    cand = small.join(_containing(small.select("i1", "i2", "i3"), large_bi, basket), ["i1", "i2", "i3"], "left")
-    counts = cand.select("i1", "i2", "i3", (F.col("f") + F.coalesce(F.col("g"), F.lit(0))).alias(count_name))
-    counts = materialize(counts, "basket_triple_counts")                  # read twice below
-    # two numbers to the driver decide whether large baskets could hold a better or tied triple
-    k, best = spark.range(1).select(large.agg(F.count(F.lit(1))).scalar().alias("k"),
-                                    counts.agg(F.max(count_name)).scalar().alias("b")).first()
-    if best is None or best <= k:                                         # exact fallback
-        counts = materialize(_triple_counts(kept, basket, count_name), "basket_triple_counts")
-        best = counts.agg(F.max(count_name)).first()[0]
-    top = counts.filter(F.col(count_name) == F.lit(best))
-    return top.select(F.col("i1").alias(names[0]), F.col("i2").alias(names[1]),
-                      F.col("i3").alias(names[2]), count_name)
+    among = bi.join(broadcast_if_small(seed), "item", "left_semi")
+    floor = _triple_counts(_pairs(among, basket), basket, "f").agg(F.coalesce(F.max("f"), F.lit(1)).alias("floor"))
+    floor = materialize(floor, "basket_floor").scalar()
+    pairs = _pairs(bi.join(support.where(F.col("s") >= floor).select("item"), "item", "left_semi"), basket)
+    often = pairs.groupBy("i1", "i2").agg(F.count(F.lit(1)).alias("s")).where(F.col("s") >= floor).select("i1", "i2")
+    pairs = materialize(pairs.join(often, ["i1", "i2"], "left_semi"), "basket_pairs")
+    counts = materialize(_triple_counts(pairs, basket, count_name).where(F.col(count_name) >= floor), "basket_triples")
+    top = counts.where(F.col(count_name) == counts.agg(F.max(count_name)).scalar())
+    return top.select(F.col("i1").alias(names[0]), F.col("i2").alias(names[1]), F.col("i3").alias(names[2]), count_name)

@@ -1,35 +1,34 @@
-"""Parent-child hierarchies: fixed-depth flattening and iterative expansion."""
+"""Parent-child hierarchies: iterative expansion."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.session import checkpoint_dir
+from casebook.sources.io import materialize
 
 
-def ancestors(edges: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
-    """All (id, ancestor_id, depth) pairs of an ``(id, parent_id)`` table.
+def ancestors(edges: DataFrame) -> DataFrame:
+    """All (id, ancestor_id, depth) pairs of an ``(id, parent_id)`` table, with the shortest depth.
 
-    The recursive-CTE pattern as a bounded loop: each step joins the newest
-    frontier to the edges and keeps only (id, ancestor) pairs not found
-    before (UNION semantics), so it stops when a step adds nothing, also on
-    a cyclic hierarchy; each pair keeps its shortest depth. The frontier's
-    lineage is cut with a reliable checkpoint (in the session's shared
-    checkpoint folder) every ``checkpoint_every`` steps.
+    The recursive-CTE pattern (UNION semantics) by doubling: the pairs within
+    2**k steps joined with themselves give those within 2**(k+1), so a chain
+    of any length is whole after log2(length) rounds; there is no depth limit.
+    It stops when a round changes neither the number of pairs nor a depth,
+    also on a cyclic hierarchy. Every round is written to the shared folder,
+    so no round is worked out again.
     """
-    e = edges.filter(F.col("parent_id").isNotNull()).select("id", "parent_id")
-    frontier = e.select("id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth"))
-    out = frontier
-    for step in range(2, max_depth + 1):
-        nxt = (frontier.join(e.select(F.col("id").alias("ancestor_id"), "parent_id"), "ancestor_id")
-                       .select("id", F.col("parent_id").alias("ancestor_id"), F.lit(step).alias("depth"))
-                       .dropDuplicates(["id", "ancestor_id"])
-                       .join(out.select("id", "ancestor_id"), ["id", "ancestor_id"], "left_anti"))
-        if step % checkpoint_every == 0:
-            checkpoint_dir(nxt.sparkSession)
-            nxt = nxt.checkpoint()
-        if nxt.isEmpty():
-            break
-        out = out.unionByName(nxt)
-        frontier = nxt
-    return out
+    first = edges.filter(F.col("id").isNotNull() & F.col("parent_id").isNotNull())
+    reached = materialize(first.select("id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth")).distinct(),
+                          "ancestors")
+    size = reached.agg(F.count(F.lit(1)), F.sum("depth")).first()
+    while True:
+        on = reached.select(F.col("id").alias("ancestor_id"), F.col("ancestor_id").alias("next"),
+                            F.col("depth").alias("more"))
+        further = reached.join(on, "ancestor_id").select("id", F.col("next").alias("ancestor_id"),
+                                                         (F.col("depth") + F.col("more")).alias("depth"))
+        reached = materialize(reached.unionByName(further).groupBy("id", "ancestor_id")
+                              .agg(F.min("depth").alias("depth")), "ancestors")
+        now = reached.agg(F.count(F.lit(1)), F.sum("depth")).first()
+        if now == size:
+            return reached
+        size = now

@@ -1,64 +1,40 @@
 """Exact discrete percentiles without gathering all values in one task.
 
 ``percentile_disc(p)`` (SQL standard) is the first value whose cumulative
-share reaches p, i.e. the value at sorted position ceil(p * n). Spark's
-built-in aggregate keeps every distinct value of the whole column in one
-final buffer. Here the values are split into about ``buckets`` value ranges
-by approximate quantiles (at most ``buckets`` numbers reach the driver, and
-the bucket of a value is found by binary search in the JVM); bucket counts give
-each bucket's starting position (a window over <= buckets rows); inside
-each bucket the distinct values with their counts are accumulated by a
-window partitioned by bucket. Every step is an aggregate or a bounded
-window, and a hot value collapses into one (value, count) row.
+share reaches p, i.e. the value at sorted position ceil(p * n). Equal values
+collapse into (value, count) rows first, so a hot value is one row. These are
+sorted across the cluster (a range partitioning); one total per partition
+gives every partition's starting position (a window over as many rows as
+there are partitions); running counts are then needed only inside the
+partitions that hold a wanted position, one for each p.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
 from casebook.sources.io import materialize
 
 
-TARGET_PER_BUCKET = 2_000_000    # values per bucket window (one task each)
-MAX_BUCKETS = 100_000
-
-
-def bucket_count(n_rows: int, minimum: int = 256) -> int:
-    """Buckets grow with the data so each bucket's window stays task-sized."""
-    return int(min(MAX_BUCKETS, max(minimum, -(-n_rows // TARGET_PER_BUCKET))))
-
-
-def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
-                    buckets: int | None = None, stage: str | None = None) -> DataFrame:
-    """``stage`` names a table in the shared folder for the value column, so
-    the (possibly expensive) input plan runs once for all passes. ``buckets``
-    defaults to one per ~2M values (at least 256)."""
-    vals = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    if stage:
-        vals = materialize(vals, stage)
-    if buckets is None:
-        buckets = bucket_count(vals.count())
-    qs = [i / buckets for i in range(1, buckets)]
-    # boundaries only balance the buckets; their accuracy does not affect the result
-    bounds = vals.select(F.col("v").cast("double").alias("d")).approxQuantile("d", qs, 1.0 / buckets)
-    splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
-    n = vals.agg(F.count(F.lit(1))).scalar()
-    # any monotone bucketing is exact here; the double cast only picks the bucket
-    tagged = Bucketizer(splits=splits, inputCol="d", outputCol="b").transform(
-        vals.withColumn("d", F.col("v").cast("double")))
-    per_value = tagged.groupBy("b", "v").agg(F.count(F.lit(1)).alias("c"))
-    per_bucket = per_value.groupBy("b").agg(F.sum("c").alias("bc"))
-    start = per_bucket.withColumn(
-        "start", F.coalesce(F.sum("bc").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)),
-                            F.lit(0))).drop("bc")
-    cum = (per_value.join(broadcast_if_small(start), "b")
-                    .withColumn("cum", F.col("start") + F.sum("c").over(
-                        W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, 0))))
-    # target position per p: ceil(p * n); first value whose cumulative count reaches it
-    aggs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * n), F.lit(1)), F.col("v"))).alias(name)
-            for p, name in zip(ps, names)]
-    return cum.agg(*aggs)
+def percentile_disc(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """One row with a column per wanted percentile; NULLs do not count, all are NULL without values."""
+    values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
+    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    # the partition number is in the upper bits of the id
+    placed = counted.orderBy("v").withColumn("part", F.shiftright(F.monotonically_increasing_id(), 33))
+    placed = materialize(placed, "percentile_values")
+    totals = placed.groupBy("part").agg(F.sum("c").alias("t"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.withColumn("start", F.coalesce(F.sum("t").over(before), F.lit(0)))
+    n = placed.agg(F.sum("c")).scalar()
+    target = {name: F.greatest(F.ceil(F.lit(p) * n), F.lit(1)) for p, name in zip(ps, names)}
+    holds = F.lit(False)
+    for t in target.values():
+        holds = holds | ((F.col("start") < t) & (t <= F.col("start") + F.col("t")))
+    wanted = placed.join(broadcast_if_small(totals.where(holds).select("part", "start")), "part")
+    inside = W.partitionBy("part").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    wanted = wanted.withColumn("cum", F.col("start") + F.sum("c").over(inside))
+    return wanted.agg(*[F.min(F.when(F.col("cum") >= t, F.col("v"))).alias(name) for name, t in target.items()])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
 from casebook.functions.cleaning import null_text, number_in, to_int_array, to_timestamp_or_null
-from casebook.functions.dates import seconds_between
+from casebook.functions.dates import seconds_between, time_of_day
 from casebook.functions.labels import day_name
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows
@@ -123,19 +123,21 @@ def _orders(co):
                                       F.count(F.lit(1)).alias("items"))
 
 
-def _pickup_minutes():
-    return (seconds_between("order_time", "pickup_time") / 60).cast("bigint")
+def _pickups(co, ro):
+    """Delivered orders with the seconds from order to pickup."""
+    return delivered(ro).join(_orders(co), "order_id").withColumn("secs", seconds_between("order_time", "pickup_time"))
 
 
 def pickup_delay_per_runner(co, ro):
-    j = delivered(ro).join(_orders(co), "order_id").withColumn("mins", _pickup_minutes())
-    return j.groupBy("runner_id").agg(exact_avg("mins").alias("_m")).select(
+    """Mean over the ordered pizzas (an order counts once per pizza), rounded once, to whole minutes."""
+    mean = F.expr(ratio_expr("SUM(secs * items)", "SUM(items) * 60", 0))
+    return _pickups(co, ro).groupBy("runner_id").agg(mean.alias("_m")).select(
         "runner_id", F.concat(F.col("_m").cast("string"), F.lit(" minutes")).alias("avg_pickup"))
 
 
 def prep_time_by_size(co, ro):
-    j = delivered(ro).join(_orders(co), "order_id").withColumn("mins", _pickup_minutes())
-    return j.groupBy("items").agg(F.count(F.lit(1)).alias("orders"), exact_avg("mins").alias("avg_prep_minutes"))
+    return _pickups(co, ro).groupBy("items").agg(
+        F.count(F.lit(1)).alias("orders"), F.expr(ratio_expr("SUM(secs)", "COUNT(secs) * 60", 2)).alias("avg_prep_minutes"))
 
 
 def mean_distance_per_customer(co, ro):
@@ -215,9 +217,9 @@ def validated_ratings(co, ro, stage: str | None = "runner_order"):
 
 def fact_sheet(co, ro):
     valid, _ = validated_ratings(co, ro)
-    j = delivered(ro).join(_orders(co), "order_id").join(valid.select("order_id", "rating"), "order_id", "left")
-    return j.select("customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
-                    _pickup_minutes().alias("time_to_pickup"), "duration",
+    j = _pickups(co, ro).join(valid.select("order_id", "rating"), "order_id", "left")
+    return j.select("customer_id", "order_id", "runner_id", "rating", time_of_day("order_time").alias("order_time"),
+                    time_of_day("pickup_time").alias("pickup_time"), F.col("secs").alias("seconds_to_pickup"), "duration",
                     F.expr(ratio_expr("distance * 60", "duration")).alias("avg_speed"),
                     F.col("items").alias("total_pizzas"))
 
@@ -246,71 +248,77 @@ def menu_extension(names, recipes, toppings):
 
 
 # ---- ingredient work per order line (D17-D19) ----------------------------------
-# A line's label depends only on its variant (pizza, exclusions, extras), so
-# labels are computed once per distinct variant, a table bounded by the menu
-# and the topping combinations, and joined back to the detail rows (AQE may
-# broadcast it; a hot variant only makes the probe side large, which is split).
-# Totals use the per-variant line count without expanding rows.
-VARIANT = ["pizza_id", "exclusions", "extras"]
+# Toppings stay in the line's arrays; names come from one map of the topping
+# vocabulary, so a line is neither exploded nor joined to its toppings.
+MENU_WORDS = 100_000
 
 
-def _join_variant(left, right, how="inner"):
-    # variant keys hold NULL arrays: match them null-safely
-    r = right.select(*[F.col(k).alias(f"_v_{k}") for k in VARIANT],
-                     *[c for c in right.columns if c not in VARIANT])
-    cond = [left[k].eqNullSafe(r[f"_v_{k}"]) for k in VARIANT]
-    return left.join(r, cond, how).drop(*[f"_v_{k}" for k in VARIANT])
+def topping_map(toppings: DataFrame) -> F.Column:
+    """The vocabulary as one map id -> name; more than MENU_WORDS entries are refused (no menu)."""
+    if toppings.limit(MENU_WORDS + 1).count() > MENU_WORDS:
+        raise ValueError(f"more than {MENU_WORDS} toppings: not a menu, join them instead of one map")
+    return toppings.agg(F.map_from_entries(F.collect_list(F.struct("topping_id", "topping_name")))).scalar()
 
 
-def _variants(co, names):
-    return co.select(*VARIANT).distinct().join(names, "pizza_id")
+def _named(ids, names: F.Column) -> F.Column:
+    found = F.transform(F.array_distinct(ids), lambda x: F.try_element_at(names, x))
+    return F.array_sort(F.filter(found, lambda n: n.isNotNull()))
 
 
-def _names_of(variants, col, toppings, out):
-    e = variants.select(*VARIANT, F.explode(col).alias("topping_id")).join(broadcast_if_small(toppings), "topping_id")
-    return e.groupBy(*VARIANT).agg(F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias(out))
+def line_labels(co, names, toppings):
+    co = co.withColumn("_names", topping_map(toppings))
+    vocabulary = F.col("_names")
 
+    def part(word, ids):
+        found = _named(F.col(ids), vocabulary)
+        return F.when(F.size(found) > 0, F.concat(F.lit(f" - {word} "), F.array_join(found, ", "))).otherwise(F.lit(""))
+    label = F.concat(F.col("pizza_name"), part("Exclude", "exclusions"), part("Extra", "extras"))
+    return co.join(names, "pizza_id").select("order_id", "customer_id", "pizza_id", label.alias("order_item"))
 
-def line_labels(co, names, toppings):
-    v = _variants(co, names)
-    j = _join_variant(_join_variant(v, _names_of(v, "exclusions", toppings, "_ex"), "left"),
-                      _names_of(v, "extras", toppings, "_xt"), "left")
-    label = F.concat(F.col("pizza_name"),
-                     F.coalesce(F.concat(F.lit(" - Exclude "), F.col("_ex")), F.lit("")),
-                     F.coalesce(F.concat(F.lit(" - Extra "), F.col("_xt")), F.lit("")))
-    labels = j.select(*VARIANT, label.alias("order_item"))
-    return _join_variant(co.select("order_id", "customer_id", *VARIANT), labels).select(
-        "order_id", "customer_id", "pizza_id", "order_item")
-
-
-def _variant_ingredients(variants, recipes, toppings):
-    """(variant, topping, count): recipe minus exclusions once, plus each extra."""
-    extra_cols = [c for c in variants.columns if c not in VARIANT]
-    base = (variants.join(recipe_bridge(recipes, toppings).select("pizza_id", "topping_id"), "pizza_id")
-                    .filter(~F.coalesce(F.array_contains(F.col("exclusions"), F.col("topping_id")), F.lit(False)))
-                    .select(*VARIANT, *extra_cols, "topping_id"))
-    extra = variants.select(*VARIANT, *extra_cols, F.explode("extras").alias("topping_id"))
-    u = base.unionByName(extra)
-    return (u.groupBy(*VARIANT, *extra_cols, "topping_id").agg(F.count(F.lit(1)).alias("k"))
-             .join(broadcast_if_small(toppings), "topping_id"))
+
+def _recipe_arrays(recipes):
+    return recipes.select("pizza_id", F.split("toppings", r",\s*").try_cast("array<int>").alias("recipe"))
 
 
 def ingredient_labels(co, names, recipes, toppings):
-    ing = _variant_ingredients(_variants(co, names), recipes, toppings)
-    item = F.when(F.col("k") > 1, F.concat(F.col("k").cast("string"), F.lit("x"), F.col("topping_name"))) \
-            .otherwise(F.col("topping_name"))
-    per = ing.groupBy(*VARIANT, "pizza_name").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("topping_name", item.alias("s")))),
-                                 lambda x: x["s"]), ", ").alias("_ing"))
-    labels = per.select(*VARIANT, F.concat(F.col("pizza_name"), F.lit(": "), F.col("_ing")).alias("ingredients"))
-    return _join_variant(co.select("order_id", "customer_id", *VARIANT), labels).select(
-        "order_id", "customer_id", "pizza_id", "ingredients")
+    co = co.withColumn("_names", topping_map(toppings))
+    vocabulary = F.col("_names")
+    none = F.array().cast("array<int>")
+    j = co.join(names.join(_recipe_arrays(recipes), "pizza_id"), "pizza_id")
+    used = F.concat(F.array_except("recipe", F.coalesce("exclusions", none)), F.coalesce("extras", none))
+    j = j.withColumn("used", used)
+    count = F.transform(F.array_distinct("used"), lambda x: F.struct(
+        F.try_element_at(vocabulary, x).alias("name"), F.size(F.filter("used", lambda y: y == x)).alias("k")))
+    count = F.array_sort(F.filter(count, lambda c: c["name"].isNotNull()))
+    text = F.array_join(F.transform(count, lambda c: F.when(c["k"] > 1, F.concat(c["k"].cast("string"), F.lit("x"), c["name"]))
+                                    .otherwise(c["name"])), ", ")
+    j = j.select("order_id", "customer_id", "pizza_id", "pizza_name", text.alias("_ing")).where("_ing <> ''")
+    return j.select("order_id", "customer_id", "pizza_id", F.concat("pizza_name", F.lit(": "), "_ing").alias("ingredients"))
 
 
 def ingredient_totals(co, ro, names, recipes, toppings):
-    counted = _delivered_lines(co, ro).groupBy(*VARIANT).agg(F.count(F.lit(1)).alias("n"))
-    ing = _variant_ingredients(counted, recipes, toppings)
-    return ing.groupBy("topping_name").agg(F.sum(F.col("k") * F.col("n")).cast("bigint").alias("times_used"))
+    """Pizzas sold times their recipe, less the exclusions that are in it, plus the extras.
+
+    One pass over the lines counts (pizza, topping, kind); everything after that is menu-sized.
+    """
+    none = F.array().cast("array<struct<pizza_id: bigint, topping_id: int, kind: string>>")
+
+    def entries(ids, kind):
+        each = F.transform(F.array_distinct(ids) if kind == "less" else F.col(ids), lambda t: F.struct(
+            F.col("pizza_id").cast("bigint").alias("pizza_id"), t.alias("topping_id"), F.lit(kind).alias("kind")))
+        return F.coalesce(each, none)
+    sold = F.array(F.struct(F.col("pizza_id").cast("bigint").alias("pizza_id"), F.lit(None).cast("int").alias("topping_id"),
+                            F.lit("sold").alias("kind")))
+    parts = F.explode(F.concat(sold, entries("exclusions", "less"), entries("extras", "more")))
+    counts = (_delivered_lines(co, ro).select(parts.alias("p")).select("p.*")
+              .groupBy("pizza_id", "topping_id", "kind").agg(F.count(F.lit(1)).alias("n")))
+    menu = recipes.select("pizza_id", F.explode(F.split("toppings", r",\s*").try_cast("array<int>")).alias("in_recipe"))
+    base = counts.join(menu, "pizza_id").where("kind = 'sold' or (kind = 'less' and topping_id = in_recipe)").select(
+        F.col("in_recipe").alias("topping_id"), F.when(F.col("kind") == "sold", F.col("n")).otherwise(-F.col("n")).alias("n"))
+    extra = counts.where("kind = 'more'").select("topping_id", "n")
+    total = base.unionByName(extra).groupBy("topping_id").agg(F.sum("n").alias("times")).where("times > 0")
+    return (total.join(broadcast_if_small(toppings), "topping_id").groupBy("topping_name")
+                 .agg(F.sum("times").cast("bigint").alias("times_used")))
 
 
 # ---- registry -----------------------------------------------------------------
@@ -329,7 +337,7 @@ DEL = "(SELECT * FROM customer_orders WHERE order_id IN (SELECT order_id FROM ru
 PRICE = f"CASE WHEN pizza_id % 2 = 0 THEN {PRICE_EVEN} ELSE {PRICE_ODD} END"
 ORD = """(SELECT order_id, MIN(customer_id) AS customer_id, MIN(order_time) AS order_time, COUNT(*) AS items
           FROM customer_orders GROUP BY order_id)"""
-MINS = "CAST((epoch(pickup_time) - epoch(order_time)) / 60 AS BIGINT)"
+SECS = "CAST(epoch(pickup_time) - epoch(order_time) AS BIGINT)"
 VIEWS["runner_order"] = """
 SELECT DISTINCT r.order_id, r.runner_id, c.customer_id FROM runner_orders r
 JOIN customer_orders c USING (order_id) WHERE r.cancellation IS NULL"""
@@ -409,13 +417,14 @@ _reg("D9_signups_per_week", lambda sp, d: signups_per_week(S.dlv_runners(sp, d))
      """SELECT CAST(floor((registration_date - CAST(date_trunc('year', registration_date) AS DATE)) / 7) + 1
                     AS INTEGER) AS week_number, COUNT(*) AS runners FROM runners GROUP BY 1""", "runners")
 _reg("D10_pickup_delay_per_runner", lambda sp, d: pickup_delay_per_runner(_co(sp, d), _ro(sp, d)),
-     f"""SELECT runner_id, CAST({avg_expr('mins', 2, 'duck')} AS VARCHAR) || ' minutes' AS avg_pickup
-        FROM (SELECT r.runner_id, {MINS} AS mins FROM runner_orders r JOIN {ORD} o USING (order_id)
-              WHERE r.cancellation IS NULL) t GROUP BY runner_id""", BOTH)
+     """SELECT r.runner_id, CAST(CAST(round(sum(epoch(pickup_time) - epoch(order_time)) / 60.0 / count(*)) AS BIGINT)
+                                 AS VARCHAR) || ' minutes' AS avg_pickup
+        FROM runner_orders r JOIN customer_orders c USING (order_id)
+        WHERE r.cancellation IS NULL GROUP BY r.runner_id""", BOTH)
 _reg("D11_prep_time_by_size", lambda sp, d: prep_time_by_size(_co(sp, d), _ro(sp, d)),
-     f"""SELECT items, COUNT(*) AS orders, {avg_expr('mins', 2, 'duck')} AS avg_prep_minutes
-        FROM (SELECT o.items, {MINS} AS mins FROM runner_orders r JOIN {ORD} o USING (order_id)
-              WHERE r.cancellation IS NULL) t GROUP BY items""", BOTH)
+     f"""SELECT items, COUNT(*) AS orders,
+               CAST(round(CAST(sum({SECS}) AS DOUBLE) / (60 * count({SECS})), 2) AS DECIMAL(38,2)) AS avg_prep_minutes
+        FROM runner_orders r JOIN {ORD} o USING (order_id) WHERE r.cancellation IS NULL GROUP BY items""", BOTH)
 _reg("D12_mean_distance_per_customer", lambda sp, d: mean_distance_per_customer(_co(sp, d), _ro(sp, d)),
      f"""SELECT customer_id, {avg_expr('distance', 2, 'duck')} AS avg_distance
         FROM runner_orders r JOIN {ORD} o USING (order_id) WHERE r.cancellation IS NULL GROUP BY 1""", BOTH)
@@ -481,8 +490,8 @@ _reg("D21b_rejected_ratings", lambda sp, d: validated_ratings(_co(sp, d), _ro(sp
                array_to_string(list_sort(list_filter([r1, r2], lambda x: x IS NOT NULL)), ', ') AS reasons
         FROM rating_checked WHERE r1 IS NOT NULL OR r2 IS NOT NULL""", RT)
 _reg("D22_delivery_fact_sheet", lambda sp, d: fact_sheet(_co(sp, d), _ro(sp, d)),
-     f"""SELECT o.customer_id, r.order_id, r.runner_id, v.rating, o.order_time, r.pickup_time,
-               {MINS} AS time_to_pickup, r.duration,
+     f"""SELECT o.customer_id, r.order_id, r.runner_id, v.rating, strftime(o.order_time, '%H:%M:%S') AS order_time,
+               strftime(r.pickup_time, '%H:%M:%S') AS pickup_time, {SECS} AS seconds_to_pickup, r.duration,
                {ratio_expr('distance * 60', 'duration', 2, 'duck')} AS avg_speed, o.items AS total_pizzas
         FROM runner_orders r JOIN {ORD} o USING (order_id) LEFT JOIN rating_valid v USING (order_id)
         WHERE r.cancellation IS NULL""", RT)

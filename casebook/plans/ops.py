@@ -8,7 +8,7 @@ from casebook.operators.broadcast import broadcast_if_small
 from casebook.operators.hierarchy import ancestors
 from casebook.operators.rowid import global_row_number
 from casebook.sources import subjects as S
-from casebook.sources.io import replace_table
+from casebook.sources.io import append, replace_table
 from casebook.sources.tables import table
 from casebook.sources.subjects_sql import with_views
 
@@ -38,8 +38,16 @@ def replaced_weekly_sales(sp, d):
     return replace_table(ws, "weekly_sales")
 
 
+def appended_customers(sp, d):
+    """A table created from one part of the customers, the rest inserted into it."""
+    c = table(sp, d, "customer", "c_custkey", "c_name", "c_acctbal")
+    positive = F.col("c_acctbal") > 0
+    replace_table(c.where(positive), "customers_by_part")
+    return append(c.where(~F.coalesce(positive, F.lit(False))), "customers_by_part")
+
+
 def hierarchy_paths(sp, d):
-    """Recursive expansion of the product hierarchy (bounded loop)."""
+    """Recursive expansion of the product hierarchy."""
     return ancestors(S.clo_hierarchy(sp, d).select("id", "parent_id"))
 
 
@@ -52,6 +60,7 @@ _reg("op_S1_typed_scan", typed_scan, "SELECT * FROM orders")
 _reg("op_S2_full_scan", lambda sp, d: table(sp, d, "customer"), "SELECT * FROM customer")
 _reg("op_S3_namespaced_scan", namespaced_scan, "SELECT * FROM nation")
 _reg("op_S6_replace_table", replaced_weekly_sales, "SELECT * FROM weekly_sales", "weekly_sales")
+_reg("op_S7_append", appended_customers, "SELECT c_custkey, c_name, c_acctbal FROM customer")
 _reg("op_P1_projection", lambda sp, d: table(sp, d, "customer", "c_custkey", "c_name"),
      "SELECT c_custkey, c_name FROM customer")
 _reg("op_P2_computed_alias",

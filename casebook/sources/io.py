@@ -6,18 +6,28 @@ DataFrame is written as parquet under the folder the cluster names in
 plans and lets several branches read one computed result. Every call writes
 its own folder (``<name>/<run id>``), so a DataFrame built earlier keeps
 reading its own files even if the same stage is built again; a failed write
-is simply retried into a new folder. ``replace_table`` is the
-DROP-and-create (overwrite) form for named tables, ``append`` is INSERT INTO.
+is simply retried into a new folder. ``materialize_once`` builds a stage that
+several queries of a session share; ``drop_stages`` deletes what the session
+has staged.
+
+Named tables have versions: ``replace_table`` (DROP and CREATE) writes a new
+one and only a complete one counts, so readers of the former keep their
+files; ``append`` (INSERT INTO) adds to the current version; ``read_table``
+reads it.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from casebook.session import checkpoint_dir
 
+_staged: dict[str, list[str]] = {}                  # application id -> folders it has staged
+_shared: dict[tuple, DataFrame] = {}                # (application id, name, key) -> stage
+
 
 def table_path(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
@@ -29,20 +39,67 @@ def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     path = f"{table_path(spark, name)}/{uuid.uuid4().hex[:16]}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     w.parquet(path)
     return spark.read.parquet(path)
 
 
+def materialize_once(spark: SparkSession, name: str, key, build) -> DataFrame:
+    """The stage ``name`` for ``key`` (its inputs), built by ``build()`` on first use in this session."""
+    at = (spark.sparkContext.applicationId, name, key)
+    if at not in _shared:
+        _shared[at] = materialize(build(), name)
+    return _shared[at]
+
+
+def _file(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete every folder this session has staged; returns their number. Their DataFrames are void afterwards."""
+    app = spark.sparkContext.applicationId
+    paths = _staged.pop(app, [])
+    for k in [k for k in _shared if k[0] == app]:
+        del _shared[k]
+    for path in paths:
+        fs, p = _file(spark, path)
+        fs.delete(p, True)
+    return len(paths)
+
+
+def _current(spark, name: str) -> str | None:
+    """Folder of the latest complete version of a named table."""
+    fs, p = _file(spark, f"{table_path(spark, name)}/versions")
+    if not fs.exists(p):
+        return None
+    found = [s.getPath() for s in fs.listStatus(p)]
+    done = [x for x in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS"))]
+    return max((x.toString() for x in done), default=None)
+
+
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Idempotent DROP + CREATE of a named table (mode overwrite)."""
+    """Idempotent DROP + CREATE of a named table: a new version, current once it is complete."""
     spark = df.sparkSession
-    path = table_path(spark, name) + "/current"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{table_path(spark, name)}/versions/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(path)
     return spark.read.parquet(path)
 
 
 def append(df: DataFrame, name: str) -> DataFrame:
+    """INSERT INTO a named table (created if it does not exist); returns the whole table."""
     spark = df.sparkSession
-    path = table_path(spark, name)
+    path = _current(spark, name)
+    if path is None:
+        return replace_table(df, name)
     df.write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The current version of a named table."""
+    path = _current(spark, name)
+    if path is None:
+        raise ValueError(f"no table {name!r}")
+    return spark.read.parquet(path)

@@ -363,8 +363,8 @@ def dlv_runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
     cancelled = F.col("o_orderstatus") == "P"
     dist = ((k % 25) + 1).cast("string")
     mins = ((k % 30) + 10).cast("string")
-    # TIMESTAMP_NTZ -> text without a time-zone step ('yyyy-MM-dd HH:mm:ss'; whole minutes)
-    pickup = F.expr("timestampadd(MINUTE, 10 + o_orderkey % 20, "
+    # TIMESTAMP_NTZ -> text without a time-zone step ('yyyy-MM-dd HH:mm:ss')
+    pickup = F.expr("timestampadd(SECOND, (10 + o_orderkey % 20) * 60 + o_orderkey * 7 % 60, "
                     "timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate))").cast("string")
     return j.select(
         F.col("o_orderkey").alias("order_id"), "runner_id",

@@ -191,7 +191,8 @@ VIEWS["runner_orders_raw"] = """
 SELECT o.o_orderkey AS order_id, r.runner_id,
        CASE WHEN o.o_orderstatus = 'P' THEN 'null'
             ELSE strftime(o.o_orderdate + to_minutes(CAST((o.o_orderkey % 24) * 60 + o.o_orderkey % 60
-                                                           + 10 + o.o_orderkey % 20 AS BIGINT)),
+                                                           + 10 + o.o_orderkey % 20 AS BIGINT))
+                          + to_seconds(o.o_orderkey * 7 % 60),
                           '%Y-%m-%d %H:%M:%S') END AS pickup_time,
        CASE WHEN o.o_orderstatus = 'P' THEN 'null'
             WHEN o.o_orderkey % 4 = 0 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || 'km'

@@ -84,13 +84,35 @@ def test_ancestors_union_semantics_stop_on_cycle(spark):  # T21, U5
     from casebook.operators.hierarchy import ancestors
     edges = spark.createDataFrame([(1, None), (2, 1), (3, 2), (10, 12), (11, 10), (12, 11)],
                                   "id int, parent_id int")
-    got = rows(ancestors(edges, max_depth=20), "id", "ancestor_id", "depth")
+    got = rows(ancestors(edges), "id", "ancestor_id", "depth")
     assert (3, 1, 2) in got and (3, 2, 1) in got and (2, 1, 1) in got
     cyc = [g for g in got if g[0] >= 10]
     assert sorted((a, b) for a, b, _ in cyc) == [(a, b) for a in (10, 11, 12) for b in (10, 11, 12)]
     assert max(d for _, _, d in cyc) == 3
 
 
+def test_ancestors_of_a_long_chain(spark):  # U5: no depth limit
+    from casebook.operators.hierarchy import ancestors
+    edges = spark.createDataFrame([(i, i - 1 if i else None) for i in range(100)], "id int, parent_id int")
+    got = ancestors(edges)
+    assert got.count() == 4950 and got.where("depth <> id - ancestor_id").count() == 0
+
+
+def test_append_keeps_what_was_there(spark):  # S7
+    from casebook.sources.io import append, drop_stages, materialize, read_table, replace_table
+    one, two = spark.range(3), spark.range(10, 12)
+    first = replace_table(one, "append_test")
+    assert append(two, "append_test").count() == 5 and read_table(spark, "append_test").count() == 5
+    assert replace_table(two, "append_test").count() == 2 and read_table(spark, "append_test").count() == 2
+    assert first.count() == 3                                       # readers of the former version keep it
+    assert append(one, "append_test_new").count() == 3
+    staged = materialize(one, "drop_test")
+    path = staged.inputFiles()[0]
+    assert drop_stages(spark) >= 1
+    import os
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
 @pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
 def test_read_files_with_declared_schema(spark, tmp_path, fmt):  # S1
     from casebook.sources.tables import read_files
