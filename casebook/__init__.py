@@ -5,7 +5,6 @@ Layout:
   functions/  column-level helpers (cleaning, dates, arrays, labels)
   operators/  reusable DataFrame operators (ranking, shares, running sums, ...)
   plans/      the analyses per subject area, each a function of DataFrames
-  streaming/  incremental variants (see README)
 """
 
 __version__ = "0.1.0"

@@ -24,6 +24,16 @@ def day_name(c) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.dayofweek(F.to_date(c)))
 
 
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+               "November", "December"]
+
+
+def month_name(c) -> Column:
+    """Full month name of a date or timestamp, without a time-zone step."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.element_at(F.array(*[F.lit(n) for n in MONTH_NAMES]), F.month(F.to_date(c)))
+
+
 def change_label(diff) -> Column:
     diff = F.col(diff) if isinstance(diff, str) else diff
     return (F.when(diff > 0, GROWTH_LABEL).when(diff < 0, REDUCTION_LABEL)

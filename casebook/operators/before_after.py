@@ -24,7 +24,7 @@ def before_after(df: DataFrame, date_col: str, pivot, weeks: int, measure: str,
     p = pivot_per_row if pivot_per_row is not None else F.lit(pivot).cast("date")
     lo, hi = F.date_sub(p, 7 * weeks), F.date_add(p, 7 * weeks)
     upper = (d <= hi) if inclusive_after else (d < hi)
-    window = df.filter((d >= lo) & upper)               # range predicate, pushed when p is a literal
+    window = df.filter((d >= lo) & upper)               # reaches the scan if p is a literal and date_col a stored date
     m = F.col(measure)
     agg = window.groupBy(*by).agg(
         F.sum(F.when(d < p, m)).cast("decimal(38,2)").alias("before_sales"),

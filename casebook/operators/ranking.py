@@ -15,6 +15,8 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from casebook.sources.io import materialize
+
 
 def _cols(x) -> list:
     return [x] if isinstance(x, str) else list(x)
@@ -45,20 +47,34 @@ def dense_rank_by(df: DataFrame, by, order_col: str, out: str = "dense_rank",
 
 def rank_by(df: DataFrame, by, order_col: str, out: str = "rank",
             desc: bool = False) -> DataFrame:
-    """Add SQL ``rank()`` of ``order_col`` within ``by``.
+    """Add SQL ``rank()`` of ``order_col`` within ``by``, for groups and value sets of any size.
 
-    rank = 1 + number of rows with a strictly earlier value; computed from
-    per-(group, value) counts, a pre-aggregated and bounded table.
+    rank = 1 + number of rows with a strictly earlier value. Per-(group,
+    value) counts are sorted across the cluster, so a group may span many
+    partitions; a window over one total per (group, partition) gives each
+    piece's offset, a window inside the piece the rest.
     """
     by = _cols(by)
     o = F.col(order_col).desc() if desc else F.col(order_col).asc()
     counts = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias("_n"))
-    w = W.partitionBy(*by).orderBy(o).rowsBetween(W.unboundedPreceding, -1)
-    ranked = counts.withColumn(out, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("int")) \
-                   .drop("_n")
+    s = counts.orderBy(*by, o).withColumn("_part", F.shiftright(F.monotonically_increasing_id(), 33))
+    s = materialize(s, "rank_counts")
+    pieces = s.groupBy(*by, "_part").agg(F.sum("_n").alias("_t"))
+    before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+    inside = W.partitionBy(*by, "_part").orderBy(o).rowsBetween(W.unboundedPreceding, -1)
+    rank = F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1
+    ranked = s.join(pieces, [*by, "_part"]).withColumn(out, rank.cast("int")).drop("_n", "_part", "_off")
     return df.join(ranked, on=by + [order_col], how="left")
 
 
+def top_values(df: DataFrame, order_col: str, n: int, desc: bool = False) -> DataFrame:
+    """Rows whose ``order_col`` is among the n first distinct values (``dense_rank <= n`` without a global window)."""
+    o = F.col(order_col).desc() if desc else F.col(order_col).asc()
+    cut = df.where(F.col(order_col).isNotNull()).select(order_col).distinct().orderBy(o).limit(n)
+    return df.join(cut, order_col, "left_semi").select(*df.columns)
+
+
 def top_per_group(df: DataFrame, by, order: Sequence, n: int,
                   method: str = "dense_rank", out: str | None = None) -> DataFrame:
     """Rows ranked ``<= n`` within each group, ties kept for rank methods.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
+from casebook.operators.range_join import join_periods
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows, top_n
 from casebook.operators.funnel import CART, CLICK, IMPRESSION, PURCHASE, VIEW, funnel, funnel_sql
@@ -112,8 +113,8 @@ def cart_products(ev: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def visit_summary(ev: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """One row per visit; campaign by the visit start (broadcast range join on
-    the few campaign periods); cart products in event order."""
+    """One row per visit; campaign by the visit start (range join by
+    day); cart products in event order."""
     t = F.col("event_type")
     cnt = lambda code: F.sum(F.when(t == code, 1).otherwise(0)).cast("bigint")
     v = ev.groupBy("user_id", "visit_id").agg(
@@ -122,9 +123,7 @@ def visit_summary(ev: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Data
         F.max(F.when(t == PURCHASE, 1).otherwise(0)).alias("purchase"),
         cnt(IMPRESSION).alias("impression"), cnt(CLICK).alias("click"))
     v = v.join(cart_products(ev, pages), "visit_id", "left")
-    c = campaigns
-    return (v.join(broadcast_if_small(c), (v.visit_start_time >= c.start_date) & (v.visit_start_time <= c.end_date),
-                   "left")
+    return (join_periods(v, "visit_start_time", campaigns, "start_date", "end_date")
              .select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase",
                      "campaign_name", "impression", "click", "cart_products"))
 

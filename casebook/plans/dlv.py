@@ -117,6 +117,11 @@ def signups_per_week(runners):
     return runners.groupBy(wk.alias("week_number")).agg(F.count(F.lit(1)).alias("runners"))
 
 
+def signups_per_iso_week(runners):
+    """EXTRACT(WEEK): the ISO week, in which the first days of a year may belong to the last one's."""
+    return runners.groupBy(F.weekofyear("registration_date").alias("week")).agg(F.count(F.lit(1)).alias("runners_per_week"))
+
+
 def _orders(co):
     return co.groupBy("order_id").agg(F.min("customer_id").alias("customer_id"),
                                       F.min("order_time").alias("order_time"),
@@ -130,7 +135,7 @@ def _pickups(co, ro):
 
 def pickup_delay_per_runner(co, ro):
     """Mean over the ordered pizzas (an order counts once per pizza), rounded once, to whole minutes."""
-    mean = F.expr(ratio_expr("SUM(secs * items)", "SUM(items) * 60", 0))
+    mean = F.expr(ratio_expr("SUM(secs * items)", "SUM(IF(secs IS NULL, 0, items)) * 60", 0))
     return _pickups(co, ro).groupBy("runner_id").agg(mean.alias("_m")).select(
         "runner_id", F.concat(F.col("_m").cast("string"), F.lit(" minutes")).alias("avg_pickup"))
 
@@ -321,6 +326,15 @@ def ingredient_totals(co, ro, names, recipes, toppings):
                  .agg(F.sum("times").cast("bigint").alias("times_used")))
 
 
+def zipped_changes(co):
+    """Exclusions and extras side by side as rows (UNNEST of two arrays; the shorter is filled with NULL)."""
+    pair = F.arrays_zip(F.coalesce("exclusions", F.array().cast("array<int>")).alias("exclusion"),
+                        F.coalesce("extras", F.array().cast("array<int>")).alias("extra"))
+    rows = co.select("order_id", F.explode(pair).alias("z"))
+    return rows.groupBy("order_id", F.col("z.exclusion").alias("exclusion"), F.col("z.extra").alias("extra")).agg(
+        F.count(F.lit(1)).alias("times"))
+
+
 # ---- registry -----------------------------------------------------------------
 def _co(sp, d):
     return clean_customer_orders(S.dlv_customer_orders_raw(sp, d))
@@ -416,8 +430,11 @@ _reg("D8b_volume_by_weekday", lambda sp, d: volume_by_weekday(_co(sp, d)),
 _reg("D9_signups_per_week", lambda sp, d: signups_per_week(S.dlv_runners(sp, d)),
      """SELECT CAST(floor((registration_date - CAST(date_trunc('year', registration_date) AS DATE)) / 7) + 1
                     AS INTEGER) AS week_number, COUNT(*) AS runners FROM runners GROUP BY 1""", "runners")
+_reg("D9b_signups_per_iso_week", lambda sp, d: signups_per_iso_week(S.dlv_runners(sp, d)),
+     """SELECT CAST(weekofyear(registration_date) AS INTEGER) AS week, COUNT(*) AS runners_per_week
+        FROM runners GROUP BY 1""", "runners")
 _reg("D10_pickup_delay_per_runner", lambda sp, d: pickup_delay_per_runner(_co(sp, d), _ro(sp, d)),
-     """SELECT r.runner_id, CAST(CAST(round(sum(epoch(pickup_time) - epoch(order_time)) / 60.0 / count(*)) AS BIGINT)
+     """SELECT r.runner_id, CAST(CAST(round(sum(epoch(pickup_time) - epoch(order_time)) / 60.0 / count(pickup_time)) AS BIGINT)
                                  AS VARCHAR) || ' minutes' AS avg_pickup
         FROM runner_orders r JOIN customer_orders c USING (order_id)
         WHERE r.cancellation IS NULL GROUP BY r.runner_id""", BOTH)
@@ -514,3 +531,11 @@ _reg("D24_menu_extension",
                    SELECT (SELECT MAX(pizza_id) + 1 FROM pizza_names),
                           string_agg(CAST(topping_id AS VARCHAR), ', ' ORDER BY topping_id) FROM pizza_toppings)
         SELECT pizza_id, pizza_name, toppings FROM n JOIN r USING (pizza_id)""", ING)
+
+_reg("op_F25_zipped_changes", lambda sp, d: zipped_changes(_co(sp, d)),
+     """SELECT order_id, exclusion, extra, COUNT(*) AS times FROM (
+          SELECT order_id, unnest(exclusions) AS exclusion, unnest(extras) AS extra FROM customer_orders) z
+        GROUP BY ALL""", CO)
+_reg("op_F26_array_remove", lambda sp, d: _co(sp, d).select(
+        "order_id", "pizza_id", F.array_remove("extras", 4).alias("other_extras")),
+     "SELECT order_id, pizza_id, list_filter(extras, lambda x: x <> 4) AS other_extras FROM customer_orders", CO)

@@ -124,7 +124,7 @@ def cast_key_join(sp, d):
 _reg("op_J15_cast_key_join", cast_key_join,
      """SELECT interest_name, COUNT(*) AS months FROM interest_metrics m
         JOIN interest_map im ON TRY_CAST(m.interest_id AS INTEGER) = im.id GROUP BY interest_name""",
-     "interest_map interest_metrics")
+     "interest_ids interest_map interest_metrics")
 _reg("op_O2_descending_sort",
      lambda sp, d: table(sp, d, "customer", "c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey"),
      "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey")
@@ -144,3 +144,10 @@ _reg("op_F20_floor_buckets",
 _reg("op_W3_global_row_id",
      lambda sp, d: global_row_number(table(sp, d, "orders", "o_orderkey", "o_custkey"), "o_orderkey"),
      "SELECT o_orderkey, o_custkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS row_id FROM orders")
+
+_reg("op_F22_least", lambda sp, d: table(sp, d, "orders", "o_orderkey", "o_orderdate").select(
+        "o_orderkey", F.least(F.to_date("o_orderdate"), F.lit("1996-01-01").cast("date")).alias("capped_date")),
+     "SELECT o_orderkey, least(CAST(o_orderdate AS DATE), DATE '1996-01-01') AS capped_date FROM orders")
+_reg("op_U2_union_distinct", lambda sp, d: table(sp, d, "customer").select(F.col("c_nationkey").alias("nation")).union(
+        table(sp, d, "supplier").select("s_nationkey")).distinct(),
+     "SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
-from casebook.operators import first_rows, top_n, top_per_group
+from casebook.operators import first_rows, top_n, top_per_group, top_values
 from casebook.operators.reconcile import keys_missing, reconcile_summary
 from casebook.sources import subjects as S
-from casebook.sources.io import materialize
+from casebook.sources.io import materialize_once
 from casebook.sources.subjects_sql import VIEWS, with_views
 
 MIN_MONTHS = 6                   # interests seen in fewer months are removed
@@ -33,7 +33,8 @@ def clean_metrics(raw: DataFrame) -> DataFrame:
 
 
 def records_per_month(m: DataFrame) -> DataFrame:
-    return m.groupBy("month_year").agg(F.count(F.lit(1)).alias("records"))
+    return (m.groupBy("month_year").agg(F.count(F.lit(1)).alias("records"))
+             .orderBy(F.col("month_year").asc_nulls_first()))
 
 
 def without_null_months(m: DataFrame) -> DataFrame:
@@ -41,7 +42,9 @@ def without_null_months(m: DataFrame) -> DataFrame:
 
 
 def null_month_rows(m: DataFrame) -> DataFrame:
-    return without_null_months(m).agg(F.count_if(F.col("month_year").isNull()).alias("null_rows"))
+    """Rows without a month, before and after they are removed."""
+    left = without_null_months(m).agg(F.count_if(F.col("month_year").isNull())).scalar()
+    return m.agg(F.count_if(F.col("month_year").isNull()).alias("null_rows")).withColumn("null_rows_left", left)
 
 
 def map_count(imap: DataFrame) -> DataFrame:
@@ -121,7 +124,7 @@ def month_leader(m: DataFrame, imap: DataFrame) -> DataFrame:
 
 def lowest_mean_rank(m: DataFrame, imap: DataFrame, n: int = 5) -> DataFrame:
     a = filtered_metrics(m).groupBy("interest_id").agg(exact_avg("ranking", 1).alias("avg_rank"))
-    r = top_per_group(a, None, [F.asc("avg_rank")], n, "dense_rank")
+    r = top_values(a, "avg_rank", n)
     return r.join(imap, r.interest_id == imap.id).select("interest_id", "interest_name", "avg_rank")
 
 
@@ -129,7 +132,7 @@ def most_variable(m: DataFrame, imap: DataFrame, n: int = 5) -> DataFrame:
     a = filtered_metrics(m).groupBy("interest_id").agg(
         F.round(F.stddev_samp("percentile_ranking"), 2).alias("std_dev"),
         F.min("percentile_ranking").alias("min_per_rnk"), F.max("percentile_ranking").alias("max_per_rnk"))
-    r = top_per_group(a, None, [F.desc("std_dev")], n, "dense_rank")
+    r = top_values(a, "std_dev", n, desc=True)
     return r.join(imap, r.interest_id == imap.id).select("interest_id", "interest_name", "std_dev",
                                                          "min_per_rnk", "max_per_rnk")
 
@@ -179,18 +182,17 @@ def rolling_leader(m, imap):
 
 # ---- registry -----------------------------------------------------------------
 def _m(sp, d):
-    """Cleaned monthly metrics (months x interests rows), staged once per run:
-    every analysis reads it several times, and rebuilding it rescans lineitem."""
-    return materialize(clean_metrics(S.seg_interest_metrics(sp, d)), "interest_metrics_clean")
+    """Cleaned monthly metrics (months x interests rows), staged once per input and session."""
+    return materialize_once(sp, "interest_metrics_clean", d, lambda: clean_metrics(S.seg_interest_metrics(sp, d)))
 
 
 def _mi(sp, d):
-    return _m(sp, d), materialize(S.seg_interest_map(sp, d), "interest_map")
+    return _m(sp, d), materialize_once(sp, "interest_map", d, lambda: S.seg_interest_map(sp, d))
 
 
 VIEWS["clean_metrics"] = """
 SELECT TRY_CAST(_month AS INTEGER) AS _month, TRY_CAST(_year AS INTEGER) AS _year,
-       CAST(strptime('01-' || month_year, '%d-%m-%Y') AS DATE) AS month_year,
+       CAST(try_strptime('01-' || month_year, '%d-%m-%Y') AS DATE) AS month_year,
        TRY_CAST(interest_id AS INTEGER) AS interest_id,
        composition, index_value, ranking, percentile_ranking
 FROM interest_metrics"""
@@ -208,7 +210,7 @@ VIEWS["top10"] = """
 SELECT month_year, interest_id, interest_name, avg_comp, rnk FROM (
   SELECT *, CAST(DENSE_RANK() OVER (PARTITION BY month_year ORDER BY avg_comp DESC) AS INTEGER) AS rnk
   FROM avg_comp_table) t WHERE rnk <= 10"""
-BASE = "interest_map interest_metrics clean_metrics"
+BASE = "interest_ids interest_map interest_metrics clean_metrics"
 FILT = BASE + " month_counts filtered_metrics"
 ACT = FILT + " avg_comp_table"
 
@@ -222,8 +224,9 @@ _reg("G1_clean_metrics", _m, "SELECT * FROM clean_metrics")
 _reg("G2_records_per_month", lambda sp, d: records_per_month(_m(sp, d)),
      "SELECT month_year, COUNT(*) AS records FROM clean_metrics GROUP BY month_year")
 _reg("G2b_null_months_removed", lambda sp, d: null_month_rows(_m(sp, d)),
-     "SELECT COUNT(*) FILTER (WHERE month_year IS NULL) AS null_rows FROM clean_metrics "
-     "WHERE month_year IS NOT NULL")
+     "SELECT COUNT(*) FILTER (WHERE month_year IS NULL) AS null_rows, "
+     "(SELECT COUNT(*) FROM clean_metrics WHERE month_year IS NULL AND month_year IS NOT NULL) AS null_rows_left "
+     "FROM clean_metrics")
 _reg("G3_ids_not_in_map",
      lambda sp, d: keys_missing(_m(sp, d).select("interest_id"), S.seg_interest_map(sp, d).select(
          F.col("id").alias("interest_id")), "interest_id"),
@@ -243,7 +246,7 @@ _reg("G3c_reconcile_summary",
               FULL JOIN clean_metrics b ON b.interest_id = a.id
               WHERE b.interest_id IS NULL OR a.id IS NULL) t""")
 _reg("G4_map_count", lambda sp, d: map_count(S.seg_interest_map(sp, d)),
-     "SELECT COUNT(id) AS total_ids FROM interest_map", "interest_map")
+     "SELECT COUNT(id) AS total_ids FROM interest_map", "interest_ids interest_map")
 _reg("G4b_one_interest_joined", lambda sp, d: one_interest(*_mi(sp, d)),
      f"""SELECT a.*, interest_name, interest_summary, created_at, last_modified
         FROM clean_metrics a JOIN interest_map b ON a.interest_id = b.id

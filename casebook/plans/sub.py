@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.operators.broadcast import broadcast_if_small
+from casebook.functions.labels import month_name
 from casebook.functions.numeric import avg_expr, exact_avg
 from casebook.operators.schedule import payment_schedule, payment_schedule_sql
 from casebook.sources import subjects as S
@@ -12,11 +13,12 @@ from casebook.sources.subjects_sql import VIEWS, with_views
 
 # Parameters mapped onto the stored data (one month of events): the week is the
 # reporting grain, the year of the data is the payment year.
-AFTER_DATE = "2024-01-15"        # "start dates after ..." (B3)
+AFTER_DATE = "2024-01-05"        # "start dates after ..." (B3)
 SNAPSHOT_DATE = "2024-01-15"     # plan mix as of this day (B7)
 YEAR_START, YEAR_END = "2024-01-01", "2025-01-01"
 PAYMENT_CAP = "2024-12-31"
-BUCKET_DAYS = 7                  # width of the days-to-upgrade buckets
+BUCKET_DAYS = 30                 # width of the days-to-upgrade buckets
+SHORT_BUCKET_DAYS = 7            # the same for the one month of events
 BIG_STEP = 30                    # growth above this is a double arrow
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = 0, 1, 2, 3, 4
 # Growth labels.
@@ -48,10 +50,14 @@ def customer_count(subs):
     return subs.agg(F.count_distinct("customer_id").alias("total_customers"))
 
 
-def trial_starts_per_week(subs):
-    return (subs.filter(F.col("plan_id") == TRIAL)
-                .groupBy(F.to_date(F.date_trunc("week", "start_date")).alias("week_start"))
-                .agg(F.count(F.lit(1)).alias("trial_starts")))
+def period(grain: str) -> F.Column:
+    """First day of the start's period (``month`` or ``week``)."""
+    return F.to_date(F.date_trunc(grain, "start_date")).alias(f"{grain}_start")
+
+
+def trial_starts(subs, grain: str = "month"):
+    g = subs.filter(F.col("plan_id") == TRIAL).groupBy(period(grain)).agg(F.count(F.lit(1)).alias("trial_starts"))
+    return g.withColumn("month_name", month_name("month_start")) if grain == "month" else g
 
 
 def events_per_year(subs):
@@ -151,11 +157,11 @@ def payments(subs, plans):
     return payment_schedule(subs, plans, PAYMENT_CAP)
 
 
-def weekly_growth(subs):
-    g = (subs.groupBy(F.to_date(F.date_trunc("week", "start_date")).alias("week_start"))
-             .agg(F.count(F.lit(1)).alias("customers")))
-    # one row per week (bounded by the calendar): a global ordered window is fine
-    prev = F.lag("customers").over(W.orderBy("week_start"))
+def growth(subs, grain: str = "month"):
+    """Customers per period, change to the period before, and its label."""
+    g = subs.groupBy(period(grain)).agg(F.count(F.lit(1)).alias("customers"))
+    # one row per period (bounded by the calendar): a global ordered window is fine
+    prev = F.lag("customers").over(W.orderBy(f"{grain}_start"))
     g = g.withColumn("previous", prev).withColumn("growth", F.col("customers") - F.col("previous"))
     gr = F.col("growth")
     label = (F.when(gr >= BIG_STEP, UP2).when(gr <= -BIG_STEP, DOWN2).when(gr > 0, UP).when(gr < 0, DOWN)
@@ -163,16 +169,14 @@ def weekly_growth(subs):
     return g.withColumn("trend", label)
 
 
-def retained_per_week(subs):
+def retained(subs, grain: str = "month"):
     n = with_next(subs).filter((F.col("plan_id") == TRIAL) & (F.col("next_plan") != CHURN))
-    return n.groupBy(F.to_date(F.date_trunc("week", "start_date")).alias("week_start")).agg(
-        F.count(F.lit(1)).alias("retained"))
+    return n.groupBy(period(grain)).agg(F.count(F.lit(1)).alias("retained"))
 
 
-def churned_per_week(subs):
+def churned(subs, grain: str = "month"):
     n = with_next(subs).filter(F.col("next_plan") == CHURN)
-    return n.groupBy(F.to_date(F.date_trunc("week", "start_date")).alias("week_start")).agg(
-        F.count(F.lit(1)).alias("churned"))
+    return n.groupBy(period(grain)).agg(F.count(F.lit(1)).alias("churned"))
 
 
 def churn_by_previous_plan(subs):
@@ -217,7 +221,7 @@ _reg("B1_customer_journey", lambda sp, d: journey(*_sp(sp, d)),
      "SELECT customer_id, plan_id, plan_name, price, start_date FROM subscriptions JOIN plans USING (plan_id)")
 _reg("B2_customer_count", lambda sp, d: customer_count(_s(sp, d)),
      "SELECT COUNT(DISTINCT customer_id) AS total_customers FROM subscriptions")
-_reg("B2b_trial_starts_per_week", lambda sp, d: trial_starts_per_week(_s(sp, d)),
+_reg("B2b_trial_starts_per_week", lambda sp, d: trial_starts(_s(sp, d), "week"),
      f"SELECT {WEEK} AS week_start, COUNT(*) AS trial_starts FROM subscriptions WHERE plan_id = 0 GROUP BY 1")
 _reg("B2c_events_per_year", lambda sp, d: events_per_year(_s(sp, d)),
      "SELECT CAST(year(start_date) AS INTEGER) AS year, COUNT(*) AS events FROM subscriptions GROUP BY 1")
@@ -259,27 +263,27 @@ _UPD = """(SELECT customer_id, CAST(annual - joined AS INTEGER) AS days FROM (
              FROM subscriptions GROUP BY customer_id) g WHERE annual - joined > 0)"""
 _reg("B10_mean_days_to_annual", lambda sp, d: mean_days_to_annual(_s(sp, d)),
      f"SELECT COUNT(*) AS customers, {avg_expr('days', 2, 'duck')} AS avg_days FROM {_UPD} u")
-_reg("B11_days_to_annual_buckets", lambda sp, d: days_to_annual_buckets(_s(sp, d)),
+_reg("B11_days_to_annual_buckets", lambda sp, d: days_to_annual_buckets(_s(sp, d), SHORT_BUCKET_DAYS),
      f"""SELECT bucket_start, COUNT(*) AS customers, {avg_expr('days', 2, 'duck')} AS avg_days,
-               CAST(bucket_start AS VARCHAR) || '-' || CAST(bucket_start + {BUCKET_DAYS} - 1 AS VARCHAR)
+               CAST(bucket_start AS VARCHAR) || '-' || CAST(bucket_start + {SHORT_BUCKET_DAYS} - 1 AS VARCHAR)
                  || ' days' AS bucket
-        FROM (SELECT days, CAST(floor(days / {BUCKET_DAYS}) * {BUCKET_DAYS} AS INTEGER) AS bucket_start
+        FROM (SELECT days, CAST(floor(days / {SHORT_BUCKET_DAYS}) * {SHORT_BUCKET_DAYS} AS INTEGER) AS bucket_start
               FROM {_UPD} u) b GROUP BY bucket_start""")
 _reg("B12_downgrades", lambda sp, d: downgrades(_s(sp, d)),
      f"""SELECT COUNT(DISTINCT customer_id) AS customers FROM sub_next
         WHERE plan_id = 2 AND next_plan = 1 AND next_date >= DATE '{YEAR_START}'
           AND next_date < DATE '{YEAR_END}'""", SN)
 _reg("B13_payment_schedule", lambda sp, d: payments(*_sp(sp, d)), payment_schedule_sql(PAYMENT_CAP))
-_reg("B14_weekly_growth", lambda sp, d: weekly_growth(_s(sp, d)),
+_reg("B14_weekly_growth", lambda sp, d: growth(_s(sp, d), "week"),
      f"""SELECT *, CASE WHEN growth >= {BIG_STEP} THEN '{UP2}' WHEN growth <= -{BIG_STEP} THEN '{DOWN2}'
                         WHEN growth > 0 THEN '{UP}' WHEN growth < 0 THEN '{DOWN}' ELSE '{FLAT}' END AS trend
         FROM (SELECT week_start, customers, LAG(customers) OVER (ORDER BY week_start) AS previous,
                      customers - LAG(customers) OVER (ORDER BY week_start) AS growth
               FROM (SELECT {WEEK} AS week_start, COUNT(*) AS customers FROM subscriptions GROUP BY 1) a) b""")
-_reg("B15_retained_per_week", lambda sp, d: retained_per_week(_s(sp, d)),
+_reg("B15_retained_per_week", lambda sp, d: retained(_s(sp, d), "week"),
      f"""SELECT {WEEK} AS week_start, COUNT(*) AS retained FROM sub_next
         WHERE plan_id = 0 AND next_plan <> 4 GROUP BY 1""", SN)
-_reg("B15b_churned_per_week", lambda sp, d: churned_per_week(_s(sp, d)),
+_reg("B15b_churned_per_week", lambda sp, d: churned(_s(sp, d), "week"),
      f"SELECT {WEEK} AS week_start, COUNT(*) AS churned FROM sub_next WHERE next_plan = 4 GROUP BY 1", SN)
 _reg("B15c_churn_by_previous_plan", lambda sp, d: churn_by_previous_plan(_s(sp, d)),
      "SELECT plan_id, COUNT(*) AS churn_counts FROM sub_next WHERE next_plan = 4 GROUP BY plan_id", SN)
@@ -289,3 +293,46 @@ _reg("B16_paid_journey", lambda sp, d: paid_journey(*_sp(sp, d)),
         FROM subscriptions JOIN plans USING (plan_id) WHERE plan_id > 0""")
 _reg("B16b_churn_rows", lambda sp, d: churn_rows(_s(sp, d)),
      "SELECT COUNT(*) AS churn_rows FROM subscriptions WHERE plan_id = 4")
+
+
+# the same by month, over the seven years of orders
+def _os(sp, d):
+    return S.sub_order_subscriptions(sp, d)
+
+
+VIEWS["order_sub_next"] = """
+SELECT *, LEAD(plan_id) OVER w AS next_plan, LEAD(start_date) OVER w AS next_date
+FROM order_subscriptions WINDOW w AS (PARTITION BY customer_id ORDER BY start_date, plan_id)"""
+MONTH = "CAST(date_trunc('month', start_date) AS DATE)"
+OS = "order_subscriptions"
+OSN = "order_subscriptions order_sub_next"
+_reg("B2d_trial_starts_per_month", lambda sp, d: trial_starts(_os(sp, d)),
+     f"""SELECT month_start, trial_starts, strftime(month_start, '%B') AS month_name FROM (
+          SELECT {MONTH} AS month_start, COUNT(*) AS trial_starts FROM order_subscriptions
+          WHERE plan_id = 0 GROUP BY 1) t""", OS)
+_reg("B11b_days_to_annual_30_day_buckets", lambda sp, d: days_to_annual_buckets(_os(sp, d)),
+     f"""SELECT bucket_start, COUNT(*) AS customers,
+               CAST(round(CAST(sum(days) AS DOUBLE) / count(*), 2) AS DECIMAL(38,2)) AS avg_days,
+               CAST(bucket_start AS VARCHAR) || '-' || CAST(bucket_start + 29 AS VARCHAR) || ' days' AS bucket
+        FROM (SELECT days, CAST(days // 30 * 30 AS INTEGER) AS bucket_start FROM (
+          SELECT CAST(MIN(CASE WHEN plan_id = 3 THEN start_date END)
+                      - MIN(CASE WHEN plan_id = 0 THEN start_date END) AS INTEGER) AS days
+          FROM order_subscriptions GROUP BY customer_id) g WHERE days > 0) b GROUP BY bucket_start""", OS)
+_reg("B14b_monthly_growth", lambda sp, d: growth(_os(sp, d)),
+     f"""SELECT month_start, customers, previous, customers - previous AS growth,
+               CASE WHEN customers - previous >= {BIG_STEP} THEN '{UP2}'
+                    WHEN customers - previous <= -{BIG_STEP} THEN '{DOWN2}'
+                    WHEN customers > previous THEN '{UP}' WHEN customers < previous THEN '{DOWN}'
+                    ELSE '{FLAT}' END AS trend
+        FROM (SELECT month_start, customers, LAG(customers) OVER (ORDER BY month_start) AS previous
+              FROM (SELECT {MONTH} AS month_start, COUNT(*) AS customers FROM order_subscriptions GROUP BY 1) a) b""", OS)
+_reg("B15d_retained_per_month", lambda sp, d: retained(_os(sp, d)),
+     f"""SELECT {MONTH} AS month_start, COUNT(*) AS retained FROM order_sub_next
+        WHERE plan_id = 0 AND next_plan <> 4 GROUP BY 1""", OSN)
+_reg("B15e_churned_per_month", lambda sp, d: churned(_os(sp, d)),
+     f"SELECT {MONTH} AS month_start, COUNT(*) AS churned FROM order_sub_next WHERE next_plan = 4 GROUP BY 1", OSN)
+_reg("B4b_churn_rate_orders", lambda sp, d: churn_rate(_os(sp, d)),
+     """SELECT COUNT(DISTINCT customer_id) FILTER (WHERE plan_id = 4) AS churned_customers,
+               ROUND(100.0 * COUNT(DISTINCT customer_id) FILTER (WHERE plan_id = 4)
+                     / COUNT(DISTINCT customer_id), 1) AS churn_pct
+        FROM order_subscriptions""", OS)

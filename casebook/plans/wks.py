@@ -10,6 +10,7 @@ from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import with_total_share
 from casebook.operators.before_after import before_after, before_after_sql
 from casebook.sources import subjects as S
+from casebook.sources.io import materialize_once
 from casebook.sources.subjects_sql import VIEWS, with_views
 
 PIVOT = "1998-06-15"             # baseline week of the change
@@ -46,9 +47,11 @@ def week_days(cws: DataFrame) -> DataFrame:
 
 
 def missing_weeks(cws: DataFrame) -> DataFrame:
-    spark = cws.sparkSession
-    weeks = spark.range(1, 54).select(F.col("id").cast("int").alias("week_number"))
-    return weeks.join(cws.select("week_number").distinct(), "week_number", "left_anti")
+    """Weeks without sales, by year (at most 53 rows a year)."""
+    seen = cws.select("calendar_year", "week_number").distinct()
+    weeks = F.explode(F.sequence(F.lit(1), F.lit(53))).alias("week_number")
+    return seen.select("calendar_year").distinct().select("calendar_year", weeks).join(
+        seen, ["calendar_year", "week_number"], "left_anti")
 
 
 def per_year(cws: DataFrame) -> DataFrame:
@@ -129,8 +132,9 @@ _reg("M2_domain_profile", lambda sp, d: profile(S.wks_weekly_sales(sp, d)),
 _reg("M3_week_days", lambda sp, d: week_days(_cws(sp, d)),
      "SELECT DISTINCT week_date, dayname(week_date) AS day_of_week FROM clean_weekly_sales")
 _reg("M3b_missing_weeks", lambda sp, d: missing_weeks(_cws(sp, d)),
-     """SELECT CAST(range AS INTEGER) AS week_number FROM range(1, 54)
-        WHERE CAST(range AS INTEGER) NOT IN (SELECT week_number FROM clean_weekly_sales)""")
+     """SELECT y.calendar_year, CAST(r.range AS INTEGER) AS week_number
+        FROM (SELECT DISTINCT calendar_year FROM clean_weekly_sales) y, range(1, 54) r
+        EXCEPT SELECT calendar_year, week_number FROM clean_weekly_sales""")
 _reg("M4_per_year", lambda sp, d: per_year(_cws(sp, d)),
      """SELECT calendar_year, COUNT(*) AS rows, CAST(SUM(transactions) AS BIGINT) AS total_transactions
         FROM clean_weekly_sales GROUP BY calendar_year""")
@@ -168,18 +172,23 @@ _reg("M8_transaction_size", lambda sp, d: transaction_size(_cws(sp, d)),
                {ratio_expr('SUM(sales)', 'SUM(transactions)', 2, 'duck')} AS ratio_of_sums
         FROM clean_weekly_sales GROUP BY 1, 2""")
 
+def _stored(sp, d):
+    """clean_weekly_sales as a table: a real date, partitioned by year, so date ranges reach the scan."""
+    return materialize_once(sp, "clean_weekly_sales", d, lambda: _cws(sp, d), partition_by="calendar_year")
+
+
 _P = f"DATE '{PIVOT}'"
 for _w, _key in ((4, "M9_before_after_4_weeks"), (12, "M9b_before_after_12_weeks")):
-    _reg(_key, (lambda w: lambda sp, d: before_after(_cws(sp, d), "week_date", PIVOT, w, "sales"))(_w),
+    _reg(_key, (lambda w: lambda sp, d: before_after(_stored(sp, d), "week_date", PIVOT, w, "sales"))(_w),
          before_after_sql("clean_weekly_sales", "week_date", _P, _w, "sales"))
 
 _reg("M9c_before_after_4_weeks_inclusive",
-     lambda sp, d: before_after(_cws(sp, d), "week_date", PIVOT, 4, "sales", inclusive_after=True),
+     lambda sp, d: before_after(_stored(sp, d), "week_date", PIVOT, 4, "sales", inclusive_after=True),
      before_after_sql("clean_weekly_sales", "week_date", _P, 4, "sales", inclusive_after=True))
 
 for _w, _key in ((4, "M10_before_after_by_year_4_weeks"), (12, "M10b_before_after_by_year_12_weeks")):
     _reg(_key, (lambda w: lambda sp, d: before_after(
-        _cws(sp, d), "week_date", None, w, "sales", by="calendar_year",
+        _stored(sp, d), "week_date", None, w, "sales", by="calendar_year",
         pivot_per_row=F.make_date(F.col("calendar_year"), F.lit(6), F.lit(15))))(_w),
         before_after_sql("clean_weekly_sales", "week_date", "make_date(calendar_year, 6, 15)",
                          _w, "sales", by="calendar_year"))
@@ -188,5 +197,5 @@ for _dim, _key in (("region", "M11_before_after_by_region"), ("platform", "M11b_
                    ("age_band", "M11c_before_after_by_age_band"),
                    ("demographic", "M11d_before_after_by_demographic"),
                    ("customer_type", "M11e_before_after_by_customer_type")):
-    _reg(_key, (lambda b: lambda sp, d: before_after(_cws(sp, d), "week_date", PIVOT, 12, "sales", by=b))(_dim),
+    _reg(_key, (lambda b: lambda sp, d: before_after(_stored(sp, d), "week_date", PIVOT, 12, "sales", by=b))(_dim),
          before_after_sql("clean_weekly_sales", "week_date", _P, 12, "sales", by=_dim))

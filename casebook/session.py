@@ -51,7 +51,6 @@ def build_session(master: str | None = None, app: str = "casebook",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 

@@ -44,11 +44,11 @@ def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize_once(spark: SparkSession, name: str, key, build) -> DataFrame:
+def materialize_once(spark: SparkSession, name: str, key, build, partition_by=None) -> DataFrame:
     """The stage ``name`` for ``key`` (its inputs), built by ``build()`` on first use in this session."""
     at = (spark.sparkContext.applicationId, name, key)
     if at not in _shared:
-        _shared[at] = materialize(build(), name)
+        _shared[at] = materialize(build(), name, partition_by)
     return _shared[at]
 
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from casebook.operators.broadcast import broadcast_if_small
+from casebook.operators.ranking import rank_by
+from casebook.operators.rowid import global_row_number
+from casebook.sources.io import materialize, materialize_once
 from casebook.sources.tables import table
 
 # ---- fixed values of the mapping -------------------------------------------
@@ -240,9 +243,20 @@ def clk_campaigns(spark: SparkSession) -> DataFrame:
 INTEREST_EPOCH = "1996-01-01"    # created_at = epoch + (id % 1500) days
 
 
-def seg_interest_map(spark: SparkSession, d: str) -> DataFrame:
+SHORT_LIVED_UNTIL = "1992-06-01"   # interests with id % 23 = 5 have no month from here on
+
+
+def _interest_ids(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part", "p_partkey", "p_name")
-    m = p.groupBy(F.col("p_name").alias("interest_name")).agg(F.min("p_partkey").cast("int").alias("id"))
+    return p.groupBy(F.col("p_name").alias("interest_name")).agg(F.min("p_partkey").cast("int").alias("id"))
+
+
+def seg_interest_map(spark: SparkSession, d: str) -> DataFrame:
+    """Interests by id. Some that have metrics are missing (id % 97 = 0), some here have none (retired)."""
+    ids = _interest_ids(spark, d)
+    retired = ids.where("id % 89 = 0").select(F.concat("interest_name", F.lit(" (retired)")).alias("interest_name"),
+                                              (F.col("id") + 1000000).alias("id"))
+    m = ids.where("id % 97 <> 0").unionByName(retired)
     created = F.date_add(F.lit(INTEREST_EPOCH).cast("date"), (F.col("id") % 1500)).cast("timestamp_ntz")
     return m.select("id", "interest_name",
                     F.concat(F.lit("Parts named "), F.col("interest_name")).alias("interest_summary"),
@@ -255,27 +269,30 @@ def seg_interest_metrics(spark: SparkSession, d: str) -> DataFrame:
 
     composition = share of the month's shipped quantity (%); index_value =
     composition over the month's mean composition; ranking by index_value.
-    Windows run over (month, interest) aggregates: interests per month are
-    bounded by the catalogue, months by the calendar.
+    Month totals are aggregates joined back (a row per calendar month). Some
+    rows have 'NULL' texts instead of a month, some interests stop early.
     """
     li = table(spark, d, "lineitem", "l_partkey", "l_quantity", "l_shipdate")
     p = table(spark, d, "part", "p_partkey", "p_name")
     a = (li.join(p, li.l_partkey == p.p_partkey)
            .groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("m"), "p_name")
            .agg(F.sum("l_quantity").alias("qty")))
-    wm = W.partitionBy("m")
-    b = a.withColumn("composition", F.round(F.lit(100.0) * F.col("qty") / F.sum("qty").over(wm), 2))
+    a = materialize(a, "interest_months")
+    month = a.groupBy("m").agg(F.sum("qty").alias("tq"), F.count(F.lit(1)).alias("n"))
+    b = a.join(broadcast_if_small(month), "m").withColumn("composition", F.round(F.lit(100.0) * F.col("qty") / F.col("tq"), 2))
     cd = F.col("composition").cast("decimal(10,2)")
-    c = b.withColumn("index_value", F.round(
-        (cd * F.count(F.lit(1)).over(wm)).cast("double") / F.sum(cd).over(wm).cast("double"), 2))
-    c = c.withColumn("ranking", F.rank().over(wm.orderBy(F.desc("index_value"))))
-    c = c.withColumn("percentile_ranking", F.round(
-        F.lit(100.0) * (F.count(F.lit(1)).over(wm) - F.col("ranking") + 1) / F.count(F.lit(1)).over(wm), 2))
-    ids = seg_interest_map(spark, d).select(F.col("interest_name").alias("p_name"), "id")
-    return c.join(ids, "p_name").select(
-        F.month("m").cast("string").alias("_month"), F.year("m").cast("string").alias("_year"),
-        F.concat(F.lpad(F.month("m").cast("string"), 2, "0"), F.lit("-"), F.year("m").cast("string"))
-         .alias("month_year"), F.col("id").cast("string").alias("interest_id"),
+    c = b.join(broadcast_if_small(b.groupBy("m").agg(F.sum(cd).alias("tc"))), "m").withColumn("index_value", F.round(
+        (cd * F.col("n")).cast("double") / F.col("tc").cast("double"), 2))
+    c = rank_by(c, "m", "index_value", "ranking", desc=True)
+    c = c.withColumn("percentile_ranking", F.round(F.lit(100.0) * (F.col("n") - F.col("ranking") + 1) / F.col("n"), 2))
+    ids = _interest_ids(spark, d).select(F.col("interest_name").alias("p_name"), "id")
+    j = c.join(ids, "p_name").where(~((F.col("id") % 23 == 5) & (F.col("m") >= F.lit(SHORT_LIVED_UNTIL).cast("date"))))
+    lost = (F.col("id") + F.month("m")) % 50 == 0
+    text = lambda x: F.when(lost, F.lit("NULL")).otherwise(x)
+    return j.select(
+        text(F.month("m").cast("string")).alias("_month"), text(F.year("m").cast("string")).alias("_year"),
+        text(F.concat(F.lpad(F.month("m").cast("string"), 2, "0"), F.lit("-"), F.year("m").cast("string")))
+        .alias("month_year"), F.col("id").cast("string").alias("interest_id"),
         "composition", "index_value", "ranking", "percentile_ranking")
 
 
@@ -300,6 +317,14 @@ def sub_subscriptions(spark: SparkSession, d: str) -> DataFrame:
              .agg(F.to_date(F.min("ts")).alias("start_date")))
 
 
+def sub_order_subscriptions(spark: SparkSession, d: str) -> DataFrame:
+    """Subscriptions over the seven years of orders: a plan (by order priority) starts with its first order."""
+    o = table(spark, d, "orders", "o_custkey", "o_orderpriority", "o_orderdate")
+    plan = (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("plan_id")
+    return (o.groupBy(F.col("o_custkey").alias("customer_id"), plan)
+             .agg(F.to_date(F.min("o_orderdate")).alias("start_date")))
+
+
 # ---- food delivery (DLV) ----------------------------------------------------
 REG_EPOCH = "1995-01-01"         # runner registration = epoch + (suppkey % 28) days
 
@@ -312,12 +337,13 @@ def dlv_runners(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dlv_toppings(spark: SparkSession, d: str) -> DataFrame:
-    """Toppings = words of part names; ids by alphabetical order. The window
-    runs over the distinct words (a bounded vocabulary)."""
-    p = table(spark, d, "part", "p_name")
-    words = p.select(F.explode(F.split("p_name", " ")).alias("topping_name")).distinct()
-    return words.select(F.row_number().over(W.orderBy("topping_name")).cast("int").alias("topping_id"),
-                        "topping_name")
+    """Toppings = words of part names; ids by alphabetical order, numbered across partitions."""
+    def build():
+        p = table(spark, d, "part", "p_name")
+        words = p.select(F.explode(F.split("p_name", " ")).alias("topping_name")).distinct()
+        numbered = global_row_number(words, "topping_name", "topping_id", stage="topping_numbers")
+        return numbered.select(F.col("topping_id").cast("int").alias("topping_id"), "topping_name")
+    return materialize_once(spark, "toppings", d, build)
 
 
 def dlv_pizza_names(spark: SparkSession, d: str) -> DataFrame:
@@ -368,11 +394,11 @@ def dlv_runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
                     "timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate))").cast("string")
     return j.select(
         F.col("o_orderkey").alias("order_id"), "runner_id",
-        F.when(cancelled, F.lit("null")).otherwise(pickup).alias("pickup_time"),
-        F.when(cancelled, F.lit("null")).when(k % 4 == 0, F.concat(dist, F.lit("km")))
+        F.when(cancelled, F.lit("null")).when(k % 227 == 0, F.lit("late")).otherwise(pickup).alias("pickup_time"),
+        F.when(cancelled, F.lit("null")).when(k % 211 == 0, F.lit("unknown")).when(k % 4 == 0, F.concat(dist, F.lit("km")))
          .when(k % 4 == 1, F.concat(dist, F.lit(".4 km"))).when(k % 4 == 2, dist)
          .otherwise(F.concat(dist, F.lit(" km"))).alias("distance"),
-        F.when(cancelled, F.lit("null")).when(k % 3 == 0, F.concat(mins, F.lit("mins")))
+        F.when(cancelled, F.lit("null")).when(k % 223 == 0, F.lit("soon")).when(k % 3 == 0, F.concat(mins, F.lit("mins")))
          .when(k % 3 == 1, F.concat(mins, F.lit(" minute"))).otherwise(F.concat(mins, F.lit(" minutes")))
          .alias("duration"),
         F.when(cancelled, F.when(k % 2 == 0, F.lit("Restaurant Cancellation"))

@@ -127,17 +127,22 @@ SELECT * FROM (VALUES
   t(campaign_name, start_date, end_date)"""
 
 # ---- interest segments ------------------------------------------------------------
+VIEWS["interest_ids"] = """
+SELECT CAST(MIN(p_partkey) AS INTEGER) AS id, p_name AS interest_name FROM part GROUP BY p_name"""
 VIEWS["interest_map"] = """
-SELECT CAST(MIN(p_partkey) AS INTEGER) AS id, p_name AS interest_name,
-       'Parts named ' || p_name AS interest_summary,
-       CAST(DATE '1996-01-01' + CAST(MIN(p_partkey) % 1500 AS INTEGER) AS TIMESTAMP) AS created_at,
-       CAST(DATE '1996-01-01' + CAST(MIN(p_partkey) % 1500 AS INTEGER) + 30 AS TIMESTAMP) AS last_modified
-FROM part GROUP BY p_name"""
+SELECT id, interest_name, 'Parts named ' || interest_name AS interest_summary,
+       CAST(DATE '1996-01-01' + CAST(id % 1500 AS INTEGER) AS TIMESTAMP) AS created_at,
+       CAST(DATE '1996-01-01' + CAST(id % 1500 AS INTEGER) + 30 AS TIMESTAMP) AS last_modified
+FROM (SELECT id, interest_name FROM interest_ids WHERE id % 97 <> 0
+      UNION ALL
+      SELECT CAST(id + 1000000 AS INTEGER), interest_name || ' (retired)' FROM interest_ids WHERE id % 89 = 0) t"""
 VIEWS["interest_metrics"] = """
-SELECT CAST(month(m) AS VARCHAR) AS _month, CAST(year(m) AS VARCHAR) AS _year,
-       strftime(m, '%m-%Y') AS month_year, CAST(im.id AS VARCHAR) AS interest_id,
+SELECT CASE WHEN lost THEN 'NULL' ELSE CAST(month(m) AS VARCHAR) END AS _month,
+       CASE WHEN lost THEN 'NULL' ELSE CAST(year(m) AS VARCHAR) END AS _year,
+       CASE WHEN lost THEN 'NULL' ELSE strftime(m, '%m-%Y') END AS month_year, CAST(id AS VARCHAR) AS interest_id,
        composition, index_value, ranking, percentile_ranking
-FROM (SELECT *, CAST(ROUND(100.0 * (n - ranking + 1) / n, 2) AS DOUBLE) AS percentile_ranking
+FROM (SELECT e.*, im.id, (im.id + month(m)) % 50 = 0 AS lost FROM (
+      SELECT *, CAST(ROUND(100.0 * (n - ranking + 1) / n, 2) AS DOUBLE) AS percentile_ranking
       FROM (SELECT *, CAST(RANK() OVER (PARTITION BY m ORDER BY index_value DESC) AS INTEGER) AS ranking
             FROM (SELECT m, p_name, composition, COUNT(*) OVER (PARTITION BY m) AS n,
                          ROUND(CAST(CAST(composition AS DECIMAL(10,2)) * COUNT(*) OVER (PARTITION BY m)
@@ -150,7 +155,8 @@ FROM (SELECT *, CAST(ROUND(100.0 * (n - ranking + 1) / n, 2) AS DOUBLE) AS perce
                                      SUM(l.l_quantity) AS qty
                               FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
                               GROUP BY 1, 2) a) b) c) d) e
-JOIN interest_map im ON im.interest_name = e.p_name"""
+      JOIN interest_ids im ON im.interest_name = e.p_name
+      WHERE NOT (im.id % 23 = 5 AND m >= DATE '1992-06-01')) f"""
 
 # ---- subscriptions ------------------------------------------------------------
 VIEWS["plans"] = """
@@ -164,6 +170,11 @@ SELECT user_id AS customer_id,
        CAST(MIN(ts) AS DATE) AS start_date
 FROM events GROUP BY 1, 2"""
 
+VIEWS["order_subscriptions"] = """
+SELECT o_custkey AS customer_id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS plan_id,
+       CAST(MIN(o_orderdate) AS DATE) AS start_date
+FROM orders GROUP BY 1, 2"""
+
 # ---- food delivery ----------------------------------------------------------------
 VIEWS["runners"] = """
 SELECT s_suppkey AS runner_id,
@@ -190,16 +201,19 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 VIEWS["runner_orders_raw"] = """
 SELECT o.o_orderkey AS order_id, r.runner_id,
        CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+            WHEN o.o_orderkey % 227 = 0 THEN 'late'
             ELSE strftime(o.o_orderdate + to_minutes(CAST((o.o_orderkey % 24) * 60 + o.o_orderkey % 60
                                                            + 10 + o.o_orderkey % 20 AS BIGINT))
                           + to_seconds(o.o_orderkey * 7 % 60),
                           '%Y-%m-%d %H:%M:%S') END AS pickup_time,
        CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+            WHEN o.o_orderkey % 211 = 0 THEN 'unknown'
             WHEN o.o_orderkey % 4 = 0 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || 'km'
             WHEN o.o_orderkey % 4 = 1 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || '.4 km'
             WHEN o.o_orderkey % 4 = 2 THEN CAST(o.o_orderkey % 25 + 1 AS VARCHAR)
             ELSE CAST(o.o_orderkey % 25 + 1 AS VARCHAR) || ' km' END AS distance,
        CASE WHEN o.o_orderstatus = 'P' THEN 'null'
+            WHEN o.o_orderkey % 223 = 0 THEN 'soon'
             WHEN o.o_orderkey % 3 = 0 THEN CAST(o.o_orderkey % 30 + 10 AS VARCHAR) || 'mins'
             WHEN o.o_orderkey % 3 = 1 THEN CAST(o.o_orderkey % 30 + 10 AS VARCHAR) || ' minute'
             ELSE CAST(o.o_orderkey % 30 + 10 AS VARCHAR) || ' minutes' END AS duration,

@@ -106,3 +106,14 @@ def test_cleaning_rejects_counted_not_fatal(spark):
     r = dlv.cleaning_rejects(raw).first()
     assert (r.pickup_time_rejects, r.distance_rejects, r.duration_rejects, r.rows) == (1, 1, 1, 4)
     assert dlv.clean_runner_orders(raw).filter("order_id = 11").first().distance is None
+
+
+def test_delays_keep_their_seconds(t):
+    """Runner orders of the reference: 632, 602, 1274, 1757, 628, 616, 1229 and 931 seconds."""
+    assert rows(dlv.pickup_delay_per_runner(t["co"], t["ro"])) == [(1, "16 minutes"), (2, "24 minutes"), (3, "10 minutes")]
+    assert rows(dlv.prep_time_by_size(t["co"], t["ro"])) == [
+        (1, 5, Decimal("12.36")), (2, 2, Decimal("18.38")), (3, 1, Decimal("29.28"))]
+    two = t["ro"].where("order_id in (1, 2)")
+    assert rows(dlv.prep_time_by_size(t["co"], two)) == [(1, 2, Decimal("10.28"))]
+    sheet = {r.order_id: r for r in dlv.fact_sheet(t["co"], t["ro"]).collect()}
+    assert (sheet[3].order_time, sheet[3].pickup_time, sheet[3].seconds_to_pickup) == ("23:51:23", "00:12:37", 1274)

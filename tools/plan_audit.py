@@ -20,22 +20,10 @@ WIDE = {"lineitem": 11, "orders": 6, "customer": 5, "part": 6, "events": 6}
 # Why each flagged plan is acceptable: the single-task or nested-loop input is bounded.
 BOUNDED = {
     "B14_weekly_growth": "window over one row per week (calendar)",
-    "C11_visit_summary": "range join against the campaign periods (3 rows, broadcast)",
-    "C12_impression_funnel": "range join against the campaign periods (3 rows, broadcast)",
-    "C13_impression_click_purchase_share": "range join against the campaign periods (3 rows, broadcast)",
-    "D2_recipe_bridge": "topping ids: window over the distinct words of part names (vocabulary)",
-    "D15_ingredient_lists": "topping ids: window over the word vocabulary",
-    "D16_most_common_extra": "topping ids: window over the word vocabulary",
-    "D16b_most_common_exclusion": "topping ids: window over the word vocabulary",
-    "D17_order_line_labels": "topping ids: window over the word vocabulary",
-    "D18_ingredient_labels": "topping ids: window over the word vocabulary",
-    "D19_ingredient_totals": "topping ids: window over the word vocabulary",
-    "D24_menu_extension": "topping ids: window over the word vocabulary",
+    "B14b_monthly_growth": "window over one row per month (calendar)",
     "G7_cumulative_month_share": "window over distinct month counts (calendar)",
-    "G12_lowest_mean_rank": "dense_rank <= 5 over per-interest rows; WindowGroupLimit keeps 5 ranks per mapper",
-    "G13_most_variable": "dense_rank <= 5 over per-interest rows; WindowGroupLimit keeps 5 ranks per mapper",
     "G16_rolling_leader": "window over one row per month (calendar)",
-    "L3_revenue_percentiles": "window over bucket counts (at most the bucket number)",
+    "L3_revenue_percentiles": "window over partition sizes (one row per partition)",
     "op_W3_global_row_id": "window over partition sizes (one row per partition)",
     "op_S1_typed_scan": "the operator is a full-table scan",
     "op_S2_full_scan": "the operator is a full-table scan",
