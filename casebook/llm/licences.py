@@ -83,6 +83,17 @@ def canonical_line(line: Column) -> Column:
     return F.btrim(F.regexp_replace(x, "[^a-z0-9\\x80-\\x{10ffff}]+", " "))
 
 
+def canonical_sql(line: str) -> str:
+    """``canonical_line`` as a DuckDB expression, for the oracle."""
+    x = f"translate({line}, '{_UPPER}', '{_LOWER}')"
+    x = f"CASE WHEN regexp_matches({x}, '{_COPYRIGHT}') THEN '' ELSE {x} END"
+    for pattern, new in SPELLINGS:
+        plain = not set("([$^") & set(pattern)
+        x = f"replace({x}, '{pattern}', '{new}')" if plain else "regexp_replace({}, '{}', '{}', 'g')".format(
+            x, pattern, new.replace("$", "\\"))
+    return f"trim(regexp_replace({x}, '[^a-z0-9\\x80-\\x{{10ffff}}]+', ' ', 'g'))"
+
+
 def canonical_lines(text: Column) -> Column:
     """The canonical non-empty lines of a text."""
     cut = F.split(F.coalesce(text, F.lit("")), "\r\n|\n|\r", -1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from casebook.llm.common import read_table
 from casebook.llm.decontaminate import leaks
 from casebook.llm.html_text import main_text
-from casebook.llm.licences import scan
+from casebook.llm.licences import canonical_sql, notices, scan
 from casebook.llm.line_dedup import dedup_lines
 from casebook.llm.mixing import mix_sources
 from casebook.llm.near_dedup import near_duplicates
@@ -108,3 +108,20 @@ counts AS (
 SELECT c.doc_id, c.n_lines, c.n_dropped, sha256(coalesce(k.body, '')) AS kept_sha256
 FROM counts c LEFT JOIN kept k ON c.doc_id = k.doc_id
 """
+
+_KNOWN = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in notices())
+ORACLE["op10_licences"] = f"""
+WITH known AS (
+  SELECT license_id, {canonical_sql('t')} AS c FROM (VALUES {_KNOWN}) v(license_id, t)),
+digests AS (SELECT DISTINCT license_id, sha256(c) AS digest FROM known WHERE c <> ''),
+cut AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\n|\\r') AS parts FROM documents),
+lines AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i FROM cut),
+canon AS (SELECT r, doc_id, i, {canonical_sql('line')} AS c FROM lines),
+units AS (
+  SELECT doc_id, 'line' AS scope, c FROM canon WHERE c <> ''
+  UNION ALL
+  SELECT doc_id, 'text', string_agg(c, ' ' ORDER BY i) FROM canon WHERE c <> '' GROUP BY r, doc_id)
+SELECT doc_id, license_id, scope, count(*) AS n_hits
+FROM units JOIN digests ON sha256(c) = digest GROUP BY doc_id, license_id, scope
+"""
