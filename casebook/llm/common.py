@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casebook.sources.io import materialize
@@ -20,21 +21,59 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def merged_blocks(parts: DataFrame, dtype, combine) -> dict[int, np.ndarray]:
+    """Arrays summed up (or or-ed) over all tasks: one per block number.
+
+    ``parts`` (block, data) holds each task's share of a fixed-size array, cut
+    into blocks. Blocks meet by number in a shuffle, so the driver receives the
+    array once, however many tasks there are.
+    """
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, data in zip(b.column("block").to_pylist(), b.column("data")):
+                part = np.frombuffer(data.as_buffer(), dtype)
+                held[k] = combine(held[k], part) if k in held else part.copy()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["block", "data"])
+    rows = parts.repartition("block").mapInArrow(run, "block long, data binary").collect()
+    return {r["block"]: np.frombuffer(r["data"], dtype) for r in rows}
+
+
+def blocks_of(array: np.ndarray, size: int) -> pa.RecordBatch:
+    """A task's share for ``merged_blocks``: blocks of ``size`` values, those of zeros left out."""
+    cut = [(k // size, array[k:k + size]) for k in range(0, len(array), size)]
+    cut = [(k, x) for k, x in cut if x.any()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in cut], pa.int64()), pa.array([x.tobytes() for _, x in cut], pa.binary())], ["block", "data"])
+
+
+def whole(blocks: dict[int, np.ndarray], n: int, size: int, dtype) -> np.ndarray:
+    out = np.zeros(n, dtype)
+    for k, x in blocks.items():
+        out[k * size:k * size + len(x)] = x
+    return out
+
+
 def bit_set(ids: DataFrame, column: str) -> np.ndarray:
     """A fixed-size bit set of the hashed 64-bit values in ``column``.
 
-    At most ``2**BIT_INDEX / 64`` rows reach the driver, each a 64-bit word.
-    Membership errs only towards "contained"; users check again exactly or
-    need no more than that.
+    Its size does not depend on the input. Membership errs only towards
+    "contained"; users check again exactly or need no more than that.
     """
-    bit = F.shiftrightunsigned(F.xxhash64(F.col(column)), 64 - BIT_INDEX)
-    words = (ids.select(F.shiftright(bit, 6).alias("w"), F.expr("1L").alias("one"), bit.bitwiseAND(F.lit(63)).cast("int").alias("b"))
-                .select("w", F.expr("shiftleft(one, b)").alias("m"))
-                .groupBy("w").agg(F.bit_or("m").alias("m")).collect())
-    out = np.zeros(1 << (BIT_INDEX - 6), dtype=np.int64)
-    for r in words:
-        out[r["w"]] = r["m"]
-    return out
+    return bits_by(ids.select(hashed_bit(column).alias("bit")), lambda b: b.column("bit").to_numpy().astype(np.int64))
+
+
+def bits_by(df: DataFrame, number) -> np.ndarray:
+    """Bit set of the bit numbers that ``number`` works out from the batches of a task."""
+    def run(batches):
+        words = np.zeros(1 << (BIT_INDEX - 6), np.uint64)
+        for b in batches:
+            at = number(b)
+            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        yield blocks_of(words, 1024)
+    got = merged_blocks(df.mapInArrow(run, "block long, data binary"), np.uint64, np.bitwise_or)
+    return whole(got, 1 << (BIT_INDEX - 6), 1024, np.uint64).view(np.int64)
 
 
 def hashed_bit(column: str):

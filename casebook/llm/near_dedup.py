@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import bit_set, hashed_bit, in_bits, stage
+from casebook.llm.common import BIT_INDEX, bit_set, bits_by, hashed_bit, in_bits, stage
 from casebook.llm.components import connected_components
 from casebook.llm.words import mix, shingle_sets, slices
 
@@ -42,7 +42,7 @@ SKETCH = 64                 # values per union sketch
 HEAVY_LIST = 50             # a value retained by more documents than this is ordered last
 LIST_ROWS = 64              # longest list completed by pairs of rows
 BLOCK = 256                 # classes per block of a longer list
-ORDER_BITS = 22
+ORDER_BITS = BIT_INDEX
 
 
 def retained(n: int, pct: int) -> int:
@@ -230,18 +230,9 @@ class _Corpus:
 
     @staticmethod
     def _order_bits(frequent: DataFrame) -> np.ndarray:
-        """Bit set of frequent values, by the hash that ``_heavy`` uses; bounded by its words."""
-        def run(batches):
-            words = np.zeros(1 << (ORDER_BITS - 6), np.uint64)
-            for b in batches:
-                at = mix(b.column("v").to_numpy().view(np.uint64)) >> np.uint64(64 - ORDER_BITS)
-                np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-            w = np.flatnonzero(words)
-            yield pa.RecordBatch.from_arrays([pa.array(w, pa.int64()), pa.array(words[w].view(np.int64))], ["w", "m"])
-        out = np.zeros(1 << (ORDER_BITS - 6), np.int64)
-        for r in frequent.select("v").mapInArrow(run, "w long, m long").groupBy("w").agg(F.bit_or("m").alias("m")).collect():
-            out[r["w"]] = r["m"]
-        return out
+        """Bit set of frequent values, by the hash that ``_heavy`` uses."""
+        return bits_by(frequent.select("v"), lambda b: (
+            mix(b.column("v").to_numpy().view(np.uint64)) >> np.uint64(64 - ORDER_BITS)).astype(np.int64))
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """``(cls, members)`` for the classes in ``wanted``, from their representatives' texts."""

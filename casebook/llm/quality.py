@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import stage
+from casebook.llm.common import blocks_of, merged_blocks, stage, whole
 from casebook.llm.words import _SPACE, mix, powers, prefix_hash, run_hashes, slices, word_spans
 
 BUCKETS = 1 << 16
@@ -41,6 +41,7 @@ REJECT_COST = 20
 MIN_WORDS = 20
 WINDOW = 8
 MICRO = 1_000_000
+COUNT_BLOCK = 4096
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -124,7 +125,7 @@ def _half(ids: pa.Array) -> np.ndarray:
 
 
 def _count_grams(batches):
-    """Raw and trusted n-gram counts of a task: one row per bucket."""
+    """A task's n-gram counts: raw, trusted of half 0, trusted of half 1, one after the other."""
     raw, good = np.zeros(BUCKETS, np.int64), np.zeros((2, BUCKETS), np.int64)
     for b in batches:
         trusted = b.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
@@ -137,9 +138,7 @@ def _count_grams(batches):
             for f in (0, 1):
                 good[f] += np.bincount(one[mine == f], minlength=BUCKETS)
                 good[f] += np.bincount(two[inside & (mine[:len(two)] == f)], minlength=BUCKETS)
-    at = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(raw[at]), pa.array(good[0][at]), pa.array(good[1][at])],
-                                      ["bucket", "raw", "good0", "good1"])
+    yield blocks_of(np.concatenate([raw, good[0], good[1]]), COUNT_BLOCK)
 
 
 def _score(ratio: np.ndarray):
@@ -170,11 +169,9 @@ def ngram_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray | None:
     """
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("trusted"))), "doc_id", "left")
     marked = marked.select("doc_id", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
-    rows = (marked.mapInArrow(_count_grams, "bucket long, raw long, good0 long, good1 long").groupBy("bucket")
-                  .agg(F.sum("raw").alias("raw"), F.sum("good0").alias("good0"), F.sum("good1").alias("good1")).collect())   # at most BUCKETS rows
-    raw, good = np.zeros(BUCKETS), np.zeros((2, BUCKETS))
-    for r in rows:
-        raw[r["bucket"]], good[:, r["bucket"]] = r["raw"], (r["good0"], r["good1"])
+    got = merged_blocks(marked.mapInArrow(_count_grams, "block long, data binary"), np.int64, np.add)
+    raw, *good = whole(got, 3 * BUCKETS, COUNT_BLOCK, np.int64).reshape(3, BUCKETS).astype(float)
+    good = np.array(good)
     if not good.sum(axis=1).all():
         return None
     p = (raw + 1) / (raw.sum() + BUCKETS)

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import bit_set, hashed_bit, in_bits, stage
+from casebook.llm.common import BIT_INDEX, bit_set, bits_by, hashed_bit, in_bits, stage
 from casebook.llm.words import SLICE_BYTES, mix, powers, prefix_hash, slices
 
 LENGTH = 400
@@ -127,7 +127,7 @@ def _fetch(length: int, k: int, docs_bits: np.ndarray, gram_bits: np.ndarray):
             b = b.filter(pa.array(in_bits(docs_bits, b.column("bit").to_numpy().astype(np.int64))))
             for _, data, off, _ in _pieces(b.column("text"), length) if b.num_rows else ():
                 _, first, last, f, g = stretches(data, off, length, k)
-                take = in_bits(gram_bits, (mix(f) >> np.uint64(64 - 22)).astype(np.int64))
+                take = in_bits(gram_bits, _gram_number(f))
                 if not take.any():
                     continue
                 first, last, f, g = first[take], last[take], f[take], g[take]
@@ -321,23 +321,13 @@ def _only(bits: np.ndarray, inside: bool):
     return run
 
 
-def _gram_bit(column: str):
-    """Bit number of a k-gram hash, as ``_fetch`` computes it, by a task's own arithmetic."""
-    def run(batches):
-        for b in batches:
-            at = (mix(b.column(column).to_numpy().view(np.uint64)) >> np.uint64(64 - 22)).astype(np.int64)
-            words = np.zeros(1 << 16, np.uint64)
-            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-            w = np.flatnonzero(words)
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(words[w].view(np.int64))], ["w", "m"])
-    return run
+def _gram_bits(grams: DataFrame) -> np.ndarray:
+    """Bit set of k-gram hashes, numbered as in ``_fetch``."""
+    return bits_by(grams.select("f"), lambda b: _gram_number(b.column("f").to_numpy().view(np.uint64)))
 
 
-def _gram_bits(grams: DataFrame) -> np.ndarray:
-    out = np.zeros(1 << 16, np.int64)
-    for r in grams.select("f").mapInArrow(_gram_bit("f"), "w long, m long").groupBy("w").agg(F.bit_or("m").alias("m")).collect():
-        out[r["w"]] = r["m"]                          # at most 65,536 rows
-    return out
+def _gram_number(f: np.ndarray) -> np.ndarray:
+    return (mix(f) >> np.uint64(64 - BIT_INDEX)).astype(np.int64)
 
 
 def _findings(docs: DataFrame, length: int, k: int, keep_first: bool):

@@ -211,6 +211,7 @@ def test_candidate_recall_against_all_windows(spark, monkeypatch):
     df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in D.leaks(df, it).collect()}
     monkeypatch.setattr(D, "COSINE", -2.0)
+    monkeypatch.setattr(D, "OVERLAP", 0.0)
     every = {(r.doc_id, r.item_id) for r in D.leaks(df, it).collect()}
     assert found <= every and len(found) >= 0.9 * len(every) and every
 

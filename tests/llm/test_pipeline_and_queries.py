@@ -69,7 +69,7 @@ def test_stages_on_odd_rows(spark, docs, empty, tmp_path):
     spark.createDataFrame([(1, "nothing of this")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, step in P.STAGES:
         out = step(spark, docs, str(tmp_path))
-        assert out.count() <= docs.count()
+        assert {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
         assert step(spark, empty, str(tmp_path)).collect() == []
         if name != "mix":
             assert out.columns == docs.columns
