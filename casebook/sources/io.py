@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from casebook.session import checkpoint_dir
 
 _staged: dict[str, list[str]] = {}                  # application id -> folders it has staged
-_shared: dict[tuple, DataFrame] = {}                # (application id, name, key) -> stage
+_shared: dict[tuple, str] = {}                      # (application id, name, key) -> folder of the stage
 
 
 def table_path(spark, name: str) -> str:
@@ -47,9 +47,13 @@ def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
 def materialize_once(spark: SparkSession, name: str, key, build, partition_by=None) -> DataFrame:
     """The stage ``name`` for ``key`` (its inputs), built by ``build()`` on first use in this session."""
     at = (spark.sparkContext.applicationId, name, key)
-    if at not in _shared:
-        _shared[at] = materialize(build(), name, partition_by)
-    return _shared[at]
+    if at in _shared:
+        fs, done = _file(spark, f"{_shared[at]}/_SUCCESS")
+        if fs.exists(done):
+            return spark.read.parquet(_shared[at])
+    out = materialize(build(), name, partition_by)
+    _shared[at] = _staged[at[0]][-1]
+    return out
 
 
 def _file(spark, path: str):

@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
-import __spark_entry__ as E  # noqa: E402
+from casebook.plans import all_queries  # noqa: E402
 from casebook.session import build_session  # noqa: E402
 
 WIDE = {"lineitem": 11, "orders": 6, "customer": 5, "part": 6, "events": 6}
@@ -74,7 +74,7 @@ def main():
     print("PARTITION BY (one task), Python UDFs, and scans reading every column of a wide table.")
     print("Queries not listed have none of these.\n")
     print("| query | flag | why it is bounded |\n|---|---|---|")
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(all_queries().items()):
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
         text = spark._jvm.PythonSQLUtils.explainString(qe, "formatted")

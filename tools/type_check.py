@@ -2,7 +2,7 @@
 import sys
 sys.path.insert(0, "/root/repo")
 import duckdb
-import __spark_entry__ as E
+from casebook.plans import all_oracles, all_queries
 from casebook.session import build_session
 from casebook.sources.tables import TABLES
 d = "/root/testdata/sf0.001"
@@ -13,7 +13,7 @@ for t in TABLES:
 M = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
      "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP", "BooleanType()": "BOOLEAN",
      "ShortType()": "SMALLINT", "FloatType()": "FLOAT", "ByteType()": "TINYINT"}
-qs, sqls = E.queries(), E.oracle_sql()
+qs, sqls = all_queries(), all_oracles()
 bad = 0
 for n in sorted(qs):
     df = qs[n](sp, d)

@@ -10,7 +10,7 @@ tz = sys.argv[1] if len(sys.argv) > 1 else "America/Los_Angeles"
 spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", tz).getOrCreate())
 spark.sparkContext.setLogLevel("ERROR")
-import __spark_entry__ as E
+from casebook.plans import all_oracles, all_queries
 from casebook.sources.tables import TABLES
 d = "/root/testdata/sf0.001"
 con = duckdb.connect()
@@ -27,7 +27,7 @@ def canon(cols, rs):
     o = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(norm(r[i]) for i in o) for r in rs), key=repr)
 bad = []
-qs, sq = E.queries(), E.oracle_sql()
+qs, sq = all_queries(), all_oracles()
 for n in sorted(qs):
     df = qs[n](spark, d)
     res = con.execute(sq[n])
