@@ -137,6 +137,30 @@ def test_counts_equal_the_exact_tokenizer(spark, docs, empty):
     assert T.token_counts(empty, vocabulary=vocabulary).collect() == []
 
 
+def test_counts_equal_the_encoder_of_the_production_file(spark):
+    import sentencepiece
+    exact = sentencepiece.SentencePieceProcessor(model_file=T.MODEL)
+    rnd = random.Random(10)
+    pieces = [exact.id_to_piece(i).replace(T.MARK, " ") for i in range(259, exact.get_piece_size())]
+    texts = [None, "", " ", "The quick brown fox", "  two\n\n  lines\t", "▁a▁ b", "a▁", "日本語 😀\x00", "\r\n;\r\n", "<s>a</s><0x0A>", " " * 50 + "x"]
+    texts += ["".join(rnd.choice("abcéz▁ \n日\r\t;)}😀th ing") for _ in range(rnd.randint(0, 60))) for _ in range(1000)]
+    texts += ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 8))) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in T.token_counts(df).collect()}
+    assert got == {i: len(exact.encode(t or "")) for i, t in enumerate(texts)}
+    with pytest.raises(ValueError):
+        T.load_vocabulary()
+
+
+def test_op3_equals_the_encoder(spark):
+    import sentencepiece
+    from casebook.llm.queries import op3_token_counts
+    exact = sentencepiece.SentencePieceProcessor(model_file=T.MODEL)
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert {r.doc_id: r.n_tokens for r in op3_token_counts(spark, "/root/testdata/sf0.001").collect()} == {
+        i: len(exact.encode(t or "")) for i, t in texts.items()}
+
+
 # ---------------------------------------------------------------- mixing
 
 def test_exponent_and_quotas(spark):
