@@ -121,6 +121,24 @@ def test_whole_licence_text(spark):
     assert [tuple(r) for r in licences.scan(docs, known).collect()] == [(1, "Own", "text", 1)]
 
 
+def test_default_table_knows_whole_licences_however_wrapped(spark):
+    import textwrap
+    rows, want = [], set()
+    for key, text in licences.TEXTS.items():
+        paragraphs = [x if re.search("(?im)^ *copyright [(\\[]", x) else " ".join(x.split()) for x in text.replace("License", "Licence").replace("http://", "https://").split("\n\n")]
+        for width in (40, 61, 72, 100, 10_000):
+            flowed = "\n\n".join(x if re.search("(?im)^ *copyright [(\\[]", x) else textwrap.fill(x, width, break_on_hyphens=False, break_long_words=False) for x in paragraphs)
+            notice = "" if key in ("Apache-2.0", "CC0-1.0", "MPL-2.0") or "GPL" in key else "Copyright (c) 2021-2024 Some One <a@b.c>\nAll rights reserved.\n\n"
+            for body in (notice + flowed, "\n".join(f" * {x}" for x in (notice + flowed.upper()).split("\n"))):
+                rows.append((len(rows), body))
+                want.add((len(rows) - 1, key, "text", 1))
+    rows += [(len(rows), "The MIT License (MIT)\n\nCopyright 2020 A\n\n" + licences.TEXTS["MIT"]),
+             (len(rows) + 1, licences.TEXTS["MIT"].replace("free of charge", "for a fee"))]
+    want.add((len(rows) - 2, "MIT", "text", 1))
+    got = {tuple(r) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("scope = 'text'").collect()}
+    assert got == want
+
+
 # ---------------------------------------------------------------- token counts
 
 def test_counts_equal_the_exact_tokenizer(spark, docs, empty):
