@@ -6,11 +6,19 @@
    hold (tags, roles and class words below). A container scores the characters
    outside links of its own blocks, and half as much per level of what its
    inner containers score.
-2. The page votes for the path of its best container: tags and classes from
+   The article is the container with the best score, or rather the highest one
+   around it that adds ADDS_PCT of text outside links to what it holds (any such
+   text, if it is an ``article`` or ``main`` element): titles, leads and sections
+   of another class belong to it.
+2. The page votes for the path of its article: tags and classes from
    the root, digits generalised to ``#``. Spark counts the votes per host; most
    votes win, then the higher total score, then the smaller path.
 3. The text is taken from the containers on the host's winning path; from the
-   page's own best container if the page has none on it or has no host.
+   page's own article if the page has none on it or has no host. It is also
+   taken from there if the winning path holds less than COVERS_PCT of it and
+   the host knows the path of the page's article as one: at least half of the
+   pages that hold the path vote for it (a second template; not a side panel
+   that is long on one page).
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by ``\\n`` in page order. A null or empty page has an
@@ -41,6 +49,8 @@ SKIP_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                        "navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices popup "
                        "modal newsletter subscribe share sharing social related comment comments disqus replies respond widget "
                        "pagination pager toolbar alert skip".split())
+ADDS_PCT = 5
+COVERS_PCT = 50
 ARTICLE_WORDS = frozenset("article entry post content story".split())
 
 _TOKEN = re.compile(
@@ -146,42 +156,80 @@ class Page:
         flush()
 
     def best(self) -> tuple[int, float]:
-        """The container with the highest score (the first of equals)."""
+        """The article: its container and the characters outside links it holds."""
         score = [0.0] * len(self.paths)
         for box, _, plain in self.blocks:
             score[box] += plain
+        held = [int(x) for x in score]
         for box in range(len(score) - 1, 0, -1):      # inner containers come later
             score[self.parents[box]] += score[box] / 2
-        top = max(range(len(score)), key=lambda b: (score[b], -b))
-        return top, score[top]
+            held[self.parents[box]] += held[box]
+        top = max(range(len(score)), key=lambda b: (score[b], -b))     # the first of equals
+        box = self.parents[top]
+        while box >= 0:
+            more = held[box] - held[top]
+            tag = self.paths[box].rpartition(">")[2].partition(".")[0]
+            if more > 0 and (100 * more >= ADDS_PCT * held[box] or tag in ("article", "main")):
+                top = box
+            box = self.parents[box]
+        return top, held[top]
 
-    def text(self, path: str | None) -> str:
-        """Text of the containers on ``path``, or of the best container if there are none."""
-        chosen = {b for b, p in enumerate(self.paths) if p == path} or {self.best()[0]}
+    def within(self, chosen: set[int]) -> list[bool]:
+        """Which containers are among the chosen or inside one."""
         inside = [False] * len(self.paths)
         for b in range(len(inside)):
             inside[b] = b in chosen or (b > 0 and inside[self.parents[b]])
+        return inside
+
+    def text(self, path: str | None) -> str:
+        """Text of the containers on ``path``, or of the article if there are none."""
+        inside = self.within({b for b, p in enumerate(self.paths) if p == path} or {self.best()[0]})
         return "\n".join(t for b, t, _ in self.blocks if inside[b])
 
+    def own(self, path: str | None) -> tuple[str, str | None]:
+        """Path of the article; its text, if the containers on ``path`` hold too little of it."""
+        box, size = self.best()
+        chosen = {b for b, p in enumerate(self.paths) if p == path}
+        if not chosen or self.paths[box] == path:
+            return self.paths[box], None
+        inside, article = self.within(chosen), self.within({box})
+        covered = sum(plain for b, _, plain in self.blocks if inside[b] and article[b])
+        if 100 * covered >= COVERS_PCT * size:
+            return self.paths[box], None
+        return self.paths[box], "\n".join(t for b, t, _ in self.blocks if article[b])
+
 
 def _votes(batches):
+    """Per batch, host and path: pages that hold it, pages that vote for it, their score."""
     for b in batches:
-        host, path, score = [], [], []
+        held: dict[tuple, list[int]] = {}
         for h, source in zip(b.column("host").to_pylist(), b.column("html")):
             page = Page(source.as_py() or "")
             if page.blocks:
                 box, points = page.best()
-                host.append(h)
-                path.append(page.paths[box])
-                score.append(int(points * 64))
-        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(score, pa.int64())],
-                                         ["host", "path", "score"])
+                for path in set(page.paths):
+                    x = held.setdefault((h, path), [0, 0, 0])
+                    x[0] += 1
+                    if path == page.paths[box]:
+                        x[1] += 1
+                        x[2] += int(points)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[j] for k in held], pa.string()) for j in (0, 1)]
+            + [pa.array([x[j] for x in held.values()], pa.int64()) for j in (0, 1, 2)], ["host", "path", "pages", "votes", "score"])
 
 
 def _extract(batches):
     for b in batches:
-        texts = [Page(s.as_py() or "").text(p) for s, p in zip(b.column("html"), b.column("path").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+        texts, own, spare = [], [], []
+        for s, p in zip(b.column("html"), b.column("path").to_pylist()):
+            page = Page(s.as_py() or "")
+            texts.append(page.text(p))
+            path, text = page.own(p)
+            own.append(path)
+            spare.append(text)
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), pa.array(own, pa.string()),
+                                          pa.array(texts, pa.string()), pa.array(spare, pa.string())],
+                                         ["page_id", "url", "host", "own", "text", "spare"])
 
 
 def host_of(url: Column) -> Column:
@@ -190,17 +238,25 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def consensus_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the winning container path of every host."""
+def path_votes(pages: DataFrame) -> DataFrame:
+    """(host, path, pages, votes, score) of the paths that have votes."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html").where("host is not null")
-    votes = (rows.mapInArrow(_votes, "host string, path string, score long")
-                 .groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score")))
-    return votes.groupBy("host").agg(F.min(F.struct(-F.col("n"), -F.col("score"), "path")).alias("w")).select("host", "w.path")
+    return (rows.mapInArrow(_votes, "host string, path string, pages long, votes long, score long").groupBy("host", "path")
+                .agg(*(F.sum(c).alias(c) for c in ("pages", "votes", "score"))).where("votes > 0"))
+
+
+def consensus_paths(votes: DataFrame) -> DataFrame:
+    """(host, path): the winning container path of every host."""
+    return votes.groupBy("host").agg(F.min(F.struct(-F.col("votes"), -F.col("score"), "path")).alias("w")).select("host", "w.path")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars."""
-    paths = stage(consensus_paths(pages), "html_paths")
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(paths, "host", "left")
-    out = rows.select("page_id", "url", "html", "path").mapInArrow(_extract, "page_id long, url string, text string")
+    votes = stage(path_votes(pages), "html_paths")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(consensus_paths(votes), "host", "left")
+    out = rows.select("page_id", "url", "host", "html", "path").mapInArrow(
+        _extract, "page_id long, url string, host string, own string, text string, spare string")
+    known = votes.where("2 * votes >= pages").select("host", F.col("path").alias("own"), F.lit(True).alias("known"))
+    out = out.join(known, ["host", "own"], "left")
+    out = out.select("page_id", "url", F.when(F.col("known") & F.col("spare").isNotNull(), F.col("spare")).otherwise(F.col("text")).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

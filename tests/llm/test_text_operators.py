@@ -245,6 +245,22 @@ def test_host_vote_overrides_a_page(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_article_over_unlike_containers(spark):
+    lead = HEAD + "<article><h1>Title</h1><div class=lead>" + "a" * 100 + "</div><div class=body>" + "b" * 1000 + "</div></article></body>"
+    sections = HEAD + "<div class=wrap><section class=one>" + "c" * 1000 + "</section><section class=two>" + "d" * 500 + "</section></div></body>"
+    short = HEAD + "<main><h1>Title</h1><div class=body>" + "e" * 5000 + "</div></main></body>"
+    rows = [(i * 10 + k, f"http://h{i}.example/{k}", x) for i, x in enumerate((lead, sections, short)) for k in range(3)]
+    # Two templates on a host; the second also holds the first one's path, with a few words.
+    first, second = HEAD + "<div>" + "f" * 800 + "</div>", HEAD + "<div>Nine words</div><section class=story>" + "g" * 900 + "</section>"
+    rows += [(100 + k, f"http://two.example/{k}", first if k < 5 else second) for k in range(7)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(3):
+        assert got[k] == "Title\n" + "a" * 100 + "\n" + "b" * 1000
+        assert got[10 + k] == "c" * 1000 + "\n" + "d" * 500
+        assert got[20 + k] == "Title\n" + "e" * 5000
+    assert [got[100 + k] for k in range(7)] == ["f" * 800] * 5 + ["g" * 900] * 2
+
+
 def test_page_table_against_plain_rules(spark):
     """The article of the test pages by simple cutting."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
