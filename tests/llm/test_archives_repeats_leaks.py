@@ -216,6 +216,21 @@ def test_candidate_recall_against_all_windows(spark, monkeypatch):
     assert found <= every and len(found) >= 0.9 * len(every) and every
 
 
+def test_short_items_inside_running_text():
+    """Exact copies of short items among other words: at least 0.9 are candidates, for every length."""
+    rng = D.np.random.default_rng(4)
+    basis = rng.standard_normal((D.FEATURES, D.RANK)).astype(D.np.float32)
+    for n in (5, 6, 8, 10, 12, 15, 20):
+        items = [(k, rng.integers(0, 2**63, n).astype(D.np.uint64).tolist(), (set(), 0)) for k in range(40)]
+        block, found = D._Block(basis, D.np.ones(D.FEATURES), items), 0
+        for k, words, _ in items:
+            text = rng.integers(0, 2**63, 300).astype(D.np.uint64)
+            at = int(rng.integers(0, 280))
+            text[at:at + n] = words[:300 - at]
+            found += any(k in item.tolist() for _, item, _ in block.candidates(text, D.np.array([0, 300])))
+        assert found >= 36, n
+
+
 def test_answers_and_edge_cases(spark, docs, empty):
     question = " ".join(f"ask{i}" for i in range(30))
     items = spark.createDataFrame([(1, question, "blue whale"), (2, None, "x"), (3, "", "y"), (4, "...", None), (None, question, None)], "item_id long, text string, answer string")
