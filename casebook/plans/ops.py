@@ -8,7 +8,7 @@ from casebook.operators.broadcast import broadcast_if_small
 from casebook.operators.hierarchy import ancestors
 from casebook.operators.rowid import global_row_number
 from casebook.sources import subjects as S
-from casebook.sources.io import append, replace_table
+from casebook.sources.io import append, new_version, replace_table
 from casebook.sources.tables import table
 from casebook.sources.subjects_sql import with_views
 
@@ -42,8 +42,8 @@ def appended_customers(sp, d):
     """A table created from one part of the customers, the rest inserted into it."""
     c = table(sp, d, "customer", "c_custkey", "c_name", "c_acctbal")
     positive = F.col("c_acctbal") > 0
-    replace_table(c.where(positive), "customers_by_part")
-    return append(c.where(~F.coalesce(positive, F.lit(False))), "customers_by_part")
+    path = new_version(c.where(positive), "customers_by_part")
+    return append(c.where(~F.coalesce(positive, F.lit(False))), "customers_by_part", path)
 
 
 def hierarchy_paths(sp, d):

@@ -83,18 +83,26 @@ def _current(spark, name: str) -> str | None:
     return max((x.toString() for x in done), default=None)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Idempotent DROP + CREATE of a named table: a new version, current once it is complete."""
-    spark = df.sparkSession
-    path = f"{table_path(spark, name)}/versions/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+def new_version(df: DataFrame, name: str) -> str:
+    """Writes a new version of a named table, current once it is complete; returns its folder."""
+    path = f"{table_path(df.sparkSession, name)}/versions/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def replace_table(df: DataFrame, name: str) -> DataFrame:
+    """Idempotent DROP + CREATE of a named table."""
+    return df.sparkSession.read.parquet(new_version(df, name))
 
 
-def append(df: DataFrame, name: str) -> DataFrame:
-    """INSERT INTO a named table (created if it does not exist); returns the whole table."""
+def append(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """INSERT INTO a named table (created if it does not exist); returns the whole table.
+
+    ``path`` is the version to add to, as ``new_version`` returned it; without
+    it the current one, which another session may have written.
+    """
     spark = df.sparkSession
-    path = _current(spark, name)
+    path = path or _current(spark, name)
     if path is None:
         return replace_table(df, name)
     df.write.mode("append").parquet(path)

@@ -136,3 +136,18 @@ def test_broadcast_only_when_estimate_is_small(spark):
     assert broadcast_if_small(spark.createDataFrame([(1,)], "k int")) is not None
     assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_append_keeps_to_the_version_of_its_run(spark, monkeypatch):
+    """Another run replaces the table between the two steps of op_S7."""
+    from casebook.plans import all_queries, ops
+    from casebook.sources import io
+    foreign = spark.range(3)
+
+    def disturbed(df, name, *path):
+        io.replace_table(foreign, name)
+        return io.append(df, name, *path)
+    monkeypatch.setattr(ops, "append", disturbed)
+    query = next(f for k, f in all_queries().items() if k.startswith("op_S7"))
+    sf = "/root/testdata/sf0.001"
+    assert query(spark, sf).count() == spark.read.parquet(f"{sf}/customer.parquet").count()
