@@ -13,6 +13,9 @@ from casebook.llm.licences import canonical_sql, notices, scan
 from casebook.llm.line_dedup import dedup_lines
 from casebook.llm.mixing import mix_sources
 from casebook.llm.near_dedup import near_duplicates
+from casebook.llm.packing import pack
+from casebook.llm.phrases import collocations
+from casebook.llm.prefix_trie import prefix_trie
 from casebook.llm.quality import judged
 from casebook.llm.repeats import remove_repeats
 from casebook.llm.token_counts import token_counts
@@ -67,9 +70,23 @@ def op10_licences(spark, sf_dir):
     return scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_packing(spark, sf_dir):
+    import public_tokenizers
+    return pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations(read_table(spark, sf_dir, "documents", "lang", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_decontaminate, op3_token_counts, op4_near_dedup, op5_quality_rules, op6_mix_sources,
-    op7_html_text, op8_line_dedup, op9_repeated_bytes, op10_licences)}
+    op7_html_text, op8_line_dedup, op9_repeated_bytes, op10_licences,
+    op11_packing, op12_prefix_trie, op13_collocations)}
 
 ORACLE: dict[str, str] = {}
 
@@ -125,3 +142,70 @@ units AS (
 SELECT doc_id, license_id, scope, count(*) AS n_hits
 FROM units JOIN digests ON sha256(c) = digest GROUP BY doc_id, license_id, scope
 """
+
+# CRC-32 of a decimal number, byte by byte and bit by bit; only its two lowest bits are used.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(CAST(conv_id AS VARCHAR), '.'), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+ORACLE["op12_prefix_trie"] = rf"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+joined AS (
+  SELECT i.conv_id, 0 AS part, o.k, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.base AND o.k <= i.h
+  UNION ALL
+  SELECT i.conv_id, 1, o.k, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.k > i.h),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS depth, role, text FROM joined),
+prefix AS (
+  SELECT conv_id, depth, len(regexp_extract_all(text, '[^ 	-]+')) AS words,
+         list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+         list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above,
+         count(*) OVER (PARTITION BY conv_id) AS length FROM turns
+  UNION ALL
+  SELECT i.conv_id, 0, 0, NULL, NULL, (SELECT count(*) FROM turns t WHERE t.conv_id = i.conv_id) FROM ids i),
+node AS (
+  SELECT depth, path, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, max(length) AS longest,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = depth), '') AS ends
+  FROM prefix GROUP BY depth, path),
+linked AS (
+  SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.words, n.longest, n.ends
+  FROM node n LEFT JOIN node u ON u.depth = n.depth - 1 AND u.path IS NOT DISTINCT FROM n.above),
+member AS (SELECT DISTINCT p.conv_id, p.depth, n.conv_id AS node FROM prefix p JOIN node n ON n.depth = p.depth AND n.path IS NOT DISTINCT FROM p.path),
+below AS (
+  SELECT m.node AS conv_id, m.depth, count(*) FILTER (WHERE l.longest = l.depth) AS n_leaves, sum((l.n_convs - 1) * l.words) AS saved_tokens
+  FROM member m JOIN linked l ON l.conv_id = m.conv_id AND l.depth >= m.depth GROUP BY m.node, m.depth),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL)
+SELECT l.conv_id, CAST(l.depth AS BIGINT) AS depth, l.parent_conv_id, l.n_convs, coalesce(k.n_children, 0) AS n_children,
+       b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(l.ends) AS ends_sha256
+FROM linked l JOIN below b ON b.conv_id = l.conv_id AND b.depth = l.depth
+LEFT JOIN kids k ON k.conv_id = l.conv_id AND k.depth = l.depth
+"""
+
+ORACLE["op13_collocations"] = r"""
+WITH low AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+piece AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?
+-]')), '[^ 	]+') AS w FROM low),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (VALUES (1), (2), (3), (4)) s(k))),
+f AS (SELECT lang, k, g, string_split(g, ' ') AS w, count(*) AS f FROM gram GROUP BY lang, k, g HAVING count(*) >= 30),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+cut AS (
+  SELECT lang, k, g, f AS a, c, array_to_string(w[1:c], ' ') AS lg, array_to_string(w[c + 1:k], ' ') AS rg
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+scored AS (
+  SELECT cut.lang, cut.k, cut.g, cut.a, lf.f AS l, rf.f AS r, cut.c, CAST(CAST(2000000 AS HUGEINT) * cut.a // (CAST(lf.f AS HUGEINT) + rf.f) AS BIGINT) AS score
+  FROM cut JOIN f lf ON lf.lang = cut.lang AND lf.k = cut.c AND lf.g = cut.lg JOIN f rf ON rf.lang = cut.lang AND rf.k = cut.k - cut.c AND rf.g = cut.rg),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+part AS (
+  SELECT lang, array_to_string(w[s:s + n - 1], ' ') AS g, f
+  FROM (SELECT lang, w, k, f, n, unnest(range(1, k - n + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS n FROM f WHERE k > 2))),
+longer AS (SELECT lang, g, max(f) AS f FROM part GROUP BY lang, g),
+kept AS (
+  SELECT b.lang, b.g, b.a, b.l, b.r, b.score FROM best b LEFT JOIN longer p ON p.lang = b.lang AND p.g = b.g
+  WHERE p.f IS NULL OR 100 * p.f < 80 * b.a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM kept JOIN total ON total.lang = kept.lang QUALIFY rank <= 2000
+"""
