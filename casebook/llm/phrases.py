@@ -44,6 +44,7 @@ NESTED_PCT = 80
 TOP = 2000
 SET_BITS = (16, 27)                  # bits of a set of frequent phrases: at most 2**27, 16 MB
 SLICE = 4 << 20
+CHECK_SALT = 1 << 40                 # a second hash that tells words of one number apart
 
 
 def _bytes(chars: bytes) -> np.ndarray:
@@ -182,7 +183,11 @@ def _vocabulary(period: int, salt: int):
             at = np.flatnonzero(own)
             u, first, inv = np.unique(w[at], return_index=True, return_inverse=True)
             total = np.bincount(inv, n[at], len(u)).astype(np.int64)
-            text = [bytes(data[s:e]) for s, e in zip(starts[at[first]].tolist(), ends[at[first]].tolist())]
+            check = _numbers(data, starts[at], ends[at], None, CHECK_SALT)
+            clash = np.flatnonzero(check != check[first][inv])       # another word with this number: shown, not counted twice
+            first = at[np.append(first, clash)]
+            u, total = w[first], np.append(total, np.zeros(len(clash), np.int64))
+            text = [bytes(data[s:e]) for s, e in zip(starts[first].tolist(), ends[first].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(u), pa.string()), pa.array(u.view(np.int64)),
                                               pa.array(text, pa.binary()).cast(pa.string()), pa.array(total)], ["lang", "w1", "word", "n"])
     return run

@@ -71,7 +71,8 @@ def test_full_sets_change_no_count(spark, monkeypatch):
 
 def test_words_that_share_a_number_are_renumbered(spark, monkeypatch):
     rows, true, seen = texts(5, 60, 8, 40), P._numbers, []
-    monkeypatch.setattr(P, "_numbers", lambda data, s, e, h, salt: true(data, s, e, h, salt) if salt > 1 else h & np.uint64(3))
+    monkeypatch.setattr(P, "_numbers", lambda data, s, e, h, salt: true(data, s, e, h, salt) if salt > 1 else true(data, s, e, h, salt) & np.uint64(3))
+    monkeypatch.setattr(P, "CHECK_SALT", 77)
     counted = P._vocabulary
     monkeypatch.setattr(P, "_vocabulary", lambda period, salt: seen.append(salt) or counted(period, salt))
     assert result(spark, rows, least=4, top=50) == brute(rows, 4, 50)
