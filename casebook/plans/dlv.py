@@ -10,6 +10,7 @@ from casebook.functions.dates import seconds_between, time_of_day
 from casebook.functions.labels import day_name
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows
+from casebook.operators.lookup import names_by_role
 from casebook.operators.validate import validate
 from casebook.sources.io import materialize
 from casebook.sources import subjects as S
@@ -253,32 +254,30 @@ def menu_extension(names, recipes, toppings):
 
 
 # ---- ingredient work per order line (D17-D19) ----------------------------------
-# Toppings stay in the line's arrays; names come from one map of the topping
-# vocabulary, so a line is neither exploded nor joined to its toppings.
-MENU_WORDS = 100_000
+# Names come from the topping table by one join per role (operators/lookup.py),
+# so the vocabulary may have any size; D19 counts before it joins.
+def _names(found) -> F.Column:
+    return F.array_sort(F.filter(F.transform(found, lambda x: x["name"]), lambda n: n.isNotNull()))
 
 
-def topping_map(toppings: DataFrame) -> F.Column:
-    """The vocabulary as one map id -> name; more than MENU_WORDS entries are refused (no menu)."""
-    if toppings.limit(MENU_WORDS + 1).count() > MENU_WORDS:
-        raise ValueError(f"more than {MENU_WORDS} toppings: not a menu, join them instead of one map")
-    return toppings.agg(F.map_from_entries(F.collect_list(F.struct("topping_id", "topping_name")))).scalar()
-
+def line_labels(co, names, toppings):
+    lines = co.withColumns({c: F.array_distinct(c) for c in ("exclusions", "extras")})
+    lines = names_by_role(lines, ["exclusions", "extras"], toppings, "topping_id", "topping_name", stage="label_lines")
 
-def _named(ids, names: F.Column) -> F.Column:
-    found = F.transform(F.array_distinct(ids), lambda x: F.try_element_at(names, x))
-    return F.array_sort(F.filter(found, lambda n: n.isNotNull()))
+    def part(word, found):
+        named = _names(F.col(found))
+        return F.when(F.size(named) > 0, F.concat(F.lit(f" - {word} "), F.array_join(named, ", "))).otherwise(F.lit(""))
+    label = F.concat(F.col("pizza_name"), part("Exclude", "exclusions_found"), part("Extra", "extras_found"))
+    return lines.join(names, "pizza_id").select("order_id", "customer_id", "pizza_id", label.alias("order_item"))
 
 
-def line_labels(co, names, toppings):
-    co = co.withColumn("_names", topping_map(toppings))
-    vocabulary = F.col("_names")
+def two_roles(co, toppings):
+    """Exclusions and extras of every line by name, each in its stored order; NULL where there is none."""
+    lines = names_by_role(co, ["exclusions", "extras"], toppings, "topping_id", "topping_name", stage="role_lines")
 
-    def part(word, ids):
-        found = _named(F.col(ids), vocabulary)
-        return F.when(F.size(found) > 0, F.concat(F.lit(f" - {word} "), F.array_join(found, ", "))).otherwise(F.lit(""))
-    label = F.concat(F.col("pizza_name"), part("Exclude", "exclusions"), part("Extra", "extras"))
-    return co.join(names, "pizza_id").select("order_id", "customer_id", "pizza_id", label.alias("order_item"))
+    def text(found):
+        return F.nullif(F.array_join(F.transform(found, lambda x: x["name"]), ", "), F.lit(""))
+    return lines.select("order_id", "customer_id", "pizza_id", text("exclusions_found").alias("excluded"), text("extras_found").alias("added"))
 
 
 def _recipe_arrays(recipes):
@@ -286,14 +285,12 @@ def _recipe_arrays(recipes):
 
 
 def ingredient_labels(co, names, recipes, toppings):
-    co = co.withColumn("_names", topping_map(toppings))
-    vocabulary = F.col("_names")
     none = F.array().cast("array<int>")
     j = co.join(names.join(_recipe_arrays(recipes), "pizza_id"), "pizza_id")
     used = F.concat(F.array_except("recipe", F.coalesce("exclusions", none)), F.coalesce("extras", none))
-    j = j.withColumn("used", used)
-    count = F.transform(F.array_distinct("used"), lambda x: F.struct(
-        F.try_element_at(vocabulary, x).alias("name"), F.size(F.filter("used", lambda y: y == x)).alias("k")))
+    j = j.select("order_id", "customer_id", "pizza_id", "pizza_name", used.alias("used"), F.array_distinct(used).alias("kinds"))
+    j = names_by_role(j, ["kinds"], toppings, "topping_id", "topping_name", stage="ingredient_lines")
+    count = F.transform("kinds_found", lambda x: F.struct(x["name"].alias("name"), F.size(F.filter("used", lambda y: y == x["id"])).alias("k")))
     count = F.array_sort(F.filter(count, lambda c: c["name"].isNotNull()))
     text = F.array_join(F.transform(count, lambda c: F.when(c["k"] > 1, F.concat(c["k"].cast("string"), F.lit("x"), c["name"]))
                                     .otherwise(c["name"])), ", ")
@@ -479,6 +476,15 @@ _reg("D17_order_line_labels",
                       || COALESCE(' - Extra ' || {_LBL.format(c='extras')}, '') AS order_item
           FROM lines l JOIN pizza_names USING (pizza_id)) x, range(0, CAST(n AS BIGINT)) r""",
      CO + " " + ING + " lines")
+_reg("op_J5_two_role_lookup", lambda sp, d: two_roles(_co(sp, d), S.dlv_toppings(sp, d)),
+     """WITH e AS (SELECT order_id, customer_id, pizza_id, exclusions, extras, n, row_number() OVER () AS r FROM lines),
+             x AS (SELECT r, 'e' AS role, unnest(exclusions) AS topping_id, generate_subscripts(exclusions, 1) AS place FROM e
+                   UNION ALL SELECT r, 'a', unnest(extras), generate_subscripts(extras, 1) FROM e),
+             t AS (SELECT r, string_agg(topping_name, ', ' ORDER BY place) FILTER (WHERE role = 'e') AS excluded,
+                          string_agg(topping_name, ', ' ORDER BY place) FILTER (WHERE role = 'a') AS added
+                   FROM x JOIN pizza_toppings USING (topping_id) GROUP BY r)
+        SELECT order_id, customer_id, pizza_id, excluded, added
+        FROM e LEFT JOIN t USING (r), range(0, CAST(n AS BIGINT)) q""", CO + " " + ING + " lines")
 _reg("D18_ingredient_labels",
      lambda sp, d: ingredient_labels(_co(sp, d), S.dlv_pizza_names(sp, d), S.dlv_recipes(sp, d),
                                      S.dlv_toppings(sp, d)),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window as W, functions as F, types as T
 
 from casebook.operators.broadcast import broadcast_if_small
 from casebook.operators.hierarchy import ancestors
+from casebook.operators.neighbours import over_all
 from casebook.operators.rowid import global_row_number
+from casebook.operators.sample import bottom_k
 from casebook.sources import subjects as S
-from casebook.sources.io import append, new_version, replace_table
 from casebook.sources.tables import table
 from casebook.sources.subjects_sql import with_views
 
@@ -32,20 +33,6 @@ def namespaced_scan(sp, d):
     return sp.table("global_temp.casebook_nation")
 
 
-def replaced_weekly_sales(sp, d):
-    """Create-or-replace a derived table in the shared folder; rerunnable."""
-    ws = S.wks_weekly_sales(sp, d)
-    return replace_table(ws, "weekly_sales")
-
-
-def appended_customers(sp, d):
-    """A table created from one part of the customers, the rest inserted into it."""
-    c = table(sp, d, "customer", "c_custkey", "c_name", "c_acctbal")
-    positive = F.col("c_acctbal") > 0
-    path = new_version(c.where(positive), "customers_by_part")
-    return append(c.where(~F.coalesce(positive, F.lit(False))), "customers_by_part", path)
-
-
 def hierarchy_paths(sp, d):
     """Recursive expansion of the product hierarchy."""
     return ancestors(S.clo_hierarchy(sp, d).select("id", "parent_id"))
@@ -59,8 +46,6 @@ def _reg(name, fn, sql, views=()):
 _reg("op_S1_typed_scan", typed_scan, "SELECT * FROM orders")
 _reg("op_S2_full_scan", lambda sp, d: table(sp, d, "customer"), "SELECT * FROM customer")
 _reg("op_S3_namespaced_scan", namespaced_scan, "SELECT * FROM nation")
-_reg("op_S6_replace_table", replaced_weekly_sales, "SELECT * FROM weekly_sales", "weekly_sales")
-_reg("op_S7_append", appended_customers, "SELECT c_custkey, c_name, c_acctbal FROM customer")
 _reg("op_P1_projection", lambda sp, d: table(sp, d, "customer", "c_custkey", "c_name"),
      "SELECT c_custkey, c_name FROM customer")
 _reg("op_P2_computed_alias",
@@ -151,3 +136,105 @@ _reg("op_F22_least", lambda sp, d: table(sp, d, "orders", "o_orderkey", "o_order
 _reg("op_U2_union_distinct", lambda sp, d: table(sp, d, "customer").select(F.col("c_nationkey").alias("nation")).union(
         table(sp, d, "supplier").select("s_nationkey")).distinct(),
      "SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier")
+
+
+# ---- samples (O7) ---------------------------------------------------------------
+_reg("op_O7_row_sample", lambda sp, d: bottom_k(table(sp, d, "orders", "o_orderkey", "o_custkey"), "o_orderkey", 100, seed=7),
+     "SELECT o_orderkey, o_custkey, md5(concat_ws('|', '7', o_orderkey)) AS draw FROM orders ORDER BY draw LIMIT 100")
+_reg("op_O7b_sample_per_stratum",
+     lambda sp, d: bottom_k(table(sp, d, "customer", "c_custkey", "c_nationkey"), "c_custkey", 5, by="c_nationkey").drop("draw"),
+     """SELECT c_custkey, c_nationkey FROM customer
+        QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY md5(concat_ws('|', '0', c_custkey))) <= 5""")
+
+
+# ---- correlated subqueries (P17, P19, O6) ---------------------------------------
+def customer_orders_summary(sp, d):
+    """Correlated scalar subqueries. A count over no rows is 0, any other aggregate NULL."""
+    c = table(sp, d, "customer", "c_custkey")
+    o = table(sp, d, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    own = o.where(F.col("o_custkey") == F.col("c_custkey").outer())
+    return c.select("c_custkey", own.select(F.count(F.lit(1))).scalar().alias("orders"),
+                    own.select(F.max("o_orderdate")).scalar().alias("last_order"),
+                    own.select(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")).scalar().alias("spend"))
+
+
+def _sold(sp, d):
+    li = table(sp, d, "lineitem", "l_partkey", "l_extendedprice")
+    p = table(sp, d, "part", "p_partkey", "p_brand", "p_type")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    return j.groupBy("p_brand", "p_type").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"))
+
+
+def share_in_group(sp, d):
+    """P17 over an aggregate: the brand's total beside each type's revenue, by a correlated subquery.
+
+    Inner and outer query are read separately: made from one DataFrame, the outer
+    column could not be told from the inner one.
+    """
+    inner = _sold(sp, d).select(F.col("p_brand").alias("brand"), F.col("revenue").alias("part"))
+    total = inner.where(F.col("brand") == F.col("p_brand").outer()).select(F.sum("part").cast("decimal(38,2)")).scalar()
+    return _sold(sp, d).select("p_brand", "p_type", "revenue", total.alias("brand_revenue"))
+
+
+def first_per_key(sp, d):
+    """DISTINCT ON by a lateral subquery: each nation's richest customer, ties to the smallest key."""
+    n = table(sp, d, "nation", "n_nationkey", "n_name")
+    c = table(sp, d, "customer", "c_custkey", "c_nationkey", "c_acctbal")
+    best = c.where(F.col("c_nationkey") == F.col("n_nationkey").outer()).orderBy(F.desc("c_acctbal"), "c_custkey").limit(1)
+    return n.lateralJoin(best.select("c_custkey", "c_acctbal"), how="left").select("n_name", "c_custkey", "c_acctbal")
+
+
+def last_orders(sp, d):
+    """The three latest orders of every customer that has any, by a lateral subquery."""
+    c = table(sp, d, "customer", "c_custkey")
+    o = table(sp, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    last = o.where(F.col("o_custkey") == F.col("c_custkey").outer()).orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(3)
+    return c.lateralJoin(last.select("o_orderkey", "o_orderdate"))
+
+
+_reg("op_P17_correlated_scalar", customer_orders_summary,
+     """SELECT c_custkey, (SELECT COUNT(*) FROM orders WHERE o_custkey = c_custkey) AS orders,
+               (SELECT MAX(o_orderdate) FROM orders WHERE o_custkey = c_custkey) AS last_order,
+               (SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) FROM orders WHERE o_custkey = c_custkey) AS spend
+        FROM customer""")
+_reg("op_P17b_correlated_group_total", share_in_group,
+     """WITH s AS (SELECT p_brand, p_type, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS revenue
+                   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
+        SELECT p_brand, p_type, CAST(revenue AS DECIMAL(38,2)) AS revenue,
+               CAST((SELECT SUM(revenue) FROM s i WHERE i.p_brand = s.p_brand) AS DECIMAL(38,2)) AS brand_revenue FROM s""")
+_reg("op_P19_lateral_first", first_per_key,
+     """SELECT n_name, c_custkey, c_acctbal FROM nation LEFT JOIN (
+          SELECT * FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) = 1) c
+        ON c_nationkey = n_nationkey""")
+_reg("op_O6_lateral_top3", last_orders,
+     """SELECT c_custkey, o_orderkey, o_orderdate FROM customer JOIN (
+          SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 3) o
+        ON o_custkey = c_custkey""")
+
+
+# ---- windows over a whole result (W7, W9, W10, W15) ------------------------------
+def daily_orders(sp, d):
+    """LAG by 1 and 2, a 3-row mean and the day after, over all days; no partition, no single task."""
+    o = table(sp, d, "orders", "o_orderdate").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
+    return over_all(o, "day", {
+        "previous": lambda w: F.lag("orders", 1).over(w), "before_previous": lambda w: F.lag("orders", 2).over(w),
+        "sum_3": lambda w: F.sum("orders").over(w.rowsBetween(-2, 0)), "next_day": lambda w: F.lead("day", 1).over(w)}, back=2, ahead=1, stage="daily_orders")
+
+
+def first_and_last_value(sp, d):
+    """LAST_VALUE under the default frame (up to the row and its peers) and under the whole partition."""
+    s = S.sub_subscriptions(sp, d)
+    w = W.partitionBy("customer_id").orderBy("start_date")
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return s.select("customer_id", "plan_id", "start_date", F.first("start_date").over(w).alias("first_date"),
+                    F.last("start_date").over(w).alias("last_so_far"), F.last("start_date").over(whole).alias("last_date"))
+
+
+_reg("op_W10_whole_result_lag", daily_orders,
+     """SELECT *, LAG(orders, 1) OVER (ORDER BY day) AS previous, LAG(orders, 2) OVER (ORDER BY day) AS before_previous,
+               CAST(SUM(orders) OVER (ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS sum_3, LEAD(day) OVER (ORDER BY day) AS next_day
+        FROM (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS orders FROM orders GROUP BY 1) o""")
+_reg("op_W7_last_value", first_and_last_value,
+     """SELECT customer_id, plan_id, start_date, FIRST_VALUE(start_date) OVER w AS first_date, LAST_VALUE(start_date) OVER w AS last_so_far,
+               LAST_VALUE(start_date) OVER (PARTITION BY customer_id ORDER BY start_date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_date
+        FROM subscriptions WINDOW w AS (PARTITION BY customer_id ORDER BY start_date)""", "subscriptions")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casebook.functions.numeric import avg_expr, exact_avg, ratio_expr
 from casebook.operators import first_rows, top_n, top_per_group, top_values
+from casebook.operators.neighbours import over_all
 from casebook.operators.reconcile import keys_missing, reconcile_summary
 from casebook.sources import subjects as S
 from casebook.sources.io import materialize_once
@@ -168,12 +169,10 @@ def rolling_leader(m, imap):
     names = (a.join(lead, "month_year").filter(F.col("avg_comp") == F.col("max_avg_comp"))
               .groupBy("month_year").agg(F.min("interest_name").alias("interest_name")))
     t = lead.join(names, "month_year")
-    w = W.orderBy("month_year")
     label = F.concat(F.col("interest_name"), F.lit(": "), F.col("max_avg_comp").cast("string"))
-    t = t.select("month_year", "interest_name", "max_avg_comp",
-                 F.sum("max_avg_comp").over(w.rowsBetween(-2, 0)).alias("_s3"),
-                 F.lag(label, 1).over(w).alias("one_month_ago"),
-                 F.lag(label, 2).over(w).alias("two_months_ago"))
+    t = over_all(t.withColumn("_label", label), "month_year", {
+        "_s3": lambda w: F.sum("max_avg_comp").over(w.rowsBetween(-2, 0)), "one_month_ago": lambda w: F.lag("_label", 1).over(w),
+        "two_months_ago": lambda w: F.lag("_label", 2).over(w)}, back=2, stage="month_leaders")
     return (t.filter(F.col("two_months_ago").isNotNull())
              .select("month_year", "interest_name", "max_avg_comp",
                      F.expr(ratio_expr("_s3", "3")).alias("moving_avg_3m"),

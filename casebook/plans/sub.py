@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from casebook.operators.broadcast import broadcast_if_small
 from casebook.functions.labels import month_name
 from casebook.functions.numeric import avg_expr, exact_avg
+from casebook.operators.neighbours import over_all
+from casebook.operators.sample import bottom_k
 from casebook.operators.schedule import payment_schedule, payment_schedule_sql
 from casebook.sources import subjects as S
 from casebook.sources.subjects_sql import VIEWS, with_views
@@ -160,9 +162,8 @@ def payments(subs, plans):
 def growth(subs, grain: str = "month"):
     """Customers per period, change to the period before, and its label."""
     g = subs.groupBy(period(grain)).agg(F.count(F.lit(1)).alias("customers"))
-    # one row per period (bounded by the calendar): a global ordered window is fine
-    prev = F.lag("customers").over(W.orderBy(f"{grain}_start"))
-    g = g.withColumn("previous", prev).withColumn("growth", F.col("customers") - F.col("previous"))
+    g = over_all(g, f"{grain}_start", {"previous": lambda w: F.lag("customers").over(w)}, back=1, stage="growth_periods")
+    g = g.withColumn("growth", F.col("customers") - F.col("previous"))
     gr = F.col("growth")
     label = (F.when(gr >= BIG_STEP, UP2).when(gr <= -BIG_STEP, DOWN2).when(gr > 0, UP).when(gr < 0, DOWN)
               .otherwise(FLAT))
@@ -190,6 +191,14 @@ def paid_journey(subs, plans):
         "customer_id", "plan_id", "plan_name", "start_date", "next_plan")
 
 
+SAMPLE_ROWS = 50                 # rows of the sampled subset
+
+
+def sampled_subscriptions(subs):
+    """A fixed number of subscription rows; the same ones under any layout of the table."""
+    return bottom_k(subs.select("customer_id", "plan_id", "start_date"), ["customer_id", "plan_id", "start_date"], SAMPLE_ROWS).drop("draw")
+
+
 def churn_rows(subs):
     return subs.filter(F.col("plan_id") == CHURN).agg(F.count(F.lit(1)).alias("churn_rows"))
 
@@ -294,6 +303,10 @@ _reg("B16_paid_journey", lambda sp, d: paid_journey(*_sp(sp, d)),
 _reg("B16b_churn_rows", lambda sp, d: churn_rows(_s(sp, d)),
      "SELECT COUNT(*) AS churn_rows FROM subscriptions WHERE plan_id = 4")
 
+_reg("B16c_O7_sampled_subset", lambda sp, d: sampled_subscriptions(_s(sp, d)),
+     f"""SELECT customer_id, plan_id, start_date FROM subscriptions
+        ORDER BY md5(concat_ws('|', '0', customer_id, plan_id, start_date)) LIMIT {SAMPLE_ROWS}""")
+
 
 # the same by month, over the seven years of orders
 def _os(sp, d):

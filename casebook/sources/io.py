@@ -10,15 +10,11 @@ is simply retried into a new folder. ``materialize_once`` builds a stage that
 several queries of a session share; ``drop_stages`` deletes what the session
 has staged.
 
-Named tables have versions: ``replace_table`` (DROP and CREATE) writes a new
-one and only a complete one counts, so readers of the former keep their
-files; ``append`` (INSERT INTO) adds to the current version; ``read_table``
-reads it.
+Stored tables with names are in ``catalog.py``.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,20 +29,32 @@ def table_path(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for the stage ``name``, deleted by ``drop_stages``."""
+    path = f"{table_path(spark, name)}/{uuid.uuid4().hex[:16]}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def staged_paths(spark: SparkSession) -> list[str]:
+    """The folders this session has staged so far."""
+    return list(_staged.get(spark.sparkContext.applicationId, []))
+
+
 def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     spark = df.sparkSession
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    path = f"{table_path(spark, name)}/{uuid.uuid4().hex[:16]}"
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = stage_path(spark, name)
     w.parquet(path)
     return spark.read.parquet(path)
 
 
-def materialize_once(spark: SparkSession, name: str, key, build, partition_by=None) -> DataFrame:
-    """The stage ``name`` for ``key`` (its inputs), built by ``build()`` on first use in this session."""
-    at = (spark.sparkContext.applicationId, name, key)
+def materialize_once(spark: SparkSession, name: str, folder: str, build, partition_by=None) -> DataFrame:
+    """The stage ``name`` for the tables in ``folder``, built by ``build()`` on first use in this session
+    and again once the folder's files have changed."""
+    at = (spark.sparkContext.applicationId, name, folder, _mark(spark, folder))
     if at in _shared:
         fs, done = _file(spark, f"{_shared[at]}/_SUCCESS")
         if fs.exists(done):
@@ -56,62 +64,30 @@ def materialize_once(spark: SparkSession, name: str, key, build, partition_by=No
     return out
 
 
+def _mark(spark, folder: str):
+    """Bytes, number and latest change of the tables in a folder."""
+    fs, p = _file(spark, folder)
+    if not fs.exists(p):
+        return None
+    size = fs.getContentSummary(p)
+    return size.getLength(), size.getFileCount(), max((s.getModificationTime() for s in fs.listStatus(p)), default=0)
+
+
 def _file(spark, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete every folder this session has staged; returns their number. Their DataFrames are void afterwards."""
+def drop_stages(spark: SparkSession, paths=None) -> int:
+    """Delete the folders this session has staged (or those of them in ``paths``); returns their number.
+    DataFrames that read them are void afterwards."""
     app = spark.sparkContext.applicationId
-    paths = _staged.pop(app, [])
-    for k in [k for k in _shared if k[0] == app]:
+    held = _staged.get(app, [])
+    gone = [p for p in held if paths is None or p in set(paths)]
+    _staged[app] = [p for p in held if p not in set(gone)]
+    for k in [k for k in _shared if k[0] == app and _shared[k] in set(gone)]:
         del _shared[k]
-    for path in paths:
+    for path in gone:
         fs, p = _file(spark, path)
         fs.delete(p, True)
-    return len(paths)
-
-
-def _current(spark, name: str) -> str | None:
-    """Folder of the latest complete version of a named table."""
-    fs, p = _file(spark, f"{table_path(spark, name)}/versions")
-    if not fs.exists(p):
-        return None
-    found = [s.getPath() for s in fs.listStatus(p)]
-    done = [x for x in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS"))]
-    return max((x.toString() for x in done), default=None)
-
-
-def new_version(df: DataFrame, name: str) -> str:
-    """Writes a new version of a named table, current once it is complete; returns its folder."""
-    path = f"{table_path(df.sparkSession, name)}/versions/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
-    return path
-
-
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Idempotent DROP + CREATE of a named table."""
-    return df.sparkSession.read.parquet(new_version(df, name))
-
-
-def append(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """INSERT INTO a named table (created if it does not exist); returns the whole table.
-
-    ``path`` is the version to add to, as ``new_version`` returned it; without
-    it the current one, which another session may have written.
-    """
-    spark = df.sparkSession
-    path = path or _current(spark, name)
-    if path is None:
-        return replace_table(df, name)
-    df.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """The current version of a named table."""
-    path = _current(spark, name)
-    if path is None:
-        raise ValueError(f"no table {name!r}")
-    return spark.read.parquet(path)
+    return len(gone)
