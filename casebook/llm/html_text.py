@@ -5,7 +5,10 @@
    element). Elements that are never article text are skipped with all they
    hold (tags, roles and class words below). A container scores the characters
    outside links of its own blocks, and half as much per level of what its
-   inner containers score.
+   inner containers score. Containers that only their class or id calls
+   secondary (SKIP_WORDS, unless the word is negated or a modifier) are left out
+   as a guess; one that holds the article after all is taken back, and the host's
+   vote overrules the list. The header inside an article counts as a header.
    The article is the container with the best score, or rather the highest one
    around it that adds ADDS_PCT of text outside links to what it holds (any such
    text, if it is an ``article`` or ``main`` element): titles, leads and sections
@@ -22,11 +25,13 @@
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by ``\\n`` in page order. A null or empty page has an
-empty text. Rows that repeat a page_id are extracted one by one.
+empty text. Rows that repeat a page_id are extracted one by one. Very long and
+broken pages take time in proportion to their length.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -53,10 +58,15 @@ ADDS_PCT = 5
 COVERS_PCT = 50
 ARTICLE_WORDS = frozenset("article entry post content story".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|title|textarea|noscript|template|iframe|svg)\b[^>]*>.*?</(?P=raw)\s*>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>", re.S | re.I)
+NOT_FIRST = frozenset("has no not with without is hide show".split())          # has-sidebar says how a page looks, not what it holds
+NOT_LAST = frozenset("free open opened closed enabled disabled on off visible active policy".split())
+RAW = frozenset("script style title textarea noscript template iframe svg".split())
+LONG_PATH = 400
+RELEASED_CHARS = 400
+
+_OPEN = re.compile(r"<(?:(?P<comment>!--)|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)|[!?/])")
+_QUOTE_OR_END = re.compile("[>\"']")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
@@ -76,11 +86,81 @@ def skipped(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
-    words = set(_WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    if "header" in words and not words & ARTICLE_WORDS:
-        return True
-    hits = words & SKIP_WORDS
-    return bool(hits) if tag != "article" else bool(hits & {"comment", "comments", "ad", "advert", "promo", "related"})
+    return False
+
+
+def secondary(tag: str, attrs: dict[str, str]) -> bool:
+    """Does the element's class or id say that it is no article text? A guess: the page may overrule it."""
+    if not attrs or tag in ("html", "body", "main"):
+        return False
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+    hits, whole = set(), False
+    for name in names:
+        parts = _WORD.findall(name)
+        found = SKIP_WORDS.intersection(parts)
+        if "header" in parts and not ARTICLE_WORDS.intersection(parts):
+            found = found | {"header"}
+        if not found or len(parts) > 1 and (parts[0] in NOT_FIRST or parts[-1] in NOT_LAST):
+            continue
+        hits |= found
+        whole = whole or len(parts) == 1
+    if tag == "article":
+        hits &= {"comment", "comments", "ad", "advert", "promo", "related"}
+    return bool(hits) and (whole or not ARTICLE_WORDS.intersection(names))
+
+
+def tokens(source: str):
+    """(start, end, is an end tag, tag, attributes' text) of every tag, without tag of comments and elements of raw text.
+
+    Every part of the source is looked at a bounded number of times, whatever is left
+    open in it: quotes that led to no end, and names without a later end tag, are remembered.
+    """
+    at, last = 0, {c: source.rfind(c) for c in ">\"'"}
+    dead: set[int] = set()                            # opening quotes after which no tag ends
+    no_end: set[str] = set()
+    while True:
+        m = _OPEN.search(source, at)
+        if m is None:
+            return
+        if m["comment"]:
+            end = source.find("-->", m.end())
+            at = len(source) if end < 0 else end + 3
+            yield m.start(), at, False, None, ""
+            continue
+        if m.end() > last[">"]:
+            return                                    # nothing ends any more: the rest is text
+        if not m["tag"]:
+            at = source.index(">", m.end()) + 1
+            yield m.start(), at, False, None, ""
+            continue
+        k, seen = m.end(), []
+        while True:
+            q = _QUOTE_OR_END.search(source, k) if k <= last[">"] else None
+            if q is None or q[0] != ">" and (q.start() in dead or q.start() >= last[q[0]]):
+                dead.update(seen)
+                end = source.index(">", m.end())      # an open quote: the tag ends at the first >
+                break
+            if q[0] == ">":
+                end = q.start()
+                break
+            seen.append(q.start())
+            k = source.index(q[0], q.end()) + 1
+        at, tag = end + 1, m["tag"].lower()
+        if tag in RAW and not m["end"] and tag not in no_end:
+            close = _RAW_END[tag].search(source, at)
+            if close:
+                at = close.end()
+                yield m.start(), at, False, None, ""
+                continue
+            no_end.add(tag)
+        yield m.start(), at, bool(m["end"]), tag, source[m.end():end]
+
+
+def _below(path: str, tag: str) -> str:
+    """Path of a container in another one; that of a very deep one begins with a digest."""
+    if len(path) > LONG_PATH:
+        path = "#" + hashlib.blake2b(path.encode(errors="replace"), digest_size=12).hexdigest()
+    return f"{path}>{tag}"
 
 
 class Page:
@@ -88,8 +168,11 @@ class Page:
 
     def __init__(self, source: str):
         self.paths, self.parents = [""], [-1]         # container 0: the root
+        self.soft, self.main = [False], [False]       # named as secondary; holds h1, main or an article
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters outside links
         stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]   # tag, container, skipped, in a link
+        open_at: dict[str, list[int]] = {}            # where in the stack a tag is open
+        solid = [0]                                   # where in the stack the elements are that are not inline
         parts: list[str] = []
         plain = 0
 
@@ -101,70 +184,107 @@ class Page:
                     self.blocks.append((stack[-1][1], text, plain))
                 parts.clear()
                 plain = 0
+
+        def push(tag, box, skip, link):
+            open_at.setdefault(tag, []).append(len(stack))
+            if tag not in INLINE:
+                solid.append(len(stack))
+            stack.append((tag, box, skip, link))
+
+        def cut(k):
+            while len(stack) > k:
+                open_at[stack.pop()[0]].pop()
+            while solid[-1] >= k:
+                solid.pop()
+
+        def container(tag, attrs, box, soft):
+            classes = sorted({_DIGITS.sub("#", c) for c in attrs.get("class", "").split()})
+            self.paths.append(_below(self.paths[box], ".".join([tag, *classes])))
+            self.parents.append(box)
+            self.soft.append(soft)
+            self.main.append(tag in ("main", "article") and not soft)
+            return len(self.paths) - 1
         at = 0
-        for m in _TOKEN.finditer(source):
+        for start, end, closes, tag, inner in tokens(source):
             _, _, skip, link = stack[-1]
-            if m.start() > at and not skip:
-                text = source[at:m.start()]
+            if start > at and not skip:
+                text = source[at:start]
                 parts.append(text)
                 plain += 0 if link else len(text.strip())
-            at = m.end()
-            tag = m["tag"] or m["tag2"]
+            at = end
             if not tag:
                 continue
-            tag = tag.lower()
-            if m["end"] or m["end2"]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        if tag not in INLINE:
-                            flush()
-                        del stack[k:]
-                        break
-                    if tag in INLINE and stack[k][0] not in INLINE:
-                        break                         # a stray end tag does not close blocks
-                else:
-                    if tag not in INLINE:
-                        flush()
+            if closes:
+                k = open_at[tag][-1] if open_at.get(tag) else 0
+                if tag not in INLINE:
+                    flush()
+                    if k:
+                        cut(k)
+                elif k > solid[-1]:                   # an end tag does not reach out of its block
+                    cut(k)
                 continue
             if tag in INLINE:
                 if tag in VOID:
                     parts.append(" ") if not skip else None
                 else:
-                    bad = skip or skipped(tag, attributes(m["attrs"] or m["attrs2"] or ""))
-                    stack.append((tag, stack[-1][1], bad, link or tag == "a"))
+                    attrs = attributes(inner)
+                    push(tag, stack[-1][1], skip or skipped(tag, attrs) or secondary(tag, attrs), link or tag == "a")
                 continue
             flush()
-            k = len(stack) - 1                        # a block ends an open paragraph, an item the item before it
-            while k > 0 and stack[k][0] in INLINE:
-                k -= 1
+            k = solid[-1]                             # a block ends an open paragraph, an item the item before it
             if k > 0 and (stack[k][0] == "p" or stack[k][0] in CLOSES.get(tag, ())):
-                del stack[k:]
+                cut(k)
             if tag in VOID:
                 continue
             _, box, skip, link = stack[-1]
-            attrs = attributes(m["attrs"] or m["attrs2"] or "")
+            attrs = attributes(inner)
             skip = skip or skipped(tag, attrs)
-            if tag not in LEAF and not skip:
-                classes = sorted({_DIGITS.sub("#", c) for c in attrs.get("class", "").split()})
-                self.paths.append(f"{self.paths[box]}>{'.'.join([tag, *classes])}")
-                self.parents.append(box)
-                box = len(self.paths) - 1
-            stack.append((tag, box, skip, link))
+            if not skip:
+                soft = secondary(tag, attrs)
+                if tag not in LEAF or soft:
+                    box = container(tag, attrs, box, soft)
+                elif tag == "h1":
+                    self.main[box] = True
+            push(tag, box, skip, link)
         if at < len(source) and not stack[-1][2]:
             parts.append(source[at:])
             plain += len(source[at:].strip())
         flush()
+        self._release()
+
+    def _release(self):
+        """A secondary container that holds the page's article is none: a wrapper around (nearly) everything,
+        or one with more text than all the rest and a main heading, main element or article in it."""
+        n = len(self.paths)
+        top = [0] * n                                 # the outermost secondary container around each
+        nested = [False] * n                          # inside a second one
+        for b in range(1, n):
+            up = self.parents[b]
+            top[b] = top[up] or (b if self.soft[b] else 0)
+            nested[b] = nested[up] or bool(top[up] and self.soft[b])
+        held, main = [0] * n, [False] * n
+        for box, _, plain in self.blocks:
+            if not nested[box]:
+                held[top[box]] += plain
+        for b in range(n):
+            if self.main[b] and not nested[b]:
+                main[top[b]] = True
+        for b in range(1, n):
+            if top[b] == b and (held[b] > held[0] and main[b] or held[b] >= RELEASED_CHARS and held[b] > 20 * held[0]):
+                self.soft[b] = False
 
     def best(self) -> tuple[int, float]:
         """The article: its container and the characters outside links it holds."""
         score = [0.0] * len(self.paths)
+        live = self.within({0})
         for box, _, plain in self.blocks:
-            score[box] += plain
+            if live[box]:
+                score[box] += plain
         held = [int(x) for x in score]
         for box in range(len(score) - 1, 0, -1):      # inner containers come later
             score[self.parents[box]] += score[box] / 2
             held[self.parents[box]] += held[box]
-        top = max(range(len(score)), key=lambda b: (score[b], -b))     # the first of equals
+        top = max((b for b in range(len(score)) if live[b]), key=lambda b: (score[b], -b))     # the first of equals
         box = self.parents[top]
         while box >= 0:
             more = held[box] - held[top]
@@ -175,10 +295,10 @@ class Page:
         return top, held[top]
 
     def within(self, chosen: set[int]) -> list[bool]:
-        """Which containers are among the chosen or inside one."""
+        """Which containers are among the chosen or inside one, secondary ones inside it left out."""
         inside = [False] * len(self.paths)
         for b in range(len(inside)):
-            inside[b] = b in chosen or (b > 0 and inside[self.parents[b]])
+            inside[b] = b in chosen or (b > 0 and inside[self.parents[b]] and not self.soft[b])
         return inside
 
     def text(self, path: str | None) -> str:

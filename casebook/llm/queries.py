@@ -63,7 +63,8 @@ def op9_repeated_bytes(spark, sf_dir):
     out = remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
-                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      F.expr("make_valid_utf8(cast(kept as string))").alias("kept_text"))     # cut characters show as U+FFFD
 
 
 def op10_licences(spark, sf_dir):
@@ -158,7 +159,8 @@ joined AS (
   SELECT i.conv_id, 1, o.k, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.k > i.h),
 turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS depth, role, text FROM joined),
 prefix AS (
-  SELECT conv_id, depth, len(regexp_extract_all(text, '[^ 	-]+')) AS words,
+  SELECT conv_id, depth, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words,
          list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
          list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above,
          count(*) OVER (PARTITION BY conv_id) AS length FROM turns
@@ -186,7 +188,8 @@ ORACLE["op13_collocations"] = r"""
 WITH low AS (
   SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 piece AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?
--]')), '[^ 	]+') AS w FROM low),
+-
+]')), '[^ 	]+') AS w FROM low),
 gram AS (
   SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
   FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (VALUES (1), (2), (3), (4)) s(k))),
