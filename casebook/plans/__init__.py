@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("ret", "bnk", "clo", "wks", "clk", "seg", "sub", "dlv", "ops", "stored", "report")
+AREAS = ("ret", "bnk", "clo", "wks", "clk", "seg", "sub", "dlv", "ops", "stored", "partials", "report")
 
 
 def _load(area):

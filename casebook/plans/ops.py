@@ -158,21 +158,21 @@ def customer_orders_summary(sp, d):
                     own.select(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")).scalar().alias("spend"))
 
 
-def _sold(sp, d):
+def _sold(sp, d, brand="p_brand"):
     li = table(sp, d, "lineitem", "l_partkey", "l_extendedprice")
-    p = table(sp, d, "part", "p_partkey", "p_brand", "p_type")
+    p = table(sp, d, "part", "p_partkey", "p_brand", "p_type").withColumnRenamed("p_brand", brand)
     j = li.join(p, li.l_partkey == p.p_partkey)
-    return j.groupBy("p_brand", "p_type").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"))
+    return j.groupBy(brand, "p_type").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"))
 
 
 def share_in_group(sp, d):
     """P17 over an aggregate: the brand's total beside each type's revenue, by a correlated subquery.
 
-    Inner and outer query are read separately: made from one DataFrame, the outer
-    column could not be told from the inner one.
+    The inner query calls the brand by another name from its scan on: Spark looks for the
+    outer name in the inner query first, hidden columns included.
     """
-    inner = _sold(sp, d).select(F.col("p_brand").alias("brand"), F.col("revenue").alias("part"))
-    total = inner.where(F.col("brand") == F.col("p_brand").outer()).select(F.sum("part").cast("decimal(38,2)")).scalar()
+    inner = _sold(sp, d, "brand")
+    total = inner.where(F.col("brand") == F.col("p_brand").outer()).select(F.sum("revenue").cast("decimal(38,2)")).scalar()
     return _sold(sp, d).select("p_brand", "p_type", "revenue", total.alias("brand_revenue"))
 
 

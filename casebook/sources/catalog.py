@@ -63,6 +63,19 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {full_name(spark, name)}")
 
 
+def replace_partitions(df: DataFrame, name: str) -> DataFrame:
+    """INSERT OVERWRITE of the partitions that ``df`` has rows of; the others stay. Rows are written by column name."""
+    spark = df.sparkSession
+    table = spark.table(full_name(spark, name))
+    path = stage_path(spark, f"partitions/{name}")
+    df.select(*table.columns).write.parquet(path)
+    writer = spark.newSession()                          # same catalog; the write mode holds for this write only
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    writer.read.schema(table.schema).parquet(path).write.insertInto(full_name(spark, name), overwrite=True)
+    spark.catalog.refreshTable(full_name(spark, name))
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(full_name(spark, name)) if c.isPartition]
 
@@ -75,12 +88,7 @@ def _rewrite(spark: SparkSession, name: str, touched: DataFrame, change) -> Data
         raise ValueError(f"{name} has no partition columns: replace it as a whole")
     parts = materialize(touched.select(*by).distinct(), f"touched/{name}")
     rows = _same(table, parts, by)
-    path = stage_path(spark, f"rewritten/{name}")
-    change(rows).select(*table.columns).write.parquet(path)
-    writer = spark.newSession()                          # same catalog; the write mode holds for this write only
-    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writer.read.schema(table.schema).parquet(path).write.insertInto(full_name(spark, name), overwrite=True)
-    new = spark.read.schema(table.schema).parquet(path)
+    new = replace_partitions(change(rows), name)
     for p in _without_rows(parts, new, by):              # an overwrite leaves partitions alone that have no new rows
         spec = ", ".join(f"{k} = {_literal(v)}" for k, v in p.asDict().items())
         spark.sql(f"ALTER TABLE {full_name(spark, name)} DROP IF EXISTS PARTITION ({spec})")

@@ -12,7 +12,8 @@ from casebook.operators.lookup import names_by_role
 from casebook.operators.neighbours import over_all
 from casebook.operators.range_join import dyadic_bins, join_periods
 from casebook.operators.sample import bottom_k, merge_samples
-from casebook.plans import dlv
+from casebook.operators.distinct import distinct_counts, distinct_partials, merge_partials
+from casebook.plans import dlv, partials
 from casebook.session import checkpoint_dir
 from casebook.sources import catalog as C
 from casebook.sources.io import drop_stages, materialize, materialize_once, staged_paths
@@ -178,3 +179,44 @@ def test_long_overlapping_periods_and_a_hot_time(spark):
     want = [(i, k) for i, t in events for k, s, e in periods if s <= t <= e]
     want += [(i, None) for i, t in events if not any(s <= t <= e for _, s, e in periods)]
     assert sorted(((r["id"], r["period"]) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+# ---- additive distinct counts, partial reports, rejects, recursion -------------------
+def test_bitmaps_merge_to_exact_distinct_counts(spark):
+    rnd = random.Random(6)
+    data = [(rnd.randint(1, 6), rnd.choice((None, rnd.randint(-5, 100_000))), rnd.randint(0, 9)) for _ in range(2000)] + [(7, None, 1)]
+    p = distinct_partials(spark.createDataFrame(data, "g int, a long, b long"), "g", {"a": "a", "b": "b"})
+    for key, of in (("g", lambda g: g), ("half", lambda g: g % 2)):
+        q = merge_partials(p, [(F.col("g") if key == "g" else F.col("g") % 2).alias(key)])
+        want = sorted((k, len({a for g, a, _ in data if of(g) == k and a is not None}), len({b for g, _, b in data if of(g) == k})) for k in {of(g) for g, _, _ in data})
+        assert rows(distinct_counts(q, key, ["a", "b"])) == want
+
+
+def test_late_month_rebuilds_only_itself(spark):
+    def sales(rs):
+        return spark.createDataFrame([(dt.date(2024, m, 3), p, q, 10, 0) for m, p, q in rs], "txn_date date, prod_id int, qty int, price int, discount int")
+    first = [(m, p, 1 + p % 3) for m in (1, 2, 5) for p in range(m, 40)]
+    partials.build_partials(sales(first))
+    where = checkpoint_dir(spark).removeprefix("file:")
+    listing = lambda: {f for f in glob.glob(f"{where}/catalog/**/report_month_*/**/part-*", recursive=True)}
+    before, late = listing(), first + [(2, 900, 7), (2, 901, 1)]
+    partials.refresh_month(sales(late), "2024-02")
+    gone = before - listing()
+    assert gone and all("month=2024-02-01" in f for f in gone)
+    got = partials.report(spark, "quarter").collect()
+    want = {q: (sum(x[2] for x in late if (x[0] - 1) // 3 == q), len({x[1] for x in late if (x[0] - 1) // 3 == q})) for q in (0, 1)}
+    assert {(r["period"].month - 1) // 3: (r["total_qty"], r["products"]) for r in got} == want
+
+
+def test_rejects_do_not_fail_the_job(spark, tmp_path):
+    lines = ["1,2,x,2024-01-01", "2,many,x,2024-01-01", "3,4", "", "4,5,,2024-02-30", '5,6,"a,b",2024-03-01', "6,7,x,2024-01-01,more"]
+    (tmp_path / "f.csv").write_text("\n".join(lines))
+    good, bad = partials.read_csv_with_rejects(spark, str(tmp_path), partials.ORDER_COLS)
+    assert rows(good, "o_orderkey", "o_orderpriority") == [(1, "x"), (5, "a,b")]
+    assert rows(bad) == sorted((x,) for x in (lines[1], lines[2], lines[4], lines[6]))
+
+
+def test_recursive_paths_carry_state_and_end_on_cycles(spark):
+    edges = [(1, None), (2, 1), (3, 2), (4, 2), (9, None), (10, 11), (11, 10)]
+    got = rows(partials.hierarchy_paths(spark.createDataFrame(edges, "id int, parent_id int")))
+    assert got == [(1, "1", 0), (2, "1/2", 1), (3, "1/2/3", 2), (4, "1/2/4", 2), (9, "9", 0)]
