@@ -40,6 +40,7 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 1 << 30
 ARCHIVE_RECORDS = 100_000
 READ_BYTES = 8 << 20
+READ_TASKS = 50_000                 # beyond, a task reads several stretches
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 ID = "urn:x-page:"
@@ -331,6 +332,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """
     where = stage(archives.select("path", "bytes").repartition("path").mapInArrow(
         _locations, "path string, offset long, length long"), "warc_locations")
-    spread = where.repartition(F.col("path"), F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("path", "offset")
+    # an explicit number: the locations are few bytes, their records are not
+    tasks = -(-(where.agg(F.sum("length")).first()[0] or 1) // READ_BYTES)
+    spread = where.repartition(min(tasks, READ_TASKS), F.col("path"), F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("path", "offset")
     return spread.mapInArrow(_read_records, "page_id long, target_uri string, record_type string, refers_to long, "
                                             "payload_bytes long, payload_digest string, payload binary")
