@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casebook.sources import catalog as C, subjects as S
@@ -33,11 +35,12 @@ def replaced(sp, d):
 
 
 def appended(sp, d):
-    """A table created from one part of the customers, the rest inserted into it."""
+    """A table created from one part of the customers, the rest inserted into it. Each run has a table of its own."""
     c = table(sp, d, "customer", "c_custkey", "c_name", "c_acctbal")
     positive = F.coalesce(F.col("c_acctbal") > 0, F.lit(False))
-    C.replace_table(c.where(positive), "customers_by_part")
-    return C.append(c.where(~positive).select("c_acctbal", "c_name", "c_custkey"), "customers_by_part")
+    name = f"customers_by_part_{uuid.uuid4().hex[:8]}"
+    C.create_table(c.where(positive), name)
+    return C.append(c.where(~positive).select("c_acctbal", "c_name", "c_custkey"), name)
 
 
 def _orders_by_year(sp, d, name):

@@ -99,13 +99,17 @@ def test_ancestors_of_a_long_chain(spark):  # U5: no depth limit
 
 
 def test_append_keeps_what_was_there(spark):  # S7
-    from casebook.sources.io import append, drop_stages, materialize, read_table, replace_table
+    from casebook.sources.catalog import append, create_table, drop_table, full_name, replace_table
+    from casebook.sources.io import drop_stages, materialize
     one, two = spark.range(3), spark.range(10, 12)
-    first = replace_table(one, "append_test")
-    assert append(two, "append_test").count() == 5 and read_table(spark, "append_test").count() == 5
-    assert replace_table(two, "append_test").count() == 2 and read_table(spark, "append_test").count() == 2
-    assert first.count() == 3                                       # readers of the former version keep it
-    assert append(one, "append_test_new").count() == 3
+    read = lambda: spark.table(full_name(spark, "append_test"))
+    replace_table(one, "append_test")
+    assert append(two, "append_test").count() == 5 and read().count() == 5
+    assert replace_table(two, "append_test").count() == 2 and read().count() == 2
+    drop_table(spark, "append_test")
+    create_table(two, "append_test")
+    assert append(one, "append_test").count() == 5
+    drop_table(spark, "append_test")
     staged = materialize(one, "drop_test")
     path = staged.inputFiles()[0]
     assert drop_stages(spark) >= 1
@@ -139,15 +143,15 @@ def test_broadcast_only_when_estimate_is_small(spark):
 
 
 def test_append_keeps_to_the_version_of_its_run(spark, monkeypatch):
-    """Another run replaces the table between the two steps of op_S7."""
-    from casebook.plans import all_queries, ops
-    from casebook.sources import io
-    foreign = spark.range(3)
-
-    def disturbed(df, name, *path):
-        io.replace_table(foreign, name)
-        return io.append(df, name, *path)
-    monkeypatch.setattr(ops, "append", disturbed)
+    """Another run of op_S7 starts between the two steps of the first."""
+    from casebook.plans import all_queries
+    from casebook.sources import catalog
+    foreign, append = spark.range(3).selectExpr("id as c_custkey", "'x' as c_name", "0D as c_acctbal"), catalog.append
+
+    def disturbed(df, name):
+        catalog.replace_table(foreign, "customers_by_part")
+        return append(df, name)
+    monkeypatch.setattr(catalog, "append", disturbed)
     query = next(f for k, f in all_queries().items() if k.startswith("op_S7"))
     sf = "/root/testdata/sf0.001"
     assert query(spark, sf).count() == spark.read.parquet(f"{sf}/customer.parquet").count()
