@@ -19,11 +19,12 @@ WIDE = {"lineitem": 11, "orders": 6, "customer": 5, "part": 6, "events": 6}
 
 # Why each flagged plan is acceptable: the single-task or nested-loop input is bounded.
 BOUNDED = {
-    "B14_weekly_growth": "window over one row per week (calendar)",
-    "B14b_monthly_growth": "window over one row per month (calendar)",
+    "B14_weekly_growth": "window over partition sizes (one row per partition)",
+    "B14b_monthly_growth": "window over partition sizes (one row per partition)",
     "G7_cumulative_month_share": "window over distinct month counts (calendar)",
-    "G16_rolling_leader": "window over one row per month (calendar)",
+    "G16_rolling_leader": "window over partition sizes (one row per partition)",
     "L3_revenue_percentiles": "window over partition sizes (one row per partition)",
+    "op_W10_whole_result_lag": "window over partition sizes (one row per partition)",
     "op_W3_global_row_id": "window over partition sizes (one row per partition)",
     "op_S1_typed_scan": "the operator is a full-table scan",
     "op_S2_full_scan": "the operator is a full-table scan",
