@@ -13,9 +13,13 @@ share a level they are merged into one sorted run of the next, so a batch
 meets O(log batches) runs. Runs never overlap: their union is the owner of
 every key, whatever the number of batches.
 
+What a text loses is a set of line numbers, so the work on a document grows
+with its lines, however many it has or loses.
+
 Key hashes are two independent 64-bit hashes. Repeated doc_ids are one
 document. Rows without doc_id count together as one document after all
-others. A null or empty text is one empty line.
+others; their lines are still gathered text by text. A null or empty text is
+one empty line.
 """
 
 from __future__ import annotations
@@ -49,15 +53,21 @@ def _doc_order() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("doc")
 
 
-def held_keys(docs: DataFrame) -> DataFrame:
-    """Distinct (doc, h1, h2) of the keys that count."""
-    line = docs.select(_doc_order(), F.explode(lines(F.col("text"))).alias("line"))
-    key = line.select("doc", line_key(F.col("line")).alias("key")).where(F.length("key") >= MIN_CHARS)
-    return key.select("doc", key_hash(F.col("key")).alias("h")).select("doc", "h.h1", "h.h2").distinct()
+def _text_id(text: Column) -> list[Column]:
+    """Two 64-bit hashes of a text; with the document they tell the rows of a repeated or missing doc_id apart."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
+def held_lines(docs: DataFrame) -> DataFrame:
+    """(doc, t1, t2, place, h1, h2) of the lines whose key counts; ``place`` is the line's number in its text, from 0."""
+    cut = docs.select(_doc_order(), *_text_id(F.col("text")), lines(F.col("text")).alias("all"))   # hashed once a text, not once a line
+    line = cut.select("doc", "t1", "t2", F.posexplode("all").alias("place", "line"))
+    key = line.select("doc", "t1", "t2", "place", line_key(F.col("line")).alias("key")).where(F.length("key") >= MIN_CHARS)
+    return key.select("doc", "t1", "t2", "place", key_hash(F.col("key")).alias("h")).select("doc", "t1", "t2", "place", "h.h1", "h.h2")
 
 
 def add_batch(levels: dict[int, list[DataFrame]], batch: DataFrame) -> None:
-    """Anti-join a batch of held keys with all runs and add the new keys as a run; compact full levels."""
+    """Anti-join a batch of held lines with all runs and add the new keys as a run; compact full levels."""
     new = batch.groupBy("h1", "h2").agg(F.min("doc").alias("owner"))
     for run in (r for level in sorted(levels, reverse=True) for r in levels[level]):
         new = new.join(run, ["h1", "h2"], "left_anti")
@@ -93,10 +103,10 @@ def owners(held: DataFrame, batches: int = BATCHES) -> DataFrame:
 
 
 def _lost(docs: DataFrame, batches: int) -> DataFrame:
-    """Per document the hashes of the keys whose lines it loses."""
-    held = stage(held_keys(docs), "line_held")
+    """Per text the places of the lines it loses."""
+    held = stage(held_lines(docs), "line_held")
     shared = held.join(owners(held, batches), ["h1", "h2"]).where("doc <> owner")
-    return shared.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
+    return shared.groupBy("doc", "t1", "t2").agg(F.collect_set("place").alias("lost"))
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -105,9 +115,10 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     The rows stay in a struct, so no column name of ``docs`` can clash.
     """
     lost = stage(_lost(docs, batches), "line_lost")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _doc_order(), lines(F.col("text")).alias("all"))
-    kept = F.when(F.col("lost").isNull(), F.col("all")).otherwise(F.filter("all", lambda x: ~(
-        (F.length(line_key(x)) >= MIN_CHARS) & F.array_contains(F.col("lost"), key_hash(line_key(x))))))
-    out = rows.join(lost, "doc", "left").select("row", "all", kept.alias("kept"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _doc_order(), *_text_id(F.col("text")))
+    rows = rows.join(lost, ["doc", "t1", "t2"], "left").select("row", "lost", lines(F.col("row.text")).alias("all"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("lost"))
+    kept = F.when(F.col("lost").isNull(), F.col("all")).otherwise(F.transform(stay, lambda i: F.get("all", i)))
+    out = rows.select("row", "all", kept.alias("kept"))
     return out.select("row", F.array_join("kept", "\n").alias("kept_text"), F.size("all").cast("long").alias("n_lines"),
                       (F.size("all") - F.size("kept")).cast("long").alias("n_dropped"))

@@ -103,6 +103,17 @@ def test_line_dedup_edge_cases(docs, empty):
     assert dedup_lines(docs).select("row.*").columns == docs.columns
 
 
+def test_line_dedup_of_very_long_texts_and_many_rows_without_id(spark):
+    def text(d, n):
+        return "\n".join(f"shared line number {i}" if i % 3 else f"line {i} of its own in {d}" for i in range(n))
+    rows = [(1, text(1, 60_000)), (2, text(2, 60_000)), (3, text(3, 60_000) + "\nshort")]
+    rows += [(None, f"shared line number {i}\nshared line number {i + 1}\nno id has line {i % 50}") for i in range(1, 2_000)]
+    rows += [(None, "shared line number 1\nshared line number 2")] * 500 + [(2, "second row of two\nshared line number 4")]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = got.select("row.doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert sorted(map(tuple, got), key=repr) == lines_brute(rows)
+
+
 # ---------------------------------------------------------------- licences
 
 def test_licence_spellings(spark, empty):
