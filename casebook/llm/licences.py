@@ -11,7 +11,8 @@ through the same steps; there is no partial match.
 A whole text has a second form that does not depend on where its lines break:
 only lines that are a copyright notice go (not those that begin with the
 "copyright holders" of a licence), to the end of their line, and the rest is
-made canonical in one piece.
+made canonical in one piece. Where a licence names its holder (HOLDERS), any
+name of up to 200 characters counts as "the copyright owner".
 A text is found by either form, once.
 
 ``default_known`` holds whole licence texts (``licence_texts``, with the titles
@@ -29,6 +30,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from casebook.llm.common import stage
 from casebook.llm.licence_texts import TEXTS
 
 # Licence ids and the names used for them in notices.
@@ -72,10 +74,23 @@ SPELLINGS = (
     ("([0-9])[.]0([^0-9]|$)", "$1$2"),
 )
 _COPYRIGHT = "^[^a-z0-9©(]*(copyright([^a-z]|$)|[(]c[)]|©|all rights reserved)"
+# The same over a whole text, line by line: no class may reach into the next line.
+_COPYRIGHT_LINES = "(?dm)^[^a-z0-9©(\n]*+(copyright(?![a-z])|[(]c[)]|©|all rights reserved).*"
 # Of the lines above, those that are notices: what licences say about copyright goes on with other words.
-_NOTICE = ("^[^a-z0-9©(]*(copyright[^a-z](?![^a-z0-9©<\\[{]*(notice|holder|owner|licen[sc]e|statement|law|interest|permission|disclaimer"
-           "|doctrine|treat|like|(and|or|are|if|on|also|line|patent|the (software|library|program|work))([^a-z]|$))).*[a-z0-9]"
-           "|[(]c[)](?! *(you must|under patent))|©|all rights reserved)")
+_NOTICE_LINES = ("(?dm)^[^a-z0-9©(\n]*+(copyright[^a-z\n](?![^a-z0-9©<\\[{\n]*(notice|holder|owner|licen[sc]e|statement|law|interest|permission|disclaimer"
+                 "|doctrine|treat|like|(and|or|are|if|on|also|line|patent|the (software|library|program|work))([^a-z]|$))).*[a-z0-9]"
+                 "|[(]c[)](?! *(you must|under patent))|©|all rights reserved).*")
+# Line breaks with the marks and blanks around them, from the first of these on.
+_BREAKS = "(?<![ \t*#/;])[ \t*#/;]*+\n[ \t*#/;\n]*+"
+# Runs of characters that do not count within a line, other than one space.
+_GAPS = "[^a-z0-9 \n\\x80-\\x{10ffff}][^a-z0-9\n\\x80-\\x{10ffff}]*+| [^a-z0-9\n\\x80-\\x{10ffff}]++"
+# Where licences name their holder; the name counts as "the copyright owner".
+HOLDERS = (
+    ("neither the names? of .{1,200}? nor the names? of (its|the|any other) contributors", "neither the name of the copyright owner nor the names of its contributors"),
+    ("provided by .{1,200}? and contributors as is", "provided by the copyright owners and contributors as is"),
+    ("in no event shall .{1,200}? or contributors be liable", "in no event shall the copyright owner or contributors be liable"),
+    ("and or distribute", "and distribute"),
+)
 # Titles above the licence texts that have none of their own.
 TITLES = {
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
@@ -115,22 +130,32 @@ def whole_texts() -> list[tuple[str, str]]:
     return out
 
 
+def _lowered(text: Column) -> Column:
+    """A-Z lowered, every line break as ``\n``."""
+    x = F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n")
+    return F.when(F.octet_length(x) == F.length(x), F.lower(x)).otherwise(F.translate(x, _UPPER, _LOWER))   # the first is faster
+
+
 def _spelled(x: Column) -> Column:
-    for pattern, new in SPELLINGS:
-        x = F.regexp_replace(x, pattern, new) if set("([$^") & set(pattern) else F.replace(x, F.lit(pattern), F.lit(new))
-    return F.btrim(F.regexp_replace(x, "[^a-z0-9\\x80-\\x{10ffff}]+", " "))
+    """Equal spellings made one, runs of other characters a space; line breaks stay."""
+    for pattern, new in SPELLINGS:                    # plain words too: replace() compares at every byte
+        x = F.regexp_replace(x, pattern, new)
+    return F.regexp_replace(x, _GAPS, " ")
 
 
-def canonical_line(line: Column) -> Column:
-    x = F.translate(line, _UPPER, _LOWER)
-    return _spelled(F.when(F.rlike(x, F.lit(_COPYRIGHT)), F.lit("")).otherwise(x))
+def canonical_lines(text: Column) -> Column:
+    """The canonical non-empty lines of a text, joined by ``\n``."""
+    x = _spelled(F.regexp_replace(_lowered(text), _COPYRIGHT_LINES, ""))
+    return F.btrim(F.regexp_replace(x, " ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def canonical_text(text: Column) -> Column:
-    """The form of a whole text that does not depend on where its lines break."""
-    lines = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), "\r\n|\n|\r", -1)
-    kept = F.transform(F.filter(lines, lambda x: ~F.rlike(x, F.lit(_NOTICE))), lambda x: F.btrim(x, F.lit(" \t*#/;")))
-    return _spelled(F.regexp_replace(F.array_join(kept, " "), "[ \t\f]+", " "))
+    """The form of a whole text that does not depend on where its lines break, nor on the holder's name."""
+    x = F.btrim(F.regexp_replace(_lowered(text), _NOTICE_LINES, ""), F.lit(" \t*#/;\n"))
+    x = F.btrim(_spelled(F.regexp_replace(F.regexp_replace(x, _BREAKS, " "), "[ \t\f]+", " ")))
+    for pattern, new in HOLDERS:
+        x = F.regexp_replace(x, pattern, new)
+    return x
 
 
 def canonical_sql(line: str) -> str:
@@ -144,18 +169,12 @@ def canonical_sql(line: str) -> str:
     return f"trim(regexp_replace({x}, '[^a-z0-9\\x80-\\x{{10ffff}}]+', ' ', 'g'))"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical non-empty lines of a text."""
-    cut = F.split(F.coalesce(text, F.lit("")), "\r\n|\n|\r", -1)
-    return F.filter(F.transform(cut, canonical_line), lambda x: x != "")
-
-
 def digest(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
 def known_digests(known: DataFrame) -> DataFrame:
-    forms = F.array(F.array_join(canonical_lines(F.col("text")), " "), canonical_text(F.col("text")))
+    forms = F.array(F.translate(canonical_lines(F.col("text")), "\n", " "), canonical_text(F.col("text")))
     whole = known.select("license_id", F.explode(forms).alias("c")).where("c <> ''")
     return whole.select("license_id", digest(F.col("c")).alias("digest")).distinct()
 
@@ -166,13 +185,14 @@ def default_known(spark: SparkSession) -> DataFrame:
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, license_id, scope, n_hits): scope is ``text`` for a whole text, ``line`` for lines."""
-    known = known_digests(default_known(docs.sparkSession) if known is None else known)
-    cut = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("part"),
-                      canonical_text(F.col("text")).alias("whole"))
-    texts = F.transform(F.array_distinct(F.array(F.array_join("part", " "), F.col("whole"))),
+    # written first, so that Spark knows the size of the digests before it chooses the join
+    known = stage(known_digests(default_known(docs.sparkSession) if known is None else known), "licence_digests")
+    forms = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("part"),
+                        canonical_text(F.col("text")).alias("whole"))
+    texts = F.transform(F.array_distinct(F.array(F.translate("part", "\n", " "), F.col("whole"))),
                         lambda x: F.struct(F.lit("text").alias("scope"), F.lit(-1).alias("place"), x.alias("c")))
-    units = cut.select("doc_id", "row", F.explode(F.concat(
-        F.transform("part", lambda x, i: F.struct(F.lit("line").alias("scope"), i.alias("place"), x.alias("c"))), texts)).alias("u"))
+    lines = F.transform(F.split("part", "\n", -1), lambda x, i: F.struct(F.lit("line").alias("scope"), i.alias("place"), x.alias("c")))
+    units = forms.select("doc_id", "row", F.explode(F.concat(lines, texts)).alias("u")).where("u.c <> ''")
     units = units.select("doc_id", "row", "u.scope", "u.place", digest(F.col("u.c")).alias("digest"))
     return (units.join(known, "digest").groupBy("doc_id", "license_id", "scope")
                  .agg(F.count_distinct(F.struct("row", "place")).alias("n_hits")))
