@@ -6,9 +6,11 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from casebook.operators.baskets import top_triples
 from casebook.operators.quantiles import percentile_disc
+from casebook.sources.io import staged_paths
 
 
 def _pdisc(vals, p):
@@ -26,6 +28,43 @@ def test_percentile_disc_matches_definition(spark, seed):
     assert [got[f"p{i}"] for i in range(len(ps))] == [_pdisc(vals, p) for p in ps]
 
 
+@pytest.mark.parametrize("vals, kind", [
+    ([1e300, -1e300] + [k / 7 for k in range(500)], "double"),                      # all but two in one bucket
+    ([float("inf"), float("-inf"), 1.5, 1.5, 2.0], "double"),
+    ([7] * 40, "bigint"),                                                           # one value
+    ([2 ** 62 + k for k in range(50)] * 2, "bigint"),                               # equal as DOUBLE
+    (["b", "a", "c", "a"], "string")])
+def test_percentile_disc_of_awkward_values(spark, vals, kind):
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], f"v {kind}")
+    ps = [0.0, 0.01, 0.25, 0.5, 0.75, 1.0]
+    got = percentile_disc(df, "v", ps, [f"p{i}" for i in range(len(ps))]).first()
+    assert [got[f"p{i}"] for i in range(len(ps))] == [_pdisc(vals, p) for p in ps]
+
+
+def test_percentile_disc_sorts_only_what_holds_a_position(spark):
+    df = spark.range(100_000).select(F.col("id").alias("v"))
+    before = set(staged_paths(spark))
+    assert percentile_disc(df, "v", [0.25, 0.5], ["a", "b"]).first() == (24_999, 49_999)
+    sorted_ = [p for p in staged_paths(spark) if p not in before and "percentile_places" in p]
+    assert spark.read.parquet(sorted_[0]).count() <= 2 * (100_000 // 4096 + 1)
+
+
+@pytest.mark.parametrize("sizes", [(3, 20), (17, 30), (2, 16)])
+def test_top_triples_with_small_and_large_baskets(spark, sizes):
+    """Baskets on both sides of the limit for listing in place, null items and baskets."""
+    rnd = random.Random(sum(sizes))
+    items = [f"i{k:02d}" for k in range(30)]
+    rows = [(t, it) for t in range(60) for it in rnd.sample(items, rnd.randint(*sizes))] + [(1, None), (None, "i00"), (None, "i01"), (None, "i02")]
+    baskets = {}
+    for t, it in rows:
+        if t is not None and it is not None:
+            baskets.setdefault(t, set()).add(it)
+    c = Counter(tri for b in baskets.values() for tri in itertools.combinations(sorted(b), 3))
+    want = sorted((*tri, n) for tri, n in c.items() if n == max(c.values()))
+    df = spark.createDataFrame(rows, "txn int, item string")
+    assert sorted(tuple(r) for r in top_triples(df, "txn", "item", seed_items=5).collect()) == want
+
+
 def test_top_triples_matches_brute_force(spark):
     rnd = random.Random(7)
     items = [f"i{k:02d}" for k in range(12)]
