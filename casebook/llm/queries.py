@@ -127,6 +127,55 @@ SELECT c.doc_id, c.n_lines, c.n_dropped, sha256(coalesce(k.body, '')) AS kept_sh
 FROM counts c LEFT JOIN kept k ON c.doc_id = k.doc_id
 """
 
+ORACLE["op4_near_dedup"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingled AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM doc),
+keyed AS (SELECT r, doc_id, len(s) AS n, sha256(array_to_string(list_sort(s), chr(10))) AS cls, s FROM shingled),
+class AS (SELECT cls, min(doc_id) AS id, any_value(n) AS n, any_value(s) AS s FROM keyed WHERE n > 0 AND doc_id IS NOT NULL GROUP BY cls),
+item AS (SELECT id, n, unnest(s) AS x FROM class),
+held AS (SELECT id, n, md5_number(x) AS x FROM item),
+link AS (
+  SELECT a.id AS a, b.id AS b FROM held a JOIN held b ON a.x = b.x AND a.id < b.id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT id AS a, id AS b FROM class UNION SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.b),
+low AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(low.component_id, k.doc_id) AS component_id,
+       k.doc_id IS NOT DISTINCT FROM coalesce(low.component_id, k.doc_id) AS kept
+FROM keyed k LEFT JOIN class ON class.cls = k.cls AND k.doc_id IS NOT NULL LEFT JOIN low ON low.id = class.id
+"""
+
+# A run of whole UTF-8 characters in hex, then what is left of a cut one (shown as one U+FFFD).
+_RUN = "(?:[0-7].|(?:C[2-9A-F]|D.)T|E0[AB].T|E[1-9A-CEF]TT|ED[89].T|F0[9AB].TT|F[1-3]TTT|F48.TT)+".replace("T", "[89AB].")
+_CUT = "E0[AB].|E[1-9A-CEF]T|ED[89].|F0[9AB].T?|F[1-3]TT?|F48.T?".replace("T?", "(?:[89AB].)?").replace("T", "[89AB].")
+ORACLE["op9_repeated_bytes"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+place AS (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS i FROM doc WHERE octet_length(b) >= 400),
+win AS (SELECT r, i, md5_number(b[i:i + 399]) AS h FROM place),
+hit AS (SELECT r, i FROM win SEMI JOIN (SELECT h FROM win GROUP BY h HAVING count(*) > 1) twice USING (h)),
+first AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 400, true) AS opens FROM hit),
+run AS (SELECT r, i, sum(CAST(opens AS INT)) OVER (PARTITION BY r ORDER BY i) AS k FROM first),
+span AS (SELECT r, k, min(i) AS s, max(i) + 399 AS e FROM run GROUP BY r, k),
+after AS (SELECT r, s, e, lead(s) OVER (PARTITION BY r ORDER BY s) AS next FROM span),
+total AS (SELECT r, min(s) AS s, count(*) AS n_spans, sum(e - s + 1) AS n_removed FROM span GROUP BY r),
+tail AS (
+  SELECT a.r, string_agg(hex(b[e + 1:coalesce(next - 1, octet_length(b))]), '' ORDER BY a.s) AS h
+  FROM after a JOIN doc ON doc.r = a.r GROUP BY a.r),
+kept AS (
+  SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+         CASE WHEN n_spans IS NULL THEN hex(b) ELSE hex(b[1:s - 1]) || h END AS h
+  FROM doc LEFT JOIN total ON total.r = doc.r LEFT JOIN tail ON tail.r = doc.r)
+SELECT doc_id, n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(h)) AS kept_sha256,
+       decode(unhex(array_to_string(list_transform(regexp_extract_all(h, '{_RUN}|{_CUT}|..'),
+              lambda x: CASE WHEN regexp_full_match(x, '{_RUN}') THEN x ELSE 'EFBFBD' END), ''))) AS kept_text
+FROM kept
+"""
+
 _KNOWN = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in notices())
 ORACLE["op10_licences"] = f"""
 WITH known AS (
