@@ -21,7 +21,9 @@ A document's set holds the 64-bit hashes of its distinct word shingles
 5. Components of the confirmed links. Lists whose members are not all in one
    component are then completed: pairs between different components for
    lists up to ``LIST_ROWS`` members, and blocks of members compared inside
-   tasks for longer ones, which emit only the links that join components.
+   tasks for longer ones, which emit only the links that join components. Very
+   long lists are cut by set size first: blocks whose sizes rule the threshold
+   out do not meet.
 
 Null or wordless texts have the empty set: a component of their own. So have
 rows without doc_id (their component_id is null). Rows that repeat a doc_id
@@ -30,6 +32,8 @@ are answered one by one. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -40,8 +44,11 @@ from casebook.llm.words import mix, shingle_sets, slices
 
 SKETCH = 64                 # values per union sketch
 HEAVY_LIST = 50             # a value retained by more documents than this is ordered last
+HEAVY_VALUES = 1 << 20      # ordered last: the most frequent, so that their bit set stays sparse
+WANTED_IDS = 1 << 21        # more documents than this are picked by a join, not by the bit set of their ids
 LIST_ROWS = 64              # longest list completed by pairs of rows
 BLOCK = 256                 # classes per block of a longer list
+BANDED = 4 * BLOCK          # lists with more classes at home are cut by set size
 ORDER_BITS = BIT_INDEX
 
 
@@ -105,12 +112,13 @@ def _sets(width: int, pct: int, bits: np.ndarray):
     return run
 
 
-def _full_sets(width: int, bits: np.ndarray):
-    """Whole sets of the documents whose id may be in the bit set."""
+def _full_sets(width: int, bits: np.ndarray | None):
+    """Whole sets of the documents whose id may be in the bit set (of all without one)."""
     def run(batches):
         for b in batches:
-            bit = b.column("bit").to_numpy(zero_copy_only=False)
-            b = b.filter(pa.array(in_bits(bits, bit.astype(np.int64))))
+            if bits is not None:
+                bit = b.column("bit").to_numpy(zero_copy_only=False)
+                b = b.filter(pa.array(in_bits(bits, bit.astype(np.int64))))
             for lo, data, off in slices(b.column("text")) if b.num_rows else ():
                 sets = list(shingle_sets(data, off, width))
                 yield pa.RecordBatch.from_arrays(
@@ -230,16 +238,25 @@ class _Corpus:
 
     @staticmethod
     def _order_bits(frequent: DataFrame) -> np.ndarray:
-        """Bit set of frequent values, by the hash that ``_heavy`` uses."""
-        return bits_by(frequent.select("v"), lambda b: (
+        """Bit set of the most frequent values (from a power of two of holders on), by the hash that ``_heavy`` uses."""
+        frequent = stage(frequent, "near_frequent")
+        level = F.length(F.bin("count"))
+        sizes = dict(frequent.groupBy(level.alias("level")).count().collect())        # at most 64 rows
+        least, n = 65, 0
+        while least > 1 and n + sizes.get(least - 1, 0) <= HEAVY_VALUES:
+            least -= 1
+            n += sizes.get(least, 0)
+        return bits_by(frequent.where(level >= least).select("v"), lambda b: (
             mix(b.column("v").to_numpy().view(np.uint64)) >> np.uint64(64 - ORDER_BITS)).astype(np.int64))
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """``(cls, members)`` for the classes in ``wanted``, from their representatives' texts."""
         reps = stage(self.classes.join(wanted.distinct(), "cls", "left_semi").select("cls", "rep"), "near_wanted")
-        bits = bit_set(reps, "rep")
-        found = (self.docs.select("doc_id", "text", hashed_bit("doc_id").alias("bit")).where("doc_id is not null")
-                     .mapInArrow(_full_sets(self.width, bits), "doc_id long, cls long, members binary"))
+        docs = self.docs.select("doc_id", "text", hashed_bit("doc_id").alias("bit")).where("doc_id is not null")
+        bits = bit_set(reps, "rep") if reps.count() <= WANTED_IDS else None
+        if bits is None:
+            docs = docs.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        found = docs.mapInArrow(_full_sets(self.width, bits), "doc_id long, cls long, members binary")
         return found.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "cls"])
 
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -278,18 +295,32 @@ def _cross_pairs(lists: DataFrame, pct: int) -> DataFrame:
     return near.select("a", "b").distinct()
 
 
-def _blocks(c: _Corpus, lists: DataFrame) -> DataFrame:
-    """Links between components found in long lists, compared block by block inside tasks."""
-    home = lists.groupBy("cls", "label").agg(F.min("v").alias("p"))
+def _band(n, pct: int):
+    """Sizes a pair above the threshold can have lie in one band or in neighbouring ones."""
+    return F.floor(F.log(n) / F.lit(max(math.log(100 / pct), 1e-6) * (1 + 1e-9))).cast("long")
+
+
+def _block_pairs(lists: DataFrame, pct: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the classes in ``lists`` (cls, label, block), and the pairs of blocks that share a list (b1, b2, pair)."""
+    home = stage(lists.groupBy("cls", "label", "n").agg(F.min("v").alias("p")), "near_homes")
     count = home.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
-    home = home.join(count, "p").select("cls", "label", F.xxhash64(
-        "p", F.pmod(F.xxhash64("cls"), F.ceil(F.col("c") / BLOCK).cast("long"))).alias("block"))
-    home = stage(home, "near_blocks")
-    held = lists.join(home.select("cls", "block"), "cls").select("v", "block").distinct()
-    other = held.select(F.col("v").alias("v2"), F.col("block").alias("block2"))
-    pair = held.join(other, (held.v == other.v2) & (held.block <= other.block2)).select(
+    home = home.join(count, "p").withColumn("band", F.when(F.col("c") > BANDED, _band(F.col("n"), pct)))
+    count = home.groupBy("p", "band").agg(F.count(F.lit(1)).alias("m")).select(F.col("p").alias("p2"), F.col("band").alias("band2"), "m")
+    home = home.join(count, (F.col("p") == F.col("p2")) & F.col("band").eqNullSafe(F.col("band2")))
+    part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / BLOCK).cast("long"))
+    home = stage(home.select("cls", "label", "band", F.xxhash64("p", F.coalesce("band", F.lit(-1).cast("long")), part).alias("block")), "near_blocks")
+    held = lists.join(home.select("cls", "block", "band"), "cls").select("v", "block", "band").distinct()
+    other = held.select(F.col("v").alias("v2"), F.col("block").alias("block2"), F.col("band").alias("band2"))
+    alike = held.band.isNull() | other.band2.isNull() | (F.abs(held.band - other.band2) <= 1)
+    pair = held.join(other, (held.v == other.v2) & (held.block <= other.block2) & alike).select(
         F.col("block").alias("b1"), F.col("block2").alias("b2")).distinct()
-    pair = stage(pair.select("b1", "b2", F.xxhash64("b1", "b2").alias("pair")), "near_block_pairs")
+    return home.select("cls", "label", "block"), pair.select("b1", "b2", F.xxhash64("b1", "b2").alias("pair"))
+
+
+def _blocks(c: _Corpus, lists: DataFrame) -> DataFrame:
+    """Links between components found in long lists, compared block by block inside tasks."""
+    home, pair = _block_pairs(lists, c.pct)
+    pair = stage(pair, "near_block_pairs")
     sets = c.sets_of(home.select("cls")).select("cls", "members")
     sets = stage(sets.join(home, "cls"), "near_block_sets")
     sides = pair.select("pair", F.col("b1").alias("block")).union(pair.where("b1 <> b2").select("pair", "b2"))

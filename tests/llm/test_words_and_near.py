@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from casebook.llm import near_dedup as N
 from casebook.llm.components import connected_components
@@ -69,9 +70,14 @@ def test_empty_table(empty):
     assert N.near_duplicates(empty).collect() == []
 
 
-@pytest.mark.parametrize("list_rows,block,heavy", [(64, 256, 50), (2, 4, 1)])
-def test_random_groups_against_all_pairs(spark, monkeypatch, list_rows, block, heavy):
-    """Chains of edits, exact copies and shared passages; the small limits force the block path."""
+@pytest.mark.parametrize("list_rows,block,heavy,values,ids,banded", [
+    (64, 256, 50, 1 << 20, 1 << 21, 1024), (2, 4, 1, 1 << 20, 1 << 21, 1024), (2, 4, 1, 5, 0, 0), (2, 4, 1, 0, 0, 8)])
+def test_random_groups_against_all_pairs(spark, monkeypatch, list_rows, block, heavy, values, ids, banded):
+    """Chains of edits, exact copies and shared passages; the small limits force the block path,
+    bands of set sizes, few values in the order's bit set and documents picked by a join."""
+    monkeypatch.setattr(N, "HEAVY_VALUES", values)
+    monkeypatch.setattr(N, "WANTED_IDS", ids)
+    monkeypatch.setattr(N, "BANDED", banded)
     monkeypatch.setattr(N, "LIST_ROWS", list_rows)
     monkeypatch.setattr(N, "BLOCK", block)
     monkeypatch.setattr(N, "HEAVY_LIST", heavy)
@@ -92,6 +98,26 @@ def test_random_groups_against_all_pairs(spark, monkeypatch, list_rows, block, h
     check(df, rows, 5, 80)
 
 
+@pytest.mark.parametrize("pct", [50, 80, 85, 100])
+def test_sizes_that_can_pass_lie_in_neighbouring_bands(spark, pct):
+    band = [r.band for r in spark.range(1, 3000).select(N._band(F.col("id"), pct).alias("band")).collect()]
+    for n in range(1, 3000):
+        assert 0 <= band[n - 1] - band[-(-n * pct // 100) - 1] <= 1
+
+
+def test_block_pairs_of_a_value_that_every_class_holds(spark, monkeypatch):
+    """Blocks meet within two bands of sizes only."""
+    monkeypatch.setattr(N, "BLOCK", 8)
+    lists = spark.range(2000).selectExpr("7L as v", "id as cls", "id as label", "10 * cast(pow(1.2, id % 40) as long) as n")
+    pairs = {}
+    for limit in (1000, 10000):
+        monkeypatch.setattr(N, "BANDED", limit)
+        home, pair = N._block_pairs(lists, 85)
+        assert home.count() == 2000
+        pairs[limit] = pair.count()
+    assert pairs[1000] * 5 < pairs[10000]
+
+
 def test_shared_counts():
     rnd = np.random.default_rng(3)
     sets = [np.unique(rnd.integers(0, 60, rnd.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
