@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casebook.functions.numeric import avg_expr, exact_avg
 from casebook.operators import top_per_group
+from casebook.operators.spread import spread
 from casebook.plans.clo import amounts
 from casebook.sources import subjects as S
 from casebook.sources.subjects_sql import with_views
@@ -28,13 +29,15 @@ def _scope(sales: DataFrame, month: str | None) -> DataFrame:
     return s.withColumns(amounts())
 
 
-def monthly_report(sales: DataFrame, products: DataFrame, month: str | None = None) -> dict:
+def monthly_report(sales: DataFrame, products: DataFrame, month: str | None = None, tasks: int | None = None) -> dict:
     s = _scope(sales, month)
     high = s.groupBy("month").agg(F.sum("qty").alias("total_qty"),
                                   F.sum("gross").cast("decimal(38,2)").alias("gross_revenue"),
                                   F.sum("disc").cast("decimal(38,4)").alias("total_discount"))
-    t = s.groupBy("month", "txn_id", "member").agg(F.count_distinct("prod_id").alias("products"),
-                                                    F.sum("disc").cast("decimal(38,4)").alias("discount"))
+    keys = ["month", "txn_id", "member"]
+    lines = spread(s, tasks, *keys, "prod_id").groupBy(*keys, "prod_id").agg(F.sum("disc").alias("disc"))
+    t = spread(lines, tasks, *keys).groupBy(*keys).agg(F.count("prod_id").alias("products"),
+                                                       F.sum("disc").cast("decimal(38,4)").alias("discount"))
     txn = t.groupBy("month").agg(
         F.count(F.lit(1)).alias("unique_txn"), exact_avg("products").alias("avg_unique_products"),
         exact_avg("discount", 4).alias("avg_discount"),
@@ -47,7 +50,7 @@ def monthly_report(sales: DataFrame, products: DataFrame, month: str | None = No
 
 
 def _r(sp, d, section):
-    return monthly_report(S.clo_sales(sp, d), S.clo_products(sp, d))[section]
+    return monthly_report(S.clo_sales(sp, d), S.clo_products(sp, d), tasks=S.clo_tasks(sp, d))[section]
 
 
 G, D = "qty * price", "price * qty * discount * 0.01"
