@@ -5,10 +5,11 @@
    words there are shorter passages besides (SHORT), lest the words around
    a short item outweigh it. Words are hashed
    into FEATURES columns; passage frequencies are counted over all documents.
-2. A randomised SVD of the TF-IDF passage matrix, computed by Spark over at
-   most 2 * FIT_PASSAGES passages (of the documents below a hash cut): every pass
-   multiplies the partitions' rows, partial products are added up. The
-   factors only form the index; every passage of every document is searched.
+2. A randomised SVD of the TF-IDF matrix A of half passages (HALF words each, side by
+   side), computed by Spark in one pass over all documents: every task multiplies its rows
+   (A.T @ A @ test, with a sparse test matrix of SKETCH columns), the
+   products are added up, and Nystrom's formula gives the factors. They only
+   form the index; every passage of every document is searched.
 3. Passages and benchmark items are mapped to the latent space, scaled by the
    inverse singular values (so that common words do not dominate), and every
    passage is compared with every item window of its size by cosine, in
@@ -33,17 +34,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import blocks_of, merged_blocks, stage, whole
+from casebook.llm.common import blocks_of, merged_blocks, whole
 from casebook.llm.words import mix, powers, prefix_hash, slices, spans, texts
 
 FEATURES = 1 << 13
 WINDOW, HALF = 32, 16
 SHORT = ((10, 8), (23, 16))         # items of at most so many words: passages of so many words
 RANK = 128
-OVERSAMPLE = 16
-POWER_PASSES = 2
-FIT_PASSAGES = 100_000
-FIT_PART_ROWS = 50_000
+SKETCH = 256
+PART_PASSAGES = 100_000
 COSINE = 0.35
 OVERLAP = 0.35
 LCS_PCT = 70
@@ -115,61 +114,47 @@ def inverse_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
     return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)), int(n[FEATURES])
 
 
-def _sample(batches):
-    """Features of disjoint passages, FEATURES where a passage ends early."""
-    for b in batches:
-        for _, h, rows in word_ids(b.column("text")):
-            start, row, place, _ = _halves(rows)
-            at = np.flatnonzero(place % 2 == 0)
-            if not len(at):
-                continue
-            grid = start[at][:, None] + np.arange(WINDOW)
-            inside = grid < rows[row[at] + 1][:, None]
-            f = np.where(inside, feature(h)[np.minimum(grid, len(h) - 1)], FEATURES).astype(np.int16)
-            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(f.ravel()), WINDOW).cast(pa.list_(pa.int16()))], ["f"])
+def _sketch():
+    """The test matrix: the column and the sign of every feature's only entry (none for FEATURES)."""
+    rng = np.random.default_rng(42)
+    return rng.permutation(FEATURES) % SKETCH, rng.choice([-1.0, 1.0], FEATURES)
 
 
-def _gram_times(weight: np.ndarray, basis: np.ndarray):
-    """Partial ``A.T @ (A @ basis)`` over a partition's passages, rows of A of unit length."""
+def _gram_times(weight: np.ndarray):
+    """A task's share of ``A.T @ (A @ test)`` over the half passages of its documents, rows of A of unit length."""
     def run(batches):
-        table = np.vstack([basis * weight[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
-        square = np.append(weight ** 2, 0)
-        total = np.zeros((FEATURES + 1, basis.shape[1]), np.float64)
+        column, sign = (np.append(x, 0) for x in _sketch())
+        weights = np.append(weight, 0.0)
+        signed, square = weights * sign, weights ** 2
+        total = np.zeros((FEATURES + 1) * SKETCH)
         for b in batches:
-            every = b.column("f").flatten().to_numpy().astype(np.int64).reshape(-1, WINDOW)
-            for k in range(0, len(every), 2048):
-                f = every[k:k + 2048]
-                size = np.sqrt(np.maximum(square[f].sum(axis=1), 1e-12))[:, None]
-                y = (table[f].sum(axis=1) / size ** 2).astype(np.float32)
-                order = np.argsort(f.ravel(), kind="stable")
-                v = f.ravel()[order]
-                first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-                total[v[first]] += np.add.reduceat(y[order // WINDOW], first, axis=0)
-        yield blocks_of((total[:FEATURES] * weight[:, None]).astype(np.float32).ravel(), SUM_BLOCK)
+            for _, h, rows in word_ids(b.column("text")):
+                f = np.append(feature(h), FEATURES)
+                start, row, _, _ = _halves(rows)
+                grid = start[:, None] + np.arange(HALF)
+                every = f[np.where(grid < rows[row + 1][:, None], grid, len(h))]
+                for k in range(0, len(every), 512):
+                    f = every[k:k + 512]
+                    size = np.maximum(square[f].sum(axis=1), 1e-12)[:, None]
+                    cell = (f * SKETCH)[:, :, None] + column[f][:, None, :]
+                    np.add.at(total, cell.ravel(), ((weights[f] / size)[:, :, None] * signed[f][:, None, :]).ravel())
+        yield blocks_of(total[:FEATURES * SKETCH].astype(np.float32), SUM_BLOCK)
     return run
 
 
 def latent_basis(docs: DataFrame, weight: np.ndarray, passages: int) -> np.ndarray:
     """FEATURES x RANK map from raw counts to the scaled latent space."""
-    picked = docs.select("doc_id", "text")
-    if passages > 2 * FIT_PASSAGES:                 # passages overlap by half: twice as many as disjoint ones
-        cut = int(2 * FIT_PASSAGES / passages * 2**63)
-        picked = picked.where(F.xxhash64("doc_id").bitwiseAND(F.lit(2**63 - 1)) < F.lit(cut))
-    parts = -(-min(max(passages, 1), 2 * FIT_PASSAGES) // FIT_PART_ROWS)      # every part costs a copy of the partial product
-    sample = stage(picked.select("text").mapInArrow(_sample, "f array<short>").limit(2 * FIT_PASSAGES).repartition(parts), "latent_sample")
-    test = np.random.default_rng(42).standard_normal((FEATURES, RANK + OVERSAMPLE))
-
-    def times(basis):
-        parts = sample.mapInArrow(_gram_times(weight, basis.astype(np.float32)), "block long, data binary")
-        return whole(merged_blocks(parts, np.float32, np.add), basis.size, SUM_BLOCK, np.float64).reshape(basis.shape)
-    q = test
-    for _ in range(POWER_PASSES):
-        q, _ = np.linalg.qr(times(q))
-    core = q.T @ times(q)
+    parts = max(-(-passages // PART_PASSAGES), docs.sparkSession.sparkContext.defaultParallelism)   # every part costs a copy of the product
+    shares = docs.select("text").coalesce(parts).mapInArrow(_gram_times(weight), "block long, data binary")
+    product = whole(merged_blocks(shares, np.float32, np.add), FEATURES * SKETCH, SUM_BLOCK, np.float64).reshape(FEATURES, SKETCH)
+    column, sign = _sketch()
+    core = np.zeros((SKETCH, SKETCH))               # test.T @ product
+    np.add.at(core, column, sign[:, None] * product)
     values, vectors = np.linalg.eigh((core + core.T) / 2)
-    top = np.argsort(values)[::-1][:RANK]
-    top = top[values[top] > max(values.max(), 0) * 1e-9]
-    return ((q @ vectors[:, top]) / np.sqrt(values[top]) * weight[:, None]).astype(np.float32)
+    some = values > max(values.max(), 0) * 1e-9
+    left, sizes, _ = np.linalg.svd(product @ (vectors[:, some] / np.sqrt(values[some])), full_matrices=False)
+    some = np.flatnonzero(sizes ** 2 > sizes.max(initial=0) ** 2 * 1e-9)[:RANK]
+    return (left[:, some] / sizes[some] * weight[:, None]).astype(np.float32, order="C")
 
 
 def lcs_length(a: list, b: list) -> int:
@@ -204,7 +189,7 @@ def unit_sums(f: np.ndarray, rows: np.ndarray, table: np.ndarray, unit: int):
     f = np.where(grid < rows[row + 1][:, None], f[np.minimum(grid, len(f) - 1)], FEATURES)
     out = np.zeros((len(start) + 1, table.shape[1]), np.float32)
     for k in range(unit):
-        out[:-1] += table[f[:, k]]
+        out[:-1] += table.take(f[:, k], axis=0)
     return out, np.searchsorted(row, np.arange(len(rows)))
 
 
@@ -247,6 +232,14 @@ class _Block:
         words = np.concatenate([np.array(h, np.uint64) for _, h, _ in items])
         self.words, number = np.unique(words, return_inverse=True)
         self.held = np.unique(number * len(items) + np.repeat(np.arange(len(items)), [len(x[1]) for x in items]))   # (word, item) pairs
+        size = max(16 * len(self.held), 2).bit_length()             # the same pairs in a table where few others fall on them
+        self.salt, self.shift = mix(np.arange(len(items), dtype=np.uint64)), np.uint64(64 - size)
+        self.table = np.zeros(1 << size, bool)
+        self.table[(self.words[self.held // len(items)] ^ self.salt[self.held % len(items)]) >> self.shift] = True
+
+    def maybe_covered(self, h: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """All that ``covered`` finds, and a few words more."""
+        return self.table[(h ^ self.salt[item][:, None]) >> self.shift]
 
     def covered(self, h: np.ndarray, item: np.ndarray) -> np.ndarray:
         """Which of the words (a row for each candidate) the candidate's item holds."""
@@ -261,19 +254,20 @@ class _Block:
     def candidates(self, h: np.ndarray, rows: np.ndarray, passages: dict | None = None):
         """(row, item, word where the item would begin) of the passages that pass cosine and overlap."""
         sizes = np.unique(self.size).tolist()
+        value = self.weight[feature(h)]
         passages = passages or passages_by_size(h, rows, _table(self.basis), sizes)
         for size in sizes:
             mine = np.flatnonzero(self.size == size)          # the item windows for passages of this size
             vectors, row, start = passages[size]
-            p, q = np.nonzero(vectors @ self.query[mine].T >= COSINE)
-            for k in range(0, len(p), 10_000):
-                pk, qk = p[k:k + 10_000], mine[q[k:k + 10_000]]
+            p, q = np.divmod(np.flatnonzero(vectors @ self.query[mine].T >= COSINE), len(mine))
+            for k in range(0, len(p), 2_000):
+                pk, qk = p[k:k + 2_000], mine[q[k:k + 2_000]]
                 grid = start[pk][:, None] + np.arange(size)
-                inside = grid < rows[row[pk] + 1][:, None]
-                grid = np.minimum(grid, len(h) - 1)
-                words = h[grid]
-                cover = (self.weight[feature(words)] * (self.covered(words, self.owner[qk]) & inside)).sum(axis=1)
-                ok = cover >= self.need[qk]
+                worth = np.where(grid < rows[row[pk] + 1][:, None], value[np.minimum(grid, len(h) - 1)], 0)
+                words = h[np.minimum(grid, len(h) - 1)]
+                ok = (worth * self.maybe_covered(words, self.owner[qk])).sum(axis=1) >= self.need[qk]
+                pk, qk, worth, words = pk[ok], qk[ok], worth[ok], words[ok]
+                ok = (worth * self.covered(words, self.owner[qk])).sum(axis=1) >= self.need[qk]
                 yield row[pk[ok]], self.owner[qk[ok]], start[pk[ok]] - self.place[qk[ok]]
 
     def matches(self, item: list, answer: tuple[set, int], near: list) -> int | None:

@@ -216,6 +216,36 @@ def test_candidate_recall_against_all_windows(spark, monkeypatch):
     assert found <= every and len(found) >= 0.9 * len(every) and every
 
 
+def test_the_index_is_fitted_on_every_document(spark, monkeypatch):
+    """No share of the documents is left out, however many passages there are: the sums are those of all half passages."""
+    docs, _, _ = corpus(random.Random(28), 60)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    weight, _ = D.inverse_frequency(df)
+    seen, whole = [], D.whole
+    monkeypatch.setattr(D, "whole", lambda *args: seen.append(whole(*args)) or seen[-1])
+    basis = D.latent_basis(df, weight, 10**9)
+    column, sign = D._sketch()
+    want = D.np.zeros((D.FEATURES, D.SKETCH))
+    for _, h, rows in D.word_ids(pa.array([t for _, t in docs])):
+        for a, z in zip(rows[:-1], rows[1:]):
+            for k in range(a, z, D.HALF):
+                words = D.feature(h[k:min(k + D.HALF, z)])
+                image = D.np.bincount(column[words], weight[words] * sign[words], D.SKETCH) / max((weight[words] ** 2).sum(), 1e-12)
+                D.np.add.at(want, words, weight[words][:, None] * image)
+    assert D.np.allclose(seen[0].reshape(want.shape), want, rtol=1e-4, atol=1e-4) and want.any()
+    assert basis.shape == (D.FEATURES, D.RANK) and D.np.isfinite(basis).all() and basis.flags.c_contiguous
+
+
+def test_overlap_bound_keeps_all_that_the_overlap_keeps():
+    rng = D.np.random.default_rng(9)
+    words = rng.integers(0, 2**63, 300).astype(D.np.uint64)
+    items = [(k, rng.choice(words, 30).tolist(), (set(), 0)) for k in range(50)]
+    block = D._Block(rng.standard_normal((D.FEATURES, D.RANK)).astype(D.np.float32), D.np.ones(D.FEATURES), items)
+    text, item = rng.choice(D.np.append(words, words + D.np.uint64(1)), (500, 32)), rng.integers(0, 50, 500)
+    exact, bound = block.covered(text, item), block.maybe_covered(text, item)
+    assert (bound | ~exact).all() and exact.any() and bound.mean() < exact.mean() + 0.15
+
+
 def test_short_items_inside_running_text():
     """Exact copies of short items among other words: at least 0.9 are candidates, for every length."""
     rng = D.np.random.default_rng(4)
