@@ -12,18 +12,28 @@ A document's set holds the 64-bit hashes of its distinct word shingles
 2. Inverted lists of the retained values. Each list first links its members
    to its smallest member only, so a large group of near copies costs one
    pair per member, not all pairs.
-3. Union-sketch estimate: of the SKETCH smallest values of both sketches
-   together, the share held by both. Pairs far below t are dropped (at
-   t = 0.85 a true pair fails with odds under 1e-12; sets that fit into
+3. Signature: of each of ``BINS`` ranges of hashes the smallest value's last
+   bit. A differing bit takes a value that one set alone holds, so as many
+   bits as a pair above t can differ in are known from its sizes; where the
+   odds of differing in so many are under 1e-12 the limit is lower. Pairs
+   beyond it are dropped where they are made, before they are moved: values
+   that sets share by chance give pairs with the square of the input.
+   Union-sketch estimate of the others: of the SKETCH smallest values of both
+   sketches together, the share held by both. Pairs far below t are dropped
+   (at t = 0.85 a true pair fails with odds under 1e-12; sets that fit into
    their sketch are compared exactly).
 4. Exact Jaccard on the full sets, recomputed from the texts of the classes
    still in play.
 5. Components of the confirmed links. Lists whose members are not all in one
    component are then completed: pairs between different components for
    lists up to ``LIST_ROWS`` members, and blocks of members compared inside
-   tasks for longer ones, which emit only the links that join components. Very
-   long lists are cut by set size first: blocks whose sizes rule the threshold
-   out do not meet.
+   tasks for longer ones, which emit only the links that join components. In
+   lists up to ``LIVE_ROWS`` members only those take part whose signature lets
+   another one of the list be near. Very long lists are cut by set size first:
+   blocks whose sizes rule the threshold out do not meet.
+
+A staged table is deleted once its last reader has run, and the shuffle files
+of a step with its end, so the disk holds one step at a time.
 
 Null or wordless texts have the empty set: a component of their own. So have
 rows without doc_id (their component_id is null). Rows that repeat a doc_id
@@ -32,21 +42,25 @@ are answered one by one. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import BIT_INDEX, bit_set, bits_by, hashed_bit, in_bits, stage
+from casebook.llm.common import BIT_INDEX, bit_set, bits_by, hashed_bit, in_bits, stage_tidy as stage, unstage
 from casebook.llm.components import connected_components
 from casebook.llm.words import mix, shingle_sets, slices
+from casebook.sources.io import drop_stages, staged_paths
 
 SKETCH = 64                 # values per union sketch
+BINS = 128                  # bits of a signature
 HEAVY_LIST = 50             # a value retained by more documents than this is ordered last
 HEAVY_VALUES = 1 << 20      # ordered last: the most frequent, so that their bit set stays sparse
 WANTED_IDS = 1 << 21        # more documents than this are picked by a join, not by the bit set of their ids
 LIST_ROWS = 64              # longest list completed by pairs of rows
+LIVE_ROWS = 1 << 13         # longest list whose members are tried by signature before they go to blocks
 BLOCK = 256                 # classes per block of a longer list
 BANDED = 4 * BLOCK          # lists with more classes at home are cut by set size
 ORDER_BITS = BIT_INDEX
@@ -65,6 +79,38 @@ def _digests(s: np.ndarray) -> tuple[int, int]:
     return int(first.view(np.int64)[0]), int(np.add.reduce(mix(m + np.uint64(0x14057B7EF767814F))).view(np.int64))
 
 
+_EDGES = np.arange(BINS, dtype=np.uint64) * np.uint64((1 << 64) // BINS)
+
+
+def _signature(s: np.ndarray) -> np.ndarray:
+    """Two longs: the last bit of the smallest value in each of ``BINS`` equal ranges of hashes, 0 in empty ones."""
+    at = np.searchsorted(s, _EDGES)
+    held = at < np.append(at[1:], len(s))
+    bits = np.zeros(BINS, np.uint8)
+    bits[held] = s[at[held]] & np.uint64(1)
+    return np.packbits(bits).view(np.int64)
+
+
+def _differing_bits(pct: int) -> int:
+    """Signature bits in which a pair above the threshold differs at most, but for odds under 1e-12.
+
+    A bit differs at even odds if the smallest value of its range is held by one set alone; of such
+    draws without replacement the binomial tail is an upper bound.
+    """
+    p, tail, k = (100 - pct) / 200, 0.0, BINS
+    while k and (tail := tail + math.comb(BINS, k) * p**k * (1 - p)**(BINS - k)) < 1e-12:
+        k -= 1
+    return k
+
+
+def _may_be_near(a, b, pct: int):
+    """Neither the sizes nor the signatures of (n, s1, s2) and (n, s1, s2) rule the threshold out."""
+    (n, s1, s2), (m, r1, r2) = ([F.col(x) for x in side] for side in (a, b))
+    differ = F.bit_count(s1.bitwiseXOR(r1)) + F.bit_count(s2.bitwiseXOR(r2))
+    return (_alike_sizes(n, m, pct) & (differ <= _differing_bits(pct))
+            & (differ.cast("long") * (100 + pct) <= (n + m) * (100 - pct)))
+
+
 def _heavy(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return in_bits(bits, (mix(values) >> np.uint64(64 - ORDER_BITS)).astype(np.int64))
 
@@ -92,23 +138,25 @@ def _head_values(width: int, pct: int):
 
 
 def _sets(width: int, pct: int, bits: np.ndarray):
-    """Set size, two digests of the set, sketch and retained values of every document."""
+    """Set size, two digests of the set, signature, sketch and retained values of every document."""
     def run(batches):
         for b in batches:
             for lo, data, off in slices(b.column("text")):
-                n, d1, d2, sketch, keep = [], [], [], [], []
+                n, d1, d2, marks, sketch, keep = [], [], [], [], [], []
                 for s in shingle_sets(data, off, width):
                     n.append(len(s))
                     x, y = _digests(s)
                     d1.append(x)
                     d2.append(y)
+                    marks.append(_signature(s))
                     sketch.append(s[:SKETCH])
                     h = _heavy(s, bits)
                     keep.append((np.concatenate([s[~h], s[h]]) if h.any() else s)[:retained(len(s), pct)] if len(s) else s)
                 ids = b.column("doc_id").slice(lo, len(n))
+                s1, s2 = (pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), _lists(sketch), _lists(keep)],
-                    ["doc_id", "n_shingles", "cls", "check", "sketch", "kept_values"])
+                    [ids, pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), s1, s2, _lists(sketch), _lists(keep)],
+                    ["doc_id", "n_shingles", "cls", "check", "s1", "s2", "sketch", "kept_values"])
     return run
 
 
@@ -226,12 +274,14 @@ class _Corpus:
         texts = docs.select("text")
         frequent = (texts.mapInArrow(_head_values(width, pct), "v long")
                          .groupBy("v").count().where(F.col("count") > HEAVY_LIST))
-        self.rows = stage(docs.select("doc_id", "text").mapInArrow(
+        self.sets = stage(docs.select("doc_id", "text").mapInArrow(
             _sets(width, pct, self._order_bits(frequent)),
-            "doc_id long, n_shingles long, cls long, check long, sketch array<long>, kept_values array<long>"), "near_sets")
-        some = (self.rows.where("n_shingles > 0 and doc_id is not null").groupBy("cls")
+            "doc_id long, n_shingles long, cls long, check long, s1 long, s2 long, sketch array<long>, kept_values array<long>"), "near_sets")
+        self.rows = stage(self.sets.select("doc_id", "n_shingles", "cls"), "near_rows")
+        some = (self.sets.where("n_shingles > 0 and doc_id is not null").groupBy("cls")
                     .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.max("n_shingles").alias("n2"),
-                         F.min("check").alias("c1"), F.max("check").alias("c2"), F.first("sketch").alias("sketch")))
+                         F.min("check").alias("c1"), F.max("check").alias("c2"), F.min("s1").alias("s1"), F.min("s2").alias("s2"),
+                         F.first("sketch").alias("sketch")))
         self.classes = stage(some, "near_classes")
         if self.classes.where("n <> n2 or c1 <> c2").limit(1).count():
             raise RuntimeError("two different sets share a 64-bit digest; change the digest constant")
@@ -246,10 +296,15 @@ class _Corpus:
         while least > 1 and n + sizes.get(least - 1, 0) <= HEAVY_VALUES:
             least -= 1
             n += sizes.get(least, 0)
-        return bits_by(frequent.where(level >= least).select("v"), lambda b: (
+        bits = bits_by(frequent.where(level >= least).select("v"), lambda b: (
             mix(b.column("v").to_numpy().view(np.uint64)) >> np.uint64(64 - ORDER_BITS)).astype(np.int64))
+        unstage(frequent)
+        return bits
+
+    def signatures(self, side: str) -> DataFrame:
+        return self.classes.select(F.col("cls").alias(side), *(F.col(x).alias(f"{side}_{x}") for x in ("n", "s1", "s2")))
 
-    def sets_of(self, wanted: DataFrame) -> DataFrame:
+    def sets_of(self, wanted: DataFrame, name: str) -> DataFrame:
         """``(cls, members)`` for the classes in ``wanted``, from their representatives' texts."""
         reps = stage(self.classes.join(wanted.distinct(), "cls", "left_semi").select("cls", "rep"), "near_wanted")
         docs = self.docs.select("doc_id", "text", hashed_bit("doc_id").alias("bit")).where("doc_id is not null")
@@ -257,7 +312,9 @@ class _Corpus:
         if bits is None:
             docs = docs.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
         found = docs.mapInArrow(_full_sets(self.width, bits), "doc_id long, cls long, members binary")
-        return found.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "cls"])
+        found = stage(found.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "cls"]).select("cls", "members"), name)
+        unstage(reps)
+        return found
 
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of the pairs (a, b) those that pass the sketch estimate and the exact test."""
@@ -267,32 +324,48 @@ class _Corpus:
                        .select("a", "b", "a_sketch", "b_sketch")
                        .mapInArrow(_estimate(self.pct), "a long, b long"))
         likely = stage(likely, f"near_likely_{name}")
-        sets = stage(self.sets_of(likely.select(F.col("a").alias("cls")).union(likely.select("b"))), f"near_members_{name}")
-        one = sets.select("cls", "members")
-        return (likely.join(one.withColumnsRenamed({"cls": "a", "members": "a_set"}), "a")
-                      .join(one.withColumnsRenamed({"cls": "b", "members": "b_set"}), "b")
-                      .select("a", "b", "a_set", "b_set")
-                      .mapInArrow(_verify(self.pct), "src long, dst long"))
+        one = self.sets_of(likely.select(F.col("a").alias("cls")).union(likely.select("b")), f"near_members_{name}")
+        links = (likely.join(one.withColumnsRenamed({"cls": "a", "members": "a_set"}), "a")
+                       .join(one.withColumnsRenamed({"cls": "b", "members": "b_set"}), "b")
+                       .select("a", "b", "a_set", "b_set")
+                       .mapInArrow(_verify(self.pct), "src long, dst long"))
+        links = stage(links, f"near_links_{name}")
+        unstage(likely, one)
+        return links
 
 
 def _lists_of(c: _Corpus) -> DataFrame:
     """Retained values held by at least two classes: (v, cls, n, hub, hub_n)."""
-    post = c.rows.where("n_shingles > 0 and doc_id is not null").select("cls", F.col("n_shingles").alias("n"), F.explode("kept_values").alias("v"))
-    ends = (post.groupBy("v").agg(F.min(F.struct("cls", "n")).alias("lo"), F.max("cls").alias("hi"))
-                .where("lo.cls <> hi").select("v", F.col("lo.cls").alias("hub"), F.col("lo.n").alias("hub_n")))
-    return stage(post.join(ends, "v"), "near_lists")
+    post = c.sets.where("n_shingles > 0 and doc_id is not null").select("cls", F.col("n_shingles").alias("n"), F.explode("kept_values").alias("v"))
+    ends = (post.groupBy("v").agg(F.min("cls").alias("hub"), F.min_by("n", "cls").alias("hub_n"), F.max("cls").alias("hi"))
+                .where("hub <> hi").drop("hi"))
+    lists = stage(post.join(ends, "v"), "near_lists")
+    unstage(c.sets)
+    return lists
 
 
 def _alike_sizes(a: str, b: str, pct: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * pct
 
 
+def _sides(lists: DataFrame, pct: int):
+    """The lists twice, and what two members of a list have to fulfil to be a pair between components."""
+    x, y = (lists.select(F.col("v").alias(f"{s}_v"), F.col("cls").alias(s), *(F.col(k).alias(f"{s}_{k}") for k in ("n", "label", "s1", "s2")))
+            for s in "ab")
+    near = _may_be_near(("a_n", "a_s1", "a_s2"), ("b_n", "b_s1", "b_s2"), pct)
+    return x, y, (F.col("a_v") == F.col("b_v")) & (F.col("a_label") != F.col("b_label")) & near
+
+
 def _cross_pairs(lists: DataFrame, pct: int) -> DataFrame:
     """Distinct pairs between components within the (short) lists."""
-    x = lists.select("v", F.col("cls").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
-    y = lists.select("v", F.col("cls").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
-    near = x.join(y, (x.v == y.v) & (x.a < y.b) & (x.a_label != y.b_label) & _alike_sizes("a_n", "b_n", pct))
-    return near.select("a", "b").distinct()
+    x, y, near = _sides(lists, pct)
+    return x.join(y, near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+
+
+def _live(lists: DataFrame, pct: int) -> DataFrame:
+    """The members of the (longer) lists that some other member may be near to."""
+    x, y, near = _sides(lists, pct)
+    return x.join(y, near, "left_semi").select(F.col("a_v").alias("v"), F.col("a").alias("cls"), F.col("a_n").alias("n"), F.col("a_label").alias("label"))
 
 
 def _band(n, pct: int):
@@ -319,13 +392,17 @@ def _block_pairs(lists: DataFrame, pct: int) -> tuple[DataFrame, DataFrame]:
 
 def _blocks(c: _Corpus, lists: DataFrame) -> DataFrame:
     """Links between components found in long lists, compared block by block inside tasks."""
+    old = staged_paths(c.docs.sparkSession)
     home, pair = _block_pairs(lists, c.pct)
     pair = stage(pair, "near_block_pairs")
-    sets = c.sets_of(home.select("cls")).select("cls", "members")
-    sets = stage(sets.join(home, "cls"), "near_block_sets")
+    members = c.sets_of(home.select("cls"), "near_block_members")
+    sets = stage(members.join(home, "cls"), "near_block_sets")
+    unstage(members)
     sides = pair.select("pair", F.col("b1").alias("block")).union(pair.where("b1 <> b2").select("pair", "b2"))
-    return (sides.join(sets, "block").select("pair", "cls", "label", "members")
-                 .groupBy("pair").applyInPandas(_block_links(c.pct), "src long, dst long"))
+    links = stage(sides.join(sets, "block").select("pair", "cls", "label", "members")
+                       .groupBy("pair").applyInPandas(_block_links(c.pct), "src long, dst long"), "near_block_links")
+    drop_stages(c.docs.sparkSession, [p for p in staged_paths(c.docs.sparkSession)[:-1] if p not in old])
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, pct: int = 80) -> DataFrame:
@@ -337,27 +414,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, pct: int = 80) -> DataFrame
     c = _Corpus(docs, width, pct)
     lists = _lists_of(c)
     hubs = lists.where(F.col("cls") != F.col("hub")).where(_alike_sizes("n", "hub_n", pct))
-    links = stage(c.confirmed(hubs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct(), "hubs"), "near_links")
+    hubs = hubs.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct().join(c.signatures("a"), "a").join(c.signatures("b"), "b")
+    links = c.confirmed(hubs.where(_may_be_near(("a_n", "a_s1", "a_s2"), ("b_n", "b_s1", "b_s2"), pct)).select("a", "b"), "hubs")
     labels = connected_components(links)
 
-    known = lists.select("v", "cls", "n").distinct().join(
-        labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    about = c.classes.select("cls", "s1", "s2").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    known = lists.select("v", "cls", "n").distinct().join(about.withColumn("label", F.coalesce("label", "cls")), "cls")
     known = stage(known, "near_labelled")
+    unstage(lists)
     open_ = known.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("l1"), F.max("label").alias("l2"))
     open_ = stage(open_.where("l1 <> l2").select("v", "m"), "near_open")
-    short = known.join(open_.where(F.col("m") <= LIST_ROWS).select("v"), "v")
-    long_ = known.join(open_.where(F.col("m") > LIST_ROWS).select("v"), "v")
-    more = c.confirmed(_cross_pairs(short, pct), "cross")
+    held = known.join(open_, "v")
+    parts = [links, c.confirmed(_cross_pairs(held.where(F.col("m") <= LIST_ROWS), pct), "cross")]
     if not open_.where(F.col("m") > LIST_ROWS).isEmpty():
-        more = more.union(_blocks(c, stage(long_, "near_long")))
-    more = stage(more, "near_more_links")
-    if not more.isEmpty():
-        labels = connected_components(links.union(more))
+        long_ = _live(held.where((F.col("m") > LIST_ROWS) & (F.col("m") <= LIVE_ROWS)), pct)
+        long_ = stage(long_.union(held.where(F.col("m") > LIVE_ROWS).select(long_.columns)), "near_long")
+        if not long_.isEmpty():
+            parts.append(_blocks(c, long_))
+        unstage(long_)
+    unstage(known, open_)
+    if not all(p.isEmpty() for p in parts[1:]):
+        labels = connected_components(functools.reduce(DataFrame.union, parts))
 
     ids = c.classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     ids = ids.withColumn("label", F.coalesce("label", "cls"))
     low = ids.groupBy("label").agg(F.min("rep").alias("component_id"))
     ids = stage(ids.join(low, "label").select("cls", "component_id"), "near_component_ids")
+    unstage(c.classes, *parts)
     linked = F.expr("n_shingles > 0 and doc_id is not null")
     rows = c.rows.select("doc_id", "n_shingles", F.when(linked, F.col("cls")).alias("cls"))
     out = rows.join(ids, "cls", "left")

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from casebook.llm import near_dedup as N
+from casebook.llm.common import TIDY, stage_tidy, unstage
 from casebook.llm.components import connected_components
 from casebook.llm.words import shingle_sets, slices, word_hashes
+from casebook.sources.io import staged_paths
 from tests.llm.conftest import WORD, ascii_lower
 
 
@@ -118,6 +120,62 @@ def test_block_pairs_of_a_value_that_every_class_holds(spark, monkeypatch):
     assert pairs[1000] * 5 < pairs[10000]
 
 
+def _signed_lists(spark, sets, v=7):
+    rows = [(v, i, len(s), i, *map(int, N._signature(s))) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "v long, cls long, n long, label long, s1 long, s2 long")
+
+
+def test_signatures_keep_every_pair_above_the_threshold(spark):
+    """Sets of many sizes with 0 to 30 % of their values exchanged: what passes the exact test passes the signature's."""
+    rnd = np.random.default_rng(5)
+    for pct in (50, 80, 85, 100):
+        sets = []
+        for n in (1, 2, 7, 12, 40, 150, 700, 4000):
+            first = rnd.integers(0, 1 << 64, n, dtype=np.uint64)
+            for share in (0, 0.02, 0.05, 0.08, 0.1, 0.15, 0.3):
+                other = first.copy()
+                other[:int(n * share)] = rnd.integers(0, 1 << 64, int(n * share), dtype=np.uint64)
+                sets.append(np.unique(other))
+        got = {(r.a, r.b) for r in N._cross_pairs(_signed_lists(spark, sets), pct).collect()}
+        for i, x in enumerate(sets):
+            for j in range(i + 1, len(sets)):
+                shared = len(np.intersect1d(x, sets[j]))
+                if 100 * shared >= pct * (len(x) + len(sets[j]) - shared):
+                    assert (i, j) in got
+
+
+def test_sets_that_share_a_value_by_chance_make_no_pairs(spark):
+    """One value in 60 unrelated sets and two near ones: one pair is moved, two members go to blocks."""
+    rnd = np.random.default_rng(6)
+    sets = [np.unique(np.append(rnd.integers(0, 1 << 64, 300, dtype=np.uint64), np.uint64(9))) for _ in range(61)]
+    sets.append(np.unique(np.append(sets[60][:-5], rnd.integers(0, 1 << 64, 5, dtype=np.uint64))))
+    lists = _signed_lists(spark, sets)
+    assert [tuple(r) for r in N._cross_pairs(lists, 85).collect()] == [(60, 61)]
+    assert sorted(r.cls for r in N._live(lists, 85).collect()) == [60, 61]
+
+
+@pytest.mark.parametrize("list_rows", [0, 64])
+def test_only_what_the_result_reads_stays_staged(docs, monkeypatch, list_rows):
+    monkeypatch.setattr(N, "LIST_ROWS", list_rows)
+    before = staged_paths(docs.sparkSession)
+    out = N.near_duplicates(docs, 3, 85)
+    left = {p.rsplit("/", 2)[-2] for p in staged_paths(docs.sparkSession) if p not in before}
+    assert {p for p in left if p.startswith("near_")} == {"near_rows", "near_component_ids"}
+    assert out.count() == docs.count()
+
+
+def test_staging_deletes_its_shuffle_files(spark):
+    """The setting holds for the write alone; the table is whole."""
+    df = spark.range(1000).groupBy((F.col("id") % 70).alias("k")).count()
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    had = tracker.shuffleStatuses().size()
+    out = stage_tidy(df, "tidy")
+    assert tracker.shuffleStatuses().size() <= had
+    assert out.count() == 70 and spark.conf.get(TIDY, None) is None
+    unstage(out)
+    assert not any("/tidy/" in p for p in staged_paths(spark))
+
+
 def test_shared_counts():
     rnd = np.random.default_rng(3)
     sets = [np.unique(rnd.integers(0, 60, rnd.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
